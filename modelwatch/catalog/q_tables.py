@@ -512,7 +512,8 @@ def f9(spark: SparkSession, sf: str) -> DataFrame:
         F.sum(early).alias("base"), F.sum(1 - early).alias("cur")
     )
     # Cuts are given here so that the block path runs at every scale.
-    return ordered.running_totals(per_value, "value", ["base", "cur"], [], {"value": [10.0, 20.0, 30.0]}).drop("base", "cur")
+    blocked = ordered.with_block(per_value, "value", [10.0, 20.0, 30.0])
+    return ordered.running_totals(blocked, "value", ["base", "cur"]).drop("base", "cur")
 
 
 @query(

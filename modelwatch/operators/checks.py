@@ -273,21 +273,21 @@ def blank_profile(df: DataFrame, column: str, companion: str) -> DataFrame:
 
 def implication_check(df: DataFrame, cols: Sequence[str], value: str, flag: Column) -> DataFrame:
     """Per column: how often it holds ``value``, how often ``flag`` holds, and both; do they coincide?"""
-    counted = df.select(flag.cast("int").alias("_flag"), *cols).unpivot(["_flag"], list(cols), "column", "_v")
-    hit = F.coalesce(F.col("_v") == value, F.lit(False))
-    on = F.coalesce(F.col("_flag") == 1, F.lit(False))
-    return (
-        counted.groupBy("column")
-        .agg(
-            F.count_if(hit).alias("value_rows"),
-            F.count_if(on).alias("flag_rows"),
-            F.count_if(hit & on).alias("both_rows"),
-        )
-        .withColumn(
-            "equivalent",
-            (F.col("value_rows") == F.col("both_rows")) & (F.col("flag_rows") == F.col("both_rows")),
+    on = F.coalesce(flag, F.lit(False))
+    aggs = []
+    for c in cols:
+        hit = F.coalesce(F.col(c) == value, F.lit(False))
+        aggs.append(
+            F.struct(
+                F.lit(c).alias("column"),
+                F.count_if(hit).alias("value_rows"),
+                F.count_if(on).alias("flag_rows"),
+                F.count_if(hit & on).alias("both_rows"),
+            )
         )
-    )
+    rows = df.agg(F.array(*aggs).alias("rows")).select(F.explode("rows").alias("r")).select("r.*")
+    same = (F.col("value_rows") == F.col("both_rows")) & (F.col("flag_rows") == F.col("both_rows"))
+    return rows.withColumn("equivalent", same)
 
 
 def consistency_profile(df: DataFrame, total: str, months: str, monthly: str) -> DataFrame:

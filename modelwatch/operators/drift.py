@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modelwatch.operators.metrics import evaluate, side_by_side, stack
-from modelwatch.operators.ordered import Cuts, block_cuts, long_numeric, running_totals
+from modelwatch.operators.ordered import Cuts, block_cuts, long_numeric, running_totals, with_names
 
 KS_THRESHOLD = 0.10
 JS_THRESHOLD = 0.10
@@ -54,19 +54,20 @@ def ks_statistic(
     both = _tagged(baseline, current, cols)
     if cuts is None:
         cuts = block_cuts(both, cols)
+    tall = long_numeric(both, cols, ["_base"], cuts)
     per_value = (
-        long_numeric(both, cols, ["_base"])
-        .groupBy(F.col("column").alias("feature"), "value")
+        tall.groupBy(*[c for c in tall.columns if c != "_base"])
         .agg(
             F.sum("_base").cast("bigint").alias("base"),
             F.sum(1 - F.col("_base")).cast("bigint").alias("cur"),
         )
     )
-    run = running_totals(per_value, "value", ["base", "cur"], ["feature"], cuts, "feature")
+    run = running_totals(per_value, "value", ["base", "cur"], ["column"])
     gap = F.abs(F.try_divide("cum_base", "total_base") - F.try_divide("cum_cur", "total_cur"))
-    stats = run.groupBy("feature").agg(
+    stats = run.groupBy("column").agg(
         F.max(gap).alias("score"), F.max("total_base").alias("n_baseline"), F.max("total_cur").alias("n_current")
     )
+    stats = with_names(stats, cols, "feature")
     p = ks_p_value(F.col("score"), F.col("n_baseline"), F.col("n_current"))
     return stats.select(
         "feature",

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modelwatch.operators.joins import null_safe_join
-from modelwatch.operators.ordered import Cuts, block_cuts, running_totals
+from modelwatch.operators.ordered import Cuts, block_cuts, running_totals, with_block
 
 METRICS = ("accuracy", "precision", "recall", "f1", "roc_auc")
 
@@ -61,15 +61,17 @@ def score_totals(
     """Per distinct score: pos, neg, their running sums from the lowest score, and totals."""
     if cuts is None:
         cuts = block_cuts(scored, [score])
+    rows = scored.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+    slim = rows.select(*by, label, (F.col(score).cast("double") + F.lit(0.0)).alias("score"))
+    slim = with_block(slim, "score", next(iter(cuts.values())))
     per_score = (
-        scored.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-        .groupBy(*by, (F.col(score).cast("double") + F.lit(0.0)).alias("score"))
+        slim.groupBy(*[c for c in slim.columns if c != label])
         .agg(
             F.count_if(F.col(label) == 1).alias("pos"),
             F.count_if(F.col(label) == 0).alias("neg"),
         )
     )
-    return running_totals(per_score, "score", ["pos", "neg"], by, {"score": next(iter(cuts.values()))})
+    return running_totals(per_score, "score", ["pos", "neg"], by)
 
 
 def roc_auc(scored: DataFrame, label: str, score: str, by: Sequence[str] = (), cuts: Cuts | None = None) -> DataFrame:
@@ -138,8 +140,10 @@ def evaluate(
     if cuts is None:
         cuts = block_cuts(scored, [probability])
     y, p = F.col(label), F.col(prediction)
+    slim = scored.select(*by, label, prediction, (F.col(probability).cast("double") + F.lit(0.0)).alias("score"))
+    slim = with_block(slim, "score", next(iter(cuts.values())))
     per_score = (
-        scored.groupBy(*by, (F.col(probability).cast("double") + F.lit(0.0)).alias("score"))
+        slim.groupBy(*[c for c in slim.columns if c not in (label, prediction)])
         .agg(
             F.count(F.lit(1)).alias("samples"),
             F.count_if((y == 0) & (p == 0)).alias("tn"),
@@ -150,7 +154,7 @@ def evaluate(
             F.count_if(y == 0).alias("neg"),
         )
     )
-    totals = running_totals(per_score, "score", ["neg"], by, {"score": next(iter(cuts.values()))})
+    totals = running_totals(per_score, "score", ["neg"], by)
     ranked = F.col("score").isNotNull()
     wins = F.col("pos").cast("decimal(38,1)") * (2 * (F.col("cum_neg") - F.col("neg")) + F.col("neg"))
     out = totals.groupBy(*by).agg(
@@ -309,3 +313,15 @@ def comparison_gate(comparison: DataFrame, minimum: float = 0.70, metric: str =
 def stack(frames: dict[str, DataFrame], tag: str) -> DataFrame:
     """Union of frames, each marked with its name."""
     return reduce(DataFrame.unionByName, [df.select(F.lit(n).alias(tag), "*") for n, df in frames.items()])
+
+
+def trend_change(per_window: DataFrame, window: str, metric: str) -> DataFrame:
+    """One row: the metric in the first and last window, the change, and a verdict."""
+    ends = per_window.agg(F.min_by(metric, window).alias("first"), F.max_by(metric, window).alias("last"))
+    change = F.col("last") - F.col("first")
+    return ends.select(
+        "first",
+        "last",
+        change.alias("change"),
+        F.when(change < 0, "decreased").when(change > 0, "increased").otherwise("unchanged").alias("verdict"),
+    )

@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -19,8 +21,9 @@ from pyspark.sql import Window as W
 from modelwatch.operators.joins import null_safe_join
 from modelwatch.session import stage_table
 
-ROWS_PER_BLOCK = 2_000_000
+ROWS_PER_BLOCK = 1_000_000
 MAX_BLOCKS = 4096
+BROADCAST_GROUPS = 20_000
 
 Cuts = dict[str, list[float]]
 
@@ -33,93 +36,57 @@ def block_cuts(
 ) -> Cuts:
     """Approximate quantile boundaries per column; empty lists while the data is small.
 
-    One column-pruned aggregate; what reaches the driver is at most
-    ``len(cols) * max_blocks`` numbers.
+    A row count decides; past one block, a column-pruned aggregate gives at most
+    ``len(cols) * max_blocks`` numbers to the driver.
     """
-    steps = 255
+    blocks = min(math.ceil(df.count() / rows_per_block), max_blocks)
+    if blocks <= 1:
+        return {c: [] for c in cols}
+    probs = [i / blocks for i in range(1, blocks)]
     row = df.agg(
-        F.count(F.lit(1)).alias("n"),
         *[
-            F.percentile_approx(
-                F.col(c).cast("double"), [i / (steps + 1) for i in range(1, steps + 1)], 4 * steps
-            ).alias(f"q{i}")
+            F.percentile_approx(F.col(c).cast("double"), probs, 4 * blocks).alias(f"q{i}")
             for i, c in enumerate(cols)
-        ],
+        ]
     ).first()
-    blocks = math.ceil(row["n"] / rows_per_block)
-    if blocks <= 1:
-        return {c: [] for c in cols}
-    if blocks > steps + 1:
-        blocks = min(blocks, max_blocks)
-        probs = [i / blocks for i in range(1, blocks)]
-        row = df.agg(
-            *[
-                F.percentile_approx(F.col(c).cast("double"), probs, 4 * blocks).alias(f"q{i}")
-                for i, c in enumerate(cols)
-            ]
-        ).first()
-        return {c: sorted(set(row[f"q{i}"] or [])) for i, c in enumerate(cols)}
-    stride = (steps + 1) / blocks
-    picks = sorted({min(steps, max(1, round(j * stride))) - 1 for j in range(1, blocks)})
-    return {c: sorted({row[f"q{i}"][p] for p in picks} if row[f"q{i}"] else set()) for i, c in enumerate(cols)}
-
-
-def _per_feature(lists: Cuts, feature: str | None) -> Column:
-    """Literal array, or a literal map looked up by the feature column."""
-    empty = F.array().cast("array<double>")
-    if feature is None:
-        (only,) = lists.values()
-        return F.lit(only) if only else empty
-    entries: list[Column] = []
-    for name, values in lists.items():
-        entries += [F.lit(name), F.lit(values) if values else empty]
-    return F.coalesce(F.try_element_at(F.create_map(*entries), F.col(feature)), empty)
-
-
-def with_block(df: DataFrame, value: str, cuts: Cuts | None, feature: str | None = None) -> DataFrame:
-    """Add ``_block``: how many cuts lie strictly below the value.
-
-    Two steps of about sqrt(#cuts) comparisons each instead of one long scan.
-    """
-    if not cuts or not any(cuts.values()):
-        return df.withColumn("_block", F.lit(0))
-    step = math.ceil(math.sqrt(max(len(v) for v in cuts.values())))
-    heads = _per_feature({k: v[::step] for k, v in cuts.items()}, feature)
-    full = _per_feature(cuts, feature)
-    run = df.withColumn("_run", F.size(F.filter(heads, lambda c: c < F.col(value))))
-    inside = F.size(
-        F.filter(F.slice(full, (F.col("_run") - 1) * step + 1, F.lit(step)), lambda c: c < F.col(value))
+    return {c: sorted(set(row[f"q{i}"] or [])) for i, c in enumerate(cols)}
+
+
+def with_block(df: DataFrame, value: str, cuts: Sequence[float], out: str = "_block") -> DataFrame:
+    """Add the number of the block a value falls in (binary search over the cuts)."""
+    inner = [c for c in cuts if math.isfinite(c)]
+    if not inner:
+        return df
+    edges = [-math.inf, *inner, math.inf]
+    return Bucketizer(splits=edges, inputCol=value, outputCol=out, handleInvalid="keep").transform(df).withColumn(
+        out, F.col(out).cast("int")
     )
-    block = F.when(F.col("_run") == 0, F.lit(0)).otherwise((F.col("_run") - 1) * step + inside)
-    return run.withColumn("_block", block).drop("_run")
 
 
-def running_totals(
-    df: DataFrame,
-    order: str,
-    values: Sequence[str],
-    by: Sequence[str] = (),
-    cuts: Cuts | None = None,
-    feature: str | None = None,
-) -> DataFrame:
+def attach(df: DataFrame, small: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Add the columns of a bounded table: by group, or its single row when there is no group."""
+    if by:
+        return null_safe_join(df, F.broadcast(small), list(by))
+    row = small.agg(F.struct(*[F.max(c).alias(c) for c in small.columns])).scalar()
+    return df.select("*", *[row.getField(c).alias(c) for c in small.columns])
+
+
+def running_totals(df: DataFrame, order: str, values: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Inclusive running sums ``cum_<v>`` and group totals ``total_<v>``.
 
-    ``df`` holds one row per ``(by, order)``. A running sum is the sum inside the
-    block plus the totals of the blocks before it.
+    ``df`` holds one row per ``(by, order)``. With a ``_block`` column (see
+    ``with_block``) a running sum is the sum inside the block plus the totals of
+    the blocks before it; without one the data is known to be small.
     """
     by = list(by)
     up_to_here = W.unboundedPreceding, W.currentRow
-    blocked = with_block(df, order, cuts, feature)
-    if not cuts or not any(cuts.values()):
+    if "_block" not in df.columns:
         run = W.partitionBy(*by).orderBy(order).rowsBetween(*up_to_here)
-        whole = W.partitionBy(*by)
-        return df.select(
-            "*",
-            *[F.sum(v).over(run).alias(f"cum_{v}") for v in values],
-            *[F.sum(v).over(whole).alias(f"total_{v}") for v in values],
-        )
+        totals = df.groupBy(*by).agg(*[F.sum(v).alias(f"total_{v}") for v in values])
+        summed = df.select("*", *[F.sum(v).over(run).alias(f"cum_{v}") for v in values])
+        return attach(summed, totals, by)
     keys = by + ["_block"]
-    per_block = blocked.groupBy(*keys).agg(*[F.sum(v).alias(v) for v in values])
+    per_block = df.groupBy(*keys).agg(*[F.sum(v).alias(v) for v in values])
     before = W.partitionBy(*by).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     offsets = per_block.select(
         *keys,
@@ -127,19 +94,84 @@ def running_totals(
         *[F.sum(v).over(W.partitionBy(*by)).alias(f"total_{v}") for v in values],
     )
     inside = W.partitionBy(*keys).orderBy(order).rowsBetween(*up_to_here)
-    summed = blocked.select("*", *[F.sum(v).over(inside).alias(f"_in_{v}") for v in values])
+    summed = df.select("*", *[F.sum(v).over(inside).alias(f"_in_{v}") for v in values])
+    if set(by) <= {"column"}:
+        # One row per numeric column and block.
+        offsets = F.broadcast(offsets)
     joined = null_safe_join(summed, offsets, keys)
-    out = joined.select(
-        "*", *[(F.col(f"_in_{v}") + F.col(f"_off_{v}")).alias(f"cum_{v}") for v in values]
-    )
+    out = joined.select("*", *[(F.col(f"_in_{v}") + F.col(f"_off_{v}")).alias(f"cum_{v}") for v in values])
     return out.drop("_block", *[f"_in_{v}" for v in values], *[f"_off_{v}" for v in values])
 
 
-def long_numeric(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """One row per (group, column, value); NULL and NaN left out, -0.0 folded into 0.0."""
-    wide = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
-    tall = wide.unpivot(list(by), list(cols), "column", "value")
-    return tall.where(F.col("value").isNotNull() & ~F.isnan("value")).withColumn("value", F.col("value") + F.lit(0.0))
+def long_numeric(
+    df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), cuts: Cuts | None = None
+) -> DataFrame:
+    """One row per (group, column number, value); NULL and NaN left out, -0.0 folded into 0.0.
+
+    ``column`` is the position in ``cols`` (a short grouping key); ``with_names``
+    turns it back. With cuts a value also carries its ``_block``, found while the
+    columns are still side by side.
+    """
+    wide = df.select(*by, *[(F.col(c).cast("double") + F.lit(0.0)).alias(f"_v{i}") for i, c in enumerate(cols)])
+    blocks = bool(cuts) and any(cuts.values())
+    entries = []
+    for i, c in enumerate(cols):
+        fields = [F.lit(i).alias("column"), F.col(f"_v{i}").alias("value")]
+        if blocks:
+            wide = with_block(wide, f"_v{i}", cuts[c], f"_b{i}")
+            known = f"_b{i}" in wide.columns
+            fields.append((F.col(f"_b{i}") if known else F.lit(0)).alias("_block"))
+        entries.append(F.struct(*fields).alias(f"_e{i}"))
+    tall = wide.select(*by, *entries).unpivot(list(by), [f"_e{i}" for i in range(len(cols))], "_n", "_e")
+    flat = tall.select(*by, "_e.*")
+    return flat.where(F.col("value").isNotNull() & ~F.isnan("value"))
+
+
+def with_names(df: DataFrame, cols: Sequence[str], out: str = "column") -> DataFrame:
+    """Column numbers back to names."""
+    name = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("column") + 1)
+    return df.select(*[name.alias(out) if c == "column" else F.col(c) for c in df.columns])
+
+
+def _located_small(tall: DataFrame, group: list[str]) -> DataFrame:
+    """Per distinct value its first rank, its rows, and the group size."""
+    counted = tall.groupBy(*group, "value").agg(F.count(F.lit(1)).alias("_rows"))
+    run = running_totals(counted, "value", ["_rows"], group)
+    return run.select(*group, "value", "_rows", (F.col("cum__rows") - F.col("_rows")).alias("_first"), F.col("total__rows").alias("n"))
+
+
+def few_groups(df: DataFrame, by: Sequence[str]) -> bool:
+    """Is a table with a few rows per group small enough to broadcast? Measured, not assumed."""
+    if not by:
+        return True
+    return df.agg(F.approx_count_distinct(F.struct(*by))).first()[0] <= BROADCAST_GROUPS
+
+
+def _located_in_blocks(
+    tall: DataFrame, group: list[str], probs: Sequence[float], small: bool
+) -> DataFrame:
+    """The same, but only for values in blocks that hold a wanted rank."""
+    keys = group + ["_block"]
+    per_block = tall.groupBy(*keys).agg(F.count(F.lit(1)).alias("_in_block"))
+    before = W.partitionBy(*group).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    placed = per_block.select(
+        *keys,
+        "_in_block",
+        F.coalesce(F.sum("_in_block").over(before), F.lit(0)).alias("_start"),
+        F.sum("_in_block").over(W.partitionBy(*group)).alias("n"),
+    )
+    ranks = [f(F.lit(float(p)) * (F.col("n") - 1)) for p in probs for f in (F.floor, F.ceil)]
+    holds = [(r >= F.col("_start")) & (r < F.col("_start") + F.col("_in_block")) for r in ranks]
+    wanted = placed.where(reduce(lambda a, b: a | b, holds)).select(*keys, "_start", "n")
+    if small:
+        wanted = F.broadcast(wanted)
+    hit = null_safe_join(tall, wanted.select(*keys), keys, "left_semi")
+    counted = hit.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_rows"))
+    inside = W.partitionBy(*keys).orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
+    ordered = counted.withColumn("_end", F.sum("_rows").over(inside))
+    return null_safe_join(ordered, wanted, keys).select(
+        *group, "value", "_rows", (F.col("_start") + F.col("_end") - F.col("_rows")).alias("_first"), "n"
+    )
 
 
 def exact_quantiles(
@@ -158,60 +190,24 @@ def exact_quantiles(
     if cuts is None:
         cuts = block_cuts(df, cols)
     group = by + ["column"]
-    keys = group + ["_block"]
-    blocked = with_block(long_numeric(df, cols, by), "value", cuts, "column")
-
-    per_block = blocked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    before = W.partitionBy(*group).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    placed = per_block.select(
-        *keys,
-        "_rows",
-        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"),
-        F.sum("_rows").over(W.partitionBy(*group)).alias("n"),
-    )
+    tall = long_numeric(df, cols, by, cuts)
+    if any(cuts.values()):
+        located = _located_in_blocks(tall, group, probs, few_groups(df, by))
+    else:
+        located = _located_small(tall, group)
     spots = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
-    ranks = F.array_distinct(F.array(*[f(s).cast("bigint") for s in spots for f in (F.floor, F.ceil)]))
-    wanted = placed.withColumn(
-        "_ranks",
-        F.filter(ranks, lambda r: (r >= F.col("_start")) & (r < F.col("_start") + F.col("_rows"))),
-    ).where(F.size("_ranks") > 0)
 
-    counted = blocked.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_rows"))
-    if any(cuts.values()):
-        hit = null_safe_join(blocked, wanted.select(*keys), keys, "left_semi")
-        counted = hit.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_rows"))
-    inside = W.partitionBy(*keys).orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
-    ordered = counted.withColumn("_end", F.sum("_rows").over(inside))
-    located = null_safe_join(ordered, wanted.select(*keys, "_start", "n", "_ranks"), keys)
-    first = F.col("_start") + F.col("_end") - F.col("_rows")
-    found = located.select(
-        *group,
-        "n",
-        "value",
-        F.explode(
-            F.filter("_ranks", lambda r: (r >= first) & (r < F.col("_start") + F.col("_end")))
-        ).alias("_rank"),
-    )
-    spot = F.lit(0.0)
-    parts: list[Column] = []
-    for i, p in enumerate(probs):
-        spot = F.lit(float(p)) * (F.col("n") - 1)
-        parts += [
-            F.max(F.when(F.col("_rank") == F.floor(spot), F.col("value"))).alias(f"_lo{i}"),
-            F.max(F.when(F.col("_rank") == F.ceil(spot), F.col("value"))).alias(f"_hi{i}"),
-        ]
-    picked = found.groupBy(*group, "n").agg(*parts)
-    return picked.select(
-        *group,
-        "n",
-        *[
-            (
-                F.col(f"_lo{i}")
-                + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (F.lit(float(p)) * (F.col("n") - 1) % 1)
-            ).alias(f"q{i}")
-            for i, p in enumerate(probs)
-        ],
-    )
+    def value_at(rank: Column, name: str) -> Column:
+        covers = (F.col("_first") <= rank) & (rank < F.col("_first") + F.col("_rows"))
+        return F.max(F.when(covers, F.col("value"))).alias(name)
+
+    parts = [value_at(f(s), f"{n}{i}") for i, s in enumerate(spots) for f, n in ((F.floor, "_lo"), (F.ceil, "_hi"))]
+    picked = located.groupBy(*group, "n").agg(*parts)
+    between = [
+        (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (spot % 1)).alias(f"q{i}")
+        for i, spot in enumerate(spots)
+    ]
+    return with_names(picked.select(*group, "n", *between), cols)
 
 
 def with_position(df: DataFrame, order: Sequence[str | Column], position: str = "position") -> DataFrame:

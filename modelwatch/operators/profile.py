@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modelwatch.operators.joins import null_safe_join
-from modelwatch.operators.ordered import exact_quantiles, long_numeric
+from modelwatch.operators.ordered import exact_quantiles, few_groups, long_numeric, with_names
 
 
 def class_distribution(df: DataFrame, column: str) -> DataFrame:
@@ -49,7 +49,7 @@ def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> Data
     quarts = exact_quantiles(df, cols, [0.25, 0.5, 0.75], by).select(
         *by, "column", F.col("q0").alias("q25"), F.col("q1").alias("q50"), F.col("q2").alias("q75")
     )
-    return null_safe_join(stats, quarts, by + ["column"])
+    return null_safe_join(with_names(stats, cols), quarts, by + ["column"])
 
 
 def dataset_summary(datasets: dict[str, DataFrame], label: str) -> DataFrame:
@@ -98,6 +98,8 @@ def box_numbers(df: DataFrame, column: str, by: str) -> DataFrame:
         (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("_lo"),
         (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("_hi"),
     )
+    if few_groups(df, [by]):
+        fences = F.broadcast(fences)
     # Equal values share one row from here on, so a class is joined value by value.
     values = long_numeric(df, [column], [by]).groupBy(by, "value").agg(F.count(F.lit(1)).alias("rows"))
     inside = (F.col("value") >= F.col("_lo")) & (F.col("value") <= F.col("_hi"))
@@ -144,18 +146,17 @@ def distinct_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def table_profile(df: DataFrame) -> DataFrame:
     """One row per column: position, type, rows, non-null values."""
-    types = dict(df.dtypes)
-    counts = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(c) for c in df.columns])
-    tall = counts.unpivot(["_rows"], list(df.columns), "column", "non_null")
-    lookup = F.create_map(*[F.lit(x) for i, c in enumerate(df.columns) for x in (c, f"{i}|{types[c]}")])
-    parts = F.split(F.element_at(lookup, F.col("column")), r"\|", 2)
-    return tall.select(
-        parts[0].cast("int").alias("position"),
-        "column",
-        parts[1].alias("dtype"),
-        F.col("_rows").alias("rows"),
-        "non_null",
-    )
+    items = [
+        F.struct(
+            F.lit(i).alias("position"),
+            F.lit(c).alias("column"),
+            F.lit(t).alias("dtype"),
+            F.count(F.lit(1)).alias("rows"),
+            F.count(c).alias("non_null"),
+        )
+        for i, (c, t) in enumerate(df.dtypes)
+    ]
+    return df.agg(F.array(*items).alias("columns")).select(F.explode("columns").alias("c")).select("c.*")
 
 
 def prediction_summary(scored: DataFrame, prediction: str, probability: str) -> DataFrame:
@@ -200,7 +201,7 @@ def mean_shift(baseline: DataFrame, incoming: DataFrame, cols: Sequence[str]) ->
         F.avg(F.when(F.col("side") == 0, F.col("value"))).alias("baseline_mean"),
         F.avg(F.when(F.col("side") == 1, F.col("value"))).alias("incoming_mean"),
     )
-    return means.withColumn("shift", F.col("incoming_mean") - F.col("baseline_mean"))
+    return with_names(means, cols).withColumn("shift", F.col("incoming_mean") - F.col("baseline_mean"))
 
 
 def check_rollup(results: DataFrame, repetition: str, passed: str) -> DataFrame:

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from modelwatch.operators.joins import null_safe_join
 from modelwatch.operators.ordered import exact_quantiles
 
 MAX_STRATA = 1000
@@ -48,7 +47,7 @@ class HashCut:
         return F.coalesce((h < cut_h) | ((h == cut_h) & (k <= cut_k)), F.lit(False))
 
 
-def _bucket_counts(df: DataFrame, key: str, seed: int, by: str | None) -> DataFrame:
+def _keyed(df: DataFrame, key: str, seed: int, by: str | None) -> DataFrame:
     stratum = F.coalesce(F.col(by).cast("string"), F.lit("")) if by else F.lit("")
     keyed = df.where(F.col(key).isNotNull()).select(
         stratum.alias("stratum"), order_hash(key, seed).alias("h"), F.col(key).cast("string").alias("k")
@@ -69,21 +68,27 @@ def _placed(keyed: DataFrame) -> DataFrame:
 
 def hash_cut(df: DataFrame, key: str, quota: DataFrame, seed: int, by: str | None = None) -> HashCut:
     """Cut that takes ``quota`` rows per stratum. ``quota``: (stratum, quota)."""
-    keyed = _bucket_counts(df, key, seed, by)
-    placed = null_safe_join(_placed(keyed), quota.select("stratum", "quota"), ["stratum"])
+    keyed = _keyed(df, key, seed, by)
+    placed = _placed(keyed).join(quota.select("stratum", F.col("quota").alias("_q")), "stratum")
+    placed = placed.withColumn("quota", F.least("_q", "n"))
     ends_here = (F.col("start") < F.col("quota")) & (F.col("quota") <= F.col("start") + F.col("rows"))
-    taken = F.least("quota", "n")
-    edge = (
-        placed.withColumn("quota", taken)
-        .where(ends_here)
-        .select("stratum", "bucket", (F.col("quota") - F.col("start")).alias("rank"))
+    edges = (
+        placed.where(ends_here)
+        .select(F.concat_ws("|", "bucket", "stratum").alias("spot"), (F.col("quota") - F.col("start")).alias("rank"))
+        .limit(MAX_STRATA + 1)
+        .collect()
     )
-    ranked = null_safe_join(keyed, edge, ["stratum", "bucket"]).withColumn(
-        "rn", F.row_number().over(W.partitionBy("stratum", "bucket").orderBy("h", "k"))
-    )
-    rows = ranked.where(F.col("rn") == F.col("rank")).select("stratum", "h", "k").limit(MAX_STRATA + 1).collect()
-    if len(rows) > MAX_STRATA:
+    if len(edges) > MAX_STRATA:
         raise ValueError(f"more than {MAX_STRATA} strata")
+    if not edges:
+        return HashCut(key, seed, by, {})
+    # One bucket per stratum is left: 1 / 65,536 of its rows.
+    rank = F.element_at(F.create_map(*[F.lit(x) for e in edges for x in (e["spot"], e["rank"])]), F.col("spot"))
+    near = keyed.withColumn("spot", F.concat_ws("|", "bucket", "stratum")).where(
+        F.col("spot").isin([e["spot"] for e in edges])
+    )
+    ranked = near.withColumn("rn", F.row_number().over(W.partitionBy("spot").orderBy("h", "k")))
+    rows = ranked.where(F.col("rn") == rank).select("stratum", "h", "k").collect()
     return HashCut(key, seed, by, {r["stratum"]: (r["h"], r["k"]) for r in rows})
 
 
@@ -135,10 +140,10 @@ def flag_fraction_where(df: DataFrame, key: str, where: Column, fraction: float,
 
 def hash_rank(df: DataFrame, key: str, seed: int, by: str | None = None) -> DataFrame:
     """(key, stratum, zero-based rank in hash order). Ranked per (stratum, bucket) plus offset."""
-    keyed = _bucket_counts(df, key, seed, by)
+    keyed = _keyed(df, key, seed, by)
     within = F.row_number().over(W.partitionBy("stratum", "bucket").orderBy("h", "k"))
     offsets = _placed(keyed).select("stratum", "bucket", "start", "n")
-    ranked = null_safe_join(keyed.withColumn("rn", within), offsets, ["stratum", "bucket"])
+    ranked = keyed.withColumn("rn", within).join(offsets, ["stratum", "bucket"])
     return ranked.select(
         F.col("k").alias(key), "stratum", (F.col("start") + F.col("rn") - 1).alias("rank"), "n"
     )
@@ -158,7 +163,7 @@ def _with_rank(df: DataFrame, key: str, seed: int, by: str) -> DataFrame:
         "*", stratum.alias("stratum"), h.alias("_h"), F.substring(h, 1, PREFIX).alias("bucket")
     )
     within = F.row_number().over(W.partitionBy("stratum", "bucket").orderBy("_h", F.col(key).cast("string")))
-    offsets = _placed(_bucket_counts(df, key, seed, by)).select("stratum", "bucket", "start")
+    offsets = _placed(_keyed(df, key, seed, by)).select("stratum", "bucket", "start")
     return (
         marked.withColumn("_rn", within)
         .join(offsets, ["stratum", "bucket"])

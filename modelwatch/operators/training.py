@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 from itertools import product
+from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+from pyspark import inheritable_thread_target
+from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -20,15 +22,20 @@ from pyspark.sql import functions as F
 from modelwatch.operators.encoding import FeatureEncoder, FeatureEncoderModel
 from modelwatch.operators.metrics import classification_metrics
 from modelwatch.operators.profile import class_weights
+from modelwatch.session import stage_table
 
 WEIGHT = "class_weight"
+PARALLELISM = 4
 
 
-def stable_layout(df: DataFrame, key: str, parts: int = 16) -> DataFrame:
+def stable_layout(df: DataFrame, key: str, parts: int | None = None) -> DataFrame:
     """Same rows in the same partitions in the same order, whatever the input layout.
 
-    Seeded learners draw per partition, so a repeatable fit needs this.
+    Seeded learners draw per partition, so a repeatable fit needs this. The number
+    of partitions is the session's shuffle setting and not left to run-time
+    coalescing.
     """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(parts, key).sortWithinPartitions(key)
 
 
@@ -87,10 +94,17 @@ def boosted_trees(
 
 
 def fit_model(df: DataFrame, key: str, label: str, encoder: Estimator | None, learner: Estimator) -> PipelineModel:
-    """Encoder and learner fitted on the training rows only, repeatably."""
-    rows = with_class_weight(stable_layout(df, key), label)
-    stages = [s for s in (encoder, learner) if s is not None]
-    return Pipeline(stages=stages).fit(rows)
+    """Encoder and learner fitted on the training rows only, repeatably.
+
+    Statistics are taken from the rows where they are; only id, label, weight and
+    the feature vector are shuffled into the stable layout.
+    """
+    rows, stages = with_class_weight(df, label), []
+    if encoder is not None:
+        fitted = encoder.fit(df)
+        rows, stages = fitted.transform(rows), [fitted]
+    slim = rows.select(key, label, WEIGHT, learner.getFeaturesCol())
+    return PipelineModel([*stages, learner.fit(stable_layout(slim, key))])
 
 
 def score(model: Model, df: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -114,18 +128,22 @@ def cross_validate(
     models: dict[str, tuple[Estimator | None, Estimator]],
     fold: str = "fold",
     threshold: float = 0.5,
+    parallelism: int = PARALLELISM,
 ) -> DataFrame:
     """accuracy, precision, recall, f1 per model and fold.
 
-    The loop is over models and folds, each fit is a Spark job over its training
-    rows; all held-out predictions are then evaluated in one aggregate.
+    The folded rows are written once; every fit is a Spark job over them, a few at
+    a time; all held-out predictions are evaluated in one aggregate.
     """
-    parts = [
-        out_of_fold(folded, key, label, encoder, learner, fold, threshold).select(
-            F.lit(name).alias("model"), fold, label, "prediction"
-        )
-        for name, (encoder, learner) in models.items()
-    ]
+    rows = stage_table(folded, "folds")
+    tasks = [(name, f) for name in models for f in fold_values(rows, fold)]
+
+    def held_out(task: tuple[str, object]) -> DataFrame:
+        name, f = task
+        scored = _held_out_fold(rows, key, label, *models[name], fold, f, threshold, None)
+        return scored.select(F.lit(name).alias("model"), fold, label, "prediction")
+
+    parts = _in_parallel(held_out, tasks, parallelism)
     return classification_metrics(reduce(DataFrame.unionByName, parts), label, "prediction", ["model", fold])
 
 
@@ -136,6 +154,26 @@ def cv_summary(per_fold: DataFrame, metrics: Sequence[str] = ("f1", "recall")) -
     )
 
 
+def fold_values(folded: DataFrame, fold: str, limit: int = 1000) -> list:
+    """The distinct folds; a column with very many values was not meant as one."""
+    values = [r[0] for r in folded.select(fold).distinct().orderBy(fold).limit(limit + 1).collect()]
+    if len(values) > limit:
+        raise ValueError(f"{fold} has more than {limit} values")
+    return values
+
+
+def _in_parallel(fn: Callable, tasks: Sequence, parallelism: int) -> list:
+    """Run driver-side calls that each start Spark jobs, a few at a time."""
+    with ThreadPool(min(parallelism, len(tasks))) as pool:
+        return pool.map(inheritable_thread_target(fn), tasks)
+
+
+def _held_out_fold(rows, key, label, encoder, learner, fold, value, threshold, prepare) -> DataFrame:
+    train = rows.where(F.col(fold) != value)
+    model = fit_model(prepare(train) if prepare else train, key, label, encoder, learner)
+    return score(model, rows.where(F.col(fold) == value), threshold)
+
+
 def out_of_fold(
     folded: DataFrame,
     key: str,
@@ -145,20 +183,18 @@ def out_of_fold(
     fold: str = "fold",
     threshold: float = 0.5,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
+    parallelism: int = PARALLELISM,
 ) -> DataFrame:
     """Every row scored by a model that never saw its fold.
 
     ``prepare`` runs on the training rows only (oversampling, for example).
     """
-    folds = [r[0] for r in folded.select(fold).distinct().orderBy(fold).limit(1001).collect()]
-    if len(folds) > 1000:
-        raise ValueError("the fold column has more than 1000 values")
-    parts = []
-    for f in folds:
-        train = folded.where(F.col(fold) != f)
-        model = fit_model(prepare(train) if prepare else train, key, label, encoder, learner)
-        parts.append(score(model, folded.where(F.col(fold) == f), threshold))
-    return reduce(DataFrame.unionByName, parts)
+    rows = stage_table(folded, "folds")
+
+    def held_out(value) -> DataFrame:
+        return _held_out_fold(rows, key, label, encoder, learner, fold, value, threshold, prepare)
+
+    return reduce(DataFrame.unionByName, _in_parallel(held_out, fold_values(rows, fold), parallelism))
 
 
 def param_grid(**choices: Sequence) -> list[dict]:
