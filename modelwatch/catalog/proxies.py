@@ -206,7 +206,7 @@ def registry(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     present = sup.where(F.col("s_suppkey") % 7 != 0)
     metric = F.array(
         F.struct(F.lit("recall").alias("metric"), (F.col("s_acctbal") / 10000.0).alias("value")),
-        F.struct(F.lit("accuracy").alias("metric"), (F.col("s_acctbal") / 20000.0).alias("value")),
+        F.struct(F.lit("accuracy").alias("metric"), (F.col("s_acctbal") / 30000.0).alias("value")),
     )
     metrics = present.select(
         F.concat(F.lit("run-"), F.col("s_suppkey").cast("string")).alias("run_id"), F.explode(metric).alias("m")
@@ -221,7 +221,7 @@ REG = """versions AS (SELECT 'model-' || CAST(s_nationkey AS VARCHAR) AS name, C
   FROM (SELECT *, min(s_suppkey) OVER (PARTITION BY s_nationkey) AS first FROM supplier)),
  metrics AS (SELECT 'run-' || CAST(s_suppkey AS VARCHAR) AS run_id, 'recall' AS metric, s_acctbal / CAST(10000 AS DOUBLE) AS value
   FROM supplier WHERE s_suppkey % 7 <> 0 UNION ALL
-  SELECT 'run-' || CAST(s_suppkey AS VARCHAR), 'accuracy', s_acctbal / CAST(20000 AS DOUBLE) FROM supplier WHERE s_suppkey % 7 <> 0),
+  SELECT 'run-' || CAST(s_suppkey AS VARCHAR), 'accuracy', s_acctbal / CAST(30000 AS DOUBLE) FROM supplier WHERE s_suppkey % 7 <> 0),
  scoredv AS (SELECT v.name, v.version, CASE WHEN v.stage = 'None' THEN 'Staging' ELSE v.stage END AS stage, v.run_id,
   coalesce(m.value, 0) AS score FROM versions v LEFT JOIN (SELECT * FROM metrics WHERE metric = 'recall') m ON v.run_id = m.run_id),
  best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY score DESC, version) AS rn

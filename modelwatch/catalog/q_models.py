@@ -24,7 +24,7 @@ from modelwatch.catalog.proxies import (
 )
 from modelwatch.catalog.proxies import REG
 from modelwatch.catalog.registry import query
-from modelwatch.operators import encoding, metrics, ordered, sampling, training
+from modelwatch.operators import encoding, metrics, ordered, sampling, smote, training
 from modelwatch.plans import lifecycle, prepare
 
 # --- feature preparation --------------------------------------------------------
@@ -158,6 +158,39 @@ def i11(spark: SparkSession, sf: str) -> DataFrame:
     return training.cv_summary(training.cross_validate(_folded(spark, sf), "id", "y", models))
 
 
+@query(
+    "i12_neighbours",
+    with_sql(
+        """SELECT rank, distance, count(*) AS rows FROM (SELECT a.id, round(list_distance(a.x, b.x), 5) AS distance,
+ row_number() OVER (PARTITION BY a.id ORDER BY list_distance(a.x, b.x), b.id) AS rank FROM minority a, minority b WHERE a.id <> b.id)
+ WHERE rank <= 5 GROUP BY 1, 2""",
+        minority=f"SELECT * FROM ({ENC}) WHERE y = 1",
+    ),
+)
+def i12_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    """Distances to the five nearest minority rows."""
+    few = encoded(spark, sf).where("y = 1")
+    near = smote.nearest_distances(few, "x", 5, block_points=256)
+    return near.groupBy(F.col("rank").cast("bigint").alias("rank"), F.round("distance", 5).alias("distance")).agg(
+        F.sum("rows").alias("rows")
+    )
+
+
+@query(
+    "i12_smote",
+    """SELECT y, synthetic, CASE WHEN synthetic THEN m - n ELSE n END AS n FROM (SELECT CAST(label = 0 AS INTEGER) AS y, count(*) AS n,
+ max(count(*)) OVER () AS m FROM embeddings GROUP BY 1), (SELECT unnest([false, true]) AS synthetic) WHERE NOT synthetic OR n < m""",
+)
+def i12(spark: SparkSession, sf: str) -> DataFrame:
+    """One class against nine: afterwards both are equally large."""
+    rows = table(spark, sf, "embeddings").select(
+        F.col("embedding").cast("array<double>").alias("x"), (F.col("label") == 0).cast("int").alias("y")
+    )
+    out = smote.smote(rows, "y", "x", k=5, seed=42)
+    inside = out.where(F.forall("x", lambda v: ~F.isnan(v)))
+    return inside.groupBy("y", "synthetic").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("i13_grid_search")
 def i13(spark: SparkSession, sf: str) -> DataFrame:
     grid = training.param_grid(c=[0.01, 1.0], penalty=["l1", "l2"])
