@@ -16,7 +16,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modelwatch.operators.encoding import FeatureEncoder, FeatureEncoderModel
@@ -143,7 +143,7 @@ def cross_validate(
         scored = _held_out_fold(rows, key, label, *models[name], fold, f, threshold, None)
         return scored.select(F.lit(name).alias("model"), fold, label, "prediction")
 
-    parts = _in_parallel(held_out, tasks, parallelism)
+    parts = _in_parallel(rows.sparkSession, held_out, tasks, parallelism)
     return classification_metrics(reduce(DataFrame.unionByName, parts), label, "prediction", ["model", fold])
 
 
@@ -162,10 +162,10 @@ def fold_values(folded: DataFrame, fold: str, limit: int = 1000) -> list:
     return values
 
 
-def _in_parallel(fn: Callable, tasks: Sequence, parallelism: int) -> list:
+def _in_parallel(spark: SparkSession, fn: Callable, tasks: Sequence, parallelism: int) -> list:
     """Run driver-side calls that each start Spark jobs, a few at a time."""
     with ThreadPool(min(parallelism, len(tasks))) as pool:
-        return pool.map(inheritable_thread_target(fn), tasks)
+        return pool.map(inheritable_thread_target(spark)(fn), tasks)
 
 
 def _held_out_fold(rows, key, label, encoder, learner, fold, value, threshold, prepare) -> DataFrame:
@@ -194,7 +194,7 @@ def out_of_fold(
     def held_out(value) -> DataFrame:
         return _held_out_fold(rows, key, label, encoder, learner, fold, value, threshold, prepare)
 
-    return reduce(DataFrame.unionByName, _in_parallel(held_out, fold_values(rows, fold), parallelism))
+    return reduce(DataFrame.unionByName, _in_parallel(rows.sparkSession, held_out, fold_values(rows, fold), parallelism))
 
 
 def param_grid(**choices: Sequence) -> list[dict]:
@@ -230,8 +230,6 @@ def search(
 
 def feature_importance(model: PipelineModel, names: Sequence[str], top: int = 20) -> DataFrame:
     """The ``top`` encoded features by importance. The model already lives on the driver."""
-    from pyspark.sql import SparkSession
-
     values = [float(v) for v in model.stages[-1].featureImportances.toArray()]
     pairs = list(zip(names, values))
     df = SparkSession.active().createDataFrame(pairs, "feature string, importance double")
