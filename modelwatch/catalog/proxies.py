@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from modelwatch.operators.drift import one_table
 from modelwatch.schema import ColumnRule, TableSpec
 
 DRIFT_DATE = "1998-06-01"
@@ -156,14 +157,13 @@ TWO = """SELECT id, y, toxic, 'v1' AS model, probability, prediction FROM scored
 # --- drift pairs ------------------------------------------------------------
 
 
-def shipped(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+def shipped(spark: SparkSession, sf: str) -> DataFrame:
     """lineitem before and after a date: no drift."""
     items = table(spark, sf, "lineitem").select("l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate")
-    early = F.col("l_shipdate") < F.lit(DRIFT_DATE).cast("timestamp_ntz")
-    return items.where(early), items.where(~early)
+    return one_table(items, F.col("l_shipdate") < F.lit(DRIFT_DATE).cast("timestamp_ntz"))
 
 
-def by_quantity(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+def by_quantity(spark: SparkSession, sf: str) -> DataFrame:
     """lineitem with small and large quantities: order value and its band drift."""
     value = F.col("l_quantity") * F.col("l_extendedprice")
     items = table(spark, sf, "lineitem").select(
@@ -173,8 +173,7 @@ def by_quantity(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
         F.when(value < 500_000, "low").when(value < 1_500_000, "mid").otherwise("high").alias("band"),
         "l_returnflag",
     )
-    small = F.col("l_quantity") <= 25
-    return items.where(small), items.where(~small)
+    return one_table(items, F.col("l_quantity") <= 25)
 
 
 SHIP = f"""SELECT l_quantity, l_extendedprice, l_returnflag, l_linestatus,

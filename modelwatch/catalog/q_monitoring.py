@@ -70,29 +70,25 @@ JS_QTY = " UNION ALL ".join(js_sql(c, "qty") for c in ("band", "l_returnflag"))
 
 @query("k1_ks_statistic", with_sql(f"SELECT feature, round(score, 6) AS score, n_baseline, n_current, {_status()} FROM ({KS_SHIP})", ship=SHIP))
 def k1(spark: SparkSession, sf: str) -> DataFrame:
-    early, late = shipped(spark, sf)
-    return rounded(drift.ks_statistic(early, late, ["l_quantity", "l_extendedprice"]).drop("p_value"))
+    return rounded(drift.ks_statistic(shipped(spark, sf), ["l_quantity", "l_extendedprice"]).drop("p_value"))
 
 
 @query("k1_ks_in_blocks", with_sql(f"SELECT feature, round(score, 6) AS score, n_baseline, n_current, {_status()} FROM ({KS_QTY})", qty=QTY))
 def k1_blocks(spark: SparkSession, sf: str) -> DataFrame:
     """The block path that large data takes; cuts are given, so it runs at every scale."""
-    small, large = by_quantity(spark, sf)
     cuts = {"value": [1e5, 4e5, 9e5, 2e6], "l_discount": [0.02, 0.07]}
-    return rounded(drift.ks_statistic(small, large, ["value", "l_discount"], cuts=cuts).drop("p_value"))
+    return rounded(drift.ks_statistic(by_quantity(spark, sf), ["value", "l_discount"], cuts=cuts).drop("p_value"))
 
 
 @query("k2_ks_p_value", with_sql(f"SELECT feature, round(p_value, 6) AS p_value_asymptotic FROM ({with_p(KS_SHIP)})", ship=SHIP))
 def k2(spark: SparkSession, sf: str) -> DataFrame:
-    early, late = shipped(spark, sf)
-    ks = drift.ks_statistic(early, late, ["l_quantity", "l_extendedprice"])
+    ks = drift.ks_statistic(shipped(spark, sf), ["l_quantity", "l_extendedprice"])
     return rounded(ks.select("feature", F.col("p_value").alias("p_value_asymptotic")))
 
 
 @query("k3_js_divergence", with_sql(f"SELECT feature, round(score, 6) AS score, {_status()} FROM ({JS_QTY})", qty=QTY))
 def k3(spark: SparkSession, sf: str) -> DataFrame:
-    small, large = by_quantity(spark, sf)
-    return rounded(drift.js_divergence(small, large, ["band", "l_returnflag"]))
+    return rounded(drift.js_divergence(by_quantity(spark, sf), ["band", "l_returnflag"]))
 
 
 REPORT = f"""SELECT feature, 'numerical' AS type, 'KS' AS metric, round(score, 6) AS score, round(p_value, 6) AS p_value,
@@ -101,8 +97,7 @@ REPORT = f"""SELECT feature, 'numerical' AS type, 'KS' AS metric, round(score, 6
 
 
 def drift_report(spark: SparkSession, sf: str) -> DataFrame:
-    small, large = by_quantity(spark, sf)
-    return drift.data_drift_report(small, large, ["value", "l_discount"], ["band", "l_returnflag"])
+    return drift.data_drift_report(by_quantity(spark, sf), ["value", "l_discount"], ["band", "l_returnflag"])
 
 
 query("k4_data_drift_report", with_sql(REPORT, qty=QTY))(drift_report)
@@ -116,9 +111,8 @@ PRED = f"""pk AS ({with_p(ks_sql('prediction', 'docs', 'prediction'))}), bk AS (
 
 
 def _prediction_drift(spark: SparkSession, sf: str) -> DataFrame:
-    rows = scored(spark, sf)
-    base = F.col("source").isin("src0", "src1")
-    return drift.prediction_drift(rows.where(base), rows.where(~base), "prediction", "probability")
+    both = drift.one_table(scored(spark, sf), F.col("source").isin("src0", "src1"))
+    return drift.prediction_drift(both, "prediction", "probability")
 
 
 @query(
@@ -137,9 +131,8 @@ CONCEPT = side_sql("sides", "side", "baseline", "evolved", ("baseline", "evolved
 
 
 def _concept_drift(spark: SparkSession, sf: str) -> DataFrame:
-    rows = scored(spark, sf)
-    english = F.col("lang") == "en"
-    return drift.concept_drift(rows.where(english), rows.where(~english), "y", "prediction", "probability")
+    both = drift.one_table(scored(spark, sf), F.col("lang") == "en")
+    return drift.concept_drift(both, "y", "prediction", "probability")
 
 
 @query("k6_concept_drift", CONCEPT)

@@ -25,6 +25,7 @@ from modelwatch.catalog.proxies import (
 )
 from modelwatch.catalog.registry import query
 from modelwatch.operators import checks, membership, metrics, profile
+from modelwatch.operators.ordered import running_totals
 from modelwatch.operators.training import fit_model, logistic_regression, score
 from modelwatch.schema import ColumnRule, TableSpec
 from modelwatch.session import scratch_path
@@ -71,17 +72,15 @@ YEARLY = """SELECT 'v' || CAST(y AS VARCHAR) AS dataset_version, n AS new_rows,
 def yearly_ledger(spark: SparkSession, sf: str) -> DataFrame:
     """A ledger with one batch per order year."""
     years = table(spark, sf, "orders").groupBy(F.year("o_orderdate").alias("y")).agg(F.count(F.lit(1)).alias("n"))
-    # One row per calendar year, so the self join is tiny.
-    past = years.select(F.col("y").alias("py"), F.col("n").alias("pn"))
-    total = years.join(past, F.col("py") <= F.col("y")).groupBy("y", "n").agg(F.sum("pn").alias("c"))
+    total = running_totals(years, "y", ["n"])
     return total.select(
         F.concat(F.lit("v"), F.col("y").cast("string")).alias("dataset_version"),
         F.lit("archive").alias("archive_file"),
         F.lit("orders").alias("source_file"),
         F.sha2(F.col("y").cast("string"), 256).alias("new_data_hash"),
-        (F.col("c") - F.col("n")).alias("previous_rows"),
+        (F.col("cum_n") - F.col("n")).alias("previous_rows"),
         F.col("n").alias("new_rows"),
-        F.col("c").alias("current_rows"),
+        F.col("cum_n").alias("current_rows"),
         F.lit(None).cast("timestamp").alias("timestamp"),
     )
 
@@ -140,8 +139,8 @@ def a7(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "a7")
     orders = table(spark, sf, "orders")
     old, new = orders.where("o_orderkey % 4 <> 0"), orders.where("o_orderkey % 4 = 0")
-    snapshots.publish_snapshot(old, root, 1)
-    snapshots.publish_snapshot(membership.append_batch(old, new), root, 2)
+    snapshots.publish_batch(old, root, 1)
+    snapshots.publish_batch(new, root, 2)
     before = snapshots.read_current(spark, root)
     record = spark.createDataFrame([("v02",)], "dataset_version string")
     snapshots.append_lineage(record, root)

@@ -27,7 +27,7 @@ from modelwatch.catalog.proxies import (
 )
 from modelwatch.catalog.registry import query
 from modelwatch.functions import scalars as S
-from modelwatch.operators import membership, metrics, ordered, profile, sampling
+from modelwatch.operators import drift, membership, metrics, ordered, profile, sampling
 from modelwatch.plans import lifecycle
 from modelwatch.sources.fingerprint import row_digest
 
@@ -228,10 +228,9 @@ def d5(spark: SparkSession, sf: str) -> DataFrame:
  WHERE c_acctbal < 0 OR c_nationkey < 3 GROUP BY 2""",
 )
 def d6(spark: SparkSession, sf: str) -> DataFrame:
-    from modelwatch.operators.drift import category_counts
-
-    who = table(spark, sf, "customer")
-    return category_counts(who.where("c_acctbal < 0"), who.where("c_acctbal >= 0 and c_nationkey < 3"), ["c_mktsegment"])
+    who = table(spark, sf, "customer").select("c_mktsegment", "c_acctbal", "c_nationkey")
+    both = drift.two_tables(who.where("c_acctbal < 0"), who.where("c_acctbal >= 0 and c_nationkey < 3"))
+    return drift.category_counts(both, ["c_mktsegment"])
 
 
 @query(
@@ -445,8 +444,7 @@ def e16(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def e17(spark: SparkSession, sf: str) -> DataFrame:
-    early, late = shipped(spark, sf)
-    return rounded(profile.mean_shift(early, late, ["l_quantity", "l_extendedprice"]))
+    return rounded(profile.mean_shift(shipped(spark, sf), ["l_quantity", "l_extendedprice"]))
 
 
 @query(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,15 +16,6 @@ from modelwatch.schema import ColumnRule, TableSpec
 FAILURE = "struct<schema_context:string,column:string,check:string,failure_case:string>"
 
 
-def _failure(rule: ColumnRule, check: str) -> Column:
-    return F.struct(
-        F.lit("Column").alias("schema_context"),
-        F.lit(rule.name).alias("column"),
-        F.lit(check).alias("check"),
-        F.col(rule.name).cast("string").alias("failure_case"),
-    )
-
-
 def _number(value: Column, declared: str | None) -> Column:
     """The value as a double, however it was landed."""
     if declared in ("string", None):
@@ -32,8 +24,8 @@ def _number(value: Column, declared: str | None) -> Column:
     return value.cast("double")
 
 
-def rule_failures(rule: ColumnRule, declared: str | None = "string") -> list[Column]:
-    """One entry per check of the rule: the failure, or NULL where the value passes.
+def rule_checks(rule: ColumnRule, declared: str | None = "string") -> list[tuple[str, Column]]:
+    """(check name, is it broken) for every check of the rule.
 
     A missing value fails only the null check; a value of the wrong type fails the
     type check, and the checks that need that type do not apply to it.
@@ -59,7 +51,7 @@ def rule_failures(rule: ColumnRule, declared: str | None = "string") -> list[Col
         checks.append((f"ge({rule.lo:g})", number < rule.lo))
     if rule.hi is not None:
         checks.append((f"le({rule.hi:g})", number > rule.hi))
-    return [F.when(broken, _failure(rule, name)) for name, broken in checks]
+    return [(name, F.coalesce(broken, F.lit(False))) for name, broken in checks]
 
 
 def column_failures(columns: Sequence[str], spec: TableSpec) -> list[tuple[str, str, str, str]]:
@@ -74,11 +66,31 @@ def _present_rules(df: DataFrame, spec: TableSpec) -> list[ColumnRule]:
     return [r for r in spec.rules if r.name in df.columns]
 
 
-def with_failures(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Add ``failures``: the array of checks each row breaks."""
+def _all_checks(df: DataFrame, spec: TableSpec) -> list[tuple[str, str, Column]]:
     types = dict(df.dtypes)
-    found = [f for r in _present_rules(df, spec) for f in rule_failures(r, types[r.name])]
-    return df.withColumn("failures", F.array_compact(F.array(*found)).cast(f"array<{FAILURE}>"))
+    return [(r.name, check, broken) for r in _present_rules(df, spec) for check, broken in rule_checks(r, types[r.name])]
+
+
+def any_failure(df: DataFrame, spec: TableSpec) -> Column:
+    """Does the row break any check? A plain predicate: clean rows cost nothing more."""
+    return reduce(lambda a, b: a | b, [broken for _, _, broken in _all_checks(df, spec)], F.lit(False))
+
+
+def failure_list(df: DataFrame, spec: TableSpec) -> Column:
+    """The array of checks a row breaks."""
+    found = [
+        F.when(
+            broken,
+            F.struct(
+                F.lit("Column").alias("schema_context"),
+                F.lit(column).alias("column"),
+                F.lit(check).alias("check"),
+                F.col(column).cast("string").alias("failure_case"),
+            ),
+        )
+        for column, check, broken in _all_checks(df, spec)
+    ]
+    return F.array_compact(F.array(*found)).cast(f"array<{FAILURE}>")
 
 
 def validate(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -88,9 +100,8 @@ def validate(df: DataFrame, spec: TableSpec) -> DataFrame:
     """
     key = F.col(spec.key).cast("string") if spec.key in df.columns else F.lit(None).cast("string")
     rows = (
-        with_failures(df, spec)
-        .where(F.size("failures") > 0)
-        .select(key.alias("key"), F.explode("failures").alias("f"))
+        df.where(any_failure(df, spec))
+        .select(key.alias("key"), F.explode(failure_list(df, spec)).alias("f"))
         .select("key", "f.*")
     )
     absent = column_failures(df.columns, spec)
@@ -104,10 +115,12 @@ def validate(df: DataFrame, spec: TableSpec) -> DataFrame:
 def verdict(df: DataFrame, spec: TableSpec) -> DataFrame:
     """One row: rows checked, rows and checks failed, column failures, PASS or FAIL."""
     absent = len(column_failures(df.columns, spec))
-    counted = with_failures(df, spec).agg(
+    broken = [b.cast("int") for _, _, b in _all_checks(df, spec)]
+    per_row = df.select(reduce(lambda a, b: a + b, broken, F.lit(0)).alias("n"))
+    counted = per_row.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(F.size("failures")), F.lit(0)).cast("bigint").alias("failures"),
-        F.count_if(F.size("failures") > 0).alias("failed_rows"),
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("failures"),
+        F.count_if(F.col("n") > 0).alias("failed_rows"),
     )
     return counted.select(
         "rows",
@@ -193,28 +206,35 @@ MESSAGES = {
 }
 
 
-def with_errors(df: DataFrame, spec: TableSpec, path: Column | None = None) -> DataFrame:
-    """Add ``errors``: array of (field path, message), all of them per record."""
-    checked = with_failures(df, spec)
+def _missing_columns(df: DataFrame, spec: TableSpec) -> list[str]:
+    return [c for c in spec.columns if c not in df.columns]
+
+
+def error_list(df: DataFrame, spec: TableSpec, path: Column | None = None) -> Column:
+    """Array of (field path, message): every error of the record."""
     texts = F.create_map(*[F.lit(x) for item in MESSAGES.items() for x in item])
 
     def as_error(f: Column) -> Column:
         field = f["column"] if path is None else F.concat_ws(".", path, f["column"])
         return F.struct(field.alias("field"), F.coalesce(F.try_element_at(texts, f["check"]), f["check"]).alias("message"))
 
-    missing = [c for c in spec.columns if c not in df.columns]
-    errors = F.transform("failures", as_error)
+    errors = F.transform(failure_list(df, spec), as_error)
+    missing = _missing_columns(df, spec)
     if missing:
         where = [F.lit(c) if path is None else F.concat_ws(".", path, F.lit(c)) for c in missing]
         always = F.array(*[F.struct(w.alias("field"), F.lit("field required").alias("message")) for w in where])
         errors = F.concat(always, errors)
-    return checked.withColumn("errors", errors).drop("failures")
+    return errors
+
+
+def with_errors(df: DataFrame, spec: TableSpec, path: Column | None = None) -> DataFrame:
+    return df.withColumn("errors", error_list(df, spec, path))
 
 
 def quarantine(df: DataFrame, spec: TableSpec, path: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """(good rows, bad rows with their errors)."""
-    checked = with_errors(df, spec, path)
-    return checked.where(F.size("errors") == 0).drop("errors"), checked.where(F.size("errors") > 0)
+    bad = any_failure(df, spec) | F.lit(bool(_missing_columns(df, spec)))
+    return df.where(~bad), with_errors(df.where(bad), spec, path)
 
 
 def request_path(index: str) -> Column:
@@ -230,9 +250,9 @@ def batch_errors(df: DataFrame, spec: TableSpec, batch: str, index: str) -> Data
 
 def batch_verdicts(batches: DataFrame, df: DataFrame, spec: TableSpec, batch: str, index: str) -> DataFrame:
     """One row per announced batch. One bad record rejects the batch; so does having none."""
-    checked = with_errors(df, spec, request_path(index)).select(
-        batch, F.lit(1).alias("record"), F.size("errors").alias("n_errors")
-    )
+    broken = [b.cast("int") for _, _, b in _all_checks(df, spec)]
+    n_errors = reduce(lambda a, b: a + b, broken, F.lit(len(_missing_columns(df, spec))))
+    checked = df.select(batch, F.lit(1).alias("record"), n_errors.alias("n_errors"))
     announced = batches.select(batch, F.lit(0).alias("record"), F.lit(0).alias("n_errors"))
     totals = (
         announced.unionByName(checked)

@@ -1,4 +1,9 @@
-"""Distribution drift between a baseline and a current table."""
+"""Distribution drift between a baseline and a current side.
+
+All operators take one table whose ``is_baseline`` column (1 or 0) marks the
+side: ``two_tables`` stacks two frames, ``one_table`` marks the rows of one and
+so needs a single scan.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from modelwatch.operators.metrics import evaluate, side_by_side, stack
+from modelwatch.operators.metrics import evaluate, side_by_side
 from modelwatch.operators.ordered import Cuts, block_cuts, long_numeric, running_totals, with_names
 
 KS_THRESHOLD = 0.10
@@ -15,8 +20,16 @@ JS_THRESHOLD = 0.10
 SERIES_TERMS = 100
 
 
-def _tagged(baseline: DataFrame, current: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return baseline.select(F.lit(1).alias("_base"), *cols).unionByName(current.select(F.lit(0).alias("_base"), *cols))
+SIDE = "is_baseline"
+
+
+def two_tables(baseline: DataFrame, current: DataFrame) -> DataFrame:
+    return baseline.select("*", F.lit(1).alias(SIDE)).unionByName(current.select("*", F.lit(0).alias(SIDE)))
+
+
+def one_table(df: DataFrame, baseline: Column) -> DataFrame:
+    """A row without a verdict belongs to the current side."""
+    return df.withColumn(SIDE, F.coalesce(baseline, F.lit(False)).cast("int"))
 
 
 def _status(score: Column, threshold: float) -> Column:
@@ -39,8 +52,7 @@ def ks_p_value(d: Column, n1: Column, n2: Column) -> Column:
 
 
 def ks_statistic(
-    baseline: DataFrame,
-    current: DataFrame,
+    both: DataFrame,
     cols: Sequence[str],
     threshold: float = KS_THRESHOLD,
     cuts: Cuts | None = None,
@@ -51,15 +63,14 @@ def ks_statistic(
     sides, largest gap between the two empirical distributions. A side without
     values gives a NULL score.
     """
-    both = _tagged(baseline, current, cols)
     if cuts is None:
         cuts = block_cuts(both, cols)
-    tall = long_numeric(both, cols, ["_base"], cuts)
+    tall = long_numeric(both, cols, [SIDE], cuts)
     per_value = (
-        tall.groupBy(*[c for c in tall.columns if c != "_base"])
+        tall.groupBy(*[c for c in tall.columns if c != SIDE])
         .agg(
-            F.sum("_base").cast("bigint").alias("base"),
-            F.sum(1 - F.col("_base")).cast("bigint").alias("cur"),
+            F.sum(SIDE).cast("bigint").alias("base"),
+            F.sum(1 - F.col(SIDE)).cast("bigint").alias("cur"),
         )
     )
     run = running_totals(per_value, "value", ["base", "cur"], ["column"])
@@ -79,13 +90,12 @@ def ks_statistic(
     )
 
 
-def category_counts(baseline: DataFrame, current: DataFrame, cols: Sequence[str]) -> DataFrame:
+def category_counts(both: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Counts of both sides per (feature, category): the union of categories, absent ones 0."""
-    both = _tagged(baseline, current, cols)
-    slim = both.select("_base", *[F.col(c).cast("string").alias(c) for c in cols])
-    tall = slim.unpivot(["_base"], list(cols), "feature", "category").where(F.col("category").isNotNull())
+    slim = both.select(SIDE, *[F.col(c).cast("string").alias(c) for c in cols])
+    tall = slim.unpivot([SIDE], list(cols), "feature", "category").where(F.col("category").isNotNull())
     return tall.groupBy("feature", "category").agg(
-        F.sum("_base").cast("bigint").alias("base"), F.sum(1 - F.col("_base")).cast("bigint").alias("cur")
+        F.sum(SIDE).cast("bigint").alias("base"), F.sum(1 - F.col(SIDE)).cast("bigint").alias("cur")
     )
 
 
@@ -132,23 +142,20 @@ def js_against_baseline(counts: DataFrame, shares: DataFrame, by: Sequence[str])
     )
 
 
-def js_divergence(
-    baseline: DataFrame, current: DataFrame, cols: Sequence[str], threshold: float = JS_THRESHOLD
-) -> DataFrame:
-    scores = js_from_counts(category_counts(baseline, current, cols), ["feature"])
+def js_divergence(both: DataFrame, cols: Sequence[str], threshold: float = JS_THRESHOLD) -> DataFrame:
+    scores = js_from_counts(category_counts(both, cols), ["feature"])
     return scores.select("feature", "score", _status(F.col("score"), threshold).alias("status"))
 
 
 def data_drift_report(
-    baseline: DataFrame,
-    current: DataFrame,
+    both: DataFrame,
     numeric: Sequence[str],
     categorical: Sequence[str],
     ks_threshold: float = KS_THRESHOLD,
     js_threshold: float = JS_THRESHOLD,
 ) -> DataFrame:
     """feature, type, metric, score, p_value, threshold, status; scores to 6 places."""
-    ks = ks_statistic(baseline, current, numeric, ks_threshold).select(
+    ks = ks_statistic(both, numeric, ks_threshold).select(
         "feature",
         F.lit("numerical").alias("type"),
         F.lit("KS").alias("metric"),
@@ -157,7 +164,7 @@ def data_drift_report(
         F.lit(ks_threshold).alias("threshold"),
         "status",
     )
-    js = js_divergence(baseline, current, categorical, js_threshold).select(
+    js = js_divergence(both, categorical, js_threshold).select(
         "feature",
         F.lit("categorical").alias("type"),
         F.lit("JS").alias("metric"),
@@ -170,10 +177,10 @@ def data_drift_report(
 
 
 def prediction_drift(
-    baseline: DataFrame, current: DataFrame, prediction: str, probability: str, threshold: float = KS_THRESHOLD
+    both: DataFrame, prediction: str, probability: str, threshold: float = KS_THRESHOLD
 ) -> DataFrame:
     """One row: KS, p-value and status of the predicted classes and of the probabilities."""
-    ks = ks_statistic(baseline, current, [prediction, probability], threshold)
+    ks = ks_statistic(both, [prediction, probability], threshold)
 
     def pick(column: str, out: str, feature: str) -> Column:
         return F.max(F.when(F.col("feature") == feature, F.col(column))).alias(out)
@@ -187,14 +194,11 @@ def prediction_drift(
     )
 
 
-def concept_drift(
-    baseline: DataFrame, current: DataFrame, label: str, prediction: str, probability: str
-) -> DataFrame:
-    """metric, baseline, evolved, change for the five metrics on two labelled, scored tables."""
-    cols = [label, prediction, probability]
-    both = stack({"baseline": baseline.select(*cols), "evolved": current.select(*cols)}, "dataset")
-    evaluated = evaluate(both, label, prediction, probability, ["dataset"])
-    return side_by_side(evaluated, "dataset", "baseline", "evolved", ("baseline", "evolved"), "change")
+def concept_drift(both: DataFrame, label: str, prediction: str, probability: str) -> DataFrame:
+    """metric, baseline, evolved, change for the five metrics on two labelled, scored sides."""
+    evaluated = evaluate(both, label, prediction, probability, [SIDE])
+    named = evaluated.withColumn("dataset", F.when(F.col(SIDE) == 1, "baseline").otherwise("evolved"))
+    return side_by_side(named, "dataset", "baseline", "evolved", ("baseline", "evolved"), "change")
 
 
 def _listed(report: DataFrame, name: str, keep: Column) -> Column:

@@ -18,15 +18,17 @@ def _tagged(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
+def _ids(df: DataFrame, key: str) -> DataFrame:
+    return df.select(F.col(key).cast("string").alias("id"))
+
+
 def identity_report(new: DataFrame, current: DataFrame, key: str) -> DataFrame:
     """One row: row counts, ids repeated in either side, ids in both, and the verdict.
 
     A single shuffle of (id, counts) that were already combined per task, so a
     repeated id costs one row per task. Ids are compared as text.
     """
-    ids = _tagged(
-        new.select(F.col(key).cast("string").alias("id")), current.select(F.col(key).cast("string").alias("id")), ["id"]
-    )
+    ids = _tagged(_ids(new, key), _ids(current, key), ["id"])
     per_id = ids.groupBy("id").agg(F.sum("_a").alias("a"), F.sum("_b").alias("b"))
     counts = per_id.agg(
         F.coalesce(F.sum("a"), F.lit(0)).cast("bigint").alias("new_rows"),
@@ -52,6 +54,24 @@ def require_identity(new: DataFrame, current: DataFrame, key: str) -> dict:
     return row.asDict()
 
 
+def require_new_ids(new: DataFrame, current: DataFrame, key: str) -> int:
+    """Rows of the batch, or an error. For a current table whose own ids were checked when it grew.
+
+    Only the ids of the batch meet the current table, so a small batch is a
+    broadcast filter over one column of it.
+    """
+    counts = _ids(new, key).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    sizes = counts.agg(F.sum("n").alias("rows"), F.count_if(F.col("n") > 1).alias("repeated")).first()
+    if not sizes["rows"]:
+        raise ValueError("new batch is empty")
+    if sizes["repeated"]:
+        raise ValueError(f"ids repeated in the new batch ({sizes['repeated']})")
+    overlap = _ids(current, key).join(counts.select("id"), "id", "left_semi").agg(F.count_distinct("id")).first()[0]
+    if overlap:
+        raise ValueError(f"ids already present ({overlap})")
+    return sizes["rows"]
+
+
 def row_overlap(new: DataFrame, holdout: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row: how many new rows equal some holdout row in all ``cols`` (NULL equals NULL).
 
@@ -85,7 +105,7 @@ def append_batch(current: DataFrame, batch: DataFrame) -> DataFrame:
 
 def already_seen(batch_prints: DataFrame, lineage: DataFrame) -> DataFrame:
     """Fingerprints that are in the ledger."""
-    known = lineage.select(F.col("new_data_hash").alias("fingerprint"))
+    known = lineage.select(F.col("new_data_hash").alias("fingerprint")).distinct()
     return batch_prints.join(known, "fingerprint", "left_semi")
 
 

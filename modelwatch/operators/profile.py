@@ -193,13 +193,11 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
     )
 
 
-def mean_shift(baseline: DataFrame, incoming: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Mean of each column in both tables and the difference."""
-    tagged = baseline.select(F.lit(0).alias("side"), *cols).unionByName(incoming.select(F.lit(1).alias("side"), *cols))
-    tall = long_numeric(tagged, cols, ["side"])
-    means = tall.groupBy("column").agg(
-        F.avg(F.when(F.col("side") == 0, F.col("value"))).alias("baseline_mean"),
-        F.avg(F.when(F.col("side") == 1, F.col("value"))).alias("incoming_mean"),
+def mean_shift(both: DataFrame, cols: Sequence[str], side: str = "is_baseline") -> DataFrame:
+    """Mean of each column on both sides (marked 1 and 0) and the difference."""
+    means = long_numeric(both, cols, [side]).groupBy("column").agg(
+        F.avg(F.when(F.col(side) == 1, F.col("value"))).alias("baseline_mean"),
+        F.avg(F.when(F.col(side) == 0, F.col("value"))).alias("incoming_mean"),
     )
     return with_names(means, cols).withColumn("shift", F.col("incoming_mean") - F.col("baseline_mean"))
 

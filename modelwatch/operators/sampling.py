@@ -18,6 +18,7 @@ from pyspark.sql import Window as W
 from modelwatch.operators.ordered import exact_quantiles
 
 MAX_STRATA = 1000
+BROADCAST_DRAWS = 500_000
 PREFIX = 4
 
 
@@ -183,7 +184,10 @@ def sample_with_replacement(df: DataFrame, key: str, n: int, seed: int = 42) ->
     draws = df.sparkSession.range(n).select(
         F.col("id").alias("draw"), F.pmod(word.cast("bigint"), size).alias("rank")
     )
-    hits = draws.join(ranked.select("_k", "rank"), "rank").select("draw", "_k")
+    bounded = n <= BROADCAST_DRAWS
+    hits = (F.broadcast(draws) if bounded else draws).join(ranked.select("_k", "rank"), "rank").select("draw", "_k")
+    if bounded:
+        hits = F.broadcast(hits)
     return df.join(hits, F.col(key).cast("string") == F.col("_k")).drop("_k")
 
 

@@ -9,15 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from modelwatch.operators.checks import require_schema
-from modelwatch.operators.membership import append_batch, require_identity
+from modelwatch.operators.membership import require_identity, require_new_ids
 from modelwatch.schema import TableSpec
 from modelwatch.sources.fingerprint import table_fingerprint
 from modelwatch.sources.snapshots import (
     append_lineage,
-    committed_version,
-    publish_snapshot,
-    read_current,
+    last_commit,
+    publish_batch,
     read_ledger,
+    read_version,
     snapshot_path,
 )
 
@@ -36,7 +36,7 @@ REPORT = T.StructType(
 
 def start_table(df: DataFrame, root: str) -> str:
     """Version 1, which needs no lineage row."""
-    return publish_snapshot(df, root, 1)
+    return publish_batch(df, root, 1)
 
 
 def _report(spark: SparkSession, status: str, **fields) -> DataFrame:
@@ -72,37 +72,41 @@ def ingest(
     """Take one batch in, exactly once; returns a one-row report.
 
     Fingerprint first: a known batch ends here. Then schema, identity against the
-    current table, a new snapshot, and last the ledger row that makes the snapshot
-    visible. A crash before that row leaves nothing to undo.
+    current table, the batch's own folder, and last the ledger row that makes it
+    visible. A crash before that row leaves nothing to undo. The first batch
+    checks the ids of the whole table; later ones only their own ids against it.
     """
+    last = last_commit(spark, root)
+    old = int(last["dataset_version"][1:]) if last else 1
+    current = read_version(spark, root, old)
     if batch is None:
-        return _report(spark, "no_new_data", current_rows=read_current(spark, root).count())
+        return _report(spark, "no_new_data", current_rows=last["current_rows"] if last else current.count())
     cols = list(columns or batch.columns)
-    landed = batch.select(*cols) if spec is None else batch
     stamp = table_fingerprint(batch.select(*cols)).first()
-    ledger = read_ledger(spark, root)
-    current = read_current(spark, root)
-    if not ledger.where(F.col("new_data_hash") == stamp["fingerprint"]).isEmpty():
+    if not read_ledger(spark, root).where(F.col("new_data_hash") == stamp["fingerprint"]).isEmpty():
         return _report(
             spark,
             "already_ingested",
             new_data_hash=stamp["fingerprint"],
             new_rows=stamp["rows"],
-            current_rows=current.count(),
+            current_rows=last["current_rows"],
         )
     if spec is not None:
-        require_schema(landed, spec)
-    sizes = require_identity(batch, current, key)
-    old = committed_version(spark, root)
-    publish_snapshot(append_batch(current, batch.select(*current.columns)), root, old + 1)
+        require_schema(batch, spec)
+    if last:
+        previous, new = last["current_rows"], require_new_ids(batch, current, key)
+    else:
+        sizes = require_identity(batch, current, key)
+        previous, new = sizes["current_rows"], sizes["new_rows"]
+    publish_batch(batch.select(*current.columns), root, old + 1)
     record = lineage_record(
         spark,
         version=old + 1,
         archive=snapshot_path(root, old),
         source=source,
         fingerprint=stamp["fingerprint"],
-        previous=sizes["current_rows"],
-        new=sizes["new_rows"],
+        previous=previous,
+        new=new,
     )
     append_lineage(record, root)
     return _report(
@@ -110,9 +114,9 @@ def ingest(
         "ingested",
         dataset_version=f"v{old + 1:02d}",
         new_data_hash=stamp["fingerprint"],
-        previous_rows=sizes["current_rows"],
-        new_rows=sizes["new_rows"],
-        current_rows=sizes["current_rows"] + sizes["new_rows"],
+        previous_rows=previous,
+        new_rows=new,
+        current_rows=previous + new,
     )
 
 

@@ -83,7 +83,7 @@ def test_ks_equals_brute_force(spark, cuts):
     b = np.concatenate([rng.normal(0.3, 1, size=150), np.full(20, 0.5)])
     mine = spark.createDataFrame([(float(x),) for x in a] + [(None,), (float("nan"),)], "v double")
     other = spark.createDataFrame([(float(x),) for x in b], "v double")
-    row = drift.ks_statistic(mine, other, ["v"], cuts=cuts).first()
+    row = drift.ks_statistic(drift.two_tables(mine, other), ["v"], cuts=cuts).first()
     assert math.isclose(row["score"], brute_ks(a, b), abs_tol=1e-12)
     assert (row["n_baseline"], row["n_current"]) == (300, 170)
     x = math.sqrt(300 * 170 / 470) * row["score"]
@@ -94,7 +94,7 @@ def test_ks_equals_brute_force(spark, cuts):
 
 def test_equal_samples_do_not_drift(spark):
     df = spark.range(50).select(F.col("id").cast("double").alias("v"), (F.col("id") % 3).cast("string").alias("c"))
-    rows = drift.data_drift_report(df, df, ["v"], ["c"]).collect()
+    rows = drift.data_drift_report(drift.two_tables(df, df), ["v"], ["c"]).collect()
     assert {(r["feature"], r["score"], r["status"]) for r in rows} == {("v", 0.0, "OK"), ("c", 0.0, "OK")}
     assert [r["p_value"] for r in rows if r["feature"] == "v"] == [1.0]
 
@@ -102,15 +102,15 @@ def test_equal_samples_do_not_drift(spark):
 def test_js_with_disjoint_categories_is_one(spark):
     a = spark.createDataFrame([("x",), ("y",), (None,)], "c string")
     b = spark.createDataFrame([("z",)], "c string")
-    row = drift.js_divergence(a, b, ["c"]).first()
+    row = drift.js_divergence(drift.two_tables(a, b), ["c"]).first()
     assert math.isclose(row["score"], 1.0) and row["status"] == "DRIFT"
 
 
 def test_empty_side_gives_null(spark):
     a = spark.createDataFrame([("x", 1.0)], "c string, v double")
     empty = a.where("v > 5")
-    assert drift.js_divergence(a, empty, ["c"]).first()["score"] is None
-    assert drift.ks_statistic(a, empty, ["v"]).first()["score"] is None
+    assert drift.js_divergence(drift.two_tables(a, empty), ["c"]).first()["score"] is None
+    assert drift.ks_statistic(drift.two_tables(a, empty), ["v"]).first()["score"] is None
 
 
 def test_concept_drift_tolerance(spark):
