@@ -121,15 +121,16 @@ def vectors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """(training rows, all rows)."""
     df = vectors(spark, sf)
-    return df.where("split = 'train'"), df.where("split = 'test'")
+    return df.where("split = 'train'"), df
 
 
 def _trained(learner):
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        train, test = _sides(spark, sf)
+        train, everything = _sides(spark, sf)
         model = training.fit_model(train, "id", "y", None, learner())
-        return training.score(model, test).select("id", "y", "prediction", "churn_probability")
+        return training.score(model, everything).select("id", "split", "y", "prediction", "churn_probability")
 
     return run
 
@@ -241,14 +242,14 @@ def i17(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(per_model.select("model", "recall").orderBy(F.col("recall").desc(), "model").limit(1))
 
 
-@query("i18_reproducible_fit", with_sql("SELECT count(*) AS n, CAST(0 AS BIGINT) AS different FROM enc WHERE split = 'test'", enc=ENC))
+@query("i18_reproducible_fit", with_sql("SELECT count(*) AS n, CAST(0 AS BIGINT) AS different FROM enc", enc=ENC))
 def i18(spark: SparkSession, sf: str) -> DataFrame:
-    """Two fits from different input layouts agree on every test row."""
-    train, test = _sides(spark, sf)
+    """Two fits from different input layouts agree on every row."""
+    train, everything = _sides(spark, sf)
     a = training.fit_model(train, "id", "y", None, training.random_forest("y", trees=10, depth=5))
     b = training.fit_model(train.repartition(7), "id", "y", None, training.random_forest("y", trees=10, depth=5))
-    left = training.score(a, test).select("id", F.col("churn_probability").alias("a"))
-    right = training.score(b, test).select("id", F.col("churn_probability").alias("b"))
+    left = training.score(a, everything).select("id", F.col("churn_probability").alias("a"))
+    right = training.score(b, everything).select("id", F.col("churn_probability").alias("b"))
     return left.join(right, "id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("a") != F.col("b")).alias("different"))
 
 
@@ -256,19 +257,19 @@ def i18(spark: SparkSession, sf: str) -> DataFrame:
 def i19(spark: SparkSession, sf: str) -> DataFrame:
     rows = customers(spark, sf)
     holdout, train = rows.where("id % 5 = 0"), rows.where("id % 5 <> 0")
-    batch = sampling.sample_rows(train, "id", 200, 13)
-    _, evaluated = prepare.retrain(train, batch, holdout, "id", "y", _encoder(), training.decision_tree("y"))
+    original, batch = train.where("senior = 0"), train.where("senior = 1")
+    _, evaluated = prepare.retrain(original, batch, holdout, "id", "y", _encoder(), training.decision_tree("y"))
     return evaluated
 
 
-@query("i20_batch_scoring", with_sql("SELECT id, contract FROM cust WHERE id % 5 = 0", cust=CUST))
+@query("i20_batch_scoring", with_sql("SELECT id, contract FROM cust", cust=CUST))
 def i20(spark: SparkSession, sf: str) -> DataFrame:
     """Raw columns stay with their scores; every row is scored."""
     rows = customers(spark, sf)
     model = training.fit_model(
         rows.where("id % 5 <> 0"), "id", "y", _encoder(), training.logistic_regression("y", 1000, max_iter=10, weighted=True)
     )
-    out = training.score(model, rows.where("id % 5 = 0"))
+    out = training.score(model, rows)
     return out.where("churn_probability between 0 and 1 and prediction in (0, 1)").select("id", "contract")
 
 
