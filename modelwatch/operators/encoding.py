@@ -87,6 +87,9 @@ class FeatureEncoder(Estimator, _EncoderParams, DefaultParamsReadable, DefaultPa
         self._setDefault(numericCols=[], categoricalCols=[], ordinalCols=[], outputCol="features", state="")
         self._set(**self._input_kwargs)
 
+    def input_columns(self) -> list[str]:
+        return [c for p in (self.numericCols, self.categoricalCols, self.ordinalCols) for c in self.getOrDefault(p)]
+
     def _fit(self, dataset: DataFrame) -> "FeatureEncoderModel":
         numeric = self.getOrDefault(self.numericCols)
         coded = self.getOrDefault(self.categoricalCols) + self.getOrDefault(self.ordinalCols)

@@ -9,6 +9,7 @@ full data is never shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -56,9 +57,12 @@ def _keyed(df: DataFrame, key: str, seed: int, by: str | None) -> DataFrame:
     return keyed.withColumn("bucket", F.substring("h", 1, PREFIX))
 
 
-def _placed(keyed: DataFrame) -> DataFrame:
+def _bucket_rows(keyed: DataFrame) -> DataFrame:
+    return keyed.groupBy("stratum", "bucket").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _placed(counts: DataFrame) -> DataFrame:
     """Rows per (stratum, bucket) with the number of rows before and in the stratum."""
-    counts = keyed.groupBy("stratum", "bucket").agg(F.count(F.lit(1)).alias("rows"))
     run = W.partitionBy("stratum").orderBy("bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
     return counts.select(
         "*",
@@ -67,10 +71,17 @@ def _placed(keyed: DataFrame) -> DataFrame:
     )
 
 
-def hash_cut(df: DataFrame, key: str, quota: DataFrame, seed: int, by: str | None = None) -> HashCut:
-    """Cut that takes ``quota`` rows per stratum. ``quota``: (stratum, quota)."""
+def hash_cut(
+    df: DataFrame, key: str, quota: Callable[[DataFrame], DataFrame], seed: int, by: str | None = None
+) -> HashCut:
+    """Cut that takes a quota of rows per stratum.
+
+    ``quota`` turns stratum sizes (stratum, n) into (stratum, quota).
+    """
     keyed = _keyed(df, key, seed, by)
-    placed = _placed(keyed).join(quota.select("stratum", F.col("quota").alias("_q")), "stratum")
+    counts = _bucket_rows(keyed)
+    sizes = counts.groupBy("stratum").agg(F.sum("rows").alias("n"))
+    placed = _placed(counts).join(quota(sizes).select("stratum", F.col("quota").alias("_q")), "stratum")
     placed = placed.withColumn("quota", F.least("_q", "n"))
     ends_here = (F.col("start") < F.col("quota")) & (F.col("quota") <= F.col("start") + F.col("rows"))
     edges = (
@@ -93,11 +104,6 @@ def hash_cut(df: DataFrame, key: str, quota: DataFrame, seed: int, by: str | Non
     return HashCut(key, seed, by, {r["stratum"]: (r["h"], r["k"]) for r in rows})
 
 
-def stratum_sizes(df: DataFrame, key: str, by: str | None) -> DataFrame:
-    stratum = F.coalesce(F.col(by).cast("string"), F.lit("")) if by else F.lit("")
-    return df.where(F.col(key).isNotNull()).groupBy(stratum.alias("stratum")).agg(F.count(F.lit(1)).alias("n"))
-
-
 def largest_remainder(sizes: DataFrame, fraction: float) -> DataFrame:
     """ceil(fraction * total) places shared out over the strata by largest remainder.
 
@@ -116,26 +122,23 @@ def largest_remainder(sizes: DataFrame, fraction: float) -> DataFrame:
 
 def stratified_split(df: DataFrame, key: str, label: str, fraction: float = 0.2, seed: int = 42) -> DataFrame:
     """Add ``split``: exactly ceil(fraction * n) rows are 'test', proportionally per class."""
-    quota = largest_remainder(stratum_sizes(df, key, label), fraction)
-    cut = hash_cut(df, key, quota, seed, label)
+    cut = hash_cut(df, key, lambda sizes: largest_remainder(sizes, fraction), seed, label)
     return df.withColumn("split", F.when(cut.selected(), "test").otherwise("train"))
 
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """Exactly ``min(n, rows)`` rows, the same ones for the same data and seed."""
-    quota = df.sparkSession.createDataFrame([("", n)], "stratum string, quota bigint")
-    sizes = stratum_sizes(df, key, None).join(F.broadcast(quota), "stratum")
-    capped = sizes.select("stratum", F.least("quota", "n").alias("quota"))
-    return df.where(hash_cut(df, key, capped, seed).selected())
+    cut = hash_cut(df, key, lambda sizes: sizes.select("stratum", F.least(F.lit(n), "n").alias("quota")), seed)
+    return df.where(cut.selected())
 
 
 def flag_fraction_where(df: DataFrame, key: str, where: Column, fraction: float, seed: int = 42) -> DataFrame:
     """Add ``chosen``: true for floor(fraction * count) of the rows that satisfy ``where``."""
-    rows = df.where(where)
-    quota = stratum_sizes(rows, key, None).select(
-        "stratum", F.floor(F.round(F.col("n") * fraction, 9)).alias("quota")
-    )
-    cut = hash_cut(rows, key, quota, seed)
+
+    def share(sizes: DataFrame) -> DataFrame:
+        return sizes.select("stratum", F.floor(F.round(F.col("n") * fraction, 9)).alias("quota"))
+
+    cut = hash_cut(df.where(where), key, share, seed)
     return df.withColumn("chosen", F.coalesce(where, F.lit(False)) & cut.selected())
 
 
@@ -143,7 +146,7 @@ def hash_rank(df: DataFrame, key: str, seed: int, by: str | None = None) -> Data
     """(key, stratum, zero-based rank in hash order). Ranked per (stratum, bucket) plus offset."""
     keyed = _keyed(df, key, seed, by)
     within = F.row_number().over(W.partitionBy("stratum", "bucket").orderBy("h", "k"))
-    offsets = _placed(keyed).select("stratum", "bucket", "start", "n")
+    offsets = _placed(_bucket_rows(keyed)).select("stratum", "bucket", "start", "n")
     ranked = keyed.withColumn("rn", within).join(offsets, ["stratum", "bucket"])
     return ranked.select(
         F.col("k").alias(key), "stratum", (F.col("start") + F.col("rn") - 1).alias("rank"), "n"
@@ -164,7 +167,7 @@ def _with_rank(df: DataFrame, key: str, seed: int, by: str) -> DataFrame:
         "*", stratum.alias("stratum"), h.alias("_h"), F.substring(h, 1, PREFIX).alias("bucket")
     )
     within = F.row_number().over(W.partitionBy("stratum", "bucket").orderBy("_h", F.col(key).cast("string")))
-    offsets = _placed(_keyed(df, key, seed, by)).select("stratum", "bucket", "start")
+    offsets = _placed(_bucket_rows(_keyed(df, key, seed, by))).select("stratum", "bucket", "start")
     return (
         marked.withColumn("_rn", within)
         .join(offsets, ["stratum", "bucket"])

@@ -7,7 +7,7 @@ from functools import reduce
 from itertools import product
 from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -96,15 +96,20 @@ def boosted_trees(
 def fit_model(df: DataFrame, key: str, label: str, encoder: Estimator | None, learner: Estimator) -> PipelineModel:
     """Encoder and learner fitted on the training rows only, repeatably.
 
-    Statistics are taken from the rows where they are; only id, label, weight and
-    the feature vector are shuffled into the stable layout.
+    The columns in use are kept (memory, then local disk) while class weights,
+    encoder statistics and the layout read them, so the input is computed once.
     """
-    rows, stages = with_class_weight(df, label), []
-    if encoder is not None:
-        fitted = encoder.fit(df)
-        rows, stages = fitted.transform(rows), [fitted]
-    slim = rows.select(key, label, WEIGHT, learner.getFeaturesCol())
-    return PipelineModel([*stages, learner.fit(stable_layout(slim, key))])
+    inputs = encoder.input_columns() if encoder is not None else [learner.getFeaturesCol()]
+    slim = df.select(*dict.fromkeys([key, label, *inputs])).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rows, stages = with_class_weight(slim, label), []
+        if encoder is not None:
+            fitted = encoder.fit(slim)
+            rows, stages = fitted.transform(rows), [fitted]
+        laid_out = stable_layout(rows.select(key, label, WEIGHT, learner.getFeaturesCol()), key)
+        return PipelineModel([*stages, learner.fit(laid_out)])
+    finally:
+        slim.unpersist()
 
 
 def score(model: Model, df: DataFrame, threshold: float = 0.5) -> DataFrame:
