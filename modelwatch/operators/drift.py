@@ -11,9 +11,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from modelwatch.operators.metrics import evaluate, side_by_side
-from modelwatch.operators.ordered import Cuts, block_cuts, long_numeric, running_totals, with_names
+from modelwatch.operators.ordered import Cuts, block_cuts, block_offsets, long_numeric, running_totals, with_names
 
 KS_THRESHOLD = 0.10
 JS_THRESHOLD = 0.10
@@ -51,6 +52,51 @@ def ks_p_value(d: Column, n1: Column, n2: Column) -> Column:
     return F.when(x < 0.2, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), series)))
 
 
+def _side_counts(tall: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return tall.groupBy(*keys).agg(
+        F.sum(SIDE).cast("bigint").alias("base"), F.sum(1 - F.col(SIDE)).cast("bigint").alias("cur")
+    )
+
+
+def _lead(base: Column, cur: Column) -> Column:
+    """How far the baseline distribution is ahead of the current one."""
+    return F.try_divide(base, "total_base") - F.try_divide(cur, "total_cur")
+
+
+def _all_gaps(tall: DataFrame) -> DataFrame:
+    run = running_totals(_side_counts(tall, ["column", "value"]), "value", ["base", "cur"], ["column"])
+    return run.select("column", F.abs(_lead("cum_base", "cum_cur")).alias("gap"), "total_base", "total_cur")
+
+
+def _largest_gaps(tall: DataFrame) -> DataFrame:
+    """Gaps at all block ends, and at all values of the blocks that may exceed them.
+
+    A block that starts with lead d and holds shares p and q of the two sides keeps
+    its lead within [d - q, d + p]. Blocks whose bound does not exceed the largest
+    gap at a block end cannot hold the maximum and are not sorted at all.
+    """
+    values = ["base", "cur"]
+    blocks = block_offsets(_side_counts(tall, ["column", "_block"]), values, ["column"])
+    start = _lead("_off_base", "_off_cur")
+    bound = F.greatest(
+        F.abs(start + F.try_divide("base", "total_base")), F.abs(start - F.try_divide("cur", "total_cur"))
+    )
+    ends = F.abs(_lead(F.col("_off_base") + F.col("base"), F.col("_off_cur") + F.col("cur")))
+    known = blocks.select("*", ends.alias("gap"), bound.alias("_bound")).withColumn(
+        "_best", F.max("gap").over(W.partitionBy("column"))
+    )
+    # One row per column and block.
+    open_blocks = F.broadcast(known.where("_bound > _best").drop(*values, "gap", "_bound", "_best"))
+    counts = _side_counts(tall.join(open_blocks.select("column", "_block"), ["column", "_block"], "left_semi"),
+                          ["column", "_block", "value"])
+    inside = W.partitionBy("column", "_block").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
+    summed = counts.select("column", "_block", *[F.sum(v).over(inside).alias(v) for v in values])
+    refined = summed.join(open_blocks, ["column", "_block"])
+    lead = _lead(F.col("_off_base") + F.col("base"), F.col("_off_cur") + F.col("cur"))
+    out = ("column", "gap", "total_base", "total_cur")
+    return known.select(*out).unionByName(refined.withColumn("gap", F.abs(lead)).select(*out))
+
+
 def ks_statistic(
     both: DataFrame,
     cols: Sequence[str],
@@ -59,24 +105,17 @@ def ks_statistic(
 ) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov per numeric column, missing values dropped.
 
-    All columns in one pass: counts per (column, value), running sums of both
-    sides, largest gap between the two empirical distributions. A side without
-    values gives a NULL score.
+    Counts per (column, value) and their running sums give both empirical
+    distributions at every value; the score is their largest gap. On large data
+    only the blocks that can hold that gap are looked into. A side without values
+    gives a NULL score.
     """
     if cuts is None:
         cuts = block_cuts(both, cols)
     tall = long_numeric(both, cols, [SIDE], cuts)
-    per_value = (
-        tall.groupBy(*[c for c in tall.columns if c != SIDE])
-        .agg(
-            F.sum(SIDE).cast("bigint").alias("base"),
-            F.sum(1 - F.col(SIDE)).cast("bigint").alias("cur"),
-        )
-    )
-    run = running_totals(per_value, "value", ["base", "cur"], ["column"])
-    gap = F.abs(F.try_divide("cum_base", "total_base") - F.try_divide("cum_cur", "total_cur"))
+    run = _all_gaps(tall) if "_block" not in tall.columns else _largest_gaps(tall)
     stats = run.groupBy("column").agg(
-        F.max(gap).alias("score"), F.max("total_base").alias("n_baseline"), F.max("total_cur").alias("n_current")
+        F.max("gap").alias("score"), F.max("total_base").alias("n_baseline"), F.max("total_cur").alias("n_current")
     )
     stats = with_names(stats, cols, "feature")
     p = ks_p_value(F.col("score"), F.col("n_baseline"), F.col("n_current"))

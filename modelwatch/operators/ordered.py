@@ -22,6 +22,7 @@ from modelwatch.operators.joins import null_safe_join
 from modelwatch.session import stage_table
 
 ROWS_PER_BLOCK = 1_000_000
+MIN_BLOCKS = 256
 MAX_BLOCKS = 4096
 BROADCAST_GROUPS = 20_000
 
@@ -39,9 +40,10 @@ def block_cuts(
     A row count decides; past one block, a column-pruned aggregate gives at most
     ``len(cols) * max_blocks`` numbers to the driver.
     """
-    blocks = min(math.ceil(df.count() / rows_per_block), max_blocks)
-    if blocks <= 1:
+    rows = df.count()
+    if rows <= rows_per_block:
         return {c: [] for c in cols}
+    blocks = min(max(math.ceil(rows / rows_per_block), MIN_BLOCKS), max_blocks)
     probs = [i / blocks for i in range(1, blocks)]
     row = df.agg(
         *[
@@ -71,6 +73,16 @@ def attach(df: DataFrame, small: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.select("*", *[row.getField(c).alias(c) for c in small.columns])
 
 
+def block_offsets(per_block: DataFrame, values: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Add, per block, the sums ``_off_<v>`` of the blocks before it and the group totals ``total_<v>``."""
+    before = W.partitionBy(*by).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    return per_block.select(
+        "*",
+        *[F.coalesce(F.sum(v).over(before), F.lit(0)).alias(f"_off_{v}") for v in values],
+        *[F.sum(v).over(W.partitionBy(*by)).alias(f"total_{v}") for v in values],
+    )
+
+
 def running_totals(df: DataFrame, order: str, values: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Inclusive running sums ``cum_<v>`` and group totals ``total_<v>``.
 
@@ -86,13 +98,7 @@ def running_totals(df: DataFrame, order: str, values: Sequence[str], by: Sequenc
         summed = df.select("*", *[F.sum(v).over(run).alias(f"cum_{v}") for v in values])
         return attach(summed, totals, by)
     keys = by + ["_block"]
-    per_block = df.groupBy(*keys).agg(*[F.sum(v).alias(v) for v in values])
-    before = W.partitionBy(*by).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    offsets = per_block.select(
-        *keys,
-        *[F.coalesce(F.sum(v).over(before), F.lit(0)).alias(f"_off_{v}") for v in values],
-        *[F.sum(v).over(W.partitionBy(*by)).alias(f"total_{v}") for v in values],
-    )
+    offsets = block_offsets(df.groupBy(*keys).agg(*[F.sum(v).alias(v) for v in values]), values, by).drop(*values)
     inside = W.partitionBy(*keys).orderBy(order).rowsBetween(*up_to_here)
     summed = df.select("*", *[F.sum(v).over(inside).alias(f"_in_{v}") for v in values])
     if set(by) <= {"column"}:

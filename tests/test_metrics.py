@@ -92,6 +92,23 @@ def test_ks_equals_brute_force(spark, cuts):
     )
 
 
+def test_ks_with_many_blocks_and_columns(spark):
+    """Cuts from the data itself; only some blocks are looked into, the answer is the same."""
+    rng = np.random.default_rng(11)
+    a, b = rng.normal(size=(400, 3)), rng.normal(0.1, 1.2, size=(300, 3))
+    b[:, 2] = np.where(rng.random(300) < 0.4, 0.25, b[:, 2])
+    cols = ["u", "v", "w"]
+
+    def frame(m):
+        return spark.createDataFrame([tuple(map(float, r)) for r in m], "u double, v double, w double")
+
+    both = drift.two_tables(frame(a), frame(b))
+    cuts = drift.block_cuts(both, cols, rows_per_block=50, max_blocks=20)
+    got = {r["feature"]: r["score"] for r in drift.ks_statistic(both, cols, cuts=cuts).collect()}
+    for i, c in enumerate(cols):
+        assert math.isclose(got[c], brute_ks(a[:, i], b[:, i]), abs_tol=1e-12)
+
+
 def test_equal_samples_do_not_drift(spark):
     df = spark.range(50).select(F.col("id").cast("double").alias("v"), (F.col("id") % 3).cast("string").alias("c"))
     rows = drift.data_drift_report(drift.two_tables(df, df), ["v"], ["c"]).collect()
