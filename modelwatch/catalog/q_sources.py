@@ -24,6 +24,7 @@ from modelwatch.catalog.proxies import (
     with_sql,
 )
 from modelwatch.catalog.registry import query
+from modelwatch.functions.scalars import columns_by_role, resolve_column
 from modelwatch.operators import checks, membership, metrics, profile
 from modelwatch.operators.ordered import running_totals
 from modelwatch.operators.training import fit_model, logistic_regression, score
@@ -471,3 +472,70 @@ def b17(spark: SparkSession, sf: str) -> DataFrame:
         "tenure", (F.col("total") / 1000).alias("total"), (F.col("monthly") / 1000).alias("monthly")
     )
     return rounded(checks.consistency_profile(scaled, "total", "tenure", "monthly"))
+
+
+# --- metadata checks, each applied to a whole table ---------------------------
+
+
+@query("b9_resolve_column", "SELECT c_mktsegment AS value, count(*) AS n FROM customer GROUP BY 1")
+def b9(spark: SparkSession, sf: str) -> DataFrame:
+    """The segment column is found under another spelling."""
+    who = table(spark, sf, "customer").withColumnRenamed("c_mktsegment", " C_MktSegment ")
+    name = resolve_column(who.columns, ["segment", "c_mktsegment"])
+    return who.groupBy(F.col(f"`{name}`").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "b13_same_schema",
+    """SELECT 'same' AS pair, 0 AS differences, count(*) AS rows FROM orders
+ UNION ALL SELECT 'other order', 1, count(*) FROM orders UNION ALL SELECT 'fewer rows', 1, count(*) FROM orders""",
+)
+def b13(spark: SparkSession, sf: str) -> DataFrame:
+    orders = table(spark, sf, "orders")
+    pairs = {
+        "same": checks.same_schema(orders, orders, same_rows=True),
+        "other order": checks.same_schema(orders, orders.select(*reversed(orders.columns))),
+        "fewer rows": checks.same_schema(orders, orders.where("o_orderstatus = 'F'"), same_rows=True),
+    }
+    found = F.array(*[F.struct(F.lit(n).alias("pair"), F.lit(len(e)).alias("differences")) for n, e in pairs.items()])
+    total = orders.agg(F.count(F.lit(1)).alias("rows"))
+    return total.select("rows", F.explode(found).alias("p")).select("p.*", "rows")
+
+
+@query(
+    "b18_raw_split_presence",
+    with_sql("SELECT split, true AS present, count(*) AS rows FROM enc GROUP BY 1 UNION ALL SELECT 'extra', false, 0", enc=ENC),
+)
+def b18(spark: SparkSession, sf: str) -> DataFrame:
+    root = scratch_path(spark, "b18")
+    rows = encoded(spark, sf)
+    for side in ("train", "test"):
+        rows.where(F.col("split") == side).write.parquet(f"{root}/{side}")
+    counts = []
+    for side in ("train", "test", "extra"):
+        present = tables.path_exists(spark, f"{root}/{side}")
+        part = spark.read.parquet(f"{root}/{side}") if present else rows.where("false")
+        counts.append(part.agg(F.lit(side).alias("split"), F.lit(present).alias("present"), F.count(F.lit(1)).alias("rows")))
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+LINEITEM_ROLES = {
+    "numeric": ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"),
+    "categorical": ("l_returnflag", "l_linestatus"),
+}
+
+
+@query(
+    "c8_column_roles",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", '{role}' AS role, count({c}) AS non_null FROM lineitem"
+        for role, names in LINEITEM_ROLES.items()
+        for c in names
+    ),
+)
+def c8(spark: SparkSession, sf: str) -> DataFrame:
+    items = table(spark, sf, "lineitem")
+    numeric, categorical = columns_by_role(items.schema)
+    roles = F.when(F.col("column").isin(numeric), "numeric").when(F.col("column").isin(categorical), "categorical")
+    counts = profile.table_profile(items.select(*numeric, *categorical))
+    return counts.select("column", roles.alias("role"), "non_null")

@@ -127,7 +127,7 @@ def require_holdout(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
 
 
 def frozen_ids(spark: SparkSession, path: str, make_ids) -> DataFrame:
-    """The holdout ids: made and written once, only read afterwards."""
-    if not path_exists(spark, path):
-        make_ids().write.parquet(path)
+    """The holdout ids: made and written once, only read afterwards. An unfinished write does not count."""
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        make_ids().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

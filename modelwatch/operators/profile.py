@@ -115,8 +115,10 @@ def box_numbers(df: DataFrame, column: str, by: str) -> DataFrame:
 
 
 def duplicate_count(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """One row: how many rows repeat an earlier one."""
-    groups = df.groupBy(*(cols or df.columns)).agg(F.count(F.lit(1)).alias("copies"))
+    """One row: how many rows repeat an earlier one. Texts travel as 256-bit digests."""
+    types = dict(df.dtypes)
+    keys = [F.sha2(c, 256).alias(c) if types[c] == "string" else F.col(c) for c in (cols or df.columns)]
+    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
     return groups.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).cast("bigint").alias("duplicates"))
 
 
