@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from functools import reduce
 from itertools import product
@@ -16,7 +17,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from modelwatch.operators.encoding import FeatureEncoder, FeatureEncoderModel
@@ -26,23 +27,27 @@ from modelwatch.session import stage_table
 
 WEIGHT = "class_weight"
 PARALLELISM = 4
+ROWS_PER_PART = 5_000
 
 
-def stable_layout(df: DataFrame, key: str, parts: int | None = None) -> DataFrame:
+def stable_layout(df: DataFrame, key: str, rows: int) -> DataFrame:
     """Same rows in the same partitions in the same order, whatever the input layout.
 
     Seeded learners draw per partition, so a repeatable fit needs this. The number
-    of partitions is the session's shuffle setting and not left to run-time
-    coalescing.
+    of partitions follows from the row count, up to the session's shuffle setting,
+    and is not left to run-time coalescing.
     """
-    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, min(most, math.ceil(rows / ROWS_PER_PART)))
     return df.repartition(parts, key).sortWithinPartitions(key)
 
 
-def with_class_weight(df: DataFrame, label: str) -> DataFrame:
+def with_class_weight(df: DataFrame, label: str, counts: Row | None = None) -> DataFrame:
     """Balanced weight n / (2 n_c) per row; the two weights are literals."""
-    w = class_weights(df, label).first()
-    return df.withColumn(WEIGHT, F.when(F.col(label) == 1, F.lit(w["weight_1"])).otherwise(F.lit(w["weight_0"])))
+    w = counts or class_weights(df, label).first()
+    return df.withColumn(
+        WEIGHT, F.when(F.col(label) == 1, F.lit(w["weight_1"] or 1.0)).otherwise(F.lit(w["weight_0"] or 1.0))
+    )
 
 
 def random_forest(label: str, trees: int = 150, depth: int = 12, seed: int = 42, weighted: bool = True, **kw) -> Estimator:
@@ -102,11 +107,13 @@ def fit_model(df: DataFrame, key: str, label: str, encoder: Estimator | None, le
     inputs = encoder.input_columns() if encoder is not None else [learner.getFeaturesCol()]
     slim = df.select(*dict.fromkeys([key, label, *inputs])).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rows, stages = with_class_weight(slim, label), []
+        counts = class_weights(slim, label).first()
+        rows, stages = with_class_weight(slim, label, counts), []
         if encoder is not None:
             fitted = encoder.fit(slim)
             rows, stages = fitted.transform(rows), [fitted]
-        laid_out = stable_layout(rows.select(key, label, WEIGHT, learner.getFeaturesCol()), key)
+        total = counts["negatives"] + counts["positives"]
+        laid_out = stable_layout(rows.select(key, label, WEIGHT, learner.getFeaturesCol()), key, total)
         return PipelineModel([*stages, learner.fit(laid_out)])
     finally:
         slim.unpersist()
