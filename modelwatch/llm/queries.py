@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from modelwatch.llm import simhash
+from modelwatch.llm import language, neighbours, simhash, url_filters
 from modelwatch.llm.common import read
 
 QUERIES: dict = {}
@@ -25,3 +25,21 @@ def query(name: str, sql: str | None = None):
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query("op6_url_filters")
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict for every page."""
+    return url_filters.judge(read(spark, sf_dir, "pages"), url_filters.RULES)
+
+
+@query("op9_neighbours")
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every vector whose id is divisible by 20."""
+    return neighbours.nearest(read(spark, sf_dir, "embeddings"), k=20)
+
+
+@query("op5_language")
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    return language.identify(read(spark, sf_dir, "documents"))
