@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from modelwatch.llm import language, neighbours, simhash, url_filters
+from modelwatch.llm import language, neighbours, simhash, toxicity, url_filters
 from modelwatch.llm.common import read
 
 QUERIES: dict = {}
@@ -43,3 +43,9 @@ def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document."""
     return language.identify(read(spark, sf_dir, "documents"))
+
+
+@query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    return toxicity.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
