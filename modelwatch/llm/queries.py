@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from modelwatch.llm import language, neighbours, simhash, toxicity, url_filters
+from modelwatch.llm import language, neighbours, simhash, token_file, toxicity, url_filters
 from modelwatch.llm.common import read
 
 QUERIES: dict = {}
@@ -49,3 +49,12 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document."""
     return toxicity.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op4_token_files")
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boundaries and checksum of every document's ids, from files of the whole corpus."""
+    import public_tokenizers
+
+    files = token_file.write(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return token_file.documents(files)
