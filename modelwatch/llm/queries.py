@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from modelwatch.llm import language, neighbours, simhash, token_file, toxicity, url_filters
+from modelwatch.llm import language, neighbours, simhash, substrings, token_file, toxicity, url_filters
 from modelwatch.llm.common import read
 
 QUERIES: dict = {}
@@ -58,3 +58,9 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     files = token_file.write(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
     return token_file.documents(files)
+
+
+@query("op3_substrings")
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document keeps without repeated 20-word windows."""
+    return substrings.remove_repeats(read(spark, sf_dir, "documents"), window=20).drop("kept")
