@@ -144,8 +144,11 @@ class Keys:
 KEYS = "bucket int, chunk bigint, keys binary"
 
 
-def ask(keys: DataFrame, kind: str, width: int, earlier: bool, label: str) -> DataFrame:
-    """(chunk, kind, bucket, bits): for each key sent, whether an earlier chunk (or any other) has it too."""
+def ask(keys: DataFrame, kind: str, width: int, earlier: bool, label: str, hot: int | None = None) -> DataFrame:
+    """(chunk, kind, bucket, bits): for each key sent, whether an earlier chunk (or any other) has it too.
+
+    With ``hot``, answers of the kind ``...-hot`` say which keys more than ``hot`` chunks have.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         chunk = table.column("chunk").to_numpy()
@@ -161,13 +164,23 @@ def ask(keys: DataFrame, kind: str, width: int, earlier: bool, label: str) -> Da
         found = same.copy()
         if not earlier:
             found[:-1] |= same[1:]
-        answer = np.empty(len(every), bool)
-        answer[by_key] = found
         cuts = np.r_[0, np.cumsum(size)]
-        bits = [np.packbits(answer[a:b]).tobytes() for a, b in zip(cuts, cuts[1:])]
         bucket = table.column("bucket")[0].as_py()
-        n = len(parts)
-        return pa.table([pa.array(chunk[order]), pa.array([kind] * n), pa.array([bucket] * n, pa.int32()), pa.array(bits, pa.binary())], ["chunk", "kind", "bucket", "bits"])
+
+        def told(found: np.ndarray, kind: str) -> pa.Table:
+            answer = np.empty(len(every), bool)
+            answer[by_key] = found
+            bits = [np.packbits(answer[a:b]).tobytes() for a, b in zip(cuts, cuts[1:])]
+            n = len(bits)
+            return pa.table([pa.array(chunk[order]), pa.array([kind] * n), pa.array([bucket] * n, pa.int32()), pa.array(bits, pa.binary())], ["chunk", "kind", "bucket", "bits"])
+
+        answers = [told(found, kind)]
+        if hot is not None:
+            group = np.cumsum(~same) - 1
+            often = np.bincount(group)[group] > hot
+            if often.any():
+                answers.append(told(often, f"{kind}-hot"))
+        return pa.concat_tables(answers)
 
     answers = keys.groupBy("bucket").applyInArrow(run, "chunk bigint, kind string, bucket int, bits binary")
     return stage_table(answers, label)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from modelwatch.llm import language, neighbours, simhash, substrings, token_file, toxicity, url_filters
+from modelwatch.llm import language, neighbours, simhash, substrings, suffixes, token_file, toxicity, url_filters
 from modelwatch.llm.common import read
 
 QUERIES: dict = {}
@@ -64,3 +64,9 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every document keeps without repeated 20-word windows."""
     return substrings.remove_repeats(read(spark, sf_dir, "documents"), window=20).drop("kept")
+
+
+@query("op10_suffixes")
+def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document keeps without repeated 100-byte strings."""
+    return suffixes.remove_repeats(read(spark, sf_dir, "documents"), length=100).drop("kept")
