@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from modelwatch.llm import language, neighbours, simhash, substrings, suffixes, token_file, toxicity, url_filters
+from modelwatch.llm import language, leaks, neighbours, simhash, substrings, suffixes, token_file, toxicity, url_filters
 from modelwatch.llm.common import read
 
 QUERIES: dict = {}
@@ -70,3 +70,9 @@ def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every document keeps without repeated 100-byte strings."""
     return suffixes.remove_repeats(read(spark, sf_dir, "documents"), length=100).drop("kept")
+
+
+@query("op8_leaks")
+def op8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that leak into documents."""
+    return leaks.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))

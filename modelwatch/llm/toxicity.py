@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from modelwatch.llm.common import pick, splitmix, stage_table, text_bytes, utf8_slices
-from modelwatch.llm.hashing import LETTER, Rolling, byte_symbols, words
+from modelwatch.llm.hashing import LETTER, Rolling, byte_symbols, distinct, words
 from modelwatch.llm.language import fold
 
 #: Hash buckets of terms, and the length of the factor of each.
@@ -34,7 +34,7 @@ def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
         long = np.flatnonzero(ends - starts > length)
         begun = rolling.slices(starts[long], starts[long] + length)
         found.append(document[long].astype(np.uint64) << np.uint64(18) | splitmix(begun) >> np.uint64(46))
-    both = np.unique(np.concatenate(found))
+    both = distinct(np.concatenate(found))
     return (both // np.uint64(BUCKETS)).astype(np.int64), (both % np.uint64(BUCKETS)).astype(np.int64)
 
 
