@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from modelwatch.llm import language, leaks, neighbours, simhash, substrings, suffixes, token_file, toxicity, url_filters
+from modelwatch.llm import language, leaks, neighbours, pieces, simhash, substrings, suffixes, token_file, toxicity, url_filters
 from modelwatch.llm.common import read
 
 QUERIES: dict = {}
@@ -76,3 +77,13 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items that leak into documents."""
     return leaks.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op2_pieces")
+def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SentencePiece ids of every document, and the text decoded from them."""
+    import public_tokenizers
+
+    model = pieces.load(public_tokenizers.path("piece_bpe_32k.model"))
+    ids = pieces.encode(read(spark, sf_dir, "documents"), model)
+    return pieces.decode(ids.withColumn("n_tokens", F.size("ids")), model, to="decoded")
