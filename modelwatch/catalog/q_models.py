@@ -66,7 +66,7 @@ def i3(spark: SparkSession, sf: str) -> DataFrame:
     rows = customers(spark, sf)
     levels = encoding.collect_levels(rows.where("senior = 0"), ["contract"])["contract"]
     hot = encoding.one_hot("contract", levels)
-    return rows.select("id", *[h.cast("int").alias(f"c{i}") for i, h in enumerate(hot, start=2)])
+    return rows.select("id", *[hot[i].cast("int").alias(f"c{i + 2}") for i in range(len(levels) - 1)])
 
 
 @query(

@@ -382,7 +382,7 @@ def l11_cycle(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "l12_stage_rollup",
-    """SELECT run, stages_passed, 5 AS stages_expected, stopped AS stopped_early, CASE WHEN ok AND (stages_passed = 5 OR stopped) THEN 'PASSED' ELSE 'FAILED' END AS status
+    """SELECT run, stages_passed, 5 AS stages_expected, stopped AS stopped_early, CASE WHEN ok AND stopped THEN 'NO_NEW_DATA' WHEN ok AND stages_passed = 5 THEN 'PASSED' ELSE 'FAILED' END AS status
  FROM (SELECT user_id AS run, count(DISTINCT CASE WHEN value < 400 THEN event_type END) AS stages_passed, bool_and(value < 400) AS ok,
  coalesce(bool_or(event_type = 'signup' AND user_id % 4 = 0), false) AS stopped FROM events GROUP BY 1)""",
 )

@@ -132,10 +132,10 @@ def c11(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "c12_any_cell_equals",
-    """SELECT (SELECT count(*) FROM customer WHERE upper(trim(c_mktsegment)) = 'MACHINERY' OR upper(trim(c_name)) = 'MACHINERY') > 0 AS found""",
+    """SELECT (SELECT count(*) FROM customer AS c, unnest(json_extract_string(to_json(c), '$.*')) AS t(v) WHERE upper(trim(v)) = 'MACHINERY') > 0 AS found""",
 )
 def c12(spark: SparkSession, sf: str) -> DataFrame:
-    return S.any_cell_equals(table(spark, sf, "customer").select("c_name", "c_mktsegment"), "machinery")
+    return S.any_cell_equals(table(spark, sf, "customer"), "machinery")
 
 
 @query("c13_ordered_names", "SELECT r_name AS region, string_agg(n_name, ', ' ORDER BY n_nationkey) AS names FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY 1")
@@ -201,10 +201,10 @@ def d2(spark: SparkSession, sf: str) -> DataFrame:
     return membership.training_side(who, _ids(spark, sf), "c_custkey")
 
 
-@query("d3_id_overlap", "SELECT count(*) AS n FROM (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_quantity > 25 INTERSECT SELECT l_orderkey FROM lineitem WHERE l_quantity <= 10)")
+@query("d3_id_overlap", "SELECT count(*) AS n FROM (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_quantity > 25 INTERSECT SELECT l_orderkey FROM lineitem WHERE l_quantity <= 25)")
 def d3(spark: SparkSession, sf: str) -> DataFrame:
     items = table(spark, sf, "lineitem")
-    both = membership.common_ids(items.where("l_quantity > 25"), items.where("l_quantity <= 10"), "l_orderkey")
+    both = membership.common_ids(items.where("l_quantity > 25"), items.where("l_quantity <= 25"), "l_orderkey")
     return both.agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -224,12 +224,11 @@ def d5(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "d6_align_categories",
     """SELECT 'c_mktsegment' AS feature, c_mktsegment AS category, CAST(sum(CAST(c_acctbal < 0 AS INTEGER)) AS BIGINT) AS base,
- CAST(sum(CAST(c_acctbal >= 0 AND c_nationkey < 3 AS INTEGER)) AS BIGINT) AS cur FROM customer
- WHERE c_acctbal < 0 OR c_nationkey < 3 GROUP BY 2""",
+ CAST(sum(CAST(c_acctbal >= 0 AS INTEGER)) AS BIGINT) AS cur FROM customer GROUP BY 2""",
 )
 def d6(spark: SparkSession, sf: str) -> DataFrame:
-    who = table(spark, sf, "customer").select("c_mktsegment", "c_acctbal", "c_nationkey")
-    both = drift.two_tables(who.where("c_acctbal < 0"), who.where("c_acctbal >= 0 and c_nationkey < 3"))
+    who = table(spark, sf, "customer").select("c_mktsegment", "c_acctbal")
+    both = drift.two_tables(who.where("c_acctbal < 0"), who.where("c_acctbal >= 0"))
     return drift.category_counts(both, ["c_mktsegment"])
 
 
@@ -541,16 +540,16 @@ def g1(spark: SparkSession, sf: str) -> DataFrame:
     return both.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("g2_all_categories", "SELECT DISTINCT source FROM documents WHERE doc_id % 2 = 0 OR lang = 'es'")
+@query("g2_all_categories", "SELECT DISTINCT source FROM documents")
 def g2(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
-    return membership.all_categories(docs.where("doc_id % 2 = 0"), docs.where("lang = 'es'"), "source")
+    return membership.all_categories(docs.where("doc_id % 2 = 0"), docs.where("doc_id % 2 = 1"), "source")
 
 
-@query("g3_common_ids", "SELECT l_suppkey FROM lineitem WHERE l_quantity >= 49 INTERSECT SELECT l_suppkey FROM lineitem WHERE l_discount >= 0.1")
+@query("g3_common_ids", "SELECT l_suppkey FROM lineitem WHERE l_discount >= 0.05 INTERSECT SELECT l_suppkey FROM lineitem WHERE l_discount < 0.05")
 def g3(spark: SparkSession, sf: str) -> DataFrame:
     items = table(spark, sf, "lineitem")
-    return membership.common_ids(items.where("l_quantity >= 49"), items.where("l_discount >= 0.1"), "l_suppkey")
+    return membership.common_ids(items.where("l_discount >= 0.05"), items.where("l_discount < 0.05"), "l_suppkey")
 
 
 # --- sampling and splitting --------------------------------------------------------

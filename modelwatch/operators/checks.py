@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modelwatch.functions.scalars import INTEGER_PATTERN, NUMBER_PATTERN
-from modelwatch.operators.joins import salted_membership
+from modelwatch.operators.joins import membership
 from modelwatch.operators.ordered import exact_quantiles
 from modelwatch.schema import ColumnRule, TableSpec
 
@@ -271,9 +271,11 @@ def batch_verdicts(batches: DataFrame, df: DataFrame, spec: TableSpec, batch: st
 
 
 def accepted_records(df: DataFrame, spec: TableSpec, batch: str, index: str) -> DataFrame:
-    """Records of batches without any error."""
+    """Records of batches without any error. Records without batch id are one batch of their own."""
     _, bad = quarantine(df, spec, request_path(index))
-    return salted_membership(df, bad.select(batch), batch, keep_members=False)
+    name = F.coalesce(F.concat(F.lit("="), F.col(batch).cast("string")), F.lit("")).alias("_batch")
+    kept = membership(df.select("*", name), bad.select(name), "_batch", keep_members=False)
+    return kept.select(*df.columns)
 
 
 # --- data exploration checks ------------------------------------------------

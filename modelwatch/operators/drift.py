@@ -22,6 +22,8 @@ SERIES_TERMS = 100
 
 
 SIDE = "is_baseline"
+#: A feature of which a side has no value has no score.
+NO_DATA = "NO_DATA"
 
 
 def two_tables(baseline: DataFrame, current: DataFrame) -> DataFrame:
@@ -34,7 +36,13 @@ def one_table(df: DataFrame, baseline: Column) -> DataFrame:
 
 
 def _status(score: Column, threshold: float) -> Column:
-    return F.when(score >= threshold, "DRIFT").otherwise("OK")
+    return F.when(score >= threshold, "DRIFT").when(score.isNull(), NO_DATA).otherwise("OK")
+
+
+def _all_features(stats: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """A row per feature, also for one without any value."""
+    names = stats.sparkSession.createDataFrame([(c,) for c in cols], "feature string")
+    return names.join(stats, "feature", "left")
 
 
 def ks_p_value(d: Column, n1: Column, n2: Column) -> Column:
@@ -117,14 +125,14 @@ def ks_statistic(
     stats = run.groupBy("column").agg(
         F.max("gap").alias("score"), F.max("total_base").alias("n_baseline"), F.max("total_cur").alias("n_current")
     )
-    stats = with_names(stats, cols, "feature")
+    stats = _all_features(with_names(stats, cols, "feature"), cols)
     p = ks_p_value(F.col("score"), F.col("n_baseline"), F.col("n_current"))
     return stats.select(
         "feature",
         "score",
         F.when(F.col("score").isNotNull(), p).alias("p_value"),
-        "n_baseline",
-        "n_current",
+        F.coalesce("n_baseline", F.lit(0)).alias("n_baseline"),
+        F.coalesce("n_current", F.lit(0)).alias("n_current"),
         _status(F.col("score"), threshold).alias("status"),
     )
 
@@ -182,7 +190,7 @@ def js_against_baseline(counts: DataFrame, shares: DataFrame, by: Sequence[str])
 
 
 def js_divergence(both: DataFrame, cols: Sequence[str], threshold: float = JS_THRESHOLD) -> DataFrame:
-    scores = js_from_counts(category_counts(both, cols), ["feature"])
+    scores = _all_features(js_from_counts(category_counts(both, cols), ["feature"]), cols)
     return scores.select("feature", "score", _status(F.col("score"), threshold).alias("status"))
 
 
@@ -254,7 +262,7 @@ def drift_summary(
         F.lit("Data Drift").alias("category"),
         F.lit("Features with drift").alias("metric"),
         F.count_if(drifted).cast("double").alias("value"),
-        F.when(F.count_if(drifted) > 0, "DRIFT").otherwise("OK").alias("status"),
+        F.when(F.count_if(F.col("status") == NO_DATA) > 0, NO_DATA).when(F.count_if(drifted) > 0, "DRIFT").otherwise("OK").alias("status"),
         _listed(data, "feature", drifted).alias("details"),
     )
     two = F.array(

@@ -20,8 +20,6 @@ from pyspark.sql import functions as F
 
 from modelwatch.functions.scalars import fill_zero
 
-MAX_LEVELS = 10_000
-
 
 def numeric_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row per column: mean and divisor after filling with 0. Zero variance divides by 1."""
@@ -41,13 +39,10 @@ def category_levels(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return slim.unpivot([], list(cols), "column", "level").where(F.col("level").isNotNull()).distinct()
 
 
-def collect_levels(df: DataFrame, cols: Sequence[str], limit: int = MAX_LEVELS) -> dict[str, list[str]]:
-    """Sorted levels per column. More than ``limit`` in all is an error: an id was passed as a category."""
-    rows = category_levels(df, cols).limit(limit + 1).collect() if cols else []
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} category levels in {list(cols)}")
+def collect_levels(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
+    """Sorted levels per column, for the model's state; they come in part by part."""
     levels: dict[str, list[str]] = {c: [] for c in cols}
-    for r in rows:
+    for r in category_levels(df, cols).toLocalIterator() if cols else []:
         levels[r["column"]].append(r["level"])
     return {c: sorted(v) for c, v in levels.items()}
 
@@ -56,16 +51,23 @@ def scaled(c: str, mean: float, divisor: float) -> Column:
     return (fill_zero(c) - F.lit(mean)) / F.lit(divisor)
 
 
-def one_hot(c: str, levels: Sequence[str]) -> list[Column]:
-    """Indicators for every level but the first; an unseen or missing level gives all zeros."""
-    value = F.col(c).cast("string")
-    return [F.when(value == level, 1.0).otherwise(0.0) for level in levels[1:]]
+def level_place(c: str, levels: Sequence[str]) -> Column:
+    """Place among the levels from 1 on, 0 for an unseen and NULL for a missing one; one expression for any number of levels."""
+    known = F.from_json(F.lit(json.dumps(list(levels))), "array<string>")
+    return F.array_position(known, F.col(c).cast("string"))
+
+
+def one_hot(c: str, levels: Sequence[str]) -> Column:
+    """Array of indicators for every level but the first; an unseen or missing level gives all zeros."""
+    if len(levels) < 2:
+        return F.array().cast("array<double>")
+    place = F.coalesce(level_place(c, levels), F.lit(0))
+    return F.transform(F.sequence(F.lit(2), F.lit(len(levels))), lambda i: (i == place).cast("double"))
 
 
 def ordinal(c: str, levels: Sequence[str]) -> Column:
     """Position among the sorted levels; an unseen level is an error."""
-    known = F.array(*[F.lit(x) for x in levels])
-    place = F.array_position(known, F.col(c).cast("string"))
+    place = level_place(c, levels)
     text = F.concat(F.lit(f"unknown level in {c}: "), F.coalesce(F.col(c).cast("string"), F.lit("NULL")))
     return F.when(place > 0, (place - 1).cast("double")).otherwise(F.raise_error(text).cast("double"))
 
@@ -119,11 +121,11 @@ class FeatureEncoderModel(Model, _EncoderParams, DefaultParamsReadable, DefaultP
     def encoded(self) -> Column:
         """Numeric block, then one-hot block, then ordinal block, as ``array<double>``."""
         state = self._state()
-        parts = [scaled(c, *state["scale"][c]) for c in self.getOrDefault(self.numericCols)]
-        for c in self.getOrDefault(self.categoricalCols):
-            parts += one_hot(c, state["levels"][c])
-        parts += [ordinal(c, state["levels"][c]) for c in self.getOrDefault(self.ordinalCols)]
-        return F.array(*parts)
+        none = F.array().cast("array<double>")
+        numeric = [scaled(c, *state["scale"][c]) for c in self.getOrDefault(self.numericCols)]
+        places = [ordinal(c, state["levels"][c]) for c in self.getOrDefault(self.ordinalCols)]
+        hot = [one_hot(c, state["levels"][c]) for c in self.getOrDefault(self.categoricalCols)]
+        return F.concat(F.array(*numeric) if numeric else none, *hot, F.array(*places) if places else none)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         return dataset.withColumn(self.getOrDefault(self.outputCol), array_to_vector(self.encoded()))

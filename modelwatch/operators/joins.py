@@ -1,15 +1,12 @@
-"""Joins that stay balanced when one key holds a large share of the rows."""
+"""Joins used by several operators."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 32
-HOT_SHARE = 0.01
-
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi-join that also matches NULL with NULL; key columns come from the left."""
@@ -18,45 +15,11 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """Values that may hold at least ``share`` of the rows: every such value, and at most 1 / share in all.
+def membership(left: DataFrame, keys: DataFrame, key: str, *, keep_members: bool) -> DataFrame:
+    """Rows of ``left`` whose ``key`` is (or is not) in ``keys``; a row without key is never a member.
 
-    One pass over the key column without a shuffle.
-    """
-    items = df.select(F.col(key).alias("k")).where("k is not null").stat.freqItems(["k"], share).first()
-    return [v for v in (items["k_freqItems"] or []) if v is not None]
-
-
-def hot_salt(key: str, hot: list, spread_on: list[str], salts: int = SALTS) -> Column:
-    """0 for an ordinary key; for a hot one a salt from the whole row and its input partition, so copies spread too."""
-    if not hot:
-        return F.lit(0)
-    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *spread_on), F.lit(salts)).cast("int")
-    return F.when(F.col(key).isin(hot), salt).otherwise(0)
-
-
-def salted_membership(
-    left: DataFrame,
-    keys: DataFrame,
-    key: str,
-    *,
-    keep_members: bool,
-    salts: int = SALTS,
-) -> DataFrame:
-    """Rows of ``left`` whose ``key`` is (or is not) in ``keys``.
-
-    Rows of a hot key are spread over salts, and that key is repeated per salt on
-    the distinct side; all other keys are joined as they are. Rows with a NULL key
-    are never members and take no part in the join.
+    One semi or anti join on undistinguished keys: a hot key of ``left`` is split by adaptive execution, which sees the
+    true partition sizes, and neither side needs a pass of its own.
     """
-    hot = hot_keys(left, key)
-    members = keys.select(key).where(F.col(key).isNotNull()).distinct()
-    all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
-    reach = F.when(F.col(key).isin(hot), all_salts).otherwise(F.array(F.lit(0))) if hot else F.array(F.lit(0))
-    members = members.withColumn("_salt", F.explode(reach))
-    hashable = [c for c, t in left.dtypes if not t.startswith("map")]
-    keyed = left.where(F.col(key).isNotNull()).withColumn("_salt", hot_salt(key, hot, hashable, salts))
-    if keep_members:
-        return keyed.join(members, [key, "_salt"], "left_semi").drop("_salt")
-    rest = keyed.join(members, [key, "_salt"], "left_anti").drop("_salt")
-    return rest.unionByName(left.where(F.col(key).isNull()))
+    how = "left_semi" if keep_members else "left_anti"
+    return left.join(keys.select(key), key, how).select(*left.columns)

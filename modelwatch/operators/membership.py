@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modelwatch.operators.joins import salted_membership
+from modelwatch.operators.joins import membership
 from modelwatch.sources.fingerprint import row_digest
 from modelwatch.sources.tables import path_exists
 
@@ -75,10 +75,10 @@ def require_new_ids(new: DataFrame, current: DataFrame, key: str) -> int:
 def row_overlap(new: DataFrame, holdout: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row: how many new rows equal some holdout row in all ``cols`` (NULL equals NULL).
 
-    Only 256-bit digests are shuffled, combined per task first.
+    Columns of different types meet in their common type, so 5 equals 5.0. Only 256-bit digests are shuffled, combined
+    per task first.
     """
-    digest = row_digest(cols).alias("d")
-    both = _tagged(new.select(digest), holdout.select(digest), ["d"])
+    both = _tagged(new, holdout, cols).select(row_digest(cols).alias("d"), "_a", "_b")
     per_row = both.groupBy("d").agg(F.sum("_a").alias("a"), F.max("_b").alias("b"))
     return per_row.agg(
         F.coalesce(F.sum("a"), F.lit(0)).cast("bigint").alias("new_rows"),
@@ -111,12 +111,12 @@ def already_seen(batch_prints: DataFrame, lineage: DataFrame) -> DataFrame:
 
 def holdout_side(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows whose id is frozen as holdout. The id table grows with the data, so no broadcast is forced."""
-    return salted_membership(df, ids, key, keep_members=True)
+    return membership(df, ids, key, keep_members=True)
 
 
 def training_side(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """All other rows; rows without id train."""
-    return salted_membership(df, ids, key, keep_members=False)
+    return membership(df, ids, key, keep_members=False)
 
 
 def require_holdout(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:

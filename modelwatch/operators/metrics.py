@@ -150,18 +150,18 @@ def evaluate(
             F.count_if((y == 0) & (p == 1)).alias("fp"),
             F.count_if((y == 1) & (p == 0)).alias("fn"),
             F.count_if((y == 1) & (p == 1)).alias("tp"),
-            F.count_if(y == 1).alias("pos"),
-            F.count_if(y == 0).alias("neg"),
+            F.count_if((y == 1) & F.col("score").isNotNull()).alias("pos"),
+            F.count_if((y == 0) & F.col("score").isNotNull()).alias("neg"),
         )
     )
+    # Rows without score are counted as samples, but have no place in the ranking.
     totals = running_totals(per_score, "score", ["neg"], by)
-    ranked = F.col("score").isNotNull()
     wins = F.col("pos").cast("decimal(38,1)") * (2 * (F.col("cum_neg") - F.col("neg")) + F.col("neg"))
     out = totals.groupBy(*by).agg(
         *[F.sum(c).cast("bigint").alias(c) for c in ("samples", "tn", "fp", "fn", "tp")],
         F.try_divide(
-            F.sum(F.when(ranked, wins)).cast("double"),
-            2.0 * F.sum(F.when(ranked, F.col("pos"))).cast("double") * F.sum(F.when(ranked, F.col("neg"))),
+            F.sum(wins).cast("double"),
+            2.0 * F.sum("pos").cast("double") * F.sum("neg"),
         ).alias("roc_auc"),
     )
     return _with_ratios(out).select(*by, "samples", "tn", "fp", "fn", "tp", *METRICS)

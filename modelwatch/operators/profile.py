@@ -22,13 +22,13 @@ def class_distribution(df: DataFrame, column: str) -> DataFrame:
 
 
 def rate_by(df: DataFrame, cols: Sequence[str], flag: Column) -> DataFrame:
-    """Positive rate per value of each column; all columns in one pass."""
+    """Positive rate per value of each column; all columns in one pass. A row without flag is in n, not in the rate."""
     slim = df.select(flag.cast("int").alias("_flag"), *[F.col(c).cast("string").alias(c) for c in cols])
     tall = slim.unpivot(["_flag"], list(cols), "column", "value").where(F.col("value").isNotNull())
     return tall.groupBy("column", "value").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.coalesce("_flag", F.lit(0))).cast("bigint").alias("positives"),
-        F.avg(F.coalesce("_flag", F.lit(0))).alias("rate"),
+        F.avg("_flag").alias("rate"),
     )
 
 

@@ -18,18 +18,26 @@ from pyspark.sql import Window as W
 
 from modelwatch.operators.ordered import exact_quantiles
 
-MAX_STRATA = 1000
 BROADCAST_DRAWS = 500_000
 PREFIX = 4
 
 
+def key_text(key: str) -> Column:
+    """A key as text; rows without key share the empty one."""
+    return F.coalesce(F.col(key).cast("string"), F.lit(""))
+
+
 def order_hash(key: str, seed: int) -> Column:
-    return F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}")))
+    return F.md5(F.concat(key_text(key), F.lit(f"|{seed}")))
 
 
 @dataclass(frozen=True)
 class HashCut:
-    """Per stratum, the last (hash, key) inside the quota; strata without quota are absent."""
+    """Per stratum, the last (hash, key) inside the quota; strata without quota are absent.
+
+    Rows of one key lie on one side, so a quota that ends between them cannot be
+    met: ``hash_cut`` raises then, and only then.
+    """
 
     key: str
     seed: int
@@ -37,13 +45,13 @@ class HashCut:
     cuts: dict[str, tuple[str, str]]
 
     def selected(self) -> Column:
-        """Is the row inside its stratum's quota? Rows without key never are."""
+        """Is the row inside its stratum's quota?"""
         entries = [F.lit(x) for s, (h, _) in self.cuts.items() for x in (s, h)]
         keys = [F.lit(x) for s, (_, k) in self.cuts.items() for x in (s, k)]
         if not entries:
             return F.lit(False)
         stratum = F.coalesce(F.col(self.by).cast("string"), F.lit("")) if self.by else F.lit("")
-        h, k = order_hash(self.key, self.seed), F.col(self.key).cast("string")
+        h, k = order_hash(self.key, self.seed), key_text(self.key)
         cut_h = F.try_element_at(F.create_map(*entries), stratum)
         cut_k = F.try_element_at(F.create_map(*keys), stratum)
         return F.coalesce((h < cut_h) | ((h == cut_h) & (k <= cut_k)), F.lit(False))
@@ -51,9 +59,7 @@ class HashCut:
 
 def _keyed(df: DataFrame, key: str, seed: int, by: str | None) -> DataFrame:
     stratum = F.coalesce(F.col(by).cast("string"), F.lit("")) if by else F.lit("")
-    keyed = df.where(F.col(key).isNotNull()).select(
-        stratum.alias("stratum"), order_hash(key, seed).alias("h"), F.col(key).cast("string").alias("k")
-    )
+    keyed = df.select(stratum.alias("stratum"), order_hash(key, seed).alias("h"), key_text(key).alias("k"))
     return keyed.withColumn("bucket", F.substring("h", 1, PREFIX))
 
 
@@ -87,11 +93,8 @@ def hash_cut(
     edges = (
         placed.where(ends_here)
         .select(F.concat_ws("|", "bucket", "stratum").alias("spot"), (F.col("quota") - F.col("start")).alias("rank"))
-        .limit(MAX_STRATA + 1)
-        .collect()
+        .collect()  # a row for each stratum, which become entries of one expression
     )
-    if len(edges) > MAX_STRATA:
-        raise ValueError(f"more than {MAX_STRATA} strata")
     if not edges:
         return HashCut(key, seed, by, {})
     # One bucket per stratum is left: 1 / 65,536 of its rows.
@@ -99,8 +102,11 @@ def hash_cut(
     near = keyed.withColumn("spot", F.concat_ws("|", "bucket", "stratum")).where(
         F.col("spot").isin([e["spot"] for e in edges])
     )
-    ranked = near.withColumn("rn", F.row_number().over(W.partitionBy("spot").orderBy("h", "k")))
-    rows = ranked.where(F.col("rn") == rank).select("stratum", "h", "k").collect()
+    in_order = W.partitionBy("spot").orderBy("h", "k")
+    ranked = near.withColumn("rn", F.row_number().over(in_order)).withColumn("next", F.lead("k").over(in_order))
+    rows = ranked.where(F.col("rn") == rank).select("stratum", "h", "k", (F.col("next") == F.col("k")).alias("shared")).collect()
+    if any(r["shared"] for r in rows):
+        raise ValueError(f"rows that share a {key} (or have none) stand where the quota ends: no exact sample")
     return HashCut(key, seed, by, {r["stratum"]: (r["h"], r["k"]) for r in rows})
 
 
@@ -163,10 +169,10 @@ def _with_rank(df: DataFrame, key: str, seed: int, by: str) -> DataFrame:
     """Rows with their hash rank inside the stratum; rows travel once, to their own bucket."""
     stratum = F.coalesce(F.col(by).cast("string"), F.lit(""))
     h = order_hash(key, seed)
-    marked = df.where(F.col(key).isNotNull()).select(
+    marked = df.select(
         "*", stratum.alias("stratum"), h.alias("_h"), F.substring(h, 1, PREFIX).alias("bucket")
     )
-    within = F.row_number().over(W.partitionBy("stratum", "bucket").orderBy("_h", F.col(key).cast("string")))
+    within = F.row_number().over(W.partitionBy("stratum", "bucket").orderBy("_h", key_text(key)))
     offsets = _placed(_bucket_rows(_keyed(df, key, seed, by))).select("stratum", "bucket", "start")
     return (
         marked.withColumn("_rn", within)
@@ -181,8 +187,11 @@ def sample_with_replacement(df: DataFrame, key: str, n: int, seed: int = 42) ->
 
     Draw i takes the row at hash-order position md5(i | seed) mod N.
     """
-    ranked = hash_rank(df, key, seed).select(F.col(key).alias("_k"), "rank", "n")
-    size = df.where(F.col(key).isNotNull()).agg(F.count(F.lit(1)).alias("n")).scalar()
+    twice = F.count(F.lit(1)).over(W.partitionBy(key)) > 1
+    wrong = F.raise_error(F.concat(F.lit(f"{key} is repeated or missing: "), F.coalesce(F.col(key).cast("string"), F.lit("NULL"))))
+    ranked = hash_rank(df, key, seed)
+    ranked = ranked.withColumn("_k", F.when(twice | (F.col(key) == ""), wrong.cast("string")).otherwise(F.col(key)))
+    size = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     word = F.conv(F.substring(F.md5(F.concat(F.col("id").cast("string"), F.lit(f"|{seed}"))), 1, 15), 16, 10)
     draws = df.sparkSession.range(n).select(
         F.col("id").alias("draw"), F.pmod(word.cast("bigint"), size).alias("rank")

@@ -27,18 +27,18 @@ from modelwatch.session import stage_table
 
 WEIGHT = "class_weight"
 PARALLELISM = 4
-ROWS_PER_PART = 5_000
+#: Rows of a training partition: few while there are few partitions, up to ROWS_PER_LARGE_PART on large data.
+ROWS_PER_PART, SMALL_PARTS, ROWS_PER_LARGE_PART = 5_000, 64, 1_000_000
 
 
 def stable_layout(df: DataFrame, key: str, rows: int) -> DataFrame:
     """Same rows in the same partitions in the same order, whatever the input layout.
 
     Seeded learners draw per partition, so a repeatable fit needs this. The number
-    of partitions follows from the row count, up to the session's shuffle setting,
-    and is not left to run-time coalescing.
+    of partitions follows from the row count alone, not from a session setting or
+    run-time coalescing.
     """
-    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(1, min(most, math.ceil(rows / ROWS_PER_PART)))
+    parts = max(1, min(SMALL_PARTS, math.ceil(rows / ROWS_PER_PART)), math.ceil(rows / ROWS_PER_LARGE_PART))
     return df.repartition(parts, key).sortWithinPartitions(key)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,6 +47,11 @@ def _report(spark: SparkSession, status: str, **fields) -> DataFrame:
     return spark.createDataFrame([row], REPORT)
 
 
+def rejected(spark: SparkSession, rows: int) -> DataFrame:
+    """Report of a batch that breaks the identity rules."""
+    return _report(spark, "rejected", new_rows=rows)
+
+
 def lineage_record(
     spark: SparkSession, *, version: int, archive: str, source: str, fingerprint: str, previous: int, new: int
 ) -> DataFrame:
@@ -124,15 +129,16 @@ def lineage_invariants(ledger: DataFrame) -> DataFrame:
     """Per ledger row: sums hold, it continues the preceding version, its hash is unique."""
     number = F.substring("dataset_version", 2, 20).cast("int")
     rows = ledger.withColumn("version", number)
-    before = rows.select((F.col("version") + 1).alias("version"), F.col("current_rows").alias("_before"))
+    # A ledger has a row per batch; the row before is the one of the next smaller version, whatever its number.
+    preceding = Window.orderBy("version")
+    rows = rows.select("*", F.lag("version").over(preceding).alias("_last"), F.lag("current_rows").over(preceding).alias("_before"))
     repeated = rows.groupBy("new_data_hash").agg((F.count(F.lit(1)) == 1).alias("hash_unique"))
     return (
-        rows.join(before, "version", "left")
-        .join(repeated, "new_data_hash")
+        rows.join(repeated, "new_data_hash")
         .select(
             "dataset_version",
             (F.col("current_rows") == F.col("previous_rows") + F.col("new_rows")).alias("sums_hold"),
-            F.coalesce(F.col("_before") == F.col("previous_rows"), F.lit(True)).alias("continues"),
+            F.coalesce((F.col("_before") == F.col("previous_rows")) & (F.col("_last") + 1 == F.col("version")), F.col("_last").isNull()).alias("continues"),
             "hash_unique",
         )
     )

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modelwatch.functions.scalars import any_cell_equals
+from modelwatch.operators.drift import NO_DATA
 
 
 def trigger_status(
@@ -51,19 +53,24 @@ def trigger_decision(cycles: DataFrame) -> DataFrame:
 def run_cycle(summary: DataFrame, has_batch: bool, retrain: Callable[[], tuple[str, bool]]) -> DataFrame:
     """Check the drift summary and call ``retrain`` only on drift with a batch at hand.
 
-    ``retrain`` returns (load status, passed).
+    ``retrain`` returns (load status, passed). The analysis has failed where the
+    job that makes the summary fails, or a feature had no data on one side.
     """
-    drift = bool(any_cell_equals(summary, "DRIFT").first()["found"])
+    try:
+        analysed = not any_cell_equals(summary, NO_DATA).first()["found"]
+        drift = analysed and bool(any_cell_equals(summary, "DRIFT").first()["found"])
+    except PySparkException:
+        analysed = drift = False
     load_status, passed = retrain() if drift and has_batch else (None, None)
     schema = (
         "analysed boolean, drift_detected boolean, new_data_present boolean, data_load_status string, run_passed boolean"
     )
-    cycle = summary.sparkSession.createDataFrame([(True, drift, has_batch, load_status, passed)], schema)
+    cycle = summary.sparkSession.createDataFrame([(analysed, drift, has_batch, load_status, passed)], schema)
     return trigger_decision(cycle).withColumn("timestamp", F.current_timestamp())
 
 
 def stage_rollup(stage_log: DataFrame, expected: list[str], stop_after: str = "load") -> DataFrame:
-    """PASSED per run when all expected stages passed, or when loading found nothing new and passed.
+    """Per run: NO_NEW_DATA when loading passed and found nothing new, PASSED when all expected stages passed, else FAILED.
 
     ``stage_log``: run, stage, passed, outcome.
     """
@@ -74,11 +81,11 @@ def stage_rollup(stage_log: DataFrame, expected: list[str], stop_after: str = "l
         F.coalesce(F.bool_and("passed"), F.lit(False)).alias("_all"),
         F.coalesce(F.bool_or(nothing_new), F.lit(False)).alias("stopped_early"),
     )
-    complete = F.col("_all") & ((F.col("stages_passed") == len(expected)) | F.col("stopped_early"))
+    complete = F.col("_all") & (F.col("stages_passed") == len(expected))
     return runs.select(
         "run",
         "stages_passed",
         F.lit(len(expected)).alias("stages_expected"),
         "stopped_early",
-        F.when(complete, "PASSED").otherwise("FAILED").alias("status"),
+        F.when(F.col("_all") & F.col("stopped_early"), "NO_NEW_DATA").when(complete, "PASSED").otherwise("FAILED").alias("status"),
     )

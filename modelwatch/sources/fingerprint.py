@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
 
 def file_fingerprints(spark: SparkSession, path: str) -> DataFrame:
     """SHA-256 of every file under the path, computed where the file is read."""
@@ -18,8 +20,8 @@ def file_fingerprints(spark: SparkSession, path: str) -> DataFrame:
 
 
 def row_text(cols: Sequence[str]) -> Column:
-    """Canonical text of a row: JSON with NULL fields kept."""
-    return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
+    """Canonical text of a row: JSON with NULL fields kept and times to the microsecond."""
+    return F.to_json(F.struct(*cols), {"ignoreNullFields": "false", "timestampFormat": MICROS + "XXX", "timestampNTZFormat": MICROS})
 
 
 def row_digest(cols: Sequence[str]) -> Column:

@@ -39,8 +39,9 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
 def read_csv_table(spark: SparkSession, path: str, spec: TableSpec | None = None) -> DataFrame:
     """Land a CSV as text columns; the header decides the columns.
 
-    A missing path or a table without rows is an error. Lines that do not parse
-    are kept in ``_corrupt_record``.
+    A missing path or a table without rows is an error, and so are files of one
+    folder whose headers differ. A quote in a quoted value is doubled. Lines that
+    do not parse are kept in ``_corrupt_record``.
     """
     if not path_exists(spark, path):
         raise FileNotFoundError(path)
@@ -53,6 +54,8 @@ def read_csv_table(spark: SparkSession, path: str, spec: TableSpec | None = None
         .option("header", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt_record")
+        .option("enforceSchema", False)
+        .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
@@ -61,16 +64,11 @@ def read_csv_table(spark: SparkSession, path: str, spec: TableSpec | None = None
 
 
 def read_log(spark: SparkSession, path: str, input_type: T.DataType | None = None) -> DataFrame:
-    """Inference events from JSON lines; blank lines are skipped, no events is an error."""
+    """Inference events from JSON lines; blank lines are skipped, no events and a line that does not parse are errors."""
     if not path_exists(spark, path):
         raise FileNotFoundError(path)
     schema = T.StructType(log_schema(input_type).fields + [T.StructField("_corrupt_record", T.StringType())])
-    df = (
-        spark.read.schema(schema)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
-        .json(path)
-    )
+    df = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
     return require_rows(df, path)
 
 

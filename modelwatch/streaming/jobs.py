@@ -18,11 +18,14 @@ from pyspark.sql.streaming import StreamingQuery
 from modelwatch.operators.checks import quarantine
 from modelwatch.operators.drift import js_against_baseline
 from modelwatch.operators.training import score
-from modelwatch.plans.ingest import ingest
+from modelwatch.plans.ingest import ingest, rejected
 from modelwatch.plans.monitor import to_log_events
 from modelwatch.schema import TableSpec
+from modelwatch.session import stage_table
 from modelwatch.sources.fingerprint import row_digest
 
+FILE = "_file"
+
 
 def stream_table(
     spark: SparkSession,
@@ -31,13 +34,16 @@ def stream_table(
     fmt: str = "parquet",
     glob: str | None = None,
     files_per_trigger: int | None = None,
+    name_files: bool = False,
 ) -> DataFrame:
+    """A folder as a stream; with ``name_files`` each row says which file it is from, in column ``FILE``."""
     reader = spark.readStream.schema(schema).format(fmt)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.load(folder)
+    rows = reader.load(folder)
+    return rows.select("*", F.col("_metadata.file_path").alias(FILE)) if name_files else rows
 
 
 def _start(writer, checkpoint: str, trigger: dict | None) -> StreamingQuery:
@@ -95,14 +101,30 @@ def run_landing(
     reports: Callable[[DataFrame], None] | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Ingest each micro-batch. A replayed batch has a known fingerprint and changes nothing."""
+    """Ingest each micro-batch, file by file if the stream names its files.
+
+    A batch or file that was taken before has a known fingerprint and changes nothing. One that breaks the identity
+    rules is written to ``<root>/quarantine`` and reported as rejected; the stream goes on with the next.
+    """
+
+    def take_one(part: DataFrame, source: str, place: str) -> None:
+        try:
+            report = ingest(part.sparkSession, part, root, key, spec=spec, source=source)
+        except ValueError:
+            part.write.mode("overwrite").parquet(f"{root}/quarantine/{place}")
+            report = rejected(part.sparkSession, part.count())
+        if reports:
+            reports(report)
 
     def take(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        report = ingest(batch.sparkSession, batch, root, key, spec=spec, source=f"micro-batch {batch_id}")
-        if reports:
-            reports(report)
+        if FILE not in batch.columns:
+            take_one(batch, f"micro-batch {batch_id}", f"batch={batch_id}")
+            return
+        # As many files as the source's maxFilesPerTrigger allows.
+        for i, row in enumerate(sorted(batch.select(FILE).distinct().collect())):
+            take_one(batch.where(F.col(FILE) == row[0]).drop(FILE), row[0], f"batch={batch_id}/file={i}")
 
     return _start(stream.writeStream.foreachBatch(take), checkpoint, trigger)
 
@@ -113,9 +135,11 @@ def run_quarantine(
     """Split rows into a good and a quarantine folder; the batch id names the target, so a replay overwrites."""
 
     def split(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
         passed, failed = quarantine(batch, spec)
         passed.write.mode("overwrite").parquet(f"{good}/batch={batch_id}")
         failed.write.mode("overwrite").parquet(f"{bad}/batch={batch_id}")
+        batch.unpersist()
 
     return _start(stream.writeStream.foreachBatch(split), checkpoint, trigger)
 
@@ -144,8 +168,10 @@ def windowed_drift(
     The stream keeps one counter per (window, category). Windows reach the batch
     function once, when the watermark closes them.
     """
-    shares = baseline.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias("category")).agg(
-        F.count(F.lit(1)).alias("base")
+    # A row per category, written once: the baseline is not scanned again for each micro-batch.
+    shares = stage_table(
+        baseline.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias("category")).agg(F.count(F.lit(1)).alias("base")),
+        "baseline-shares",
     )
     counts = (
         stream.withWatermark(time, delay)

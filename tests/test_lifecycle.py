@@ -101,6 +101,11 @@ def test_cycle_calls_retraining_only_when_needed(spark):
     assert not calls
     assert trigger.run_cycle(loud, True, retrain).first()["status"] == "retraining_completed"
     assert len(calls) == 1
+    empty_side = spark.createDataFrame([("a", "DRIFT"), ("b", "NO_DATA")], "metric string, status string")
+    broken = spark.range(1).selectExpr("'a' AS metric", "raise_error('no baseline') AS status")
+    for summary in (empty_side, broken):
+        assert trigger.run_cycle(summary, True, retrain).first()["status"] == "drift_analysis_failed"
+    assert len(calls) == 1
 
 
 def test_stage_rollup(spark):
@@ -114,4 +119,4 @@ def test_stage_rollup(spark):
     ]
     df = spark.createDataFrame(rows, "run string, stage string, passed boolean, outcome string")
     got = {r["run"]: r["status"] for r in trigger.stage_rollup(df, ["load", "fit"]).collect()}
-    assert got == {"full": "PASSED", "broken": "FAILED", "short": "FAILED", "idle": "PASSED"}
+    assert got == {"full": "PASSED", "broken": "FAILED", "short": "FAILED", "idle": "NO_NEW_DATA"}
