@@ -142,3 +142,10 @@ def test_encoded_check_finds_missing_values_and_widths(spark):
 def test_require_schema_names_the_failure(spark):
     with pytest.raises(ValueError, match="Contract: isin 'Lifetime'"):
         checks.require_schema(landed(spark, [customer(1, Contract="Lifetime")]), CUSTOMER_SPEC)
+
+
+def test_broken_record_without_batch_is_rejected(spark):
+    rows = [dict(customer(1, tenure="-5"), i="0"), dict(customer(2), i="1"), dict(customer(3), batch="a", i="0")]
+    columns = [c for c in COLUMNS if c != "Churn"] + ["batch", "i"]
+    df = landed(spark, [{"batch": "", **r} for r in rows], columns).withColumn("batch", F.nullif("batch", F.lit("")))
+    assert [r["customerID"] for r in checks.accepted_records(df, REQUEST_SPEC, "batch", "i").collect()] == ["0003-ABCDE"]

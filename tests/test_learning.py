@@ -183,3 +183,25 @@ def test_engineered_columns(spark):
     assert services == sum(row[c] not in ("No", "No internet service", "No phone service") for c in
                            ("PhoneService", "MultipleLines", "InternetService", "OnlineSecurity", "OnlineBackup",
                             "DeviceProtection", "TechSupport", "StreamingTV", "StreamingMovies"))
+
+
+def test_shared_and_missing_keys(spark):
+    rows = spark.createDataFrame([(None if i % 4 == 0 else i // 3, "ab"[i % 2]) for i in range(40)], "k int, y string")
+    folds = sampling.stratified_folds(rows, "k", "y", 5).groupBy("y", "fold").count().collect()
+    assert sum(r["count"] for r in folds) == 40 and {r["count"] for r in folds} == {4}
+    same = spark.createDataFrame([(7,)] * 10, "k int")
+    with pytest.raises(ValueError, match="share a k"):
+        sampling.sample_rows(same, "k", 3)
+    assert sampling.sample_rows(same, "k", 10).count() == 10
+    with pytest.raises(Exception, match="repeated or missing"):
+        sampling.sample_with_replacement(same, "k", 3).collect()
+
+
+def test_layout_does_not_depend_on_the_session(spark):
+    rows = spark.range(20_000).withColumnRenamed("id", "k")
+    sizes = set()
+    for parts in ("1", "8", "50"):
+        other = spark.newSession()
+        other.conf.set("spark.sql.shuffle.partitions", parts)
+        sizes.add(training.stable_layout(other.range(20_000).withColumnRenamed("id", "k"), "k", rows.count()).rdd.getNumPartitions())
+    assert sizes == {4}

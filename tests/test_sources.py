@@ -30,6 +30,28 @@ def test_csv_lands_as_text(spark, tmp_path):
     assert df.where("customerID = '0000-ABCDE'").first()["TotalCharges"] == " "
 
 
+def test_csv_files_with_other_headers_and_quotes(spark, tmp_path):
+    (tmp_path / "one.csv").write_text('x,y\n1,"say ""hi"", twice"\n')
+    assert tables.read_csv_table(spark, str(tmp_path)).first()["y"] == 'say "hi", twice'
+    (tmp_path / "two.csv").write_text("y,x\n2,1\n")
+    with pytest.raises(Exception, match="header"):
+        tables.read_csv_table(spark, str(tmp_path)).collect()
+
+
+def test_broken_log_line_is_an_error(spark, tmp_path):
+    (tmp_path / "log.jsonl").write_text(EVENT % ('"tenure": 3', "1", "success") + '\n{"request_id": "cut')
+    with pytest.raises(Exception, match="MALFORMED|malformed|Malformed"):
+        tables.read_log(spark, str(tmp_path)).collect()
+
+
+def test_microseconds_are_part_of_a_fingerprint(spark):
+    at = "CAST('2024-01-01 00:00:00.000001' AS {})"
+    for kind in ("timestamp", "timestamp_ntz"):
+        one = spark.sql(f"SELECT {at.format(kind)} AS t")
+        two = spark.sql(f"SELECT {at.format(kind)} + INTERVAL '0.000001' SECOND AS t")
+        assert fingerprint.table_fingerprint(one).first()["fingerprint"] != fingerprint.table_fingerprint(two).first()["fingerprint"]
+
+
 def test_missing_and_empty_csv_are_errors(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         tables.read_csv_table(spark, str(tmp_path / "none.csv"))

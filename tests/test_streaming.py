@@ -78,6 +78,25 @@ def test_landing_replay_has_no_effect(spark, tmp_path):
     assert read_current(spark, root).count() == 30 and read_ledger(spark, root).count() == 1
 
 
+def test_landing_takes_the_new_file_beside_an_old_one(spark, tmp_path):
+    root, folder, statuses = scratch_path(spark, "root"), str(tmp_path / "landing"), []
+    ingest.start_table(landed(spark, [customer(i) for i in range(20)]), root)
+    batches = [landed(spark, [customer(i) for i in range(k, k + 10)]).coalesce(1) for k in (100, 200, 105)]
+
+    def run():
+        stream = jobs.stream_table(spark, folder, batches[0].schema, name_files=True)
+        jobs.run_landing(stream, root, "customerID", check, spec=CUSTOMER_SPEC, reports=lambda r: statuses.append(r.first()["status"])).awaitTermination()
+
+    check = scratch_path(spark, "c")
+    batches[0].write.mode("append").parquet(folder)
+    run()
+    for b in batches:  # delivered again, new, and with ids of the first
+        b.write.mode("append").parquet(folder)
+    run()
+    assert sorted(statuses) == ["already_ingested", "ingested", "ingested", "rejected"]
+    assert read_current(spark, root).count() == 40
+
+
 def test_quarantine_keeps_every_row(spark):
     rows = landed(spark, [customer(i, **({"gender": "X"} if i % 4 == 0 else {})) for i in range(40)])
     source, good, bad = (scratch_path(spark, n) for n in ("in", "good", "bad"))
