@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import struct
 import sys
 import types
@@ -19,8 +20,16 @@ from modelwatch.llm.common import pick, stage_table, utf8_slices
 SHARD = 1 << 22
 #: Set bits between two entries of the select directory.
 STEP = 256
-#: Words whose ids a worker keeps; the store starts anew beyond that.
-KEPT = 500_000
+#: Words whose ids a worker keeps in each of two generations.
+KEPT = 200_000
+#: Normalisers and splits (by letters, single digits and other signs) of a kind of tokenizer file.
+LETTERS_APART = [
+    ["NFC", None, None, None, None, None],
+    ["Replace", {"Regex": "\\s+"}, None, None, None, None],
+    ["Lowercase", None, None, None, None, None],
+    ["Split", {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "Removed", True, None, None],
+    ["ByteLevel", None, None, None, False, False],
+]
 MAGIC = b"EFID"
 
 
@@ -108,24 +117,66 @@ class Shard:
 
 
 class Encoder:
-    """Ids of texts, word by word: no token, normalisation or split of this kind of tokenizer crosses ASCII white space."""
+    """Ids of texts, word by word: no token, normalisation or split of this kind of tokenizer crosses ASCII white space.
+
+    Ids of words seen lately are kept, as packed 32-bit numbers, in two generations of ``KEPT`` words.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        self.tokenizer, self.now, self.before = Tokenizer.from_file(path), {}, {}
+        with open(path) as f:
+            spec = json.load(f)
+        # A word of letters holds no added token if all of those have another sign in them.
+        self.plain = _shape(spec) == LETTERS_APART and not any(t["content"].isalpha() for t in spec["added_tokens"])
+        self.spelled = {chr(c): ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(chr(c))[0][0] for c in range(0x21, 0x180) if chr(c).strip()}
+
+    def _split(self, word: str) -> list[str] | None:
+        """The model's input for a word of letters and closing punctuation; None for any other word.
+
+        For such words in Latin letters the normalisers only lower the case, and the split is between the two.
+        """
+        low = word.lower()
+        core = low.rstrip(".,;:!?")
+        if not self.plain or not core.isalpha() or max(core) >= "\u0180" or max(word) >= "\u0180":
+            return None
+        spelled = self.spelled
+        return ["".join([spelled[c] for c in part]) for part in (core, low[len(core) :]) if part]
+
+    def _new(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        model, parts, others = self.tokenizer.model.tokenize, {}, []
+        for word in words:
+            split = self._split(word.decode())
+            if split is None:
+                others.append(word)
+                continue
+            for part in split:
+                if part not in parts:
+                    parts[part] = b"".join([t.id.to_bytes(4, "little") for t in model(part)])
+            yield word, b"".join([parts[p] for p in split])
+        for at in range(0, len(others), 4096):
+            some = others[at : at + 4096]
+            for word, got in zip(some, self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)):
+                yield word, np.array(got.ids, "<u4").tobytes()
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Packed ids of each text."""
+        split = [t.split() for t in texts]
+        if len(self.now) > KEPT:
+            self.now, self.before = {}, self.now
+        now, before = self.now, self.before
+        missing = [w for w in set().union(*split) if w not in now]
+        now.update((w, before[w]) for w in missing if w in before)
+        now.update(self._new([w for w in missing if w not in now]))
+        return [b"".join(map(now.__getitem__, words)) for words in split]
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
 
-    def encode(self, texts: list[bytes]) -> list[list[int]]:
-        split = [t.split() for t in texts]
-        if len(self.known) > KEPT:
-            self.known.clear()
-        known = self.known
-        new = list({w for words in split for w in words if w not in known})
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for word, got in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                known[word] = got.ids
-        return [[i for w in words for i in known[w]] for words in split]
+def _shape(spec: dict) -> list:
+    """What a tokenizer's normalisers and splits are."""
+    steps = (spec.get("normalizer") or {}).get("normalizers", []) + (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    return [[s["type"], s.get("pattern"), s.get("behavior"), s.get("invert"), s.get("add_prefix_space"), s.get("use_regex")] for s in steps]
 
 
 def encoder(path: str) -> Encoder:
@@ -153,20 +204,20 @@ def write(docs: DataFrame, path: str, end_id: int, doc_id: str = "doc_id", text:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        end = end_id.to_bytes(4, "little")
         encode, names, lengths, ids, total, before = encoder(path).encode, [], [], [], 0, 0
 
         def flush() -> pa.RecordBatch:
-            whole = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+            whole = np.frombuffer(b"".join(ids), "<u4")
             return pa.record_batch([pa.array([before], pa.int64()), pa.array([total], pa.int64()), pa.array([write_shard(names, lengths, whole)], pa.binary())], ["before", "n_ids", "file"])
 
         for part in utf8_slices(batches, "text", 2 << 20):
             texts = [(t or "").encode() for t in part.column("text").to_pylist()]
             for name, got in zip(part.column("doc_id").to_pylist(), encode(texts)):
-                got.append(end_id)
                 names.append(name)
-                lengths.append(len(got))
-                ids.append(np.array(got, np.uint32))
-                total += len(got)
+                lengths.append(len(got) // 4 + 1)
+                ids += [got, end]
+                total += lengths[-1]
                 if total >= SHARD:
                     yield flush()
                     names, lengths, ids, total, before = [], [], [], 0, before + total
