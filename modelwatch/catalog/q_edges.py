@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modelwatch.catalog.proxies import SCORED, rounded, scored, table
+from modelwatch.catalog.proxies import CUST, SCORED, customers, rounded, scored, table
 from modelwatch.catalog.q_sources import YEARLY, yearly_ledger
 from modelwatch.catalog.registry import query
-from modelwatch.operators import drift, membership, metrics, profile, sampling
+from modelwatch.operators import drift, encoding, membership, metrics, profile, sampling, training
 from modelwatch.plans import ingest
 
 
@@ -78,3 +78,16 @@ def k1_empty(spark: SparkSession, sf: str) -> DataFrame:
 )
 def l10_gap(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.lineage_invariants(yearly_ledger(spark, sf).where("dataset_version <> 'v1997'"))
+
+
+@query(
+    "i7_closed_form",
+    f"SELECT contract, round(avg(y), 3) AS probability, count(*) AS n FROM ({CUST}) GROUP BY contract",
+)
+def i7_closed_form(spark: SparkSession, sf: str) -> DataFrame:
+    """Without a penalty, a logistic regression on one category says its positive rate."""
+    rows = customers(spark, sf).select("id", "contract", (F.col("churn") == "Yes").cast("int").alias("y"))
+    encoder = encoding.FeatureEncoder(categoricalCols=["contract"], outputCol="features")
+    model = training.fit_model(rows, "id", "y", encoder, training.logistic_regression("y", c=1e9, max_iter=200))
+    scored_rows = training.score(model, rows)
+    return scored_rows.groupBy("contract").agg(F.round(F.avg("churn_probability"), 3).alias("probability"), F.count(F.lit(1)).alias("n"))

@@ -136,7 +136,7 @@ def _trained(learner):
 
 
 query("i6_random_forest")(_trained(lambda: training.random_forest("y", trees=20, depth=6)))
-query("i7_logistic_regression")(_trained(lambda: training.logistic_regression("y", 1600, max_iter=30, weighted=True)))
+query("i7_logistic_regression")(_trained(lambda: training.logistic_regression("y", max_iter=30, weighted=True)))
 query("i8_decision_tree")(_trained(lambda: training.decision_tree("y")))
 query("i10_boosted_trees")(_trained(lambda: training.boosted_trees("y", rounds=5, subsample=0.8, columns="0.8")))
 
@@ -153,7 +153,7 @@ def _folded(spark: SparkSession, sf: str, k: int = 3) -> DataFrame:
 @query("i11_cross_validation")
 def i11(spark: SparkSession, sf: str) -> DataFrame:
     models = {
-        "logistic": (None, training.logistic_regression("y", 1600, max_iter=10)),
+        "logistic": (None, training.logistic_regression("y", max_iter=10)),
         "tree": (None, training.decision_tree("y", depth=3)),
     }
     return training.cv_summary(training.cross_validate(_folded(spark, sf), "id", "y", models))
@@ -197,7 +197,7 @@ def i13(spark: SparkSession, sf: str) -> DataFrame:
     grid = training.param_grid(c=[0.01, 1.0], penalty=["l1", "l2"])
 
     def build(c: float, penalty: str):
-        return training.logistic_regression("y", 1600, c=c, penalty=penalty, weighted=True, max_iter=5)
+        return training.logistic_regression("y", c=c, penalty=penalty, weighted=True, max_iter=5)
 
     _, tried = training.search(_folded(spark, sf, 2), "id", "y", None, build, grid)
     return tried
@@ -217,7 +217,7 @@ def i14(spark: SparkSession, sf: str) -> DataFrame:
 @query("i15_out_of_fold", with_sql("SELECT id, y FROM enc", enc=ENC))
 def i15(spark: SparkSession, sf: str) -> DataFrame:
     """Every row comes back once, scored by a model that did not see it."""
-    oof = training.out_of_fold(_folded(spark, sf), "id", "y", None, training.logistic_regression("y", 1600, max_iter=5))
+    oof = training.out_of_fold(_folded(spark, sf), "id", "y", None, training.logistic_regression("y", max_iter=5))
     return oof.where("churn_probability between 0 and 1").select("id", "y")
 
 
@@ -267,7 +267,7 @@ def i20(spark: SparkSession, sf: str) -> DataFrame:
     """Raw columns stay with their scores; every row is scored."""
     rows = customers(spark, sf)
     model = training.fit_model(
-        rows.where("id % 5 <> 0"), "id", "y", _encoder(), training.logistic_regression("y", 1000, max_iter=10, weighted=True)
+        rows.where("id % 5 <> 0"), "id", "y", _encoder(), training.logistic_regression("y", max_iter=10, weighted=True)
     )
     out = training.score(model, rows)
     return out.where("churn_probability between 0 and 1 and prediction in (0, 1)").select("id", "contract")

@@ -510,7 +510,7 @@ def s4(spark: SparkSession, sf: str) -> DataFrame:
 def s5(spark: SparkSession, sf: str) -> DataFrame:
     df = encoded(spark, sf).withColumn("features", array_to_vector("x"))
     model = training.fit_model(
-        df.where("split = 'train'"), "id", "y", None, training.logistic_regression("y", 1000, max_iter=10)
+        df.where("split = 'train'"), "id", "y", None, training.logistic_regression("y", max_iter=10)
     )
     raw = jobs.stream_table(spark, sf, table(spark, sf, "embeddings").schema, glob="embeddings.parquet")
     rows = raw.select(

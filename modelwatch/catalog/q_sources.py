@@ -208,7 +208,7 @@ def a10(spark: SparkSession, sf: str) -> DataFrame:
 
     path = scratch_path(spark, "a10")
     df = encoded(spark, sf).withColumn("features", array_to_vector("x"))
-    model = fit_model(df.where("split = 'train'"), "id", "y", None, logistic_regression("y", 1000, max_iter=20))
+    model = fit_model(df.where("split = 'train'"), "id", "y", None, logistic_regression("y", max_iter=20))
     models.save_bundle(spark, model, path, name="m", version="1", run_id="r1")
     fresh = score(model, df).select("id", F.col("churn_probability").alias("p"))
     both = models.score_with_bundle(spark, path, df).join(fresh, "id")

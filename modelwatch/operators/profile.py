@@ -33,23 +33,26 @@ def rate_by(df: DataFrame, cols: Sequence[str], flag: Column) -> DataFrame:
 
 
 def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """count, mean, sample std, min, q25, q50, q75, max per column (and group); quartiles are exact."""
+    """count, mean, sample std, min, q25, q50, q75, max per column (and group); quartiles are exact.
+
+    One aggregate over the columns side by side gives the moments. A column without
+    values has count 0.
+    """
     by = list(by)
-    stats = (
-        long_numeric(df, cols, by)
-        .groupBy(*by, "column")
-        .agg(
-            F.count(F.lit(1)).alias("count"),
-            F.avg("value").alias("mean"),
-            F.stddev_samp("value").alias("std"),
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
+
+    def moments(c: str) -> Column:
+        v = F.col(c).cast("double") + F.lit(0.0)
+        return F.struct(
+            F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max")
         )
-    )
+
+    wide = df.groupBy(*by).agg(*[moments(c).alias(f"_m{i}") for i, c in enumerate(cols)])
+    each = [F.struct(F.lit(c).alias("column"), F.col(f"_m{i}.*")) for i, c in enumerate(cols)]
+    stats = wide.select(*by, F.explode(F.array(*each)).alias("_s")).select(*by, "_s.*")
     quarts = exact_quantiles(df, cols, [0.25, 0.5, 0.75], by).select(
         *by, "column", F.col("q0").alias("q25"), F.col("q1").alias("q50"), F.col("q2").alias("q75")
     )
-    return null_safe_join(with_names(stats, cols), quarts, by + ["column"])
+    return null_safe_join(stats, quarts, by + ["column"], "left")
 
 
 def dataset_summary(datasets: dict[str, DataFrame], label: str) -> DataFrame:

@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from modelwatch.operators import ordered
+from modelwatch.operators import ordered, profile
 
 VALUES = st.lists(
     st.one_of(st.integers(-5, 5).map(float), st.floats(-1e6, 1e6, allow_nan=False)), min_size=1, max_size=60
@@ -75,3 +75,10 @@ def test_equal_windows(spark, n, k, sizes):
     df = spark.range(n)
     got = ordered.equal_windows(df, ["id"], k).groupBy("window").count().orderBy("window").collect()
     assert [r["count"] for r in got] == sizes
+
+
+def test_describe_keeps_a_column_without_values(spark):
+    rows = spark.createDataFrame([(1.0, None), (3.0, None)], "a double, b double")
+    got = {r["column"]: r for r in profile.describe(rows, ["a", "b"]).collect()}
+    assert (got["a"]["count"], got["a"]["mean"], got["a"]["q50"]) == (2, 2.0, 2.0)
+    assert (got["b"]["count"], got["b"]["mean"], got["b"]["q50"]) == (0, None, None)
