@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from modelwatch.llm.common import pick, stage_table, text_bytes, utf8_slices
 from modelwatch.session import scratch_path
 
-#: Bytes of text of a chunk, about (a longer document is a chunk of its own), and keys of a bucket, about.
-CHUNK, BUCKET = 4 << 20, 1 << 20
+#: Keys of a bucket, about.
+BUCKET = 1 << 19
 
 
 class Chunk(NamedTuple):
@@ -33,11 +33,19 @@ class Chunk(NamedTuple):
     data: np.ndarray
     offsets: np.ndarray
     digests: np.ndarray
+    rest: pa.Array | None
 
 
-def pack(docs: DataFrame, doc_id: str, text: str, label: str) -> DataFrame:
-    """The table of chunks. Rows without doc_id come last; rows of one doc_id are ordered by a hash of their text."""
+def pack(docs: DataFrame, doc_id: str, text: str, label: str, size: int = 4 << 20, rest: list[str] | None = None) -> DataFrame:
+    """The table of chunks of about ``size`` bytes of text; a longer document is a chunk of its own.
+
+    Rows without doc_id come last; rows of one doc_id are ordered by a hash of their text. ``rest`` names columns that
+    travel along as one struct.
+    """
     rows = pick(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    if rest:
+        rows = docs.select(docs[doc_id].cast("bigint").alias("doc_id"), docs[text].alias("text"), F.struct(*[docs[c] for c in rest]).alias("rest"))
+    target, along = size, bool(rest)
     order = [F.asc_nulls_last("doc_id"), F.xxhash64("text")]
     spread = rows.repartitionByRange(order[0]).sortWithinPartitions(*order)
 
@@ -51,19 +59,23 @@ def pack(docs: DataFrame, doc_id: str, text: str, label: str) -> DataFrame:
             whole = data.tobytes()
             digests = b"".join(xxhash.xxh128_digest(whole[a:b]) for a, b in zip(offsets, offsets[1:]))
             row = [[part << 32 | count], [ids.to_pylist()], [offsets.tobytes()], [whole], [digests], [len(whole)]]
-            return pa.record_batch([pa.array(c, t) for c, t in zip(row, (pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.int64()))], names)
+            cells = [pa.array(c, t) for c, t in zip(row, (pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.int64()))]
+            if along:
+                others = pa.concat_arrays([b.column("rest") for b in held])
+                cells.append(pa.ListArray.from_arrays(pa.array([0, len(others)], pa.int32()), others))
+            return pa.record_batch(cells, names)
 
-        names = ["chunk", "doc_ids", "offsets", "data", "digests", "n_bytes"]
+        names = ["chunk", "doc_ids", "offsets", "data", "digests", "n_bytes", *(["rest"] if along else [])]
         for piece in utf8_slices(batches, "text", 1 << 20):
             held.append(piece)
             size += piece.column("text").nbytes
-            if size >= CHUNK:
+            if size >= target:
                 yield out()
                 count, held, size = count + 1, [], 0
         if held:
             yield out()
 
-    packed = spread.mapInArrow(run, "chunk bigint, doc_ids array<bigint>, offsets binary, data binary, digests binary, n_bytes bigint")
+    packed = spread.mapInArrow(run, "chunk bigint, doc_ids array<bigint>, offsets binary, data binary, digests binary, n_bytes bigint" + (f", rest array<{rows.schema['rest'].dataType.simpleString()}>" if along else ""))
     spark, name = docs.sparkSession, f"chunks_{label}_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     packed.write.format("parquet").option("path", scratch_path(spark, name)).bucketBy(buckets, "chunk").saveAsTable(name)
@@ -76,13 +88,13 @@ def bucket_count(packed: DataFrame, keys_per_byte: float) -> int:
     return max(12, int(total * keys_per_byte / BUCKET) + 1)
 
 
-def each(packed: DataFrame, replies: DataFrame | None, fn: Callable[[Chunk, dict], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``fn(chunk, answers)`` for every chunk; answers[kind] is a list of (bucket, bytes)."""
+def each(packed: DataFrame, replies: DataFrame | None, fn: Callable[[Chunk, dict], Iterator[pa.RecordBatch]], schema: str, rest: bool = False) -> DataFrame:
+    """``fn(chunk, answers)`` for every chunk; answers[kind] has the answer of each bucket."""
     rows, told = packed, replies is not None
     if told:
         grouped = replies.groupBy("chunk").agg(F.collect_list(F.struct("kind", "bucket", "bits")).alias("answers"))
         rows = packed.join(grouped, "chunk", "left")
-    columns = ["chunk", "doc_ids", "offsets", "data", "digests", *(["answers"] if told else [])]
+    columns = ["chunk", "doc_ids", "offsets", "data", "digests", *(["answers"] if told else []), *(["rest"] if rest else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -97,6 +109,7 @@ def each(packed: DataFrame, replies: DataFrame | None, fn: Callable[[Chunk, dict
                     np.frombuffer(row["data"].as_buffer(), np.uint8),
                     np.frombuffer(row["offsets"].as_buffer(), np.int64),
                     np.frombuffer(row["digests"].as_buffer(), np.uint64).reshape(-1, 2),
+                    row["rest"].values if rest else None,
                 )
                 yield from fn(chunk, answers)
 
@@ -110,7 +123,7 @@ class Keys:
     """
 
     def __init__(self, keys: np.ndarray, buckets: int):
-        keys = keys.reshape(len(keys), -1)
+        keys = keys if keys.ndim == 2 else keys[:, None]
         order = np.lexsort(keys.T)
         ordered = keys[order]
         new = np.ones(len(keys), bool)

@@ -27,9 +27,12 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
 def splitmix(x: np.ndarray) -> np.ndarray:
     """A mixing of 64-bit numbers (the finaliser of the splitmix generator)."""
     with np.errstate(over="ignore"):
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return x ^ (x >> np.uint64(31))
+        x = x ^ (x >> np.uint64(30))
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+        x ^= x >> np.uint64(27)
+        x *= np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+        return x
 
 
 def utf8_slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:

@@ -38,7 +38,16 @@ class Rolling:
         with np.errstate(over="ignore"):
             self.sums = np.zeros(n + 1, np.uint64)
             mixed = splitmix(symbols + np.uint64((salt + 1) * 0x632BE59BD9B4E019 & (1 << 64) - 1))
-            np.cumsum(mixed * _powers(base, n), out=self.sums[1:])
+            mixed *= _powers(base, n)
+            np.cumsum(mixed, out=self.sums[1:])
+
+    def every(self, length: int) -> np.ndarray:
+        """Hashes of all slices of one length, in order of their starts."""
+        with np.errstate(over="ignore"):
+            out = self.sums[length:] - self.sums[:-length]
+            out *= self.inverse[: len(out)]
+            out += np.uint64(length)
+            return splitmix(out)
 
     def slices(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):

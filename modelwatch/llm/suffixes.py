@@ -9,14 +9,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from modelwatch.llm import chunks
 from modelwatch.llm.chunks import Chunk, Keys, is_copy
 from modelwatch.llm.common import stage_table
 from modelwatch.llm.hashing import Rolling, byte_symbols
 
-#: Suffix records of a merge, about; a start that more chunks than HOT share is dealt out by whole windows.
-RECORDS, HOT = 100_000, 4096
+#: Bytes of text of a chunk, about.
+CHUNK = 1 << 20
+#: Suffix records of a merge, about; a start that more chunks than HOT share is dealt out by whole windows. Records
+#: whose windows are compared at a time, about.
+RECORDS, HOT, COMPARED = 25_000, 4096, 8_000
 
 
 def gram_of(length: int) -> int:
@@ -45,8 +49,9 @@ class Windows:
             self.anchor = self.first = self.last = self.keys = self.starts
             self.keys = self.keys.astype(np.uint64)
             return
-        at = np.arange(n - self.gram + 1)
-        least = self.rolling.slices(at, at + self.gram) >> np.uint64(32) << np.uint64(32) | at.astype(np.uint64)
+        least = self.rolling.every(self.gram)
+        least &= np.uint64(0xFFFFFFFF00000000)
+        least |= np.arange(len(least), dtype=np.uint64)
         need, have = length - self.gram + 1, 1
         while 2 * have <= need:
             least = np.minimum(least[: len(least) - have], least[have:])
@@ -209,7 +214,15 @@ def _merged(table: pa.Table, length: int) -> pa.Table:
     # A suffix whose gram has one context only needs no look into its windows.
     members = np.bincount(np.array(group, np.int64), minlength=number + 1)
     mixed = np.flatnonzero(members[group] > 1) if kinds else np.zeros(0, np.int64)
-    firsts = dict(zip(mixed.tolist(), _window_firsts([kinds[i] for i in mixed], [earliest[i] for i in mixed], length))) if len(mixed) else {}
+    firsts: dict[int, np.ndarray] = {}
+    at = 0
+    while at < len(mixed):  # whole groups at a time
+        stop = min(at + COMPARED, len(mixed))
+        while stop < len(mixed) and group[mixed[stop]] == group[mixed[stop - 1]]:
+            stop += 1
+        some = mixed[at:stop].tolist()
+        firsts.update(zip(some, _window_firsts([kinds[i] for i in some], [earliest[i] for i in some], length)))
+        at = stop
     out = []
     for run, own in enumerate(of_run):
         states, bits = bytearray(), []
@@ -228,8 +241,9 @@ def _merged(table: pa.Table, length: int) -> pa.Table:
     return pa.table([pa.array(chunk[order]), pa.array(["suffix"] * n), pa.array([bucket] * n, pa.int32()), pa.array(out, pa.binary())], ["chunk", "kind", "bucket", "bits"])
 
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 100) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept (bytes), kept_sha256.
+def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 100, rest: list[str] | None = None) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept (bytes), kept_sha256;
+    with ``rest``, also kept_text and those columns, as one struct.
 
     A byte of a text's UTF-8 form goes if it is covered by a string of ``length`` bytes, within one document, that also
     starts earlier: in a smaller doc_id, or earlier in the same one. Strings are judged on the input. n_spans counts
@@ -242,7 +256,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     anywhere, and exchanges them as front-coded runs; a bucket merges the runs of all chunks. Suffixes that share a
     gram become neighbours; where their contexts differ, the windows in them are compared one by one.
     """
-    packed = chunks.pack(docs, doc_id, text, "suffixes")
+    packed = chunks.pack(docs, doc_id, text, "suffixes", CHUNK, rest)
     copy_buckets = chunks.bucket_count(packed, 1 / 2000)
     known = chunks.copies(packed, copy_buckets, "suffixes-copies")
     gram_buckets = chunks.bucket_count(packed, 2 / (length - gram_of(length) + 2))
@@ -324,8 +338,22 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 pa.array(runs_[hi] - runs_[lo], pa.int64()),
                 pa.array(kept, pa.binary()),
                 pa.array([hashlib.sha256(k).hexdigest() for k in kept]),
+                *([pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()), chunk.rest] if along else []),
             ],
-            ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"],
+            ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256", *(["kept_text", "rest"] if along else [])],
         )
 
-    return chunks.each(packed, known, cut, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, kept_sha256 string")
+    along = bool(rest)
+    schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, kept_sha256 string"
+    if along:
+        schema += f", kept_text string, rest {packed.schema['rest'].dataType.elementType.simpleString()}"
+    return chunks.each(packed, known, cut, schema, along)
+
+
+def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 100) -> DataFrame:
+    """``docs`` with the kept bytes as text (see ``remove_repeats``); characters cut in half go, null texts stay null."""
+    rest = [c for c in docs.columns if c != text]
+    marked = docs.withColumn("_null", docs[text].isNull())
+    cut = remove_repeats(marked, doc_id, text, length, [*rest, "_null"])
+    kept = F.when(~F.col("rest._null"), F.col("kept_text"))
+    return cut.select(*[kept.alias(c) if c == text else F.col(f"rest.`{c}`").alias(c) for c in docs.columns])
