@@ -61,7 +61,17 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.documents(files)
 
 
-@query("op3_substrings")
+OP3_SQL = r"""WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0B\f\r]+') AS w FROM documents),
+ p AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM d),
+ s AS (SELECT doc_id, i, row_number() OVER (PARTITION BY array_to_string(w[i:i + 19], ' ') ORDER BY doc_id, i) > 1 AS later
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d)),
+ m AS (SELECT p.doc_id, p.i, p.word, coalesce(bool_or(s.later) OVER (PARTITION BY p.doc_id ORDER BY p.i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), false) AS gone
+  FROM p LEFT JOIN s ON p.doc_id = s.doc_id AND p.i = s.i),
+ t AS (SELECT doc_id, count(*) AS n, count_if(gone) AS r, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM m GROUP BY doc_id)
+ SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_words, CAST(coalesce(r, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN t ON d.doc_id = t.doc_id"""
+
+
+@query("op3_substrings", OP3_SQL)
 def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every document keeps without repeated 20-word windows."""
     return substrings.remove_repeats(read(spark, sf_dir, "documents"), window=20).drop("kept")
