@@ -16,7 +16,7 @@ from modelwatch.llm.language import fold
 #: Hash buckets of terms, and the length of the factor of each.
 BUCKETS, FACTORS = 1 << 18, 8
 #: Labelled rows to fit on, about; fewer are all used.
-SAMPLE = 40_000
+SAMPLE = 10_000
 #: Lengths in bytes of the word beginnings that are terms too: invented and inflected words share them.
 BEGINNINGS = (4, 5, 6)
 #: A term takes part if so many sampled documents have it.
@@ -70,7 +70,7 @@ def term_weights(document: np.ndarray, bucket: np.ndarray, label: np.ndarray) ->
     return np.where(often >= LEAST, np.clip(sure / 4, FLOOR, 1), 0.0)
 
 
-def train(indptr: np.ndarray, bucket: np.ndarray, label: np.ndarray, epochs: int = 8, batch: int = 64, rate: float = 0.1, ridge: float = 1e-4, seed: int = 5) -> Machine:
+def train(indptr: np.ndarray, bucket: np.ndarray, label: np.ndarray, epochs: int = 4, batch: int = 64, rate: float = 0.1, ridge: float = 1e-4, seed: int = 5) -> Machine:
     """Fit by AdaGrad on the logistic loss; rows are documents in the compressed form (indptr, bucket)."""
     n = len(label)
     rate0 = (label.sum() + 1) / (n + 2)
