@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -20,7 +21,7 @@ from modelwatch.session import scratch_path
 #: The mark that stands for a space.
 SPACE = "▁"
 #: Bytes of text of a chunk, about, and characters of a unit whose lattice fits a 64-bit set of positions.
-CHUNK, LONG = 12 << 20, 61
+CHUNK, LONG = 4 << 20, 61
 #: Pieces of a model: the table is broadcast, so this bounds what is.
 MOST = 1 << 20
 
@@ -127,10 +128,10 @@ def fold_long(unit: str, table: dict[str, tuple[int, float]], tied: set[float],
 
 
 def chunked(docs: DataFrame, model: Model, doc_id: str, text: str) -> DataFrame:
-    """The table of chunks: (chunk, doc_ids, units, lengths, numbers), bucketed by chunk.
+    """The table of chunks: (chunk, doc_ids, units, long, lengths, numbers), bucketed by chunk.
 
-    units are the chunk's distinct units; numbers (compressed) spells each text as a sequence of them, and lengths has
-    how many units each text is.
+    units are the chunk's distinct units (null where the unit is over ``LONG`` characters; long has those with their
+    places); numbers (compressed) spells each text as a sequence of them, and lengths has how many units each text is.
     """
     rows = pick(docs, doc_id=doc_id, text=text)
     inside = bigrams(model)
@@ -138,26 +139,31 @@ def chunked(docs: DataFrame, model: Model, doc_id: str, text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, pattern = TaskContext.get().partitionId(), 0, re.compile(f"{SPACE}+[^{SPACE}]*")
         units: dict[str, int] = {}
-        of_word: dict[str, list[int]] = {}
+        of_word: dict[str, tuple[int, ...]] = {}
         ids, lengths, numbers, size = [], [], [], 0
 
         def out() -> pa.RecordBatch:
             whole = zstandard.ZstdCompressor(3).compress(np.concatenate(numbers).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() if numbers else b"")
-            row = [[part << 32 | seq], [pa.concat_arrays(ids).to_pylist()], [list(units)], [np.array(lengths, "<u4").tobytes()], [whole]]
-            return pa.record_batch([pa.array(c, t) for c, t in zip(row, (pa.int64(), pa.list_(ids[0].type), pa.list_(pa.string()), pa.binary(), pa.binary()))], names)
+            far = [(k, u) for u, k in units.items() if len(u) > LONG]
+            near = [u if len(u) <= LONG else None for u in units]
+            row = [[part << 32 | seq], [pa.concat_arrays(ids).to_pylist()], [near], [[{"place": k, "unit": u} for k, u in far]], [np.array(lengths, "<u4").tobytes()], [whole]]
+            kinds = (pa.int64(), pa.list_(ids[0].type), pa.list_(pa.string()), pa.list_(pa.struct([("place", pa.int32()), ("unit", pa.string())])), pa.binary(), pa.binary())
+            return pa.record_batch([pa.array(c, t) for c, t in zip(row, kinds)], names)
 
-        names = ["chunk", "doc_ids", "units", "lengths", "numbers"]
+        names = ["chunk", "doc_ids", "units", "long", "lengths", "numbers"]
         for piece in utf8_slices(batches, "text", 1 << 20):
             ids.append(piece.column("doc_id"))
             for t in piece.column("text").to_pylist():
-                own: list[int] = []
-                for word in pattern.findall(SPACE + t.replace(" ", SPACE)) if t else []:
-                    got = of_word.get(word)
-                    if got is None:
-                        got = of_word[word] = [units.setdefault(u, len(units)) for u in cut(word, inside)]
-                    own += got
+                # Words without the mark in front; a run of spaces leaves empty ones, and then the pattern finds them.
+                words = t.split(" ") if t else []
+                if "" in words or (t and SPACE in t):
+                    words = [w[1:] for w in pattern.findall(SPACE + t.replace(" ", SPACE))]
+                for word in set(words):
+                    if word not in of_word:
+                        of_word[word] = tuple([units.setdefault(u, len(units)) for u in cut(SPACE + word, inside)])
+                own = np.fromiter(chain.from_iterable(map(of_word.__getitem__, words)), np.uint32)
                 lengths.append(len(own))
-                numbers.append(np.array(own, np.uint32))
+                numbers.append(own)
                 size += len(t or "")
             if size >= CHUNK:
                 yield out()
@@ -168,7 +174,7 @@ def chunked(docs: DataFrame, model: Model, doc_id: str, text: str) -> DataFrame:
             yield out()
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    table = rows.mapInArrow(run, f"chunk bigint, doc_ids array<{kind}>, units array<string>, lengths binary, numbers binary")
+    table = rows.mapInArrow(run, f"chunk bigint, doc_ids array<{kind}>, units array<string>, long array<struct<place:int,unit:string>>, lengths binary, numbers binary")
     spark, name = docs.sparkSession, f"pieces_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     table.write.format("parquet").option("path", scratch_path(spark, name)).option("compression", "zstd").bucketBy(buckets, "chunk").saveAsTable(name)
@@ -184,11 +190,11 @@ def lattice(units: DataFrame, model: Model) -> DataFrame:
     tied, longest = tied_scores(model), max((len(p) for p, _, _ in model.pieces), default=1)
     rows = [(p, i, float(s), int(s in tied)) for p, i, s in model.pieces]
     table = F.broadcast(units.sparkSession.createDataFrame(rows, "piece string, id int, score double, late int"))  # MOST bounds it
-    spans = F.expr(
-        f"flatten(transform(sequence(0, length(unit) - 1), s -> transform(sequence(1, least({longest}, length(unit) - s)),"
-        " k -> struct(s AS start, k AS size, substring(unit, s + 1, k) AS piece))))"
-    )
-    edges = units.select("unit", F.explode(spans).alias("x")).select("unit", "x.*").join(table, "piece", "left").where("id IS NOT NULL OR size = 1")
+    # A number for each start and size, so that all of it stays in generated code.
+    spans = units.select("unit", F.explode(F.expr(f"sequence(0, length(unit) * {longest} - 1)")).alias("k"))
+    spans = spans.selectExpr("unit", f"CAST(k DIV {longest} AS int) AS start", f"k % {longest} + 1 AS size").where("start + size <= length(unit)")
+    spans = spans.withColumn("piece", F.expr("substring(unit, start + 1, size)"))
+    edges = spans.join(table, "piece", "left").where("id IS NOT NULL OR size = 1")
     late = F.expr("CASE WHEN size = 1 THEN 0 ELSE late END")
     return (
         edges.select(
@@ -217,7 +223,7 @@ def merged(edges: DataFrame) -> DataFrame:
         CASE WHEN (open & e.ends) = e.ends AND bit_count(open & e.inner) = e.need THEN open & ~e.inner ELSE open END)"""
     path = "filter(edges, e -> (open & e.ends) = e.ends AND (open & e.inner) = 0)"
     opened = edges.select("unit", "edges", F.expr(fold).alias("open"))
-    return opened.select("unit", F.expr(f"array_sort({path}, (a, b) -> a.start - b.start)").alias("path"))
+    return opened.select("unit", F.expr(f"sort_array(transform({path}, e -> struct(e.start, e.id, e.spell)))").alias("path"))
 
 
 def viterbi(edges: DataFrame) -> DataFrame:
@@ -240,18 +246,19 @@ def viterbi(edges: DataFrame) -> DataFrame:
 
 
 def segment(units: DataFrame, model: Model) -> DataFrame:
-    """(unit, ids) of each of the distinct ``units``, which are partitioned by unit.
-
-    Units over ``LONG`` characters, which no set of positions fits, go through the same fold in Python.
-    """
-    edges = lattice(units.where(F.length("unit") <= LONG), model)
+    """(unit, ids) of each of the distinct ``units`` of ``LONG`` characters at most, which are partitioned by unit."""
+    edges = lattice(units, model)
     path = viterbi(edges) if model.unigram else merged(edges)
     if model.byte_ids:
         low = "array(" + ", ".join(map(str, model.byte_ids)) + ")"
         spelled = f"transform(sequence(1, octet_length(e.spell)), k -> {low}[CAST(conv(substring(hex(e.spell), 2 * k - 1, 2), 16, 10) AS int)])"
     else:
         spelled = f"array({model.unknown})"
-    short = path.select("unit", F.expr(f"flatten(transform(path, e -> CASE WHEN e.id IS NULL THEN {spelled} ELSE array(e.id) END))").alias("ids"))
+    return path.select("unit", F.expr(f"flatten(transform(path, e -> CASE WHEN e.id IS NULL THEN {spelled} ELSE array(e.id) END))").alias("ids"))
+
+
+def segment_long(rows: DataFrame, model: Model) -> DataFrame:
+    """``rows(chunk, place, unit)`` with ids instead of unit: units that no set of positions fits, by the same folds in Python."""
     table, tied, longest = {p: (i, s) for p, i, s in model.pieces}, tied_scores(model), max((len(p) for p, _, _ in model.pieces), default=1)
     plain = tuple(model)
 
@@ -259,10 +266,9 @@ def segment(units: DataFrame, model: Model) -> DataFrame:
         own = Model(*plain)
         for batch in batches:
             ids = [fold_long(u, table, tied, own, longest) for u in batch.column("unit").to_pylist()]
-            yield pa.record_batch([batch.column("unit"), pa.array(ids, pa.list_(pa.int32()))], ["unit", "ids"])
+            yield pa.record_batch([batch.column("chunk"), batch.column("place"), pa.array(ids, pa.list_(pa.int32()))], ["chunk", "place", "ids"])
 
-    long = units.where(F.length("unit") > LONG).mapInArrow(run, "unit string, ids array<int>")
-    return short.unionByName(long)
+    return rows.mapInArrow(run, "chunk bigint, place int, ids array<int>")
 
 
 def encode(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -276,9 +282,14 @@ def encode(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "t
     Repeated rows come back repeated; an empty table gives no rows.
     """
     table = chunked(docs, model, doc_id, text)
-    places = table.select("chunk", F.posexplode("units").alias("place", "unit")).repartition("unit")
-    ids = segment(places.select("unit").distinct(), model)
-    answers = places.join(ids, "unit").select("chunk", "place", "ids")
+    # One shuffle of units: the lattice and the join back both read its groups. The condition on the places keeps the
+    # optimizer from shuffling the units a second time without them.
+    places = table.select("chunk", F.posexplode("units").alias("place", "unit")).where("unit IS NOT NULL").repartition("unit")
+    groups = places.groupBy("unit").agg(F.collect_list(F.struct("chunk", "place")).alias("places"))
+    ids = segment(groups.where("size(places) > 0").select("unit"), model)
+    answers = groups.join(ids, "unit").select(F.explode("places").alias("at"), "ids").select("at.*", "ids")
+    far = table.select("chunk", F.explode("long").alias("at")).select("chunk", "at.*")
+    answers = answers.unionByName(segment_long(far, model))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
@@ -302,7 +313,7 @@ def encode(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "t
         for batch in batches:
             held.append(batch)
             count += batch.num_rows
-            if count >= 1 << 20:
+            if count >= 1 << 18:
                 yield from out()
                 held, count = [], 0
         if count:
@@ -351,16 +362,10 @@ def encode(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "t
 def decode(rows: DataFrame, model: Model, ids: str = "ids", to: str = "text") -> DataFrame:
     """``rows`` with the text of ``ids`` in column ``to``: pieces joined, marks as spaces, less the space in front.
 
-    A null array gives null; bytes that are no UTF-8 become U+FFFD; an id outside the model is an error.
+    A null array gives null; bytes that are no UTF-8 become U+FFFD; an id outside the model is an error. Column
+    expressions only: the pieces' bytes are one literal, as hexadecimal digits.
     """
-    names = [c for c in rows.columns if c != to]
-    spelled = list(model.spelled)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [None if own is None else b"".join([spelled[i] for i in own]).decode("utf-8", "replace") for own in (x.as_py() for x in batch.column(ids))]
-            texts = [t[1:] if t and t[0] == " " else t for t in texts]
-            yield pa.record_batch([*(batch.column(c) for c in names), pa.array(texts, pa.string())], [*names, to])
-
-    fields = "".join(f"`{c}` {rows.schema[c].dataType.simpleString()}, " for c in names)
-    return rows.mapInArrow(run, fields + f"`{to}` string")
+    spelled = F.split(F.lit(",".join(s.hex() for s in model.spelled)), ",")
+    digits = F.array_join(F.transform(ids, lambda i: F.element_at(spelled, i.cast("int") + 1)), "")
+    text = F.make_valid_utf8(F.unhex(digits).cast("string"))
+    return rows.withColumn(to, F.regexp_replace(text, "^ ", ""))
