@@ -122,6 +122,20 @@ def test_neighbours_recall_and_scores(spark):
     assert hit / (20 * len(got)) >= 0.9
 
 
+def test_neighbours_without_clusters(spark):
+    """Unit vectors in all directions of 64 dimensions, as the given tables have: the hard case of a neighbour graph."""
+    x = np.random.default_rng(3).normal(size=(8000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    table = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id bigint, embedding array<double>")
+    score = x[::20] @ x.T
+    score[np.arange(400), np.arange(0, 8000, 20)] = -2
+    want = np.argsort(-score, axis=1)[:, :20]
+    got = {}
+    for r in neighbours.nearest(table, k=20).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert np.mean([len(got[20 * i] & set(want[i].tolist())) / 20 for i in range(400)]) >= 0.9
+
+
 def test_few_and_no_vectors(spark):
     kind = "vec_id bigint, embedding array<double>"
     assert neighbours.nearest(spark.createDataFrame([], kind)).collect() == []
