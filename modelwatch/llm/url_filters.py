@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -74,11 +75,13 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return found.groupBy("src", "dst").agg(F.count("*").cast("double").alias("weight"))
 
 
-def personalised_rank(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 1e-6, rounds: int = 50) -> DataFrame:
+def personalised_rank(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 1e-6) -> DataFrame:
     """(host, rank): personalised PageRank over ``edges(src, dst, weight)`` from ``seeds(host, weight)``.
 
     Ranks sum to 1 (no seeds: no rows). The mass of hosts without links goes back to the seeds. Rounds stop when all
-    ranks together change by ``tolerance`` or less; each is written to the shared folder.
+    ranks together change by ``tolerance`` or less; each is written to the shared folder. A round changes them by at most
+    ``damping`` times the change before, so there are at most 91 with the given values; hosts more links away from all
+    seeds have no row, and would have less than ``tolerance``.
     """
     total = seeds.agg(F.sum("weight")).first()[0]
     if not total:
@@ -87,7 +90,7 @@ def personalised_rank(edges: DataFrame, seeds: DataFrame, damping: float = 0.85,
     out = edges.groupBy("src").agg(F.sum("weight").alias("all"))
     step = stage_table(edges.join(out, "src").select("src", "dst", (F.col("weight") / F.col("all")).alias("share")), "rank-edges")
     rank = base.select("host", F.col("base").alias("rank"))
-    for _ in range(rounds):
+    for _ in range(1 + math.ceil(math.log(tolerance / 2) / math.log(damping))):
         sent = step.join(rank, step["src"] == rank["host"]).groupBy("dst").agg(F.sum(F.col("share") * F.col("rank")).alias("got"))
         moved = sent.select(F.col("dst").alias("host"), (F.col("got") * damping).alias("got"))
         arrived = moved.agg(F.sum("got")).first()[0] or 0.0

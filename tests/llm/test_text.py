@@ -290,3 +290,12 @@ def test_trust_and_distrust_along_links(spark):
         if r.rule is None:
             assert r.verdict == ("block" if r.distrust > r.trust else "allow")
     assert {r.verdict for r in got.values()} == {"allow", "block"}
+
+
+def test_ranks_along_a_long_chain(spark):
+    """The tolerance ends the rounds: a host 55 links from the seed has its rank."""
+    edges = spark.createDataFrame([(f"h{i}", f"h{i + 1}", 1.0) for i in range(55)], "src string, dst string, weight double").coalesce(1)
+    seeds = spark.createDataFrame([("h0", 1.0)], "host string, weight double").coalesce(1)
+    got = {r.host: r["rank"] for r in url_filters.personalised_rank(edges, seeds, tolerance=1e-4).collect()}
+    whole = sum(0.85**i for i in range(56))
+    assert len(got) == 56 and all(abs(got[f"h{i}"] - 0.85**i / whole) < 1e-4 for i in range(56))
