@@ -18,10 +18,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents with a language: those without a letter go, and those between two codewords.
 
     Learns from the documents' own labels (those whose fold is not held out); rows without doc_id are judged too.
-    Null and empty texts go.
+    Null and empty texts go. Where no document has a label, nothing is learned and all with a letter stay.
     """
     rows = docs.select(docs["doc_id"], docs["text"], docs["lang"])
     model = language.fit(rows.where(language.fold(F.col("doc_id"), 3) != 1))
+    if model is None:
+        return docs.where(docs["text"].rlike(r"\p{L}"))
     judged = language.predict(docs, model)
     return judged.where((F.col("_lang_pred") != language.UNKNOWN) & ~F.col("_ambiguous")).select(*docs.columns)
 

@@ -55,3 +55,8 @@ def test_awkward_rows(spark):
         docs = stage(spark, docs, SF)
         assert docs.columns == empty.columns
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == docs.count()
+
+
+def test_languages_without_labels(spark):
+    docs = spark.createDataFrame([(1, "clean words", None, "x", 11), (2, "12 34", None, "x", 5), (3, None, None, "x", 0), (4, "", None, "x", 0)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    assert [r.doc_id for r in corpus_pipeline.identify_language(spark, docs, SF).collect()] == [1]
