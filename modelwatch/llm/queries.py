@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modelwatch.llm import language, leaks, neighbours, pieces, simhash, substrings, suffixes, token_file, toxicity, url_filters
+from modelwatch.llm import language, leaks, main_text, mining, neighbours, pieces, simhash, substrings, suffixes, token_file, toxicity, url_filters, whitening
 from modelwatch.llm.common import read
 
 QUERIES: dict = {}
@@ -97,3 +97,53 @@ def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = pieces.load(public_tokenizers.path("piece_bpe_32k.model"))
     ids = pieces.encode(read(spark, sf_dir, "documents"), model)
     return pieces.decode(ids.withColumn("n_tokens", F.size("ids")), model, to="decoded")
+
+
+def finite(vector: str) -> Column:
+    """The vector in doubles; null if it is null or any entry is null or not finite."""
+    odd = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return F.when(~odd, F.col(vector).cast("array<double>"))
+
+
+OP11_SQL = """WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+ s AS (SELECT a.vec_id AS anchor_id, e.vec_id AS other, a.label = e.label AS same, CAST(list_dot_product(a.v, e.v) AS BIGINT) AS score
+  FROM e a JOIN e ON a.vec_id <> e.vec_id WHERE a.vec_id % 100 = 0),
+ p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+ w AS (SELECT p.anchor_id, p.other AS positive_id, n.other AS negative_id, p.score AS positive_score, n.score AS negative_score,
+   row_number() OVER (PARTITION BY p.anchor_id, p.other ORDER BY n.score DESC, n.other) AS rank
+  FROM p JOIN s n ON p.anchor_id = n.anchor_id AND NOT n.same AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score)
+ SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM w WHERE rank <= 5"""
+
+
+@query("op11_negatives", OP11_SQL)
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor whose id is divisible by 100."""
+    rows = read(spark, sf_dir, "embeddings").select(
+        "vec_id",
+        F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("bigint") + 1) % 10).otherwise(F.col("label")).alias("label"),
+        F.transform(finite("embedding"), lambda x: F.floor(256 * x)).alias("vector"),
+    )
+    return mining.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+# The given pages hold their text in an <article> without marked elements inside, and none of it recurs often enough for a template.
+OP12_SQL = r"""WITH a AS (SELECT page_id, url, regexp_split_to_array(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(?:</article>|\z)', 1), '</?p>|<br>|</?h1>') AS b FROM pages),
+ t AS (SELECT page_id, url, [trim(regexp_replace(replace(replace(replace(replace(regexp_replace(regexp_replace(x, '<[^>]*>', '', 'g'), '&amp([^;]|\z)', '&amp;\1', 'g'),
+   '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g')) FOR x IN b] AS b FROM a)
+ SELECT page_id, url, array_to_string([x FOR x IN b IF x <> ''], chr(10) || chr(10)) AS text, CAST(length(array_to_string([x FOR x IN b IF x <> ''], chr(10) || chr(10))) AS BIGINT) AS n_chars FROM t"""
+
+
+@query("op12_main_text", OP12_SQL)
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return main_text.extract(read(spark, sf_dir, "pages"))
+
+
+@query("op13_whitening")
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened embeddings on up to 16 components."""
+    rows = read(spark, sf_dir, "embeddings")
+    # Bounded before the offset is added, so that huge entries cannot overflow.
+    whole = F.transform(finite("embedding"), lambda x: F.floor(F.greatest(F.lit(-1e12), F.least(F.lit(1e12), 64 * x))) + 1_000_000)
+    return whitening.whiten(rows.select("vec_id", whole.alias("vector")), components=16)
