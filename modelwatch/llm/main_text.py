@@ -251,15 +251,12 @@ def templates(pages: DataFrame, *, least: int = 5, share: float = 0.5, least_ins
     parts = pages.where(F.col("site").isNotNull()).mapInArrow(_count, "site bigint, content bigint, subtrees array<bigint>")
     # One scan counts both; -1 stands for the page as such.
     seen = parts.select("site", "content", F.explode(F.concat("subtrees", F.array(F.lit(-1).cast("bigint")))).alias("hash")).distinct()
-    counts = seen.groupBy("site", "hash").count()
     inside = F.col("hash") % 2 == 1
-    often = F.col("count") >= F.when(inside, least_inside).otherwise(least)
-    listed = counts.where(often | (F.col("hash") == -1)).groupBy("site").agg(
-        F.max(F.when(F.col("hash") == -1, F.col("count"))).alias("pages"),
-        F.max(F.when(F.col("hash") != -1, F.col("count"))).alias("most"),
-    )
+    often = (F.col("hash") == -1) | (F.col("count") >= F.when(inside, least_inside).otherwise(least))
+    counts = stage_table(seen.groupBy("site", "hash").count().where(often), "main-text-counts")  # else pages are parsed again
+    sites = counts.where("hash = -1").select("site", F.col("count").alias("pages"))
     needs = F.when(inside, share_inside).otherwise(share) * F.col("pages")
-    chosen = counts.where((F.col("hash") != -1) & often).join(listed.where("most is not null"), "site").where(F.col("count") >= needs)
+    chosen = counts.where("hash <> -1").join(sites, "site").where(F.col("count") >= needs)
     return chosen.groupBy("site").agg(F.sort_array(F.collect_list("hash")).alias("template"))
 
 
