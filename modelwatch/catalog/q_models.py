@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,8 +26,9 @@ from modelwatch.catalog.proxies import (
 )
 from modelwatch.catalog.proxies import REG
 from modelwatch.catalog.registry import query
-from modelwatch.operators import encoding, metrics, ordered, sampling, smote, training
+from modelwatch.operators import encoding, metrics, neighbours, ordered, sampling, smote, training
 from modelwatch.plans import lifecycle, prepare
+from modelwatch.session import stage_table
 
 # --- feature preparation --------------------------------------------------------
 
@@ -171,7 +174,7 @@ def i11(spark: SparkSession, sf: str) -> DataFrame:
 def i12_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     """Distances to the five nearest minority rows."""
     few = encoded(spark, sf).where("y = 1")
-    near = smote.nearest_distances(few, "x", 5, block_points=256)
+    near = neighbours.nearest_distances(few, "x", 5, block_points=256)
     return near.groupBy(F.col("rank").cast("bigint").alias("rank"), F.round("distance", 5).alias("distance")).agg(
         F.sum("rows").alias("rows")
     )
@@ -192,6 +195,38 @@ def i12(spark: SparkSession, sf: str) -> DataFrame:
     return inside.groupBy("y", "synthetic").agg(F.count(F.lit(1)).alias("n"))
 
 
+ONE_CLASS = "SELECT vec_id AS id, CAST(label = 0 AS INTEGER) AS y FROM embeddings"
+
+
+@query(
+    "i12_oversampled_folds",
+    f"""WITH f AS (SELECT id, y, CAST((row_number() OVER (PARTITION BY y ORDER BY md5(CAST(id AS VARCHAR) || '|42'), CAST(id AS VARCHAR)) - 1) % 2 AS INTEGER) AS fold
+ FROM ({ONE_CLASS})), s AS (SELECT t.fold, max(n) AS most FROM (SELECT DISTINCT fold FROM f) t,
+ (SELECT fold, y, count(*) AS n FROM f GROUP BY 1, 2) c WHERE c.fold <> t.fold GROUP BY 1)
+ SELECT s.fold, count(*) AS tested, 2 * any_value(most) AS trained, any_value(most) AS minority, 2 * any_value(most) AS keys FROM s JOIN f ON s.fold = f.fold GROUP BY 1""",
+)
+def i12_folds(spark: SparkSession, sf: str) -> DataFrame:
+    """Cross-validation with the training rows of each fold oversampled: rows tested, and what the fits were given."""
+    rows = table(spark, sf, "embeddings").select(
+        F.col("vec_id").alias("id"), (F.col("label") == 0).cast("int").alias("y"), array_to_vector(F.col("embedding").cast("array<double>")).alias("features")
+    )
+    folded = sampling.stratified_folds(rows, "id", "y", 2)
+    given = {}
+
+    def prepare_fold(train: DataFrame) -> DataFrame:
+        made = stage_table(smote.oversampled(train, "id", "y"), "oversampled")
+        given[1 - train.select("fold").first()[0]] = made  # of two folds, the other one is tested
+        return made
+
+    models = {"logistic": (None, training.logistic_regression("y", max_iter=5))}
+    tested = training.cross_validate(folded, "id", "y", models, prepare=prepare_fold)
+    sizes = [
+        made.agg(F.count("*").alias("trained"), F.sum("y").alias("minority"), F.countDistinct("id").alias("keys")).withColumn("fold", F.lit(f))
+        for f, made in given.items()
+    ]
+    return tested.select("fold", (F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")).alias("tested")).join(reduce(DataFrame.unionByName, sizes), "fold")
+
+
 @query("i13_grid_search")
 def i13(spark: SparkSession, sf: str) -> DataFrame:
     grid = training.param_grid(c=[0.01, 1.0], penalty=["l1", "l2"])

@@ -1,145 +1,18 @@
-"""Minority oversampling by interpolation towards near minority neighbours.
-
-Nearest neighbours are exact, found without building all pairs. Equal points are
-one point with a number of copies. Points are sorted along a unit direction u
-into blocks of bounded size; since |u.x - u.y| <= |x - y|, a point whose k-th
-candidate is r away only has to visit blocks closer than r along u. Work on one
-(visiting block, visited block) pair is bounded by the block size.
-"""
+"""Minority oversampling by interpolation towards near minority neighbours."""
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from modelwatch.operators.ordered import running_totals, with_position
-from modelwatch.session import stage_table
+from modelwatch.operators.neighbours import BLOCK_POINTS, blocked_points, exact_neighbours, hashed_neighbours
+from modelwatch.operators.ordered import running_totals
 
-BLOCK_POINTS = 2048
-MAX_EDGES = 50_000
-CELLS = 1 << 23
 COPY_CHUNK = 100_000
-
-
-def _main_direction(points: DataFrame) -> list[float]:
-    """The direction of largest variance spreads the blocks best; any unit vector is correct."""
-    fitted = PCA(k=1, inputCol="v", outputCol="_pc").fit(points.select(array_to_vector("x").alias("v")))
-    u = fitted.pc.toArray()[:, 0]
-    size = float(np.linalg.norm(u))
-    return [float(a) / size for a in u] if size > 0 else [1.0] + [0.0] * (len(u) - 1)
-
-
-def _dot(x: str, u: list[float]) -> Column:
-    products = F.zip_with(x, F.array(*[F.lit(a) for a in u]), lambda a, b: a * b)
-    return F.aggregate(products, F.lit(0.0), lambda total, a: total + a)
-
-
-def _closest(
-    x: np.ndarray, ids: np.ndarray, y: np.ndarray, y_ids: np.ndarray, y_copies: np.ndarray, k: int
-) -> Iterator[tuple[list[float], list[int], list[int]]]:
-    """Per row of x: distances, ids and copies of the nearest points until k copies are reached.
-
-    A point is its own neighbour through its other copies.
-    """
-    step = max(1, CELLS // max(1, y.size))
-    for at in range(0, len(x), step):
-        part = x[at : at + step]
-        gaps = np.sqrt(((part[:, None, :] - y[None, :, :]) ** 2).sum(axis=2))
-        for row, own in zip(gaps, ids[at : at + step]):
-            # k + 1 points always hold k copies besides the point itself.
-            near = np.argpartition(row, min(k, len(row) - 1))[: k + 1] if len(row) > k + 1 else np.arange(len(row))
-            near = near[np.lexsort((y_ids[near], row[near]))]
-            copies = y_copies[near] - (y_ids[near] == own)
-            keep = (copies > 0) & (np.cumsum(copies) - copies < k)
-            yield row[near][keep].tolist(), y_ids[near][keep].tolist(), copies[keep].tolist()
-
-
-NEAR = "d array<double>, nid array<bigint>, copies array<bigint>"
-
-
-def _as_rows(near: DataFrame) -> DataFrame:
-    zipped = F.explode(F.arrays_zip("d", "nid", "copies"))
-    return near.select("id", zipped.alias("n")).select("id", "n.d", "n.nid", "n.copies")
-
-
-def blocked_points(df: DataFrame, features: str, block_points: int = BLOCK_POINTS) -> DataFrame:
-    """Distinct points with their copies, numbered and blocked along the main direction."""
-    points = (
-        df.select(F.col(features).cast("array<double>").alias("x"))
-        .groupBy("x")
-        .agg(F.count(F.lit(1)).alias("copies"))
-    )
-    points = stage_table(points, "points")
-    placed = with_position(points.withColumn("p", _dot("x", _main_direction(points))), ["p", "x"], "id")
-    size = F.greatest(F.lit(block_points), F.ceil(F.col("total_rows") / MAX_EDGES))
-    return stage_table(placed.select("id", "x", "copies", "p", F.floor(F.col("id") / size).alias("block")), "blocks")
-
-
-def neighbours_of(blocks: DataFrame, k: int) -> DataFrame:
-    """(id, nid, d, copies, start): neighbours in order of distance; ``start`` copies come before."""
-    rows = blocks.groupBy("block").agg(F.min("p").alias("lo"), F.max("p").alias("hi")).orderBy("block").collect()
-    lo, hi = np.array([r["lo"] for r in rows]), np.array([r["hi"] for r in rows])
-    numbers = np.array([r["block"] for r in rows])
-
-    def at_home(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, ids, copies = np.stack(pdf["x"].to_numpy()), pdf["id"].to_numpy(), pdf["copies"].to_numpy()
-        out = []
-        for (d, nid, c), p in zip(_closest(x, ids, x, ids, copies, k), pdf["p"].to_numpy()):
-            radius = d[-1] if sum(c) >= k else math.inf
-            # Strictly closer points only: a slack covers rounding of the projections.
-            gap = np.maximum(np.maximum(lo - p, p - hi), 0.0)
-            reach = numbers[gap < radius * (1 + 1e-9) + 1e-12] if radius > 0 else numbers[:0]
-            out.append((d, nid, c, [int(b) for b in reach if b != pdf["block"].iat[0]]))
-        near = pd.DataFrame(out, columns=["d", "nid", "copies", "visits"])
-        return near.assign(id=ids, x=pdf["x"].to_numpy(), home=pdf["block"].to_numpy())
-
-    home = stage_table(
-        blocks.groupBy("block").applyInPandas(
-            at_home, f"{NEAR}, visits array<bigint>, id bigint, x array<double>, home bigint"
-        ),
-        "near",
-    )
-    visits = home.select("id", "x", "home", F.explode("visits").alias("block"))
-    pairs = visits.select(F.col("home").alias("guest"), F.col("block").alias("host")).distinct()
-    hosts = blocks.select(F.col("block").alias("host"), "id", "x", "copies").join(pairs, "host")
-
-    def on_visit(guests: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
-        found = _closest(
-            np.stack(guests["x"].to_numpy()),
-            guests["id"].to_numpy(),
-            np.stack(points["x"].to_numpy()),
-            points["id"].to_numpy(),
-            points["copies"].to_numpy(),
-            k,
-        )
-        return pd.DataFrame(list(found), columns=["d", "nid", "copies"]).assign(id=guests["id"].to_numpy())
-
-    away = (
-        visits.groupBy("home", "block")
-        .cogroup(hosts.groupBy("guest", "host"))
-        .applyInPandas(on_visit, f"{NEAR}, id bigint")
-    )
-    everything = _as_rows(home).unionByName(_as_rows(away))
-    before = W.partitionBy("id").orderBy("d", "nid").rowsBetween(W.unboundedPreceding, -1)
-    counted = everything.withColumn("start", F.coalesce(F.sum("copies").over(before), F.lit(0)))
-    return counted.where(F.col("start") < k)
-
-
-def nearest_distances(df: DataFrame, features: str, k: int, block_points: int = BLOCK_POINTS) -> DataFrame:
-    """(rank, distance) of the k nearest neighbours of every row, copies counted."""
-    blocks = blocked_points(df, features, block_points)
-    near = neighbours_of(blocks, k).join(blocks.select("id", F.col("copies").alias("_m")), "id")
-    last = F.least(F.col("start") + F.col("copies"), F.lit(k))
-    ranked = near.select("_m", "d", F.explode(F.sequence(F.col("start") + 1, last)).alias("rank"))
-    return ranked.groupBy("rank", F.col("d").alias("distance")).agg(F.sum("_m").cast("bigint").alias("rows"))
+#: Up to so many dimensions the projection bound of the exact search prunes.
+FEW_DIMENSIONS = 12
 
 
 def smote(
@@ -150,24 +23,38 @@ def smote(
     seed: int = 42,
     minority: int = 1,
     block_points: int = BLOCK_POINTS,
+    key: str | None = None,
+    search: str = "auto",
 ) -> DataFrame:
-    """(features, label, synthetic): all rows plus as many synthetic minority rows as balance the classes.
+    """(key, features, label, synthetic): all rows plus as many synthetic minority rows as balance the classes.
 
     Every minority row is the base of equally many synthetic rows, up to one. A
-    synthetic row lies between its base and one of the base's k neighbours.
+    synthetic row lies between its base and one of the base's k neighbours,
+    found by ``search``: 'exact', 'hashed' (at least 95 % of the true ones), or
+    'auto', which is exact in few dimensions.
+
+    With ``key`` the rows keep their keys, and synthetic ones get keys of their
+    own: -1, -2, ... if the key is a number (whose given values must not be
+    negative), else 'synthetic-1', ...
     """
     sizes = df.agg(
-        F.count_if(F.col(label) == minority).alias("few"), F.count_if(F.col(label) != minority).alias("many")
+        F.count_if(F.col(label) == minority).alias("few"),
+        F.count_if(F.col(label) != minority).alias("many"),
+        F.max(F.size(F.col(features).cast("array<double>"))).alias("dimensions"),
     ).first()
     few, wanted = sizes["few"], sizes["many"] - sizes["few"]
     vector = F.col(features).cast("array<double>").alias(features)
-    rows = df.select(vector, F.col(label).cast("int").alias(label), F.lit(False).alias("synthetic"))
+    kept = [F.col(key)] if key else []
+    rows = df.select(*kept, vector, F.col(label).cast("int").alias(label), F.lit(False).alias("synthetic"))
     if wanted <= 0:
         return rows
     if few <= k:
         raise ValueError(f"{few} minority rows, but {k} neighbours are asked for")
+    if search not in ("auto", "exact", "hashed"):
+        raise ValueError(f"unknown search: {search}")
+    hashed = search == "hashed" or search == "auto" and sizes["dimensions"] > FEW_DIMENSIONS
     blocks = blocked_points(df.where(F.col(label) == minority), features, block_points)
-    near = neighbours_of(blocks, k)
+    near = hashed_neighbours(blocks, k, seed=seed) if hashed else exact_neighbours(blocks, k)
     targets = blocks.select(F.col("id").alias("nid"), F.col("x").alias("nx"))
     # At most k entries per point.
     lists = (
@@ -181,8 +68,11 @@ def smote(
     def spread(c: Column) -> Column:
         return F.floor(c.cast("decimal(38,0)") * extra / few)
 
-    share = F.col("copies") * base + spread(F.col("cum_copies")) - spread(F.col("cum_copies") - F.col("copies"))
-    allotted = numbered.withColumn("share", share.cast("bigint")).where("share > 0").join(lists, "id")
+    earlier = F.col("cum_copies") - F.col("copies")
+    share = F.col("copies") * base + spread(F.col("cum_copies")) - spread(earlier)
+    made_before = earlier * base + spread(earlier)
+    numbered = numbered.withColumns({"share": share.cast("bigint"), "_number": made_before.cast("bigint")})
+    allotted = numbered.where("share > 0").join(lists, "id")
     # A point with very many copies is worked off in pieces by many tasks.
     zero, piece = F.lit(0).cast("bigint"), F.lit(COPY_CHUNK).cast("bigint")
     pieces = allotted.withColumn("_from", F.explode(F.sequence(zero, F.col("share") - 1, piece)))
@@ -192,9 +82,22 @@ def smote(
     pick = F.pmod(F.xxhash64("id", "s", F.lit(seed)), F.lit(k))
     step = F.pmod(F.xxhash64("s", "id", F.lit(seed + 1)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     chosen = F.filter("near", lambda n: (n["start"] <= F.col("_pick")) & (F.col("_pick") < n["start"] + n["copies"]))
-    made = each.select("x", "near", pick.alias("_pick"), step.alias("_step")).withColumn("nx", chosen[0]["nx"])
+    number = F.col("_number") + F.col("s") + 1
+    made = each.select("x", "near", number.alias("_number"), pick.alias("_pick"), step.alias("_step")).withColumn("nx", chosen[0]["nx"])
     between = F.zip_with("x", "nx", lambda a, b: a + F.col("_step") * (b - a))
-    synthetic = made.select(
-        between.alias(features), F.lit(minority).alias(label), F.lit(True).alias("synthetic")
-    )
+    if key:
+        numeric = dict(df.dtypes)[key] in ("tinyint", "smallint", "int", "bigint") or dict(df.dtypes)[key].startswith("decimal")
+        name = -F.col("_number") if numeric else F.concat(F.lit("synthetic-"), F.col("_number").cast("string"))
+        kept = [name.cast(df.schema[key].dataType).alias(key)]
+    synthetic = made.select(*kept, between.alias(features), F.lit(minority).alias(label), F.lit(True).alias("synthetic"))
     return rows.unionByName(synthetic)
+
+
+def oversampled(df: DataFrame, key: str, label: str, features: str = "features", **options) -> DataFrame:
+    """(key, label, features) with both classes equally large; fits ``prepare=`` of cross-validation: training rows in and out.
+
+    ``features`` may be a vector or an array, and comes back as a vector.
+    """
+    values = vector_to_array(features) if isinstance(df.schema[features].dataType, VectorUDT) else F.col(features)
+    out = smote(df.select(key, label, values.alias(features)), label, features, key=key, **options)
+    return out.select(key, label, array_to_vector(F.col(features)).alias(features))

@@ -2,7 +2,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from modelwatch.operators.smote import nearest_distances, smote
+from modelwatch.operators.neighbours import _in_buckets, _keyed, _planes, blocked_points, exact_neighbours, hashed_neighbours, nearest_distances
+from modelwatch.operators.smote import oversampled, smote
 
 
 def brute(x: np.ndarray, k: int) -> list[tuple[int, float]]:
@@ -62,3 +63,83 @@ def test_smote_with_hot_copies(spark):
 def test_smote_needs_enough_rows(spark):
     with pytest.raises(ValueError):
         smote(frame(spark, np.eye(6), [1, 1, 0, 0, 0, 0]), "y", "x", k=5).count()
+
+
+def curved(rng, n, d=48):
+    """Points of three dimensions, bent into many."""
+    t = rng.uniform(size=(n, 3))
+    return np.sin(t @ rng.normal(size=(3, d)) * 2) + rng.normal(size=(n, d)) * 0.01
+
+
+def truth(x, k):
+    d = ((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2)
+    np.fill_diagonal(d, np.inf)
+    return np.sqrt(np.sort(d, axis=1)[:, :k])
+
+
+@pytest.mark.parametrize("copies", [0, 500])
+def test_hashed_neighbours_find_nearly_all(spark, copies):
+    """Against brute force: distances are exact, and at least 95 % of the true ones are there."""
+    rng = np.random.default_rng(8)
+    x = curved(rng, 1500)
+    x = np.vstack([x, np.tile(x[3], (copies, 1))])
+    blocks = blocked_points(frame(spark, x), "x", 64)
+    near = hashed_neighbours(blocks, 5, bucket_points=12, probes=3)
+    assert "hashed-near" in near.inputFiles()[0]  # not the exact search
+    ids = {r["id"]: np.array(r["x"]) for r in blocks.collect()}
+    wanted = {tuple(np.round(a, 9)): b for a, b in zip(x, truth(x, 5))}
+    hits, total = 0, 0
+    lists = {}
+    for r in near.collect():
+        assert abs(np.linalg.norm(ids[r["id"]] - ids[r["nid"]]) - r["d"]) < 1e-9
+        lists.setdefault(r["id"], []).extend([r["d"]] * min(r["copies"], 5 - r["start"]))
+    for i, p in ids.items():
+        want = wanted[tuple(np.round(p, 9))]
+        total += len(want)
+        hits += sum(d <= want[-1] + 1e-9 for d in lists.get(i, []))
+    assert hits >= 0.95 * total
+
+
+def test_hashed_work_is_linear(spark):
+    """Twice the points, about twice the pairs in all buckets; no bucket is large, not even with a dense cluster."""
+    work = []
+    for n in (1000, 2000, 4000):
+        rng = np.random.default_rng(9)
+        x = curved(rng, n)
+        x[: n // 3] = x[0] + rng.normal(size=(n // 3, x.shape[1])) * 1e-6
+        blocks = blocked_points(frame(spark, x), "x")
+        bits = int(np.ceil(np.log2(n / 32)))
+        keyed = _keyed(blocks, range(4), bits, _planes(blocks, range(4), bits + 12, 1), 3)
+        groups = _in_buckets(keyed, bits, bits + 12, 32).groupBy("table", "top", "rest", "share")
+        sizes = groups.agg(F.count_if("host").alias("hosts"), F.count("*").alias("rows")).toPandas()
+        assert sizes["hosts"].max() <= 32 * 8
+        work.append(int((sizes["hosts"] * sizes["rows"]).sum()))
+    assert work[1] < 2.8 * work[0] and work[2] < 2.8 * work[1]
+
+
+def test_hashed_falls_back_to_all_points(spark):
+    """Without structure in many dimensions hashing cannot win; the result is exact."""
+    x = np.random.default_rng(10).normal(size=(300, 40))
+    near = hashed_neighbours(blocked_points(frame(spark, x), "x", 64), 4, bucket_points=16)
+    assert np.allclose(sorted(r["d"] for r in near.collect()), np.sort(truth(x, 4).ravel()))
+
+
+def test_exact_visits_by_spans(spark, monkeypatch):
+    from modelwatch.operators import neighbours
+
+    monkeypatch.setattr(neighbours, "SPAN_BLOCKS", 3)
+    x = np.random.default_rng(11).normal(size=(200, 2))
+    near = exact_neighbours(blocked_points(frame(spark, x), "x", 8), 5)
+    assert np.allclose(sorted(r["d"] for r in near.collect()), np.sort(truth(x, 5).ravel()))
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_oversampled_keeps_keys(spark, kind):
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(90, 3))
+    df = frame(spark, x, [1] * 20 + [0] * 70).withColumn("key", F.monotonically_increasing_id().cast(kind)).cache()
+    out = oversampled(df, "key", "y", "x", k=3).collect()
+    assert len(out) == 140 and len({r["key"] for r in out}) == 140 and None not in {r["key"] for r in out}
+    given = {r["key"]: r["x"] for r in df.collect()}
+    assert sum(r["key"] in given for r in out) == 90
+    assert all(list(r["x"]) == given[r["key"]] for r in out if r["key"] in given)
