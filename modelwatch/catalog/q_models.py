@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -86,6 +87,59 @@ def i4(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("id", *[encoding.ordinal(c, levels[c]).alias(c) for c in ("contract", "churn")])
 
 
+MANY = "SELECT c_custkey, c_name, c_mktsegment, c_custkey % 7 = 0 AS fresh FROM customer"
+
+
+def _many_levels(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers whose name is a level of its own for every row."""
+    return table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment", (F.col("c_custkey") % 7 == 0).alias("fresh"))
+
+
+@query(
+    "i3_one_hot_table",
+    with_sql(
+        """SELECT c_custkey, CAST((SELECT count(*) FILTER (NOT fresh) - 1 + count(DISTINCT c_mktsegment) FILTER (NOT fresh) - 1 FROM who) AS INTEGER) AS width,
+ CASE WHEN NOT fresh AND r > 1 THEN CAST(r - 2 AS INTEGER) END AS name_at, CASE WHEN s > 1 THEN CAST(n - 1 + s - 2 AS INTEGER) END AS segment_at
+ FROM (SELECT *, rank() OVER (PARTITION BY fresh ORDER BY c_name) AS r, count(*) FILTER (NOT fresh) OVER () AS n FROM who)
+ JOIN (SELECT c_mktsegment, row_number() OVER (ORDER BY c_mktsegment) AS s FROM (SELECT DISTINCT c_mktsegment FROM who WHERE NOT fresh)) USING (c_mktsegment)""",
+        who=MANY,
+    ),
+)
+def i3_table(spark: SparkSession, sf: str) -> DataFrame:
+    """As many levels as rows: positions of the entries of the sparse one-hot vector; names that were not fitted have none."""
+    rows = _many_levels(spark, sf)
+    fitted = rows.where("not fresh")
+    model = encoding.FeatureEncoderModel()._set(
+        categoricalCols=["c_name", "c_mktsegment"], outputCol="x", state=json.dumps({"scale": {}, "counts": {}})
+    )
+    model.level_table = encoding.indexed_levels(fitted, ["c_name", "c_mktsegment"])
+    counts = encoding.level_counts(model.level_table, ["c_name", "c_mktsegment"])
+    model._set(state=json.dumps({"scale": {}, "counts": counts}))
+    # As text a sparse vector is (size,[positions],[values]).
+    parts = F.regexp_extract(F.col("x").cast("string"), r"\((\d+),\[([\d,]*)\]", 2)
+    at = F.transform(F.filter(F.split(parts, ","), lambda p: p != ""), lambda p: p.cast("int"))
+    edge = counts["c_name"] - 1
+    return model.transform(rows).select(
+        "c_custkey",
+        F.regexp_extract(F.col("x").cast("string"), r"\((\d+),", 1).cast("int").alias("width"),
+        F.try_element_at(F.filter(at, lambda p: p < edge), F.lit(1)).alias("name_at"),
+        F.try_element_at(F.filter(at, lambda p: p >= edge), F.lit(1)).alias("segment_at"),
+    )
+
+
+@query(
+    "i4_ordinal_table",
+    with_sql("SELECT c_custkey, CAST(rank() OVER (ORDER BY c_name) - 1 AS DOUBLE) AS place, CAST(dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS DOUBLE) AS segment FROM who", who=MANY),
+)
+def i4_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Places among as many levels as there are rows."""
+    rows = _many_levels(spark, sf)
+    levels = encoding.indexed_levels(rows, ["c_name", "c_mktsegment"])
+    placed = encoding.join_places(rows, levels, ["c_name", "c_mktsegment"], out="{}_place")
+    coded = {n: encoding.ordinal_of(c, F.col(f"{c}_place")).alias(n) for n, c in (("place", "c_name"), ("segment", "c_mktsegment"))}
+    return placed.select("c_custkey", *coded.values())
+
+
 def _encoder() -> encoding.FeatureEncoder:
     return training.default_encoder(NUMERIC, CATEGORICAL)
 

@@ -23,3 +23,10 @@ def membership(left: DataFrame, keys: DataFrame, key: str, *, keep_members: bool
     """
     how = "left_semi" if keep_members else "left_anti"
     return left.join(keys.select(key), key, how).select(*left.columns)
+
+
+def mark_members(left: DataFrame, keys: DataFrame, key: str, out: str) -> DataFrame:
+    """``left`` with a boolean ``out``: is the row's ``key`` in ``keys``? A row without key is never a member. One join."""
+    known = keys.select(F.col(key).alias("_member")).where("_member is not null").distinct()
+    joined = left.join(known, left[key] == known["_member"], "left")
+    return joined.withColumn(out, F.col("_member").isNotNull()).drop("_member")

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame
 
 from modelwatch.functions.scalars import bucketize, count_active, encode_label, map_values, parse_int, parse_number
 from modelwatch.operators.encoding import FeatureEncoder, FeatureEncoderModel
-from modelwatch.operators.membership import append_batch, holdout_side, training_side
+from modelwatch.operators.joins import mark_members
+from modelwatch.operators.membership import append_batch
 from modelwatch.operators.metrics import evaluate
 from modelwatch.operators.training import fit_model, score
 from modelwatch.schema import CLEAN_TYPES, INACTIVE_SERVICE, SERVICE_COLUMNS, TENURE_EDGES, TENURE_LABELS
@@ -37,10 +38,14 @@ def engineer(clean: DataFrame) -> DataFrame:
 def encode_sides(
     df: DataFrame, ids: DataFrame, key: str, encoder: FeatureEncoder
 ) -> tuple[FeatureEncoderModel, DataFrame, DataFrame]:
-    """(fitted encoder, encoded train, encoded test); the encoder sees the training side only."""
-    train, test = training_side(df, ids, key), holdout_side(df, ids, key)
-    model = encoder.fit(train)
-    return model, model.transform(train), model.transform(test)
+    """(fitted encoder, encoded train, encoded test); the encoder sees the training side only.
+
+    One join marks the side of every row, and one plan encodes both sides.
+    """
+    marked = mark_members(df, ids, key, "_held_out")
+    model = encoder.fit(marked.where("not _held_out"))
+    encoded = model.transform(marked)
+    return model, encoded.where("not _held_out").drop("_held_out"), encoded.where("_held_out").drop("_held_out")
 
 
 def retrain(

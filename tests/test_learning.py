@@ -103,6 +103,37 @@ def test_any_number_of_levels(spark):
     assert names[got[0].argmax()] == "c_it's 7"
 
 
+def test_levels_as_a_table(spark, monkeypatch):
+    """Beyond the literal bound nothing changes but the form: sparse vectors, levels in a folder of their own."""
+    rng = np.random.default_rng(2)
+    rows = [(float(i), rng.choice(["a", "b", "Ä", None]), f"n{i:04d}" if i % 9 else None, str(rng.integers(5))) for i in range(400)]
+    df = spark.createDataFrame(rows, "v double, c string, name string, o string")
+    seen = df.where("v < 300")
+    build = lambda: encoding.FeatureEncoder(numericCols=["v"], categoricalCols=["c", "name"], ordinalCols=["o"], outputCol="f")
+    plain = build().fit(seen)
+    monkeypatch.setattr(encoding, "LITERAL_LEVELS", 50)
+    tabled = build().fit(seen)
+    assert plain.level_table is None and tabled.level_table is not None and len(tabled.getOrDefault("state")) < 200
+    read = lambda m: {r["v"]: r["f"] for r in m.transform(df).select("v", "f").collect()}
+    a, b = read(plain), read(tabled)
+    assert all(np.array_equal(a[v].toArray(), b[v].toArray()) for v in a) and len(b[17.0].indices) <= 4
+    assert tabled.feature_names() == plain.feature_names()
+    path = scratch_path(spark, "encoder")
+    tabled.write().overwrite().save(path)
+    again = read(encoding.FeatureEncoderModel.load(path))
+    assert all(np.array_equal(a[v].toArray(), again[v].toArray()) for v in a)
+    with pytest.raises(Exception, match="unknown level in o: 9"):
+        tabled.transform(spark.createDataFrame([(1.0, "a", "n0001", "9")], df.schema)).collect()
+
+
+def test_hot_and_missing_levels_join(spark):
+    df = spark.createDataFrame([("hot",)] * 500 + [(None,)] * 300 + [(f"l{i}",) for i in range(200)], "c string")
+    levels = encoding.indexed_levels(df, ["c"])
+    placed = encoding.join_places(df, levels, ["c"]).groupBy("_place_c").count().collect()
+    counts = {r["_place_c"]: r["count"] for r in placed}
+    assert counts[None] == 300 and counts[1] == 500 and len(counts) == 202 and sum(counts.values()) == 1000
+
+
 @pytest.fixture(scope="module")
 def prepared(spark):
     raw = landed(spark, [customer(i) for i in range(400)])
