@@ -2,21 +2,58 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+import re
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-def file_fingerprints(spark: SparkSession, path: str) -> DataFrame:
-    """SHA-256 of every file under the path, computed where the file is read."""
-    return (
-        spark.read.format("binaryFile")
-        .load(path)
-        .select("path", "length", F.sha2("content", 256).alias("sha256"))
-    )
+def _open(path: str) -> pa.NativeFile:
+    """The file as it is, not unpacked; schemes are those of Arrow's file systems (file, hdfs, s3, gs, ...)."""
+    local = re.match(r"^(?:file:)?/*(/.*)$", path) if path.startswith(("file:", "/")) else None
+    if local:
+        return fs.LocalFileSystem().open_input_stream(local[1], compression=None, buffer_size=0)
+    system, inner = fs.FileSystem.from_uri(path)
+    return system.open_input_stream(inner, compression=None, buffer_size=0)
+
+
+def _stream_digests(read_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """SHA-256 of files that are never in memory as a whole."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests, lengths = [], []
+            for path in batch.column(0).to_pylist():
+                digest, length = hashlib.sha256(), 0
+                with _open(path) as file:
+                    while part := file.read(read_bytes):
+                        digest.update(part)
+                        length += len(part)
+                digests.append(digest.hexdigest())
+                lengths.append(length)
+            columns = [batch.column(0), pa.array(lengths, pa.int64()), pa.array(digests, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["path", "length", "sha256"])
+
+    return task
+
+
+def file_fingerprints(spark: SparkSession, path: str, whole_bytes: int = 64 << 20, read_bytes: int = 1 << 20) -> DataFrame:
+    """(path, length, sha256) of every file under the path, computed where the file is read.
+
+    Files of up to ``whole_bytes`` are values of Spark's file reader, from any store that it knows. Larger ones, of any
+    size, are read in parts of ``read_bytes`` by a task that holds one part; only their names and lengths come from the reader.
+    Spark's listing leaves empty files out, and so does this.
+    """
+    files = spark.read.format("binaryFile").load(path)
+    small = files.where(F.col("length") <= whole_bytes).select("path", "length", F.sha2("content", 256).alias("sha256"))
+    large = files.where(F.col("length") > whole_bytes).select("path")
+    return small.unionByName(large.mapInArrow(_stream_digests(read_bytes), "path string, length bigint, sha256 string"))
 
 
 def row_text(cols: Sequence[str]) -> Column:

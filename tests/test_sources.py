@@ -1,5 +1,6 @@
 """Readers, sinks, snapshots, ingestion."""
 
+import gzip
 import hashlib
 
 import pytest
@@ -88,6 +89,33 @@ def test_file_fingerprint_is_sha256(spark, tmp_path):
     assert row["sha256"] == hashlib.sha256(b"a,b\n1,2\n").hexdigest()
 
 
+@pytest.mark.parametrize("whole_bytes", [0, 100, 1 << 20])
+def test_file_fingerprints_in_parts(spark, tmp_path, whole_bytes):
+    """Files as one value or read in parts of 7 bytes, packed ones as they are, odd names included; empty files are left out."""
+    (tmp_path / "empty.csv").write_bytes(b"")
+    contents = {"a.csv": b"a", "b c%20d.csv": b"x" * 99, "e.csv": bytes(range(256)) * 9, "f.csv.gz": gzip.compress(b"packed" * 40)}
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    rows = fingerprint.file_fingerprints(spark, str(tmp_path), whole_bytes, 7).collect()
+    assert {r["sha256"]: r["length"] for r in rows} == {hashlib.sha256(c).hexdigest(): len(c) for c in contents.values()}
+    assert len(rows) == 4
+
+
+def test_file_fingerprint_beyond_two_gigabytes(spark, tmp_path):
+    """No value and no buffer can hold such a file."""
+    size = (1 << 31) + 4321
+    with (tmp_path / "large.bin").open("wb") as file:
+        file.truncate(size)  # a hole: it takes no disk
+        file.seek(1 << 30)
+        file.write(b"something")
+    want = hashlib.sha256()
+    with (tmp_path / "large.bin").open("rb") as file:
+        while part := file.read(1 << 24):
+            want.update(part)
+    row = fingerprint.file_fingerprints(spark, str(tmp_path)).first()
+    assert row["length"] == size and row["sha256"] == want.hexdigest()
+
+
 def test_table_fingerprint_ignores_order_but_not_content(spark):
     df = landed(spark, [customer(i) for i in range(40)])
     one = fingerprint.table_fingerprint(df).first()
