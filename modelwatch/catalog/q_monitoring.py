@@ -80,6 +80,12 @@ def k1_blocks(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(drift.ks_statistic(by_quantity(spark, sf), ["value", "l_discount"], cuts=cuts).drop("p_value"))
 
 
+@query("k1_ks_refined", with_sql(f"SELECT feature, round(score, 6) AS score, n_baseline, n_current, {_status()} FROM ({KS_SHIP})", ship=SHIP))
+def k1_refined(spark: SparkSession, sf: str) -> DataFrame:
+    """Cuts from the data; blocks that may hold the largest gap are cut again while they are crowded."""
+    return rounded(drift.ks_statistic(shipped(spark, sf), ["l_quantity", "l_extendedprice"], rows_per_block=60).drop("p_value"))
+
+
 @query("k2_ks_p_value", with_sql(f"SELECT feature, round(p_value, 6) AS p_value_asymptotic FROM ({with_p(KS_SHIP)})", ship=SHIP))
 def k2(spark: SparkSession, sf: str) -> DataFrame:
     ks = drift.ks_statistic(shipped(spark, sf), ["l_quantity", "l_extendedprice"])
@@ -184,6 +190,11 @@ def e5(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(monitor.latency_summary(log(spark, sf)))
 
 
+@query("e5_latency_in_blocks", with_sql(f"SELECT model_version, {LATENCY} FROM log GROUP BY 1", log=LOG))
+def e5_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(monitor.latency_summary(log(spark, sf), ["model_version"], rows_per_block=50))
+
+
 @query("e5_latency_by_model", with_sql(f"SELECT model_version, {LATENCY} FROM log GROUP BY 1", log=LOG))
 def e5_by(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(monitor.latency_summary(log(spark, sf), ["model_version"]))

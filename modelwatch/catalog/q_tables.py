@@ -312,6 +312,12 @@ def e4(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(profile.describe(table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"]))
 
 
+@query("e4_describe_in_blocks", _describe_sql(("l_quantity", "l_extendedprice", "l_discount"), "lineitem"))
+def e4_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """The path of large data: only blocks that hold a quartile are looked into, and cut again while they are crowded."""
+    return rounded(profile.describe(table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"], rows_per_block=150))
+
+
 @query("e4_describe_by_group", _describe_sql(("value",), "events", "event_type"))
 def e4_by(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(profile.describe(table(spark, sf, "events"), ["value"], ["event_type"]))
@@ -365,6 +371,19 @@ def e11(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(profile.box_numbers(table(spark, sf, "events"), "value", "event_type"))
 
 
+@query(
+    "e11_box_in_blocks",
+    """SELECT l_returnflag, n, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
+ round(min(l_extendedprice) FILTER (l_extendedprice >= q1 - 1.5 * (q3 - q1)), 6) AS whisker_low,
+ round(max(l_extendedprice) FILTER (l_extendedprice <= q3 + 1.5 * (q3 - q1)), 6) AS whisker_high,
+ count(*) FILTER (l_extendedprice < q1 - 1.5 * (q3 - q1) OR l_extendedprice > q3 + 1.5 * (q3 - q1)) AS outliers
+ FROM lineitem JOIN (SELECT l_returnflag, count(*) AS n, quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.5) AS median,
+ quantile_cont(l_extendedprice, 0.75) AS q3 FROM lineitem GROUP BY 1) USING (l_returnflag) GROUP BY l_returnflag, n, q1, median, q3""",
+)
+def e11_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(profile.box_numbers(table(spark, sf, "lineitem"), "l_extendedprice", "l_returnflag", rows_per_block=20))
+
+
 @query("e12_duplicate_count", "SELECT CAST(count(*) - count(DISTINCT text) AS BIGINT) AS duplicates FROM documents")
 def e12(spark: SparkSession, sf: str) -> DataFrame:
     return profile.duplicate_count(table(spark, sf, "documents"), ["text"])
@@ -630,6 +649,17 @@ def h5(spark: SparkSession, sf: str) -> DataFrame:
     return sampling.upper_slice(rows, {"monthly": 0.6, "tenure": 0.5}, "monthly").select("id")
 
 
+@query(
+    "h5_upper_slice_in_blocks",
+    """SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_extendedprice >= (SELECT quantile_cont(CAST(l_extendedprice AS DOUBLE), 0.6) FROM lineitem)
+ AND l_quantity >= (SELECT quantile_cont(CAST(l_quantity AS DOUBLE), 0.5) FROM lineitem)""",
+)
+def h5_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")
+    cutoffs = {"l_extendedprice": 0.6, "l_quantity": 0.5}
+    return sampling.upper_slice(rows, cutoffs, "l_extendedprice", rows_per_block=100).select("l_orderkey", "l_linenumber")
+
+
 @query(
     "h6_stratified_folds",
     f"""SELECT doc_id, quality, CAST((row_number() OVER (PARTITION BY quality ORDER BY {_hash('doc_id', 42)}, CAST(doc_id AS VARCHAR)) - 1) % 5 AS INTEGER) AS fold FROM labels""",

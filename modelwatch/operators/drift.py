@@ -8,13 +8,29 @@ so needs a single scan.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from modelwatch.operators.joins import null_safe_join
 from modelwatch.operators.metrics import evaluate, side_by_side
-from modelwatch.operators.ordered import Cuts, block_cuts, block_offsets, long_numeric, running_totals, with_names
+from modelwatch.operators.ordered import (
+    LEVELS,
+    ROWS_PER_BLOCK,
+    Cuts,
+    block_cuts,
+    block_offsets,
+    block_sizes,
+    crowded_blocks,
+    inside_parents,
+    long_numeric,
+    running_totals,
+    split_blocks,
+    with_names,
+)
+from modelwatch.session import stage_table
 
 KS_THRESHOLD = 0.10
 JS_THRESHOLD = 0.10
@@ -76,33 +92,50 @@ def _all_gaps(tall: DataFrame) -> DataFrame:
     return run.select("column", F.abs(_lead("cum_base", "cum_cur")).alias("gap"), "total_base", "total_cur")
 
 
-def _largest_gaps(tall: DataFrame) -> DataFrame:
+def _largest_gaps(tall: DataFrame, rows_per_block: int) -> DataFrame:
     """Gaps at all block ends, and at all values of the blocks that may exceed them.
 
     A block that starts with lead d and holds shares p and q of the two sides keeps
     its lead within [d - q, d + p]. Blocks whose bound does not exceed the largest
-    gap at a block end cannot hold the maximum and are not sorted at all.
+    gap at a block end cannot hold the maximum and are not looked into at all;
+    crowded ones among the others are cut again, and judged again, before any row
+    is sorted.
     """
-    values = ["base", "cur"]
-    blocks = block_offsets(_side_counts(tall, ["column", "_block"]), values, ["column"])
-    start = _lead("_off_base", "_off_cur")
-    bound = F.greatest(
-        F.abs(start + F.try_divide("base", "total_base")), F.abs(start - F.try_divide("cur", "total_cur"))
-    )
-    ends = F.abs(_lead(F.col("_off_base") + F.col("base"), F.col("_off_cur") + F.col("cur")))
-    known = blocks.select("*", ends.alias("gap"), bound.alias("_bound")).withColumn(
-        "_best", F.max("gap").over(W.partitionBy("column"))
-    )
-    # One row per column and block.
-    open_blocks = F.broadcast(known.where("_bound > _best").drop(*values, "gap", "_bound", "_best"))
-    counts = _side_counts(tall.join(open_blocks.select("column", "_block"), ["column", "_block"], "left_semi"),
-                          ["column", "_block", "value"])
-    inside = W.partitionBy("column", "_block").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
-    summed = counts.select("column", "_block", *[F.sum(v).over(inside).alias(v) for v in values])
-    refined = summed.join(open_blocks, ["column", "_block"])
+    values, keys = ["base", "cur"], ["column", "_block"]
+    totals = ["total_base", "total_cur"]
+    rows, parents, ends = tall, None, []
+    for level in range(LEVELS):
+        sides = [F.sum(SIDE).cast("bigint").alias("base"), F.sum(1 - F.col(SIDE)).cast("bigint").alias("cur")]
+        sizes = block_sizes(rows, keys, *sides)
+        offsets = [f"_off_{v}" for v in values]
+        if parents is None:
+            blocks = block_offsets(sizes, values, ["column"]).withColumn("_earlier", F.lit(0.0))
+        else:
+            parent = parents.select(*keys, *offsets, *totals, F.col("_best").alias("_earlier"))
+            blocks = inside_parents(sizes, parent, ["column"], values, offsets)
+        start = _lead("_off_base", "_off_cur")
+        bound = F.greatest(
+            F.abs(start + F.try_divide("base", "total_base")), F.abs(start - F.try_divide("cur", "total_cur"))
+        )
+        end = F.abs(_lead(F.col("_off_base") + F.col("base"), F.col("_off_cur") + F.col("cur")))
+        known = blocks.select("*", end.alias("gap"), bound.alias("_bound"))
+        best = F.greatest(F.max("gap").over(W.partitionBy("column")), "_earlier")
+        known = stage_table(known.withColumn("_best", best).drop("_earlier"), "ks-blocks")
+        ends.append(known.select("column", "gap", *totals))
+        parents = known.where("_bound > _best")
+        # A row per column and open block, while a block has more than one.
+        reached = F.broadcast(parents.select(*keys))
+        hit = null_safe_join(rows, reached, keys, "left_semi")
+        crowded = crowded_blocks(parents, F.col("base") + F.col("cur"), rows_per_block)
+        if level + 1 == LEVELS or crowded.isEmpty():
+            break
+        rows = split_blocks(stage_table(hit, "ks-rows"), crowded, keys, True)
+    counts = _side_counts(hit, [*keys, "value"])
+    inside = W.partitionBy(*keys).orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
+    summed = counts.select(*keys, *[F.sum(v).over(inside).alias(v) for v in values])
+    refined = summed.join(F.broadcast(parents.select(*keys, *offsets, *totals)), keys)
     lead = _lead(F.col("_off_base") + F.col("base"), F.col("_off_cur") + F.col("cur"))
-    out = ("column", "gap", "total_base", "total_cur")
-    return known.select(*out).unionByName(refined.withColumn("gap", F.abs(lead)).select(*out))
+    return reduce(DataFrame.unionByName, [*ends, refined.select("column", F.abs(lead).alias("gap"), *totals)])
 
 
 def ks_statistic(
@@ -110,6 +143,7 @@ def ks_statistic(
     cols: Sequence[str],
     threshold: float = KS_THRESHOLD,
     cuts: Cuts | None = None,
+    rows_per_block: int = ROWS_PER_BLOCK,
 ) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov per numeric column, missing values dropped.
 
@@ -119,9 +153,9 @@ def ks_statistic(
     gives a NULL score.
     """
     if cuts is None:
-        cuts = block_cuts(both, cols)
+        cuts = block_cuts(both, cols, rows_per_block)
     tall = long_numeric(both, cols, [SIDE], cuts)
-    run = _all_gaps(tall) if "_block" not in tall.columns else _largest_gaps(tall)
+    run = _all_gaps(tall) if "_block" not in tall.columns else _largest_gaps(tall, rows_per_block)
     stats = run.groupBy("column").agg(
         F.max("gap").alias("score"), F.max("total_base").alias("n_baseline"), F.max("total_cur").alias("n_current")
     )

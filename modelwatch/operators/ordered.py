@@ -4,7 +4,10 @@ A window with no partition key, or with a handful of keys, would pull the data
 into a few tasks. Everything here first cuts the value range into blocks and
 then works inside ``(group, block)``; offsets between blocks come from one tiny
 aggregate. Results are exact wherever the cuts fall: cuts only decide how the
-work is spread.
+work is spread. The first cuts are the same for all groups and bounded in number;
+a block that is looked into and still holds too many rows is cut again, by
+quantiles of its own that stay a table, until none does or only equal values are
+left.
 """
 
 from __future__ import annotations
@@ -23,7 +26,11 @@ from modelwatch.session import stage_table
 
 ROWS_PER_BLOCK = 1_000_000
 MIN_BLOCKS = 256
-MAX_BLOCKS = 4096
+#: Cuts of the first level, which become an expression, and of one block at the levels below.
+FIRST_CUTS, MORE_CUTS = 4096, 64
+#: A block becomes up to so many: a value that is a cut is a block of its own.
+FAN = 2 * MORE_CUTS + 2
+LEVELS = 6  # block numbers stay within 64 bits
 BROADCAST_GROUPS = 20_000
 
 Cuts = dict[str, list[float]]
@@ -33,7 +40,7 @@ def block_cuts(
     df: DataFrame,
     cols: Sequence[str],
     rows_per_block: int = ROWS_PER_BLOCK,
-    max_blocks: int = MAX_BLOCKS,
+    max_blocks: int = FIRST_CUTS,
 ) -> Cuts:
     """Approximate quantile boundaries per column; empty lists while the data is small.
 
@@ -153,29 +160,75 @@ def few_groups(df: DataFrame, by: Sequence[str]) -> bool:
     return df.agg(F.approx_count_distinct(F.struct(*by))).first()[0] <= BROADCAST_GROUPS
 
 
+def block_sizes(rows: DataFrame, keys: Sequence[str], *counts: Column) -> DataFrame:
+    """Rows per block, its smallest and its largest value."""
+    return rows.groupBy(*keys).agg(
+        *(counts or [F.count(F.lit(1)).alias("_in_block")]), F.min("value").alias("_lo"), F.max("value").alias("_hi")
+    )
+
+
+def crowded_blocks(blocks: DataFrame, size: Column, rows_per_block: int) -> DataFrame:
+    """Blocks that hold more rows than they should and more than one value."""
+    return blocks.where((size > rows_per_block) & (F.col("_lo") < F.col("_hi")))
+
+
+def split_blocks(rows: DataFrame, crowded: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
+    """``rows`` with ``_block`` numbered anew, in the same order: crowded blocks are cut at quantiles of their own.
+
+    A hot value is a cut and so a block of its own; every other part is smaller than the whole.
+    """
+    keys = list(keys)
+    probs = [i / (MORE_CUTS + 1) for i in range(1, MORE_CUTS + 1)]
+    keyed = crowded.select(*keys)
+    inside = null_safe_join(rows, F.broadcast(keyed) if small else keyed, keys, "left_semi")
+    cuts = inside.groupBy(*keys).agg(F.array_distinct(F.percentile_approx("value", probs, 16 * MORE_CUTS)).alias("_cuts"))
+    joined = null_safe_join(rows, F.broadcast(cuts) if small else cuts, keys, "left")
+    below = F.size(F.filter("_cuts", lambda c: c < F.col("value")))
+    part = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(2 * below + F.array_contains("_cuts", F.col("value")).cast("int"))
+    return joined.withColumn("_block", F.col("_block").cast("bigint") * FAN + part).drop("_cuts")
+
+
+def inside_parents(sizes: DataFrame, parents: DataFrame, group: Sequence[str], values: Sequence[str], offsets: Sequence[str]) -> DataFrame:
+    """Adds, to the blocks that ``split_blocks`` made, their parent's columns; ``offsets`` count what is before a block."""
+    up = [*group, "_up"]
+    before = W.partitionBy(*up).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    placed = sizes.withColumn("_up", F.floor(F.col("_block") / FAN))
+    placed = placed.select("*", *[F.coalesce(F.sum(v).over(before), F.lit(0)).alias(f"_in_{v}") for v in values])
+    joined = null_safe_join(placed, parents.withColumnRenamed("_block", "_up"), up)
+    moved = {o: F.col(o) + F.col(f"_in_{v}") for v, o in zip(values, offsets, strict=True)}
+    return joined.withColumns(moved).drop("_up", *[f"_in_{v}" for v in values])
+
+
 def _located_in_blocks(
-    tall: DataFrame, group: list[str], probs: Sequence[float], small: bool
+    tall: DataFrame, group: list[str], probs: Sequence[float], small: bool, rows_per_block: int
 ) -> DataFrame:
-    """The same, but only for values in blocks that hold a wanted rank."""
+    """The same, but only for values in blocks that hold a wanted rank; those are cut again while they are crowded."""
     keys = group + ["_block"]
-    per_block = tall.groupBy(*keys).agg(F.count(F.lit(1)).alias("_in_block"))
-    before = W.partitionBy(*group).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    placed = per_block.select(
-        *keys,
-        "_in_block",
-        F.coalesce(F.sum("_in_block").over(before), F.lit(0)).alias("_start"),
-        F.sum("_in_block").over(W.partitionBy(*group)).alias("n"),
-    )
-    ranks = [f(F.lit(float(p)) * (F.col("n") - 1)) for p in probs for f in (F.floor, F.ceil)]
-    holds = [(r >= F.col("_start")) & (r < F.col("_start") + F.col("_in_block")) for r in ranks]
-    wanted = placed.where(reduce(lambda a, b: a | b, holds)).select(*keys, "_start", "n")
-    if small:
-        wanted = F.broadcast(wanted)
-    hit = null_safe_join(tall, wanted.select(*keys), keys, "left_semi")
+    rows, wanted = tall, None
+    for level in range(LEVELS):
+        sizes = block_sizes(rows, keys)
+        if wanted is None:
+            before = W.partitionBy(*group).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+            placed = sizes.select(
+                "*",
+                F.coalesce(F.sum("_in_block").over(before), F.lit(0)).alias("_start"),
+                F.sum("_in_block").over(W.partitionBy(*group)).alias("n"),
+            )
+        else:
+            placed = inside_parents(sizes, wanted.select(*keys, "_start", "n"), group, ["_in_block"], ["_start"])
+        ranks = [f(F.lit(float(p)) * (F.col("n") - 1)) for p in probs for f in (F.floor, F.ceil)]
+        holds = [(r >= F.col("_start")) & (r < F.col("_start") + F.col("_in_block")) for r in ranks]
+        wanted = stage_table(placed.where(reduce(lambda a, b: a | b, holds)), "wanted-blocks")
+        hit = null_safe_join(rows, F.broadcast(wanted.select(*keys)) if small else wanted.select(*keys), keys, "left_semi")
+        crowded = crowded_blocks(wanted, F.col("_in_block"), rows_per_block)
+        if level + 1 == LEVELS or crowded.isEmpty():
+            break
+        rows = split_blocks(stage_table(hit, "wanted-rows"), crowded, keys, small)
     counted = hit.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_rows"))
     inside = W.partitionBy(*keys).orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
     ordered = counted.withColumn("_end", F.sum("_rows").over(inside))
-    return null_safe_join(ordered, wanted, keys).select(
+    starts = wanted.select(*keys, "_start", "n")
+    return null_safe_join(ordered, F.broadcast(starts) if small else starts, keys).select(
         *group, "value", "_rows", (F.col("_start") + F.col("_end") - F.col("_rows")).alias("_first"), "n"
     )
 
@@ -186,6 +239,7 @@ def exact_quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     cuts: Cuts | None = None,
+    rows_per_block: int = ROWS_PER_BLOCK,
 ) -> DataFrame:
     """Linear-interpolated quantiles ``q0, q1, ...`` (order of ``probs``) per group and column.
 
@@ -194,11 +248,11 @@ def exact_quantiles(
     """
     by = list(by)
     if cuts is None:
-        cuts = block_cuts(df, cols)
+        cuts = block_cuts(df, cols, rows_per_block)
     group = by + ["column"]
     tall = long_numeric(df, cols, by, cuts)
     if any(cuts.values()):
-        located = _located_in_blocks(tall, group, probs, few_groups(df, by))
+        located = _located_in_blocks(tall, group, probs, few_groups(df, by), rows_per_block)
     else:
         located = _located_small(tall, group)
     spots = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modelwatch.operators.joins import null_safe_join
-from modelwatch.operators.ordered import exact_quantiles, few_groups, long_numeric, with_names
+from modelwatch.operators.ordered import ROWS_PER_BLOCK, exact_quantiles, few_groups, long_numeric, with_names
 
 
 def class_distribution(df: DataFrame, column: str) -> DataFrame:
@@ -32,7 +32,7 @@ def rate_by(df: DataFrame, cols: Sequence[str], flag: Column) -> DataFrame:
     )
 
 
-def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """count, mean, sample std, min, q25, q50, q75, max per column (and group); quartiles are exact.
 
     One aggregate over the columns side by side gives the moments. A column without
@@ -49,7 +49,7 @@ def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> Data
     wide = df.groupBy(*by).agg(*[moments(c).alias(f"_m{i}") for i, c in enumerate(cols)])
     each = [F.struct(F.lit(c).alias("column"), F.col(f"_m{i}.*")) for i, c in enumerate(cols)]
     stats = wide.select(*by, F.explode(F.array(*each)).alias("_s")).select(*by, "_s.*")
-    quarts = exact_quantiles(df, cols, [0.25, 0.5, 0.75], by).select(
+    quarts = exact_quantiles(df, cols, [0.25, 0.5, 0.75], by, rows_per_block=rows_per_block).select(
         *by, "column", F.col("q0").alias("q25"), F.col("q1").alias("q50"), F.col("q2").alias("q75")
     )
     return null_safe_join(stats, quarts, by + ["column"], "left")
@@ -87,9 +87,9 @@ def histogram(df: DataFrame, column: str, lo: float, hi: float, bins: int) -> Da
     return inside.groupBy(number.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def box_numbers(df: DataFrame, column: str, by: str) -> DataFrame:
+def box_numbers(df: DataFrame, column: str, by: str, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """Quartiles, whisker ends within 1.5 IQR, and the number of outliers per class."""
-    quarts = exact_quantiles(df, [column], [0.25, 0.5, 0.75], [by]).select(
+    quarts = exact_quantiles(df, [column], [0.25, 0.5, 0.75], [by], rows_per_block=rows_per_block).select(
         by,
         "n",
         F.col("q0").alias("q1"),

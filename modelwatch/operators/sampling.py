@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from modelwatch.operators.ordered import exact_quantiles
+from modelwatch.operators.ordered import ROWS_PER_BLOCK, exact_quantiles
 
 BROADCAST_DRAWS = 500_000
 PREFIX = 4
@@ -203,10 +203,10 @@ def sample_with_replacement(df: DataFrame, key: str, n: int, seed: int = 42) ->
     return df.join(hits, F.col(key).cast("string") == F.col("_k")).drop("_k")
 
 
-def upper_slice(df: DataFrame, cutoffs: dict[str, float], fallback: str) -> DataFrame:
+def upper_slice(df: DataFrame, cutoffs: dict[str, float], fallback: str, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """Rows at or above a quantile in every column; if there are none, rows with ``fallback`` present."""
     cols = list(cutoffs)
-    marks = exact_quantiles(df, cols, sorted(set(cutoffs.values())))
+    marks = exact_quantiles(df, cols, sorted(set(cutoffs.values())), rows_per_block=rows_per_block)
     index = {p: i for i, p in enumerate(sorted(set(cutoffs.values())))}
     edge = marks.agg(
         F.struct(*[F.max(F.when(F.col("column") == c, F.col(f"q{index[p]}"))).alias(c) for c, p in cutoffs.items()])

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modelwatch.operators.joins import null_safe_join
-from modelwatch.operators.ordered import exact_quantiles
+from modelwatch.operators.ordered import ROWS_PER_BLOCK, exact_quantiles
 from modelwatch.operators.profile import describe
 
 
@@ -43,7 +43,7 @@ def to_log_events(
     )
 
 
-def latency_summary(log: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def latency_summary(log: DataFrame, by: Sequence[str] = (), rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """Mean, median, p95, min and max of the latencies present."""
     by = list(by)
     plain = (
@@ -56,7 +56,7 @@ def latency_summary(log: DataFrame, by: Sequence[str] = ()) -> DataFrame:
             F.max("latency_ms").alias("max_ms"),
         )
     )
-    marks = exact_quantiles(log, ["latency_ms"], [0.5, 0.95], by).select(
+    marks = exact_quantiles(log, ["latency_ms"], [0.5, 0.95], by, rows_per_block=rows_per_block).select(
         *by, F.col("q0").alias("median_ms"), F.col("q1").alias("p95_ms")
     )
     if by:

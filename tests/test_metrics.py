@@ -109,6 +109,17 @@ def test_ks_with_many_blocks_and_columns(spark):
         assert math.isclose(got[c], brute_ks(a[:, i], b[:, i]), abs_tol=1e-12)
 
 
+@pytest.mark.parametrize("shift", [0.0, 0.05, 2.0])
+def test_ks_cuts_crowded_blocks_again(spark, shift):
+    """Few first cuts, a hot value and a long tail; a narrow gap hides inside one block."""
+    rng = np.random.default_rng(12)
+    a = np.r_[np.exp(rng.normal(0, 4, 1500)), np.full(400, 2.0), rng.uniform(5, 5.001, 300)]
+    b = np.r_[np.exp(rng.normal(shift, 4, 1300)), np.full(100, 2.0), rng.uniform(5.0005, 5.0015, 500)]
+    both = drift.two_tables(*(spark.createDataFrame([(float(x),) for x in m], "v double") for m in (a, b)))
+    row = drift.ks_statistic(both, ["v"], cuts={"v": [1.0, 100.0]}, rows_per_block=25).first()
+    assert math.isclose(row["score"], brute_ks(a, b), abs_tol=1e-12)
+
+
 def test_equal_samples_do_not_drift(spark):
     df = spark.range(50).select(F.col("id").cast("double").alias("v"), (F.col("id") % 3).cast("string").alias("c"))
     rows = drift.data_drift_report(drift.two_tables(df, df), ["v"], ["c"]).collect()

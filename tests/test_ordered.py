@@ -82,3 +82,25 @@ def test_describe_keeps_a_column_without_values(spark):
     got = {r["column"]: r for r in profile.describe(rows, ["a", "b"]).collect()}
     assert (got["a"]["count"], got["a"]["mean"], got["a"]["q50"]) == (2, 2.0, 2.0)
     assert (got["b"]["count"], got["b"]["mean"], got["b"]["q50"]) == (0, None, None)
+
+
+@pytest.mark.parametrize("first", [2, 6])
+def test_crowded_blocks_are_cut_again(spark, monkeypatch, first):
+    """Coarse first cuts, hot values, a long tail and unlike groups: exact, and no block that is ordered is large."""
+    rng = np.random.default_rng(4)
+    groups = {"a": np.exp(rng.normal(0, 6, 3000)), "b": np.r_[np.full(2500, 3.0), rng.normal(3, 1e-9, 500)], None: rng.normal(1e6, 1, 50)}
+    rows = [(g, float(v)) for g, values in groups.items() for v in values]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(4)
+    cuts = ordered.block_cuts(df, ["v"], rows_per_block=20, max_blocks=first)
+    sizes, split = [], ordered.split_blocks
+
+    def watched(rows, crowded, keys, small):
+        sizes.append(crowded.agg(F.max("_in_block")).first()[0])
+        return split(rows, crowded, keys, small)
+
+    monkeypatch.setattr(ordered, "split_blocks", watched)
+    probs = [0.0, 0.01, 0.5, 0.77, 1.0]
+    for r in ordered.exact_quantiles(df, ["v"], probs, ["g"], cuts, rows_per_block=20).collect():
+        assert r["n"] == len(groups[r["g"]])
+        assert np.allclose([r[f"q{i}"] for i in range(5)], np.quantile(groups[r["g"]], probs), rtol=1e-12, atol=0)
+    assert len(sizes) >= 2 and sizes == sorted(sizes, reverse=True) and sizes[-1] < sizes[0] / 20
