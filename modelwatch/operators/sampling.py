@@ -3,8 +3,11 @@
 Rows are ordered by md5(key | seed). The first four hex digits put each row in
 one of 65,536 evenly filled buckets, so "the first m rows per class" needs only
 counts per bucket plus a ranking of the one bucket where the quota ends. The
-outcome is a cut value per class and the split itself is a plain filter: the
-full data is never shuffled.
+outcome is a table with a cut per class: few cuts become an expression and the
+split itself a plain filter; many are joined to the rows by class.
+
+Rows without key have their content for a key: a digest, and the number of the
+occurrence among equal rows. They spread over the buckets like any other.
 """
 
 from __future__ import annotations
@@ -12,23 +15,57 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from modelwatch.operators.ordered import ROWS_PER_BLOCK, exact_quantiles
+from modelwatch.operators.ordered import ROWS_PER_BLOCK, exact_quantiles, with_position
+from modelwatch.session import stage_table
+from modelwatch.sources.fingerprint import row_digest
 
-BROADCAST_DRAWS = 500_000
 PREFIX = 4
+BUCKETS = 16**PREFIX
+#: Cuts of so many strata may become part of an expression.
+LITERAL_STRATA = 1_000
+#: The text that orders a row, where it is not simply its key.
+OWN = "_own_key"
+
+
+def key_text(df: DataFrame, key: str) -> Column:
+    """What orders the rows: the key as text, or what ``with_own_keys`` gave instead."""
+    text = F.col(key).cast("string")
+    return F.coalesce(text, F.col(OWN)) if OWN in df.columns else F.coalesce(text, F.lit(""))
 
 
-def key_text(key: str) -> Column:
-    """A key as text; rows without key share the empty one."""
-    return F.coalesce(F.col(key).cast("string"), F.lit(""))
+def order_hash(text: Column, seed: int) -> Column:
+    return F.md5(F.concat(text, F.lit(f"|{seed}")))
 
 
-def order_hash(key: str, seed: int) -> Column:
-    return F.md5(F.concat(key_text(key), F.lit(f"|{seed}")))
+def with_own_keys(df: DataFrame, key: str) -> DataFrame:
+    """``df``, and where rows have no key, ``OWN`` for those.
+
+    Equal rows are numbered: inside a part of the written rows, after what earlier parts hold of them. Which of them gets
+    which number is without effect.
+    """
+    keyless = df.where(F.col(key).isNull())
+    if keyless.isEmpty():
+        return df
+    rows = stage_table(keyless.withColumns({"_digest": row_digest(df.columns), "_id": F.monotonically_increasing_id()}), "keyless")
+    rows = rows.withColumn("_part", F.shiftright("_id", 33))
+    sizes = rows.groupBy("_digest", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = W.partitionBy("_digest").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    starts = sizes.select("_digest", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    within = F.row_number().over(W.partitionBy("_digest", "_part").orderBy("_id"))
+    numbered = rows.withColumn("_within", within).join(starts, ["_digest", "_part"])
+    own = F.concat(F.lit("\0"), "_digest", F.lit("|"), (F.col("_start") + F.col("_within")).cast("string"))
+    keyed = df.where(F.col(key).isNotNull()).withColumn(OWN, F.lit(None).cast("string"))
+    # Written: the numbers must not change between uses.
+    return keyed.unionByName(stage_table(numbered.select(*df.columns, own.alias(OWN)), "own-keys"))
+
+
+def _stratum(by: str | None) -> Column:
+    return F.coalesce(F.col(by).cast("string"), F.lit("")) if by else F.lit("")
 
 
 @dataclass(frozen=True)
@@ -36,30 +73,36 @@ class HashCut:
     """Per stratum, the last (hash, key) inside the quota; strata without quota are absent.
 
     Rows of one key lie on one side, so a quota that ends between them cannot be
-    met: ``hash_cut`` raises then, and only then.
+    met: ``hash_cut`` raises then, and only then. ``cuts`` is a table (stratum, h,
+    k); ``few`` has its rows where they are few.
     """
 
     key: str
     seed: int
     by: str | None
-    cuts: dict[str, tuple[str, str]]
-
-    def selected(self) -> Column:
-        """Is the row inside its stratum's quota?"""
-        entries = [F.lit(x) for s, (h, _) in self.cuts.items() for x in (s, h)]
-        keys = [F.lit(x) for s, (_, k) in self.cuts.items() for x in (s, k)]
-        if not entries:
-            return F.lit(False)
-        stratum = F.coalesce(F.col(self.by).cast("string"), F.lit("")) if self.by else F.lit("")
-        h, k = order_hash(self.key, self.seed), key_text(self.key)
-        cut_h = F.try_element_at(F.create_map(*entries), stratum)
-        cut_k = F.try_element_at(F.create_map(*keys), stratum)
-        return F.coalesce((h < cut_h) | ((h == cut_h) & (k <= cut_k)), F.lit(False))
+    cuts: DataFrame
+    few: list[tuple[str, str, str]] | None
+
+    def mark(self, df: DataFrame, out: str) -> DataFrame:
+        """``df`` with ``out``: is the row inside its stratum's quota?"""
+        text = key_text(df, self.key)
+        h = order_hash(text, self.seed)
+        if self.few is None:
+            own = self.cuts.select(F.col("stratum").alias("_stratum"), F.col("h").alias("_cut_h"), F.col("k").alias("_cut_k"))
+            df = df.join(own, _stratum(self.by) == F.col("_stratum"), "left")
+            cut_h, cut_k = F.col("_cut_h"), F.col("_cut_k")
+        elif not self.few:
+            return df.withColumn(out, F.lit(False))
+        else:
+            cut = F.try_element_at(F.create_map(*[x for s, ch, ck in self.few for x in (F.lit(s), F.struct(F.lit(ch).alias("h"), F.lit(ck).alias("k")))]), _stratum(self.by))
+            cut_h, cut_k = cut["h"], cut["k"]
+        inside = F.coalesce((h < cut_h) | ((h == cut_h) & (text <= cut_k)), F.lit(False))
+        return df.withColumn(out, inside).drop("_stratum", "_cut_h", "_cut_k")
 
 
 def _keyed(df: DataFrame, key: str, seed: int, by: str | None) -> DataFrame:
-    stratum = F.coalesce(F.col(by).cast("string"), F.lit("")) if by else F.lit("")
-    keyed = df.select(stratum.alias("stratum"), order_hash(key, seed).alias("h"), key_text(key).alias("k"))
+    text = key_text(df, key)
+    keyed = df.select(_stratum(by).alias("stratum"), order_hash(text, seed).alias("h"), text.alias("k"))
     return keyed.withColumn("bucket", F.substring("h", 1, PREFIX))
 
 
@@ -85,57 +128,57 @@ def hash_cut(
     ``quota`` turns stratum sizes (stratum, n) into (stratum, quota).
     """
     keyed = _keyed(df, key, seed, by)
-    counts = _bucket_rows(keyed)
+    counts = stage_table(_bucket_rows(keyed), "bucket-rows")
     sizes = counts.groupBy("stratum").agg(F.sum("rows").alias("n"))
     placed = _placed(counts).join(quota(sizes).select("stratum", F.col("quota").alias("_q")), "stratum")
     placed = placed.withColumn("quota", F.least("_q", "n"))
     ends_here = (F.col("start") < F.col("quota")) & (F.col("quota") <= F.col("start") + F.col("rows"))
-    edges = (
-        placed.where(ends_here)
-        .select(F.concat_ws("|", "bucket", "stratum").alias("spot"), (F.col("quota") - F.col("start")).alias("rank"))
-        .collect()  # a row for each stratum, which become entries of one expression
-    )
-    if not edges:
-        return HashCut(key, seed, by, {})
+    edges = placed.where(ends_here).select("stratum", "bucket", (F.col("quota") - F.col("start")).alias("rank"))
     # One bucket per stratum is left: 1 / 65,536 of its rows.
-    rank = F.element_at(F.create_map(*[F.lit(x) for e in edges for x in (e["spot"], e["rank"])]), F.col("spot"))
-    near = keyed.withColumn("spot", F.concat_ws("|", "bucket", "stratum")).where(
-        F.col("spot").isin([e["spot"] for e in edges])
-    )
-    in_order = W.partitionBy("spot").orderBy("h", "k")
+    near = keyed.join(edges, ["stratum", "bucket"])
+    in_order = W.partitionBy("stratum", "bucket").orderBy("h", "k")
     ranked = near.withColumn("rn", F.row_number().over(in_order)).withColumn("next", F.lead("k").over(in_order))
-    rows = ranked.where(F.col("rn") == rank).select("stratum", "h", "k", (F.col("next") == F.col("k")).alias("shared")).collect()
-    if any(r["shared"] for r in rows):
-        raise ValueError(f"rows that share a {key} (or have none) stand where the quota ends: no exact sample")
-    return HashCut(key, seed, by, {r["stratum"]: (r["h"], r["k"]) for r in rows})
+    last = ranked.where(F.col("rn") == F.col("rank"))
+    cuts = stage_table(last.select("stratum", "h", "k", F.coalesce(F.col("next") == F.col("k"), F.lit(False)).alias("shared")), "cuts")
+    if not cuts.where("shared").isEmpty():
+        raise ValueError(f"rows that share a {key} stand where the quota ends: no exact sample")
+    few = cuts.select("stratum", "h", "k").limit(LITERAL_STRATA + 1).collect()
+    return HashCut(key, seed, by, cuts, [tuple(r) for r in few] if len(few) <= LITERAL_STRATA else None)
 
 
 def largest_remainder(sizes: DataFrame, fraction: float) -> DataFrame:
     """ceil(fraction * total) places shared out over the strata by largest remainder.
 
-    ``sizes`` has one row per class, so a window over all of it is small.
+    The total is one aggregate; only the strata's order by remainder needs all of them, and that is a range shuffle.
     """
-    everything = W.partitionBy()
-    total = F.ceil(F.round(F.lit(fraction) * F.sum("n").over(everything), 9))
-    exact = F.col("n") * F.col("total") / F.sum("n").over(everything)
-    shared = sizes.withColumn("total", total).withColumn("exact", exact)
+    rows = sizes.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("strata")).first()
+    all_rows, strata = rows["rows"] or 0, rows["strata"]
+    total = F.ceil(F.round(F.lit(fraction) * F.lit(all_rows), 9))
+    exact = F.col("n") * total / F.lit(all_rows)
+    shared = sizes.withColumn("exact", exact)
     base = shared.withColumn("base", F.floor("exact")).withColumn("rest", F.round(F.col("exact") - F.col("base"), 9))
-    order = W.orderBy(F.col("rest").desc(), F.col("stratum"))
-    left = F.col("total") - F.sum("base").over(everything)
-    extra = (F.row_number().over(order) <= left).cast("int")
-    return base.select("stratum", (F.col("base") + extra).alias("quota"))
+    order = [F.col("rest").desc(), F.col("stratum")]
+    left = total - F.lit(base.agg(F.sum("base")).first()[0] or 0)
+    if strata <= LITERAL_STRATA:
+        placed = base.withColumn("position", F.row_number().over(W.orderBy(*order)) - 1)
+    else:
+        placed = with_position(base, order)
+    return placed.select("stratum", (F.col("base") + (F.col("position") < left).cast("int")).alias("quota"))
 
 
 def stratified_split(df: DataFrame, key: str, label: str, fraction: float = 0.2, seed: int = 42) -> DataFrame:
     """Add ``split``: exactly ceil(fraction * n) rows are 'test', proportionally per class."""
+    df = with_own_keys(df, key)
     cut = hash_cut(df, key, lambda sizes: largest_remainder(sizes, fraction), seed, label)
-    return df.withColumn("split", F.when(cut.selected(), "test").otherwise("train"))
+    marked = cut.mark(df, "_inside").withColumn("split", F.when(F.col("_inside"), "test").otherwise("train"))
+    return marked.drop("_inside", OWN)
 
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """Exactly ``min(n, rows)`` rows, the same ones for the same data and seed."""
+    df = with_own_keys(df, key)
     cut = hash_cut(df, key, lambda sizes: sizes.select("stratum", F.least(F.lit(n), "n").alias("quota")), seed)
-    return df.where(cut.selected())
+    return cut.mark(df, "_inside").where("_inside").drop("_inside", OWN)
 
 
 def flag_fraction_where(df: DataFrame, key: str, where: Column, fraction: float, seed: int = 42) -> DataFrame:
@@ -144,63 +187,71 @@ def flag_fraction_where(df: DataFrame, key: str, where: Column, fraction: float,
     def share(sizes: DataFrame) -> DataFrame:
         return sizes.select("stratum", F.floor(F.round(F.col("n") * fraction, 9)).alias("quota"))
 
+    df = with_own_keys(df, key)
     cut = hash_cut(df.where(where), key, share, seed)
-    return df.withColumn("chosen", F.coalesce(where, F.lit(False)) & cut.selected())
-
-
-def hash_rank(df: DataFrame, key: str, seed: int, by: str | None = None) -> DataFrame:
-    """(key, stratum, zero-based rank in hash order). Ranked per (stratum, bucket) plus offset."""
-    keyed = _keyed(df, key, seed, by)
-    within = F.row_number().over(W.partitionBy("stratum", "bucket").orderBy("h", "k"))
-    offsets = _placed(_bucket_rows(keyed)).select("stratum", "bucket", "start", "n")
-    ranked = keyed.withColumn("rn", within).join(offsets, ["stratum", "bucket"])
-    return ranked.select(
-        F.col("k").alias(key), "stratum", (F.col("start") + F.col("rn") - 1).alias("rank"), "n"
-    )
+    marked = cut.mark(df, "_inside")
+    return marked.withColumn("chosen", F.coalesce(where, F.lit(False)) & F.col("_inside")).drop("_inside", OWN)
 
 
 def stratified_folds(df: DataFrame, key: str, label: str, k: int = 5, seed: int = 42) -> DataFrame:
     """Add ``fold`` 0..k-1: classes are dealt out evenly in hash order."""
-    ranked = _with_rank(df, key, seed, label)
-    return ranked.withColumn("fold", (F.col("_rank") % k).cast("int")).drop("_rank")
+    ranked = _with_rank(with_own_keys(df, key), key, seed, label)
+    return ranked.withColumn("fold", (F.col("_rank") % k).cast("int")).drop("_rank", OWN)
 
 
 def _with_rank(df: DataFrame, key: str, seed: int, by: str) -> DataFrame:
     """Rows with their hash rank inside the stratum; rows travel once, to their own bucket."""
-    stratum = F.coalesce(F.col(by).cast("string"), F.lit(""))
-    h = order_hash(key, seed)
+    text = key_text(df, key)
+    h = order_hash(text, seed)
     marked = df.select(
-        "*", stratum.alias("stratum"), h.alias("_h"), F.substring(h, 1, PREFIX).alias("bucket")
+        "*", _stratum(by).alias("stratum"), h.alias("_h"), text.alias("_k"), F.substring(h, 1, PREFIX).alias("bucket")
     )
-    within = F.row_number().over(W.partitionBy("stratum", "bucket").orderBy("_h", key_text(key)))
+    within = F.row_number().over(W.partitionBy("stratum", "bucket").orderBy("_h", "_k"))
     offsets = _placed(_bucket_rows(_keyed(df, key, seed, by))).select("stratum", "bucket", "start")
     return (
         marked.withColumn("_rn", within)
         .join(offsets, ["stratum", "bucket"])
         .withColumn("_rank", F.col("start") + F.col("_rn") - 1)
-        .drop("stratum", "bucket", "start", "_h", "_rn")
+        .drop("stratum", "bucket", "start", "_h", "_k", "_rn")
     )
 
 
 def sample_with_replacement(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """Exactly ``n`` draws; adds ``draw`` 0..n-1. Keys must be unique and not NULL.
 
-    Draw i takes the row at hash-order position md5(i | seed) mod N.
+    Draw i takes the row at hash-order position md5(i | seed) mod N. Counts per
+    bucket, 65,536 at most, tell the bucket and the place in it; only rows of
+    drawn buckets are moved and ranked, and a repeated key among them is an error.
     """
-    twice = F.count(F.lit(1)).over(W.partitionBy(key)) > 1
-    wrong = F.raise_error(F.concat(F.lit(f"{key} is repeated or missing: "), F.coalesce(F.col(key).cast("string"), F.lit("NULL"))))
-    ranked = hash_rank(df, key, seed)
-    ranked = ranked.withColumn("_k", F.when(twice | (F.col(key) == ""), wrong.cast("string")).otherwise(F.col(key)))
-    size = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    if not df.where(F.col(key).isNull()).isEmpty():
+        raise ValueError(f"{key} is repeated or missing: NULL")
+    keyed = df.withColumn("_h", order_hash(F.col(key).cast("string"), seed))
+    keyed = keyed.withColumn("_bucket", F.conv(F.substring("_h", 1, PREFIX), 16, 10).cast("int"))
+    filled = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n")).orderBy("_bucket").collect()
+    size = sum(r["n"] for r in filled)
+    if not size:
+        raise ValueError("there is no row to draw")
+    starts, at = [], 0
+    for r in filled:
+        starts.append(at)
+        at += r["n"]
     word = F.conv(F.substring(F.md5(F.concat(F.col("id").cast("string"), F.lit(f"|{seed}"))), 1, 15), 16, 10)
     draws = df.sparkSession.range(n).select(
-        F.col("id").alias("draw"), F.pmod(word.cast("bigint"), size).alias("rank")
+        F.col("id").alias("draw"), F.pmod(word.cast("bigint"), F.lit(size)).alias("_rank")
     )
-    bounded = n <= BROADCAST_DRAWS
-    hits = (F.broadcast(draws) if bounded else draws).join(ranked.select("_k", "rank"), "rank").select("draw", "_k")
-    if bounded:
-        hits = F.broadcast(hits)
-    return df.join(hits, F.col(key).cast("string") == F.col("_k")).drop("_k")
+    # Which bucket: a binary search over their starts; up to 2^53 rows a double has them exactly.
+    number = Bucketizer(splits=[-1.0, *map(float, starts), float(size)], inputCol="_place", outputCol="_index")
+    draws = number.transform(draws.withColumn("_place", F.col("_rank").cast("double"))).drop("_place")
+    known = [(i + 1.0, r["_bucket"], s) for i, (r, s) in enumerate(zip(filled, starts, strict=True))]
+    index = df.sparkSession.createDataFrame(known, "_index double, _bucket int, _start bigint")
+    draws = draws.join(F.broadcast(index), "_index").select("draw", "_bucket", (F.col("_rank") - F.col("_start")).alias("_rank"))
+    drawn = draws.select("_bucket").distinct()
+    near = keyed.join(F.broadcast(drawn), "_bucket", "left_semi")
+    in_order = W.partitionBy("_bucket").orderBy("_h", F.col(key).cast("string"))
+    text = F.col(key).cast("string")
+    wrong = F.raise_error(F.concat(F.lit(f"{key} is repeated or missing: "), text)).cast("bigint")
+    place = F.when(F.lag(text).over(in_order) == text, wrong).otherwise(F.row_number().over(in_order) - 1)
+    return draws.join(near.withColumn("_rank", place), ["_bucket", "_rank"]).select(*df.columns, "draw")
 
 
 def upper_slice(df: DataFrame, cutoffs: dict[str, float], fallback: str, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:

@@ -1,5 +1,6 @@
 """Splits, samples, encoding, training and scoring."""
 
+import hashlib
 import math
 
 import numpy as np
@@ -228,6 +229,48 @@ def test_shared_and_missing_keys(spark):
         sampling.sample_with_replacement(same, "k", 3).collect()
 
 
+def test_rows_without_any_key(spark):
+    """A digest and an occurrence number order them: exact sizes, many buckets, whatever the layout of the rows."""
+    rows = spark.createDataFrame([(None, "ab"[i % 2], i // 5) for i in range(400)], "k string, y string, v int")
+    rows = rows.unionByName(spark.createDataFrame([(None, "a", 7)] * 200, rows.schema))  # one row many times
+    out = sampling.stratified_split(rows.repartition(6), "k", "y", 0.25)
+    assert out.columns == ["k", "y", "v", "split"] and out.count() == 600
+    counts = {(r["y"], r["split"]): r["count"] for r in out.groupBy("y", "split").count().collect()}
+    assert counts == {("a", "test"): 100, ("a", "train"): 300, ("b", "test"): 50, ("b", "train"): 150}
+    again = sampling.stratified_split(rows.repartition(3), "k", "y", 0.25)
+    assert out.exceptAll(again).isEmpty() and again.exceptAll(out).isEmpty()
+    own = sampling._keyed(sampling.with_own_keys(rows, "k"), "k", 42, None)
+    assert own.select("bucket").distinct().count() > 550
+    folds = sampling.stratified_folds(rows, "k", "y", 4).groupBy("y", "fold").count().collect()
+    assert {r["count"] for r in folds} == {100, 50}
+    assert sampling.sample_rows(rows, "k", 77).count() == 77
+
+
+@pytest.mark.parametrize("literal", [3, 10_000])
+def test_many_strata(spark, monkeypatch, literal):
+    """Cuts joined to the rows select what cuts in an expression select."""
+    monkeypatch.setattr(sampling, "LITERAL_STRATA", literal)
+    rows = spark.range(4000).select("id", (F.col("id") % 700).cast("string").alias("s"))
+    rows = rows.withColumn("s", F.when(F.col("id") < 300, "hot").when(F.col("id") < 320, F.lit(None)).otherwise(F.col("s")))
+    out = sampling.stratified_split(rows, "id", "s", 0.3).where("split = 'test'")
+    assert out.count() == 1200
+    per = {r["s"]: r["count"] for r in out.groupBy("s").count().collect()}
+    sizes = {r["s"]: r["count"] for r in rows.groupBy("s").count().collect()}
+    assert all(abs(per.get(s, 0) - 0.3 * n) < 1 for s, n in sizes.items())
+    chosen = sampling.flag_fraction_where(rows, "id", F.col("s") == "hot", 0.5)
+    assert chosen.where("chosen").count() == 150 and chosen.where("chosen and s <> 'hot'").isEmpty()
+
+
+def test_draws_come_from_drawn_buckets(spark):
+    rows = spark.range(500).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"), "id").repartition(5)
+    ordered = [r["k"] for r in rows.orderBy(F.md5(F.concat("k", F.lit("|3"))), "k").collect()]
+    want = [ordered[int(hashlib.md5(f"{i}|3".encode()).hexdigest()[:15], 16) % 500] for i in range(900)]
+    got = sampling.sample_with_replacement(rows, "k", 900, 3)
+    assert got.columns == ["k", "id", "draw"] and [r["k"] for r in got.orderBy("draw").collect()] == want
+    with pytest.raises(ValueError):
+        sampling.sample_with_replacement(rows.where("id < 0"), "k", 3)
+
+
 def test_layout_does_not_depend_on_the_session(spark):
     rows = spark.range(20_000).withColumnRenamed("id", "k")
     sizes = set()
