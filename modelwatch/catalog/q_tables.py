@@ -593,6 +593,21 @@ def h1(spark: SparkSession, sf: str) -> DataFrame:
     return sampling.stratified_split(rows, "id", "y", 0.2, 42)
 
 
+@query(
+    "h1_split_many_strata",
+    """WITH d AS (SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders), sizes AS (SELECT day, count(*) AS n FROM d GROUP BY 1),
+ exact AS (SELECT day, n, ceil(0.15 * sum(n) OVER ()) AS t, n * ceil(0.15 * sum(n) OVER ()) / sum(n) OVER () AS e FROM sizes),
+ quota AS (SELECT day, floor(e) + CASE WHEN row_number() OVER (ORDER BY round(e - floor(e), 9) DESC, day) <= t - sum(floor(e)) OVER () THEN 1 ELSE 0 END AS q FROM exact)
+ SELECT o_orderkey, CASE WHEN row_number() OVER (PARTITION BY d.day ORDER BY """
+    + _hash("o_orderkey", 3)
+    + """, CAST(o_orderkey AS VARCHAR)) <= q THEN 'test' ELSE 'train' END AS split FROM d JOIN quota USING (day)""",
+)
+def h1_many(spark: SparkSession, sf: str) -> DataFrame:
+    """A stratum for every day: cuts are a table that is joined to the rows."""
+    rows = table(spark, sf, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
+    return sampling.stratified_split(rows, "o_orderkey", "day", 0.15, 3).select("o_orderkey", "split")
+
+
 @query(
     "h2_frozen_holdout",
     f"""WITH cust AS (SELECT * FROM ({CUST}) WHERE senior = 0), {QUOTA}, ids AS (SELECT id FROM (SELECT id, q,

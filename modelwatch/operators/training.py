@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 from itertools import product
 from multiprocessing.pool import ThreadPool
+from threading import RLock
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, Model, PipelineModel
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from modelwatch.operators.encoding import FeatureEncoder, FeatureEncoderModel
 from modelwatch.operators.metrics import classification_metrics
 from modelwatch.operators.profile import class_weights
-from modelwatch.session import stage_table
+from modelwatch.session import scratch_root, stage_table
 
 WEIGHT = "class_weight"
 PARALLELISM = 4
@@ -42,7 +43,7 @@ def stable_layout(df: DataFrame, key: str, rows: int) -> DataFrame:
     return df.repartition(parts, key).sortWithinPartitions(key)
 
 
-def with_class_weight(df: DataFrame, label: str, counts: Row | None = None) -> DataFrame:
+def with_class_weight(df: DataFrame, label: str, counts: Row | dict | None = None) -> DataFrame:
     """Balanced weight n / (2 n_c) per row; the two weights are literals."""
     w = counts or class_weights(df, label).first()
     return df.withColumn(
@@ -82,9 +83,13 @@ def boosted_trees(
     columns: str = "all",
     seed: int = 42,
     weighted: bool = True,
+    checkpoint_interval: int = 10,
 ) -> Estimator:
+    """Each round's residuals rest on the round before; every ``checkpoint_interval`` rounds they are written to the shared
+    checkpoint folder, so that neither the plan nor what a lost executor costs grows with ``rounds``."""
     extra = {"weightCol": WEIGHT} if weighted else {}
     return GBTClassifier(
+        checkpointInterval=checkpoint_interval,
         labelCol=label,
         maxIter=rounds,
         maxDepth=depth,
@@ -111,14 +116,26 @@ def fit_model(df: DataFrame, key: str, label: str, encoder: Estimator | None, le
             fitted = encoder.fit(slim)
             rows, stages = fitted.transform(rows), [fitted]
         total = counts["negatives"] + counts["positives"]
-        if (c := getattr(learner, "inverse_strength", None)) is not None:
-            learner = learner.copy({learner.regParam: 1.0 / (c * max(total, 1))})
         laid_out = stable_layout(rows.select(key, label, WEIGHT, learner.getFeaturesCol()), key, total)
-        return PipelineModel([*stages, learner.fit(laid_out)])
+        return PipelineModel([*stages, *_fit_learner(laid_out, key, label, None, learner, total).stages])
     finally:
         slim.unpersist()
 
 
+def _fit_learner(rows: DataFrame, key: str, label: str, encoder: Model | None, learner: Estimator, total: int) -> PipelineModel:
+    """Fits on rows that are laid out and weighted."""
+    if (c := getattr(learner, "inverse_strength", None)) is not None:
+        learner = learner.copy({learner.regParam: 1.0 / (c * max(total, 1))})
+    context = rows.sparkSession.sparkContext
+    if learner.hasParam("checkpointInterval") and not context.getCheckpointDir():
+        # Boosting and deep forests cut their lineage there every ``checkpointInterval`` rounds.
+        context.setCheckpointDir(scratch_root(rows.sparkSession))
+    if encoder is not None:
+        rows = encoder.transform(rows)
+    fitted = learner.fit(rows.select(key, label, WEIGHT, learner.getFeaturesCol()))
+    return PipelineModel([*([encoder] if encoder is not None else []), fitted])
+
+
 def score(model: Model, df: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Raw columns plus ``churn_probability`` and ``prediction``."""
     kept = [c for c in df.columns if c not in ("prediction", "churn_probability")]
@@ -145,18 +162,20 @@ def cross_validate(
 ) -> DataFrame:
     """accuracy, precision, recall, f1 per model and fold; ``prepare`` runs on the training rows of each fold only.
 
-    The folded rows are written once; every fit is a Spark job over them, a few at
-    a time; all held-out predictions are evaluated in one aggregate.
+    The folded rows are written once and laid out once (see ``FoldedRows``); every
+    fit is a Spark job over that layout, a few at a time; all held-out predictions
+    are evaluated in one aggregate.
     """
-    rows = stage_table(folded, "folds")
-    tasks = [(name, f) for name in models for f in fold_values(rows, fold)]
+    rows = FoldedRows(folded, key, label, [m for pair in models.values() for m in _inputs(*pair)], fold, prepare)
 
     def held_out(task: tuple[str, object]) -> DataFrame:
         name, f = task
-        scored = _held_out_fold(rows, key, label, *models[name], fold, f, threshold, prepare)
+        scored = score(rows.fit(f, *models[name]), rows.held_out(f), threshold)
         return scored.select(F.lit(name).alias("model"), fold, label, "prediction")
 
-    parts = _in_parallel(rows.sparkSession, held_out, tasks, parallelism)
+    with rows:
+        tasks = [(name, f) for name in models for f in rows.folds]
+        parts = _in_parallel(rows.rows.sparkSession, held_out, tasks, parallelism)
     return classification_metrics(reduce(DataFrame.unionByName, parts), label, "prediction", ["model", fold])
 
 
@@ -167,6 +186,69 @@ def cv_summary(per_fold: DataFrame, metrics: Sequence[str] = ("f1", "recall")) -
     )
 
 
+def _inputs(encoder: Estimator | None, learner: Estimator) -> list[str]:
+    return encoder.input_columns() if encoder is not None else [learner.getFeaturesCol()]
+
+
+class FoldedRows:
+    """Folded rows for any number of fits.
+
+    The rows are written once, and shuffled once into the layout that repeatable
+    fits need; a fold's training rows are a filter over it. Class sizes of all
+    folds are one aggregate. Encoders, and ``prepare``, run once a fold and serve
+    all candidates. The layout is kept on the executors; what a lost one held is
+    computed again from the written rows.
+    """
+
+    def __init__(self, folded: DataFrame, key: str, label: str, inputs: Sequence[str], fold: str, prepare: Callable[[DataFrame], DataFrame] | None):
+        self.key, self.label, self.fold, self.prepare = key, label, fold, prepare
+        self.rows = stage_table(folded, "folds")
+        counted = self.rows.groupBy(fold).agg(F.count_if(F.col(label) == 0).alias("negatives"), F.count_if(F.col(label) == 1).alias("positives"))
+        self.counts = {r[fold]: r for r in counted.collect()}  # a row for each fold
+        self.folds = sorted(self.counts)
+        slim = self.rows if prepare else self.rows.select(*dict.fromkeys([key, label, fold, *inputs]))
+        self.kept = [stable_layout(slim, key, sum(r["negatives"] + r["positives"] for r in self.counts.values())).persist(StorageLevel.MEMORY_AND_DISK)]
+        self.given: dict = {}
+        self.encoders: dict = {}
+        self.lock = RLock()
+
+    def __enter__(self) -> "FoldedRows":
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        for df in self.kept:
+            df.unpersist()
+
+    def held_out(self, value) -> DataFrame:
+        return self.rows.where(F.col(self.fold) == value)
+
+    def training(self, value) -> tuple[DataFrame, dict]:
+        """The fold's training rows, laid out, and their class sizes."""
+        with self.lock:
+            if value not in self.given:
+                train = self.kept[0].where(F.col(self.fold) != value)
+                sizes = {c: sum(r[c] for f, r in self.counts.items() if f != value) for c in ("negatives", "positives")}
+                if self.prepare:
+                    made = self.prepare(train)
+                    sizes = made.agg(F.count_if(F.col(self.label) == 0).alias("negatives"), F.count_if(F.col(self.label) == 1).alias("positives")).first().asDict()
+                    train = stable_layout(made, self.key, sum(sizes.values())).persist(StorageLevel.MEMORY_AND_DISK)
+                    self.kept.append(train)
+                self.given[value] = train, sizes
+            return self.given[value]
+
+    def fit(self, value, encoder: Estimator | None, learner: Estimator) -> PipelineModel:
+        train, sizes = self.training(value)
+        fitted = None
+        if encoder is not None:
+            with self.lock:
+                if (value, encoder.uid) not in self.encoders:
+                    self.encoders[value, encoder.uid] = encoder.fit(train)
+            fitted = self.encoders[value, encoder.uid]
+        total = sizes["negatives"] + sizes["positives"]
+        weights = {f"weight_{c}": total / (2 * n) if n else 1.0 for c, n in ((0, sizes["negatives"]), (1, sizes["positives"]))}
+        return _fit_learner(with_class_weight(train, self.label, weights), self.key, self.label, fitted, learner, total)
+
+
 def fold_values(folded: DataFrame, fold: str) -> list:
     """The distinct folds; each is one fit."""
     return [r[0] for r in folded.select(fold).distinct().orderBy(fold).collect()]
@@ -178,12 +260,6 @@ def _in_parallel(spark: SparkSession, fn: Callable, tasks: Sequence, parallelism
         return pool.map(inheritable_thread_target(spark)(fn), tasks)
 
 
-def _held_out_fold(rows, key, label, encoder, learner, fold, value, threshold, prepare) -> DataFrame:
-    train = rows.where(F.col(fold) != value)
-    model = fit_model(prepare(train) if prepare else train, key, label, encoder, learner)
-    return score(model, rows.where(F.col(fold) == value), threshold)
-
-
 def out_of_fold(
     folded: DataFrame,
     key: str,
@@ -199,12 +275,12 @@ def out_of_fold(
 
     ``prepare`` runs on the training rows only (oversampling, for example).
     """
-    rows = stage_table(folded, "folds")
+    with FoldedRows(folded, key, label, _inputs(encoder, learner), fold, prepare) as rows:
 
-    def held_out(value) -> DataFrame:
-        return _held_out_fold(rows, key, label, encoder, learner, fold, value, threshold, prepare)
+        def held_out(value) -> DataFrame:
+            return score(rows.fit(value, encoder, learner), rows.held_out(value), threshold)
 
-    return reduce(DataFrame.unionByName, _in_parallel(rows.sparkSession, held_out, fold_values(rows, fold), parallelism))
+        return reduce(DataFrame.unionByName, _in_parallel(rows.rows.sparkSession, held_out, rows.folds, parallelism))
 
 
 def param_grid(**choices: Sequence) -> list[dict]:

@@ -200,6 +200,42 @@ def test_folds_never_score_their_own_rows(spark):
     assert out.count() == 60 and out.select("id").distinct().count() == 60
 
 
+def test_one_layout_for_all_folds_and_candidates(spark, monkeypatch):
+    """Rows are shuffled once; encoders and preparation run once a fold; results are those of separate fits."""
+    rng = np.random.default_rng(6)
+    rows = [(i, int(rng.random() < 0.4), float(rng.normal()), rng.choice(["a", "b"])) for i in range(300)]
+    folded = sampling.stratified_folds(spark.createDataFrame(rows, "id long, y int, n double, c string"), "id", "y", 3).cache()
+    encoder = encoding.FeatureEncoder(numericCols=["n"], categoricalCols=["c"], outputCol="features")
+    layouts, fits, prepared = [], [], []
+    layout, fit = training.stable_layout, encoding.FeatureEncoder._fit
+    monkeypatch.setattr(training, "stable_layout", lambda *a: layouts.append(1) or layout(*a))
+    monkeypatch.setattr(encoding.FeatureEncoder, "_fit", lambda self, df: fits.append(1) or fit(self, df))
+    grid = {str(c): (encoder, training.logistic_regression("y", c=c, weighted=True, max_iter=20)) for c in (0.01, 0.1, 1.0, 10.0)}
+    got = {(r["model"], r["fold"]): r["f1"] for r in training.cross_validate(folded, "id", "y", grid).collect()}
+    assert len(got) == 12 and len(layouts) == 1 and len(fits) == 3
+    kept = training.FoldedRows(folded, "id", "y", ["n", "c"], "fold", None)
+    plan = kept.training(0)[0]._jdf.queryExecution().executedPlan().toString()
+    assert "InMemoryTableScan" in plan.split("InMemoryRelation")[0] and "Exchange" not in plan.split("InMemoryRelation")[0]
+    for f in range(3):
+        model = training.fit_model(folded.where(F.col("fold") != f), "id", "y", *grid["1.0"])
+        alone = training.classification_metrics(training.score(model, folded.where(F.col("fold") == f)), "y", "prediction").first()
+        assert math.isclose(alone["f1"], got["1.0", f], abs_tol=1e-9)
+    layouts.clear()
+    training.cross_validate(folded, "id", "y", grid, prepare=lambda t: prepared.append(1) or t.where("id % 2 = 0")).collect()
+    assert len(prepared) == 3 and len(layouts) == 4
+
+
+def test_boosting_cuts_its_lineage(spark):
+    """A hundred rounds: residuals are checkpointed in the shared folder, and the depth of their lineage stays bounded."""
+    rows = [(i, int((i * 7 % 100) > 40), float(i * 7 % 100), float(i % 3)) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, y int, a double, b double")
+    encoder = encoding.FeatureEncoder(numericCols=["a", "b"], outputCol="features")
+    model = training.fit_model(df, "id", "y", encoder, training.boosted_trees("y", rounds=100, depth=2))
+    assert spark.sparkContext.getCheckpointDir()
+    assert model.stages[-1].getNumTrees == 100
+    assert training.score(model, df).where("prediction <> y").count() == 0
+
+
 def test_param_candidates():
     assert len(training.param_grid(c=[0.001, 0.01, 0.1, 1, 10, 100], penalty=["l1", "l2"])) == 12
     draws = training.param_draws(30, 42, a=list(range(10)), b=list(range(10)))
