@@ -434,7 +434,7 @@ WINDOW_AGGS = """count(*) AS events, round(avg(CASE WHEN status = 'failure' THEN
 def _run_windows(spark: SparkSession, sf: str, slide: str | None) -> DataFrame:
     out, check = scratch_path(spark, "s1-out"), scratch_path(spark, "s1-check")
     jobs.run_windowed_log(_stream_log(spark, sf), out, check, "1 day", slide).awaitTermination()
-    windows = spark.read.parquet(out)
+    windows = jobs.read_windows(spark, out)
     return rounded(
         windows.select(
             F.unix_micros("window_start").alias("start_us"),
@@ -484,17 +484,21 @@ def s2(spark: SparkSession, sf: str) -> DataFrame:
     """SELECT CAST(year(o_orderdate) AS INTEGER) AS y, count(*) AS n FROM orders GROUP BY 1""",
 )
 def s3(spark: SparkSession, sf: str) -> DataFrame:
-    """Batches land one by one; one of them lands again in a second file. Every order arrives once."""
+    """Years land as files, all in one trigger; later all of them land again. Every order arrives once."""
     root, landing = scratch_path(spark, "s3-root"), scratch_path(spark, "s3-in")
     orders = table(spark, sf, "orders")
     late = F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz")
     ingest.start_table(orders.where(~late), root)
-    check = scratch_path(spark, "s3-check")
+    check, reports = scratch_path(spark, "s3-check"), []
     for _ in range(2):
-        orders.where(late).coalesce(1).write.mode("append").parquet(landing)
-        stream = jobs.stream_table(spark, landing, orders.schema, files_per_trigger=1)
-        jobs.run_landing(stream, root, "o_orderkey", check).awaitTermination()
-    assert read_ledger(spark, root).count() == 1
+        # A file for every month.
+        month = F.date_format("o_orderdate", "yyyy-MM").alias("month")
+        orders.where(late).select("*", month).repartition("month").write.mode("append").partitionBy("month").parquet(landing)
+        stream = jobs.stream_table(spark, f"{landing}/*", orders.schema, name_files=True)
+        jobs.run_landing(stream, root, "o_orderkey", check, reports=reports.append).awaitTermination()
+    statuses = [{r["status"] for r in report.collect()} for report in reports]
+    if statuses != [{"ingested"}, {"already_ingested"}]:
+        raise AssertionError(f"landing: {statuses}")
     return read_current(spark, root).groupBy(F.year("o_orderdate").alias("y")).agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -76,7 +76,13 @@ def digest_sums(digest: Column, prefix: str = "h") -> list[Column]:
 
 def table_fingerprint(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """One row: row count and a fingerprint that does not depend on row order or file layout."""
-    cols = list(cols or df.columns)
-    sums = df.agg(F.count(F.lit(1)).alias("rows"), *digest_sums(row_digest(cols)))
+    return grouped_fingerprints(df, (), cols)
+
+
+def grouped_fingerprints(df: DataFrame, by: Sequence[str], cols: Sequence[str] | None = None) -> DataFrame:
+    """The same for every group: what its rows would give as a table of their own."""
+    cols = list(cols or [c for c in df.columns if c not in by])
+    sums = df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), *digest_sums(row_digest(cols)))
     words = [F.coalesce(F.col(f"h{i}"), F.lit(0)).cast("string") for i in range(4)]
-    return sums.select("rows", F.sha2(F.concat_ws(":", F.col("rows").cast("string"), *words), 256).alias("fingerprint"))
+    stamp = F.sha2(F.concat_ws(":", F.col("rows").cast("string"), *words), 256)
+    return sums.select(*by, "rows", stamp.alias("fingerprint"))

@@ -30,6 +30,12 @@ def publish_batch(df: DataFrame, root: str, version: int) -> str:
     return path
 
 
+def publish_batches(df: DataFrame, root: str) -> None:
+    """The same for several versions at once; column ``VERSION`` names them. Folders of other versions stay."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(VERSION).parquet(f"{root}/snapshots")
+
+
 def read_ledger(spark: SparkSession, root: str) -> DataFrame:
     path = lineage_path(root)
     if not path_exists(spark, path):

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from modelwatch.operators.checks import quarantine
 from modelwatch.operators.drift import js_against_baseline
 from modelwatch.operators.training import score
-from modelwatch.plans.ingest import ingest, rejected
+from modelwatch.plans.ingest import ingest_files
 from modelwatch.plans.monitor import to_log_events
 from modelwatch.schema import TableSpec
 from modelwatch.session import stage_table
@@ -51,7 +51,10 @@ def _start(writer, checkpoint: str, trigger: dict | None) -> StreamingQuery:
 
 
 def windowed_log(events: DataFrame, width: str, slide: str | None = None, delay: str = "1 hour") -> DataFrame:
-    """Count, failure rate, latency mean and maximum, positive share per event-time window."""
+    """Count, failure rate, latency mean and maximum, positive share per event-time window.
+
+    Events that are later than ``delay`` behind the newest one may be left out.
+    """
     span = F.window("timestamp", width, slide) if slide else F.window("timestamp", width)
     return (
         events.withWatermark("timestamp", delay)
@@ -71,15 +74,32 @@ def windowed_log(events: DataFrame, width: str, slide: str | None = None, delay:
 def run_windowed_log(
     events: DataFrame, out: str, checkpoint: str, width: str, slide: str | None = None, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Complete mode: every trigger rewrites the (small) table of windows."""
+    """Update mode: a trigger writes the windows that it changed, and the state drops windows that the watermark has closed.
+
+    The batch's number names its folder, so that a repeated batch overwrites itself. ``read_windows`` reads the folders;
+    ``fold_windows`` makes one of them.
+    """
 
-    def write(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    writer = windowed_log(events, width, slide).writeStream.outputMode("complete").foreachBatch(write)
+    writer = windowed_log(events, width, slide).writeStream.outputMode("update").foreachBatch(write)
     return _start(writer, checkpoint, trigger)
 
 
+def read_windows(spark: SparkSession, out: str) -> DataFrame:
+    """The newest state of every window, closed or still open. A later batch holds all that an earlier one knew of a window."""
+    rows = spark.read.option("basePath", out).parquet(f"{out}/batch=*")
+    values = F.struct(*[c for c in rows.columns if c not in ("batch", "window_start", "window_end")])
+    newest = rows.groupBy("window_start", "window_end").agg(F.max_by(values, F.col("batch")).alias("v"))
+    return newest.select("window_start", "window_end", "v.*")
+
+
+def fold_windows(spark: SparkSession, out: str, to: str) -> None:
+    """Writes the newest state of all windows as one table, for readers that come after the stream has ended."""
+    read_windows(spark, out).write.mode("overwrite").parquet(to)
+
+
 def deduplicated(events: DataFrame, payload: Sequence[str], delay: str) -> DataFrame:
     """One event per (request id, payload). The id alone is not a key: rows of one batch may share it."""
     keyed = events.withColumn("input_hash", row_digest(payload))
@@ -101,30 +121,23 @@ def run_landing(
     reports: Callable[[DataFrame], None] | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Ingest each micro-batch, file by file if the stream names its files.
+    """Ingest each micro-batch, as a whole, or as one batch per file if the stream names its files.
 
-    A batch or file that was taken before has a known fingerprint and changes nothing. One that breaks the identity
-    rules is written to ``<root>/quarantine`` and reported as rejected; the stream goes on with the next.
+    A batch or file that was taken before has a known fingerprint and changes nothing. One that breaks the schema or the
+    identity rules is written to ``<root>/quarantine`` and reported as rejected. All files of a trigger are judged by the
+    same few aggregates, published by one write and committed by one write of the ledger (see ``ingest_files``).
     """
 
-    def take_one(part: DataFrame, source: str, place: str) -> None:
-        try:
-            report = ingest(part.sparkSession, part, root, key, spec=spec, source=source)
-        except ValueError:
-            part.write.mode("overwrite").parquet(f"{root}/quarantine/{place}")
-            report = rejected(part.sparkSession, part.count())
-        if reports:
-            reports(report)
-
     def take(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         if FILE not in batch.columns:
-            take_one(batch, f"micro-batch {batch_id}", f"batch={batch_id}")
-            return
-        # As many files as the source's maxFilesPerTrigger allows.
-        for i, row in enumerate(sorted(batch.select(FILE).distinct().collect())):
-            take_one(batch.where(F.col(FILE) == row[0]).drop(FILE), row[0], f"batch={batch_id}/file={i}")
+            batch = batch.withColumn(FILE, F.lit(f"micro-batch {batch_id}"))
+        report = ingest_files(
+            batch.sparkSession, batch, root, key, FILE, spec=spec, quarantine=f"{root}/quarantine/batch={batch_id}"
+        )
+        if reports:
+            reports(report)
 
     return _start(stream.writeStream.foreachBatch(take), checkpoint, trigger)
 
