@@ -105,6 +105,14 @@ CUST = f"""SELECT id, contract, nation, senior, balance, tenure, total / n AS mo
  ON c_custkey = o_custkey)"""
 
 
+def closed(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers with one category that says much about churn, for models whose scores are rates."""
+    return customers(spark, sf).withColumn("stays", F.when(F.col("tenure") >= 60, "long").otherwise("short"))
+
+
+CLOSED = f"SELECT *, CASE WHEN tenure >= 60 THEN 'long' ELSE 'short' END AS stays FROM ({CUST})"
+
+
 # --- scored documents -------------------------------------------------------
 
 

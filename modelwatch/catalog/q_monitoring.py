@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from modelwatch.catalog.proxies import (
     DOC_FAILURES,
+    CLOSED,
     DOC_SPEC,
     LANDED,
     LOG,
@@ -16,6 +17,7 @@ from modelwatch.catalog.proxies import (
     SCORED,
     SHIP,
     by_quantity,
+    closed,
     encoded,
     landed,
     log,
@@ -28,8 +30,8 @@ from modelwatch.catalog.proxies import (
 from modelwatch.catalog.q_models import side_sql
 from modelwatch.catalog.q_sources import yearly_ledger
 from modelwatch.catalog.registry import query
-from modelwatch.operators import drift, training
-from modelwatch.plans import ingest, monitor, trigger
+from modelwatch.operators import drift, encoding, training
+from modelwatch.plans import ingest, monitor, pipeline, trigger
 from modelwatch.session import scratch_path
 from modelwatch.sources.snapshots import read_current, read_ledger
 from modelwatch.streaming import jobs
@@ -373,22 +375,45 @@ def l11(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query(
-    "l11_monitor_cycle",
-    f"""SELECT CASE WHEN d THEN 'retraining_completed' ELSE 'no_drift' END AS status, d AS drift_detected, d AS retraining_executed
- FROM (SELECT bool_or(status = 'DRIFT') AS d FROM ({SUMMARY}))""",
-)
-def l11_cycle(spark: SparkSession, sf: str) -> DataFrame:
-    """Drift reports to decision, with the first batch taken in when drift was found."""
+def _cycle_sql(minimum: float) -> str:
+    """The gate's answer about a model of one category, whose scores are rates."""
+    return f"""WITH all_rows AS ({SUMMARY}), c AS ({CLOSED}), m AS (SELECT avg(CASE WHEN p >= 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) FILTER (y = 1) AS recall
+ FROM c JOIN (SELECT stays, avg(y) AS p FROM c WHERE id % 5 <> 0 GROUP BY 1) USING (stays) WHERE id % 5 = 0), d AS (SELECT bool_or(status = 'DRIFT') AS d FROM all_rows)
+ SELECT CASE WHEN NOT d THEN 'no_drift' WHEN recall >= {minimum} THEN 'retraining_completed' ELSE 'retraining_failed' END AS status, d AS drift_detected,
+ d AND recall >= {minimum} AS retraining_executed, CASE WHEN d THEN round(recall, 6) END AS recall, CASE WHEN d THEN 7 ELSE 0 END AS stages FROM d, m"""
+
+
+def _cycle(spark: SparkSession, sf: str, minimum: float) -> DataFrame:
+    root, runs = scratch_path(spark, "l11"), []
 
     def retrain() -> tuple[str, bool]:
-        root = scratch_path(spark, "l11")
-        orders = table(spark, sf, "orders")
-        late = F.col("o_orderdate") >= F.lit("2000-01-01").cast("timestamp_ntz")
-        ingest.start_table(orders.where(~late), root)
-        return ingest.ingest(spark, orders.where(late), root, "o_orderkey").first()["status"], True
+        """Customers of one kind are the table, the others the batch; the run fits, evaluates and asks the gate."""
+        rows = closed(spark, sf).select("id", "stays", "y", "senior")
+        run = pipeline.train_run(
+            spark, root, "cycle", rows.where("senior = 0"), rows.where("senior = 1"), "id", "y",
+            encoding.FeatureEncoder(categoricalCols=["stays"], outputCol="features"), training.decision_tree("y", depth=1, weighted=False),
+            holdout=lambda first: rows.where("id % 5 = 0"), minimum=minimum,
+        )
+        runs.append(run)
+        records = {r["stage"]: r for r in run.log().collect()}
+        return records["load"]["outcome"], records["gate"]["outcome"] == "PASSED"
+
+    decision = trigger.run_cycle(_summary(spark, sf), True, retrain).select("status", "drift_detected", "retraining_executed")
+    log = runs[0].log() if runs else spark.createDataFrame([], pipeline.RECORD)
+    seen = log.agg(F.max(F.when(F.col("stage") == "evaluate", F.col("values")["recall"])).alias("recall"), F.count("*").cast("int").alias("stages"))
+    return rounded(decision.join(F.broadcast(seen)))
+
+
+@query("l11_monitor_cycle", _cycle_sql(0.5))
+def l11_cycle(spark: SparkSession, sf: str) -> DataFrame:
+    """Drift reports to decision: on drift a batch is taken in, a model fitted and evaluated, and the gate decides."""
+    return _cycle(spark, sf, 0.5)
+
 
-    return trigger.run_cycle(_summary(spark, sf), True, retrain).select("status", "drift_detected", "retraining_executed")
+@query("l11_cycle_fails_at_gate", _cycle_sql(0.999))
+def l11_fails(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with a gate that the model cannot pass."""
+    return _cycle(spark, sf, 0.999)
 
 
 @query(
