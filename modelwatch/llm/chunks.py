@@ -17,6 +17,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from modelwatch.llm.common import pick, stage_table, text_bytes, utf8_slices
 from modelwatch.session import scratch_path
@@ -75,7 +76,10 @@ def pack(docs: DataFrame, doc_id: str, text: str, label: str, size: int = 4 << 2
         if held:
             yield out()
 
-    packed = spread.mapInArrow(run, "chunk bigint, doc_ids array<bigint>, offsets binary, data binary, digests binary, n_bytes bigint" + (f", rest array<{rows.schema['rest'].dataType.simpleString()}>" if along else ""))
+    schema = T.StructType.fromDDL("chunk bigint, doc_ids array<bigint>, offsets binary, data binary, digests binary, n_bytes bigint")
+    if along:
+        schema = schema.add("rest", T.ArrayType(rows.schema["rest"].dataType))
+    packed = spread.mapInArrow(run, schema)
     spark, name = docs.sparkSession, f"chunks_{label}_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     packed.write.format("parquet").option("path", scratch_path(spark, name)).bucketBy(buckets, "chunk").saveAsTable(name)
@@ -88,7 +92,7 @@ def bucket_count(packed: DataFrame, keys_per_byte: float) -> int:
     return max(12, int(total * keys_per_byte / BUCKET) + 1)
 
 
-def each(packed: DataFrame, replies: DataFrame | None, fn: Callable[[Chunk, dict], Iterator[pa.RecordBatch]], schema: str, rest: bool = False) -> DataFrame:
+def each(packed: DataFrame, replies: DataFrame | None, fn: Callable[[Chunk, dict], Iterator[pa.RecordBatch]], schema: str | T.StructType, rest: bool = False) -> DataFrame:
     """``fn(chunk, answers)`` for every chunk; answers[kind] has the answer of each bucket."""
     rows, told = packed, replies is not None
     if told:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from modelwatch.session import stage_table
 
-__all__ = ["pick", "read", "splitmix", "stage_table", "star_components", "text_bytes", "utf8_slices"]
+__all__ = ["carried", "pick", "read", "splitmix", "stage_table", "star_components", "text_bytes", "uncarried", "utf8_slices"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -24,6 +24,17 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[df[source].alias(name) for name, source in columns.items()])
 
 
+def carried(df: DataFrame, text: str) -> DataFrame:
+    """(text, rest): the text column, and all others as one struct, so that their names meet none of the operator's."""
+    others = [df[c] for c in df.columns if c != text]
+    return df.select(df[text].alias("text"), F.struct(*(others or [F.lit(0).alias("none")])).alias("rest"))
+
+
+def uncarried(df: DataFrame, columns: list[str], text: str) -> DataFrame:
+    """The columns that ``carried`` packed, in their order."""
+    return df.select(*[F.col("text").alias(c) if c == text else F.col("rest").getField(c).alias(c) for c in columns])
+
+
 def splitmix(x: np.ndarray) -> np.ndarray:
     """A mixing of 64-bit numbers (the finaliser of the splitmix generator)."""
     with np.errstate(over="ignore"):

@@ -10,8 +10,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from modelwatch.llm.common import pick, stage_table, text_bytes, utf8_slices
+from modelwatch.llm.common import carried, pick, stage_table, text_bytes, uncarried, utf8_slices
 from modelwatch.llm.hashing import LETTER
 
 #: Lengths in bytes of the n-grams, and the number of hash buckets they share.
@@ -202,8 +203,14 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text", gap: float
                 score[ok], unsure[ok] = top[ok, 0], (top[:, 0] - second < gap)[ok]
             yield pa.record_batch([*(part.column(c) for c in names), pa.array(pred, pa.string()), pa.array(score), pa.array(unsure)], [*names, "_lang_pred", "_score", "_ambiguous"])
 
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema)
-    return rows.mapInArrow(run, fields + "_lang_pred string, _score double, _ambiguous boolean")
+    more = T.StructType.fromDDL("_lang_pred string, _score double, _ambiguous boolean")
+    return rows.mapInArrow(run, T.StructType([*docs.schema, *more]))
+
+
+def accepted(docs: DataFrame, model: Model, text: str = "text", gap: float = 0.1) -> DataFrame:
+    """Rows of ``docs`` with a language: those that ``predict`` calls neither unknown nor ambiguous. Columns may have any names."""
+    judged = predict(carried(docs, text), model, gap=gap)
+    return uncarried(judged.where((F.col("_lang_pred") != UNKNOWN) & ~F.col("_ambiguous")), docs.columns, text)
 
 
 def fold(doc_id: Column, parts: int) -> Column:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modelwatch.llm.common import pick, text_bytes, utf8_slices
+from modelwatch.llm.common import carried, pick, text_bytes, uncarried, utf8_slices
 from modelwatch.llm.hashing import LETTER, Rolling, distinct, words
 from modelwatch.llm.substrings import word_hashes
 
@@ -252,7 +252,12 @@ def _marked(rows: DataFrame, names: list[str], text: str, sent) -> DataFrame:
                 leaks[d] = sorted(leaks[d] + more, key=lambda x: x["item"])
             yield pa.record_batch([*(part.column(c) for c in names), pa.array(leaks, kind)], [*names, "_leaks"])
 
-    return low.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema))
+    return low.mapInArrow(run, rows.schema)
+
+
+def clean(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
+    """Rows of ``docs`` into which no item leaks (see ``mark``). Columns may have any names."""
+    return uncarried(mark(carried(docs, text), items).where(F.size("_leaks") == 0), docs.columns, text)
 
 
 def find(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:

@@ -204,10 +204,14 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     Of several rows with that id the one with the smallest hash over all columns stays, once. A row without id stays
     only if no row of its component has one.
     """
-    cells = [F.col(f"`{c}`") for c in docs.columns]
-    marks = {"_row1": F.xxhash64(*cells), "_row2": F.xxhash64(F.lit(1), *cells)}
-    rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"), *[v.alias(k) for k, v in marks.items()])
-    groups = _grouped(rows, shingle, bits, seed).groupBy("group_key")
-    first = groups.agg(F.min(F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "_row1", "_row2")).alias("s")).select("s._row1", "s._row2")
-    kept = docs.withColumns(marks).join(first, list(marks), "left_semi")
-    return kept.dropDuplicates(list(marks)).select(*cells)
+    # Maps have no hash, but a text.
+    cells = [F.to_json(F.struct(docs[f.name])) if "map<" in f.dataType.simpleString() else docs[f.name] for f in docs.schema]
+    whole = docs.select(
+        docs[doc_id].alias("doc_id"), docs[text].alias("text"), F.xxhash64(*cells).alias("row1"), F.xxhash64(F.lit(1), *cells).alias("row2"),
+        F.struct(*[docs[c] for c in docs.columns]).alias("rest"),
+    )
+    groups = _grouped(whole.drop("rest"), shingle, bits, seed).groupBy("group_key")
+    first = groups.agg(F.min(F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "row1", "row2")).alias("s")).select("s.row1", "s.row2")
+    kept = whole.select("row1", "row2", "rest").join(first, ["row1", "row2"], "left_semi")
+    once = kept.dropDuplicates(["row1", "row2"])
+    return once.select(*[F.col("rest").getField(c).alias(c) for c in docs.columns])

@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from modelwatch.llm import chunks
 from modelwatch.llm.chunks import Chunk, Keys, is_copy
@@ -344,16 +345,18 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         )
 
     along = bool(rest)
-    schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, kept_sha256 string"
+    schema = T.StructType.fromDDL("doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, kept_sha256 string")
     if along:
-        schema += f", kept_text string, rest {packed.schema['rest'].dataType.elementType.simpleString()}"
+        schema = schema.add("kept_text", T.StringType()).add("rest", packed.schema["rest"].dataType.elementType)
     return chunks.each(packed, known, cut, schema, along)
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 100) -> DataFrame:
     """``docs`` with the kept bytes as text (see ``remove_repeats``); characters cut in half go, null texts stay null."""
-    rest = [c for c in docs.columns if c != text]
-    marked = docs.withColumn("_null", docs[text].isNull())
-    cut = remove_repeats(marked, doc_id, text, length, [*rest, "_null"])
-    kept = F.when(~F.col("rest._null"), F.col("kept_text"))
-    return cut.select(*[kept.alias(c) if c == text else F.col(f"rest.`{c}`").alias(c) for c in docs.columns])
+    others = [c for c in docs.columns if c != text]
+    own = docs.select(
+        docs[doc_id].alias("doc_id"), docs[text].alias("text"), docs[text].isNull().alias("none"), F.struct(*[docs[c] for c in others]).alias("others")
+    )
+    cut = remove_repeats(own, "doc_id", "text", length, ["none", "others"])
+    kept = F.when(~F.col("rest.none"), F.col("kept_text"))
+    return cut.select(*[kept.alias(c) if c == text else F.col("rest.others").getField(c).alias(c) for c in docs.columns])

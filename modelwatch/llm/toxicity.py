@@ -70,8 +70,11 @@ def term_weights(document: np.ndarray, bucket: np.ndarray, label: np.ndarray) ->
     return np.where(often >= LEAST, np.clip(sure / 4, FLOOR, 1), 0.0)
 
 
-def train(indptr: np.ndarray, bucket: np.ndarray, label: np.ndarray, epochs: int = 4, batch: int = 64, rate: float = 0.1, ridge: float = 1e-4, seed: int = 5) -> Machine:
-    """Fit by AdaGrad on the logistic loss; rows are documents in the compressed form (indptr, bucket)."""
+def train(indptr: np.ndarray, bucket: np.ndarray, label: np.ndarray, epochs: int = 8, batch: int = 64, rate: float = 0.3, ridge: float = 1e-4, seed: int = 5) -> Machine:
+    """Fit by AdaGrad on the logistic loss; rows are documents in the compressed form (indptr, bucket).
+
+    A pair's factors start near zero and grow by their product, so that the steps must be large for pairs of rarer words.
+    """
     n = len(label)
     rate0 = (label.sum() + 1) / (n + 2)
     x_of = term_weights(np.repeat(np.arange(n), np.diff(indptr)), bucket, label)

@@ -2,7 +2,7 @@
 
 import random
 
-FIELDS = "doc_id bigint, text string, lang string, source string, n_chars bigint, fp bigint, key string, chunk bigint, node bigint, ids string, h1 int, rest string"
+FIELDS = "doc_id bigint, text string, lang string, source string, n_chars bigint, fp bigint, key string, chunk bigint, node bigint, ids string, h1 int, rest string" + ", _ok string, _score int, _leaks string, _null int, _low string, _row1 int, _row2 string, others string, none int, `a b` string, m map<string,int>"
 
 
 def rows(seed: int = 1, n: int = 60) -> list[tuple]:
@@ -21,4 +21,5 @@ def rows(seed: int = 1, n: int = 60) -> list[tuple]:
     out += [out[12], out[12]]  # repeated rows
     out += [(None, "a document without id", "en", "s", 1, 0, "k", 1, 2, "x", 3, "r"), (None, base, None, None, None, 0, None, None, None, None, None, None)]
     out.append((out[20][0], "another text under the same id " + base, "en", "s", 1, 0, "k", 1, 2, "x", 3, "r"))
-    return out
+    # Names that operators use themselves; each row can be told by them.
+    return [(*row, f"ok{i}", i, "leak", i % 3, "low", 7, "r2", "o", None, "a b", {"k": i}) for row in out for i in [out.index(row)]]

@@ -1,6 +1,7 @@
 """SimHash groups and neighbours against brute force."""
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -136,6 +137,39 @@ def test_neighbours_without_clusters(spark):
     assert np.mean([len(got[20 * i] & set(want[i].tolist())) / 20 for i in range(400)]) >= 0.9
 
 
+@pytest.mark.parametrize("lengths", ["outlier", "log-normal"])
+def test_vectors_of_uneven_length(spark, lengths):
+    """One vector a hundred thousand times longer than the others, and lengths that differ by orders of magnitude."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(1500, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    if lengths == "outlier":
+        x[77] *= 1e5
+    else:
+        x *= np.exp(rng.normal(0, 2, 1500))[:, None]
+    table = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id bigint, embedding array<double>")
+    got = {}
+    for r in neighbours.nearest(table, k=20).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    score = x[::20] @ x.T
+    score[np.arange(75), np.arange(0, 1500, 20)] = -np.inf
+    want = np.argsort(-score, axis=1)[:, :20]
+    assert np.mean([len(got[20 * i] & set(want[i].tolist())) / 20 for i in range(75)]) >= 0.9
+
+
+def test_scan_in_blocks(spark):
+    rng = np.random.default_rng(5)
+    x = rng.integers(-3, 4, (700, 5)).astype(float)
+    nodes = spark.createDataFrame(list(enumerate(x.tolist())), "node bigint, vec array<double>").repartition(3)
+    queries = nodes.where("node % 10 = 0").withColumnRenamed("node", "query")
+    got = {}
+    for r in neighbours.scan_all(nodes, queries, 6, block_bytes=400).collect():
+        got.setdefault(r.query, []).append(x[r.query] @ x[r.node])
+    for q, s in got.items():
+        assert sorted(s, reverse=True) == np.sort(x @ x[q])[::-1][:6].tolist()
+    assert len(got) == 70
+
+
 def test_few_and_no_vectors(spark):
     kind = "vec_id bigint, embedding array<double>"
     assert neighbours.nearest(spark.createDataFrame([], kind)).collect() == []

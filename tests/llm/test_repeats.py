@@ -77,12 +77,12 @@ def test_byte_strings_of_small_alphabets(spark, monkeypatch, hot):
     monkeypatch.setattr(suffixes, "CHUNK", 300)
     monkeypatch.setattr(suffixes, "HOT", hot)
     rng = random.Random(5)
-    data = [(i, "".join(rng.choice("aab") for _ in range(rng.randrange(0, 200))), *[None] * 10) for i in range(120)]
+    data = [(i, "".join(rng.choice("aab") for _ in range(rng.randrange(0, 200))), *[None] * 21) for i in range(120)]
     check_bytes(spark, data, 10)
 
 
 def test_repeated_ids(spark):
-    data = [(1, "x" * 150, *[None] * 10), (1, "x" * 150, *[None] * 10), (1, None, *[None] * 10)]
+    data = [(1, "x" * 150, *[None] * 21), (1, "x" * 150, *[None] * 21), (1, None, *[None] * 21)]
     got = sorted((r.n_bytes, r.n_removed) for r in suffixes.remove_repeats(spark.createDataFrame(data, FIELDS)).collect())
     # Within the first, all but its first byte is covered by a later start of the same string.
     assert got == [(0, 0), (150, 149), (150, 150)]

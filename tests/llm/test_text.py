@@ -158,6 +158,32 @@ def test_pairs_that_no_linear_model_sees():
     assert ((score >= 0.5) == (a ^ b)).mean() > 0.95
 
 
+@pytest.mark.parametrize(("share", "seed"), [(0.1, 1), (0.1, 2), (0.2, 1), (0.3, 1)])
+def test_pairs_with_the_shipped_constants(share, seed):
+    """Two words, each in a share of the texts and harmless alone, toxic together; beside a strong word in every tenth text."""
+    rng, n = np.random.default_rng(seed), 20_000
+    a, b, strong = rng.random(n) < share, rng.random(n) < share, rng.random(n) < 0.1
+    label = ((a & b) | strong).astype(float)
+    noise = rng.integers(1000, 6000, (n, 20))
+    cells = [np.unique(np.r_[noise[i], [t for t, there in ((11, a[i]), (22, b[i]), (33, strong[i])) if there]]).astype(np.int64) for i in range(n)]
+    size = np.array([len(c) for c in cells])
+    half = n // 2
+    machine = toxicity.train(np.r_[0, np.cumsum(size[:half])], np.concatenate(cells[:half]), label[:half])
+    hit = machine.scores(np.repeat(np.arange(half), size[half:]), np.concatenate(cells[half:]), half) >= 0.5
+    pair = (a & b & ~strong)[half:]
+    assert hit[pair].mean() >= 0.8 and hit[label[half:] == 0].mean() <= 0.001
+
+
+def test_scores_are_sums_over_all_pairs():
+    rng = np.random.default_rng(3)
+    linear, factors = rng.normal(size=toxicity.BUCKETS), rng.normal(size=(toxicity.BUCKETS, toxicity.FACTORS)) / 3
+    texts = [rng.choice(500, size, replace=False) for size in (0, 1, 2, 9, 30)]
+    got = toxicity.Machine(0.2, linear, factors).scores(np.repeat(np.arange(5), [len(t) for t in texts]), np.concatenate(texts).astype(np.int64), 5)
+    for score, t in zip(got, texts):
+        raw = 0.2 + sum(linear[i] for i in t) + sum(factors[i] @ factors[j] for at, i in enumerate(t) for j in t[:at])
+        assert abs(score - 1 / (1 + np.exp(-np.clip(raw, -30, 30)))) < 1e-9
+
+
 def test_awkward_toxicity(spark):
     data = rows()
     table = spark.createDataFrame(data, FIELDS)
