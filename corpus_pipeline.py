@@ -24,8 +24,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     model = language.fit(rows.where(language.fold(F.col("doc_id"), 3) != 1))
     if model is None:
         return docs.where(docs["text"].rlike(r"\p{L}"))
-    judged = language.predict(docs, model)
-    return judged.where((F.col("_lang_pred") != language.UNKNOWN) & ~F.col("_ambiguous")).select(*docs.columns)
+    return language.accepted(docs, model)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +43,7 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents into which no benchmark item leaks."""
-    return leaks.mark(docs, read(spark, sf_dir, "benchmark")).where(F.size("_leaks") == 0).select(*docs.columns)
+    return leaks.clean(docs, read(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
