@@ -22,6 +22,8 @@ from modelwatch.session import scratch_path
 SPACE = "▁"
 #: Bytes of text of a chunk, about, and characters of a unit whose lattice fits a 64-bit set of positions.
 CHUNK, LONG = 4 << 20, 61
+#: Units of a partition, about: their edges are sorted in a task's memory.
+PART_UNITS = 60_000
 #: Pieces of a model: the table is broadcast, so this bounds what is.
 MOST = 1 << 20
 
@@ -128,7 +130,7 @@ def fold_long(unit: str, table: dict[str, tuple[int, float]], tied: set[float],
 
 
 def chunked(docs: DataFrame, model: Model, doc_id: str, text: str) -> DataFrame:
-    """The table of chunks: (chunk, doc_ids, units, long, lengths, numbers), bucketed by chunk.
+    """The table of chunks: (chunk, doc_ids, units, n_units, long, lengths, numbers), bucketed by chunk.
 
     units are the chunk's distinct units (null where the unit is over ``LONG`` characters; long has those with their
     places); numbers (compressed) spells each text as a sequence of them, and lengths has how many units each text is.
@@ -146,11 +148,11 @@ def chunked(docs: DataFrame, model: Model, doc_id: str, text: str) -> DataFrame:
             whole = zstandard.ZstdCompressor(3).compress(np.concatenate(numbers).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() if numbers else b"")
             far = [(k, u) for u, k in units.items() if len(u) > LONG]
             near = [u if len(u) <= LONG else None for u in units]
-            row = [[part << 32 | seq], [pa.concat_arrays(ids).to_pylist()], [near], [[{"place": k, "unit": u} for k, u in far]], [np.array(lengths, "<u4").tobytes()], [whole]]
-            kinds = (pa.int64(), pa.list_(ids[0].type), pa.list_(pa.string()), pa.list_(pa.struct([("place", pa.int32()), ("unit", pa.string())])), pa.binary(), pa.binary())
+            row = [[part << 32 | seq], [pa.concat_arrays(ids).to_pylist()], [near], [len(near)], [[{"place": k, "unit": u} for k, u in far]], [np.array(lengths, "<u4").tobytes()], [whole]]
+            kinds = (pa.int64(), pa.list_(ids[0].type), pa.list_(pa.string()), pa.int32(), pa.list_(pa.struct([("place", pa.int32()), ("unit", pa.string())])), pa.binary(), pa.binary())
             return pa.record_batch([pa.array(c, t) for c, t in zip(row, kinds)], names)
 
-        names = ["chunk", "doc_ids", "units", "long", "lengths", "numbers"]
+        names = ["chunk", "doc_ids", "units", "n_units", "long", "lengths", "numbers"]
         for piece in utf8_slices(batches, "text", 1 << 20):
             ids.append(piece.column("doc_id"))
             for t in piece.column("text").to_pylist():
@@ -174,7 +176,7 @@ def chunked(docs: DataFrame, model: Model, doc_id: str, text: str) -> DataFrame:
             yield out()
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    table = rows.mapInArrow(run, f"chunk bigint, doc_ids array<{kind}>, units array<string>, long array<struct<place:int,unit:string>>, lengths binary, numbers binary")
+    table = rows.mapInArrow(run, f"chunk bigint, doc_ids array<{kind}>, units array<string>, n_units int, long array<struct<place:int,unit:string>>, lengths binary, numbers binary")
     spark, name = docs.sparkSession, f"pieces_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     table.write.format("parquet").option("path", scratch_path(spark, name)).option("compression", "zstd").bucketBy(buckets, "chunk").saveAsTable(name)
@@ -187,12 +189,18 @@ def lattice(units: DataFrame, model: Model) -> DataFrame:
     edges are (late, rank, start, back, ends, inner, need, id): the order of merges, and the edge as sets of positions:
     its two ends, what lies between, and how many positions between must be open for it to merge.
     """
-    tied, longest = tied_scores(model), max((len(p) for p, _, _ in model.pieces), default=1)
+    tied = tied_scores(model)
     rows = [(p, i, float(s), int(s in tied)) for p, i, s in model.pieces]
     table = F.broadcast(units.sparkSession.createDataFrame(rows, "piece string, id int, score double, late int"))  # MOST bounds it
-    # A number for each start and size, so that all of it stays in generated code.
-    spans = units.select("unit", F.explode(F.expr(f"sequence(0, length(unit) * {longest} - 1)")).alias("k"))
-    spans = spans.selectExpr("unit", f"CAST(k DIV {longest} AS int) AS start", f"k % {longest} + 1 AS size").where("start + size <= length(unit)")
+    # Substrings are bounded by the longest piece that begins with the same two characters.
+    reach: dict[str, int] = {}
+    for p, _, _ in model.pieces:
+        if len(p) > 1:
+            reach[p[:2]] = max(reach.get(p[:2], 0), len(p))
+    heads = F.broadcast(units.sparkSession.createDataFrame(list(reach.items()), "head string, most int"))
+    spans = units.select("unit", F.explode(F.expr("sequence(0, length(unit) - 1)")).alias("start"))
+    spans = spans.withColumn("head", F.expr("substring(unit, start + 1, 2)")).join(heads, "head", "left")
+    spans = spans.select("unit", "start", F.explode(F.expr("sequence(1, least(coalesce(most, 1), length(unit) - start))")).alias("size"))
     spans = spans.withColumn("piece", F.expr("substring(unit, start + 1, size)"))
     edges = spans.join(table, "piece", "left").where("id IS NOT NULL OR size = 1")
     late = F.expr("CASE WHEN size = 1 THEN 0 ELSE late END")
@@ -284,7 +292,9 @@ def encode(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "t
     table = chunked(docs, model, doc_id, text)
     # One shuffle of units: the lattice and the join back both read its groups. The condition on the places keeps the
     # optimizer from shuffling the units a second time without them.
-    places = table.select("chunk", F.posexplode("units").alias("place", "unit")).where("unit IS NOT NULL").repartition("unit")
+    count = table.agg(F.sum("n_units")).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-count // PART_UNITS))
+    places = table.select("chunk", F.posexplode("units").alias("place", "unit")).where("unit IS NOT NULL").repartition(parts, "unit")
     groups = places.groupBy("unit").agg(F.collect_list(F.struct("chunk", "place")).alias("places"))
     ids = segment(groups.where("size(places) > 0").select("unit"), model)
     answers = groups.join(ids, "unit").select(F.explode("places").alias("at"), "ids").select("at.*", "ids")
