@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from modelwatch.llm.common import pick, stage_table, text_bytes, utf8_slices
+from modelwatch.llm.common import give_back, pick, stage_table, text_bytes, utf8_slices
 from modelwatch.session import scratch_path
 
 #: Keys of a bucket, about.
@@ -101,6 +101,7 @@ def each(packed: DataFrame, replies: DataFrame | None, fn: Callable[[Chunk, dict
     columns = ["chunk", "doc_ids", "offsets", "data", "digests", *(["answers"] if told else []), *(["rest"] if rest else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {c: batch.column(c)[i] for c in columns}
