@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modelwatch.llm.common import pick, utf8_slices
+from modelwatch.llm.common import give_back, pick, utf8_slices
 from modelwatch.session import scratch_path
 
 #: The mark that stands for a space.
@@ -320,6 +320,7 @@ def encode(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "t
                 blobs.append(zstandard.ZstdCompressor(3).compress(plain))
             yield pa.record_batch([pa.array(chunk[cuts[:-1]]), pa.array(blobs, pa.binary())], ["chunk", "blob"])
 
+        give_back()
         for batch in batches:
             held.append(batch)
             count += batch.num_rows
@@ -336,6 +337,7 @@ def encode(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "t
         def wide(raw: bytes) -> np.ndarray:
             return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
+        give_back()
         for batch in batches:
             for i in range(batch.num_rows):
                 lengths = np.frombuffer(batch.column("lengths")[i].as_py(), "<u4").astype(np.int64)
@@ -355,8 +357,8 @@ def encode(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "t
                     lo = own = flat = np.zeros(0, np.int64)
                 ends = np.cumsum(lengths)
                 names = batch.column("doc_ids")[i].values
-                # Some documents at a time, about a million units.
-                steps = np.unique(np.r_[0, np.searchsorted(ends, np.arange(1 << 20, len(numbers), 1 << 20)) + 1, len(lengths)])
+                # Some documents at a time, about 131,072 units.
+                steps = np.unique(np.r_[0, np.searchsorted(ends, np.arange(1 << 17, len(numbers), 1 << 17)) + 1, len(lengths)])
                 for a, b in zip(steps, steps[1:]):
                     unit = numbers[ends[a] - lengths[a] : ends[b - 1]]
                     count = own[unit]
