@@ -3,25 +3,29 @@
 from __future__ import annotations
 
 import json
+import re
+import string
 import struct
 import sys
 import types
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from modelwatch.llm.common import pick, stage_table, utf8_slices
 
-#: Ids of a shard, about; a longer document is a shard of its own.
+#: Ids of a shard, about: the documents of some slices of text.
 SHARD = 1 << 22
 #: Set bits between two entries of the select directory.
 STEP = 256
-#: Words whose ids a worker keeps in each of two generations.
-KEPT = 200_000
+#: Words whose ids a worker keeps, about.
+KEPT = 500_000
 #: Normalisers and splits (by letters, single digits and other signs) of a kind of tokenizer file.
 LETTERS_APART = [
     ["NFC", None, None, None, None, None],
@@ -30,6 +34,9 @@ LETTERS_APART = [
     ["Split", {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "Removed", True, None, None],
     ["ByteLevel", None, None, None, False, False],
 ]
+#: Letters up to U+017F, less the one whose small form is two characters, and ASCII punctuation but the apostrophe.
+LETTERS = "".join(chr(c) for c in range(0x180) if chr(c).isalpha() and chr(c) != "İ")
+SIGNS = string.punctuation.replace("'", "")
 MAGIC = b"EFID"
 
 
@@ -81,7 +88,7 @@ class Boundaries:
         return (ones - np.arange(self.n) << self.low) + self._low(np.arange(self.n))
 
 
-def write_shard(doc_ids: list, lengths: list[int], ids: np.ndarray) -> bytes:
+def write_shard(doc_ids: list, lengths: Sequence[int], ids: np.ndarray) -> bytes:
     """The bytes of one file."""
     ends = np.cumsum(np.array(lengths, np.int64))
     n, wide = len(doc_ids), 2 if not len(ids) or int(ids.max()) < 1 << 16 else 4
@@ -117,60 +124,89 @@ class Shard:
 
 
 class Encoder:
-    """Ids of texts, word by word: no token, normalisation or split of this kind of tokenizer crosses ASCII white space.
+    """Ids of texts. The library's ids of whole texts, for any tokenizer file.
 
-    Ids of words seen lately are kept, as packed 32-bit numbers, in two generations of ``KEPT`` words.
+    In files of the kind ``LETTERS_APART`` nothing crosses ASCII white space, so the distinct words of a batch are
+    encoded and their ids put in place by their offsets. Ids of words stay in memory, about ``KEPT`` of them; beyond
+    that the memory starts anew. With any other file whole texts go to the library.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
-        self.tokenizer, self.now, self.before = Tokenizer.from_file(path), {}, {}
+        self.tokenizer = Tokenizer.from_file(path)
         with open(path) as f:
             spec = json.load(f)
-        # A word of letters holds no added token if all of those have another sign in them.
-        self.plain = _shape(spec) == LETTERS_APART and not any(t["content"].isalpha() for t in spec["added_tokens"])
-        self.spelled = {chr(c): ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(chr(c))[0][0] for c in range(0x21, 0x180) if chr(c).strip()}
-
-    def _split(self, word: str) -> list[str] | None:
-        """The model's input for a word of letters and closing punctuation; None for any other word.
-
-        For such words in Latin letters the normalisers only lower the case, and the split is between the two.
-        """
-        low = word.lower()
-        core = low.rstrip(".,;:!?")
-        if not self.plain or not core.isalpha() or max(core) >= "\u0180" or max(word) >= "\u0180":
-            return None
-        spelled = self.spelled
-        return ["".join([spelled[c] for c in part]) for part in (core, low[len(core) :]) if part]
-
-    def _new(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        model, parts, others = self.tokenizer.model.tokenize, {}, []
-        for word in words:
-            split = self._split(word.decode())
-            if split is None:
-                others.append(word)
-                continue
-            for part in split:
-                if part not in parts:
-                    parts[part] = b"".join([t.id.to_bytes(4, "little") for t in model(part)])
-            yield word, b"".join([parts[p] for p in split])
-        for at in range(0, len(others), 4096):
-            some = others[at : at + 4096]
-            for word, got in zip(some, self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)):
-                yield word, np.array(got.ids, "<u4").tobytes()
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Packed ids of each text."""
-        split = [t.split() for t in texts]
-        if len(self.now) > KEPT:
-            self.now, self.before = {}, self.now
-        now, before = self.now, self.before
-        missing = [w for w in set().union(*split) if w not in now]
-        now.update((w, before[w]) for w in missing if w in before)
-        now.update(self._new([w for w in missing if w not in now]))
-        return [b"".join(map(now.__getitem__, words)) for words in split]
+        added = [t["content"] for t in spec["added_tokens"]]
+        self.apart = _shape(spec) == LETTERS_APART and not any(re.search(r"\s", t) for t in added)
+        # A plain word, letters and then signs, holds no added token if none is letters and then signs.
+        self.plain = self.apart and all(t.lstrip(LETTERS).strip(SIGNS) for t in added)
+        self.spelled = {c: ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(chr(c))[0][0] for c in range(0x80, 0x180) if chr(c).strip()}
+        self._forget()
+
+    def _forget(self) -> None:
+        """Row k of the memory is flat[at[k] : at[k + 1]]; row 0 is the empty word."""
+        self.row, self.flat, self.at = {"": 0}, array("I"), array("q", [0, 0])
+
+    def _model(self, parts: list[str]) -> Iterator[list[int]]:
+        """Ids of words of small letters, or of punctuation: the model's, as no other step changes or cuts them."""
+        tokenize, spelled = self.tokenizer.model.tokenize, self.spelled
+        for part in parts:
+            yield [t.id for t in tokenize(part if part.isascii() else part.translate(spelled))]
+
+    def _library(self, texts: list[str]) -> Iterator[list[int]]:
+        for at in range(0, len(texts), 4096):
+            for got in self.tokenizer.encode_batch_fast(texts[at : at + 4096], add_special_tokens=False):
+                yield got.ids
+
+    def _rows(self, names: list[str], ids_of: Callable[[list[str]], Iterator[list[int]]]) -> np.ndarray:
+        row, flat, at = self.row, self.flat, self.at
+        missing = [n for n in names if n not in row]
+        for name, ids in zip(missing, ids_of(missing)):
+            row[name] = len(at) - 1
+            flat.extend(ids)
+            at.append(len(flat))
+        return np.fromiter(map(row.__getitem__, names), np.int64, len(names))
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids behind one another, how many each) of distinct words."""
+        if len(self.row) > KEPT:
+            self._forget()
+        rows = np.zeros((len(words), 2), np.int64)
+        # Plain words are letters, which the normalisers only make small, and closing punctuation, where the split is.
+        core, tail = pc.utf8_rtrim(words, characters=SIGNS), pc.utf8_ltrim(words, characters=LETTERS)
+        size, core_size, tail_size = (pc.binary_length(x).to_numpy() for x in (words, core, tail))
+        plain = (core_size + tail_size == size) & self.plain
+        if plain.any():
+            for k, part in enumerate((pc.utf8_lower(core), tail)):
+                part = part.filter(pa.array(plain)).dictionary_encode()
+                rows[plain, k] = self._rows(part.dictionary.to_numpy(zero_copy_only=False).tolist(), self._model)[part.indices.to_numpy()]
+        rows[~plain, 0] = self._rows(words.filter(pa.array(~plain)).to_numpy(zero_copy_only=False).tolist(), self._library)
+        at = np.frombuffer(self.at, np.int64)
+        size = at[rows + 1] - at[rows]
+        return _gather(np.frombuffer(self.flat, np.uint32), at[rows].ravel(), size.ravel()), size.sum(axis=1)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts behind one another, how many each); a null is an empty text."""
+        texts = pc.fill_null(texts, "")
+        if not self.apart:
+            ids = [np.array(i, np.uint32) for i in self._library(texts.to_pylist())]
+            return np.concatenate(ids) if ids else np.zeros(0, np.uint32), np.array([len(i) for i in ids], np.int64)
+        words = pc.ascii_split_whitespace(texts)
+        every = words.flatten().dictionary_encode()
+        flat, size = self._words(every.dictionary)
+        start, which = np.cumsum(size) - size, every.indices.to_numpy()
+        ids = _gather(flat, start[which], size[which])
+        ends = np.r_[0, np.cumsum(size[which])][np.cumsum(pc.list_value_length(words).to_numpy())]
+        return ids, np.diff(ends, prepend=0)
+
+
+def _gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The runs flat[start : start + size] behind one another."""
+    at = np.repeat(start - (np.cumsum(size) - size), size)
+    at += np.arange(len(at))
+    return flat[at]
 
 
 def _shape(spec: dict) -> list:
@@ -204,23 +240,26 @@ def write(docs: DataFrame, path: str, end_id: int, doc_id: str = "doc_id", text:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        end = end_id.to_bytes(4, "little")
         encode, names, lengths, ids, total, before = encoder(path).encode, [], [], [], 0, 0
 
         def flush() -> pa.RecordBatch:
-            whole = np.frombuffer(b"".join(ids), "<u4")
-            return pa.record_batch([pa.array([before], pa.int64()), pa.array([total], pa.int64()), pa.array([write_shard(names, lengths, whole)], pa.binary())], ["before", "n_ids", "file"])
-
-        for part in utf8_slices(batches, "text", 2 << 20):
-            texts = [(t or "").encode() for t in part.column("text").to_pylist()]
-            for name, got in zip(part.column("doc_id").to_pylist(), encode(texts)):
-                names.append(name)
-                lengths.append(len(got) // 4 + 1)
-                ids += [got, end]
-                total += lengths[-1]
-                if total >= SHARD:
-                    yield flush()
-                    names, lengths, ids, total, before = [], [], [], 0, before + total
+            file = write_shard(names, np.concatenate(lengths), np.concatenate(ids))
+            return pa.record_batch([pa.array([before], pa.int64()), pa.array([total], pa.int64()), pa.array([file], pa.binary())], ["before", "n_ids", "file"])
+
+        for part in utf8_slices(batches, "text"):
+            got, size = encode(part.column("text"))
+            ends = np.cumsum(size + 1)
+            whole = np.full(len(got) + len(size), end_id, np.uint32)
+            inner = np.ones(len(whole), bool)
+            inner[ends - 1] = False
+            whole[inner] = got
+            names += part.column("doc_id").to_pylist()
+            lengths.append(size + 1)
+            ids.append(whole)
+            total += len(whole)
+            if total >= SHARD:
+                yield flush()
+                names, lengths, ids, total, before = [], [], [], 0, before + total
         if names:
             yield flush()
 

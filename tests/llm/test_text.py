@@ -7,9 +7,12 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
+from tokenizers.models import BPE
+from tokenizers.pre_tokenizers import ByteLevel
 
 from modelwatch.llm import language, leaks, pieces, token_file, toxicity, url_filters
 from tests.llm.awkward import FIELDS, rows
@@ -58,13 +61,40 @@ def test_boundaries_are_small():
     assert len(directory) <= 4 * (5000 // token_file.STEP + 1)
 
 
+def encoded(encoder, texts):
+    ids, size = encoder.encode(pa.array(texts, pa.string()))
+    return [part.tolist() for part in np.split(ids, np.cumsum(size)[:-1])] if texts else ids.tolist()
+
+
 def test_words_encode_like_texts():
     rng = random.Random(1)
     signs = "abcXYZéÉßÄñÑİıŉſ'.,;:!?0129<|>-_漢Σς́  \x1c\x85½²ªº€      \n\t"
     texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(60))) for _ in range(3000)] + ["<|endoftext|> a<|endoftext|>b", "it's 'S we'll"]
     tokenizer, encoder = Tokenizer.from_file(WORD_BPE), token_file.Encoder(WORD_BPE)
-    got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode([t.encode() for t in texts])]
-    assert got == [x.ids for x in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    texts += [chr(c) + end for c in range(0x21, 0x250) for end in ("", "a", "***", "'s", ".")]
+    assert encoded(encoder, texts) == [x.ids for x in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert encoded(encoder, [None, ""]) == [[], []] and encoded(encoder, []) == []
+
+
+def test_words_are_forgotten(monkeypatch):
+    monkeypatch.setattr(token_file, "KEPT", 3)
+    tokenizer, encoder = Tokenizer.from_file(WORD_BPE), token_file.Encoder(WORD_BPE)
+    for texts in (["one two three four"], ["four, five"], ["one 1 漢"]):
+        assert encoded(encoder, texts) == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+@pytest.mark.parametrize("added", [None, "a b", "word", "!!"])
+def test_other_tokenizer_files_give_ids_of_whole_texts(tmp_path, added):
+    if added is None:  # spaces belong to the words behind them
+        tokenizer = Tokenizer(BPE({c: i for i, c in enumerate(["Ġ", "a", "b", "Ġa", "ab"])}, [("Ġ", "a"), ("a", "b")]))
+        tokenizer.pre_tokenizer = ByteLevel(add_prefix_space=False)
+    else:
+        tokenizer = Tokenizer.from_file(WORD_BPE)
+        tokenizer.add_tokens([added])
+    path = str(tmp_path / "t.json")
+    tokenizer.save(path)
+    texts = ["ab a  b", " a", "a b a b!!", "ab!! word words sword", ""]
+    assert encoded(token_file.Encoder(path), texts) == [x.ids for x in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
 
 
 # Pieces
