@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Iterator
-from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modelwatch.llm.common import give_back, pick, utf8_slices
+from modelwatch.llm.common import give_back, pick, text_bytes, utf8_slices
 from modelwatch.session import scratch_path
 
 #: The mark that stands for a space.
@@ -60,15 +59,49 @@ def bigrams(model: Model) -> set[str]:
     return {p[i : i + 2] for p, _, _ in model.pieces for i in range(len(p) - 1)}
 
 
-def cut(word: str, inside: set[str]) -> list[str]:
-    """The units of a word."""
-    out, at = [], 0
-    for i in range(1, len(word)):
-        if word[i - 1 : i + 1] not in inside:
-            out.append(word[at:i])
-            at = i
-    out.append(word[at:])
-    return out
+def words_of(texts: pa.Array) -> pa.Array:
+    """The words of each text, without the mark in front; a run of spaces or marks leaves its others with the word behind.
+
+    Empty and null texts have none.
+    """
+    empty = pc.fill_null(pc.equal(texts, ""), True).to_numpy(zero_copy_only=False)
+    texts = texts.take(pa.array(np.arange(len(texts)), mask=empty))
+    texts = pc.replace_substring(texts, SPACE, " ")
+    if pc.any(pc.match_substring_regex(texts, "^ |  | $")).as_py():
+        # The first space behind another sign is where words part; marks are free to say so.
+        return pc.split_pattern(pc.replace_substring_regex(texts, "([^ ]) ", "\\1" + SPACE), SPACE)
+    return pc.split_pattern(texts, " ")
+
+
+def cut(words: pa.Array, inside: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """(units of all words behind one another, how many each), ``inside`` being sorted pairs of neighbours within pieces."""
+    data, ends = text_bytes(words)
+    signs = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), "<u4").astype(np.int64)
+    wide = 1 + (signs > 0x7F) + (signs > 0x7FF) + (signs > 0xFFFF)
+    at = np.cumsum(wide) - wide
+    first = np.ones(len(signs), bool)
+    if len(inside) and len(signs):
+        pairs = signs[:-1] << 32 | signs[1:]
+        first[1:] = inside[np.minimum(np.searchsorted(inside, pairs), len(inside) - 1)] != pairs
+    first[np.searchsorted(at, ends[:-1])] = True
+    starts = at[first]
+    offsets = np.r_[starts, len(data)].astype(np.int32)
+    units = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes()))
+    return units, np.diff(np.searchsorted(starts, ends))
+
+
+def numbered(texts: pa.Array, inside: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(distinct units, the texts as numbers of units behind one another, how many units each text has)."""
+    words = words_of(texts)
+    every = words.flatten().dictionary_encode()
+    units, count = cut(pc.binary_join_element_wise(SPACE, pc.replace_substring(every.dictionary, " ", SPACE), ""), inside)
+    units = units.dictionary_encode()
+    which = every.indices.to_numpy()
+    start, size = (np.cumsum(count) - count)[which], count[which]
+    at = np.repeat(start - (np.cumsum(size) - size), size)
+    at += np.arange(len(at))
+    ends = np.r_[0, np.cumsum(size)][np.cumsum(pc.fill_null(pc.list_value_length(words), 0).to_numpy())]
+    return units.dictionary, units.indices.to_numpy()[at], np.diff(ends, prepend=0)
 
 
 def alone(ch: str, model: Model) -> list[int]:
@@ -136,43 +169,35 @@ def chunked(docs: DataFrame, model: Model, doc_id: str, text: str) -> DataFrame:
     places); numbers (compressed) spells each text as a sequence of them, and lengths has how many units each text is.
     """
     rows = pick(docs, doc_id=doc_id, text=text)
-    inside = bigrams(model)
+    inside = np.array(sorted(ord(x) << 32 | ord(y) for x, y in bigrams(model)), np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seq, pattern = TaskContext.get().partitionId(), 0, re.compile(f"{SPACE}+[^{SPACE}]*")
-        units: dict[str, int] = {}
-        of_word: dict[str, tuple[int, ...]] = {}
-        ids, lengths, numbers, size = [], [], [], 0
+        part, seq, held, size = TaskContext.get().partitionId(), 0, [], 0
 
         def out() -> pa.RecordBatch:
-            whole = zstandard.ZstdCompressor(3).compress(np.concatenate(numbers).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() if numbers else b"")
-            far = [(k, u) for u, k in units.items() if len(u) > LONG]
-            near = [u if len(u) <= LONG else None for u in units]
-            row = [[part << 32 | seq], [pa.concat_arrays(ids).to_pylist()], [near], [len(near)], [[{"place": k, "unit": u} for k, u in far]], [np.array(lengths, "<u4").tobytes()], [whole]]
-            kinds = (pa.int64(), pa.list_(ids[0].type), pa.list_(pa.string()), pa.int32(), pa.list_(pa.struct([("place", pa.int32()), ("unit", pa.string())])), pa.binary(), pa.binary())
-            return pa.record_batch([pa.array(c, t) for c, t in zip(row, kinds)], names)
-
-        names = ["chunk", "doc_ids", "units", "n_units", "long", "lengths", "numbers"]
+            ids = pa.concat_arrays([x.column("doc_id") for x in held])
+            units, numbers, lengths = numbered(pa.concat_arrays([x.column("text") for x in held]), inside)
+            whole = zstandard.ZstdCompressor(3).compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+            over = pc.greater(pc.utf8_length(units), LONG).to_numpy(zero_copy_only=False)
+            far = [{"place": k, "unit": units[k].as_py()} for k in np.flatnonzero(over).tolist()]
+            columns = {
+                "chunk": pa.array([part << 32 | seq], pa.int64()),
+                "doc_ids": pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+                "units": pa.ListArray.from_arrays(pa.array([0, len(units)], pa.int32()), units.take(pa.array(np.arange(len(units)), mask=over))),
+                "n_units": pa.array([len(units)], pa.int32()),
+                "long": pa.array([far], pa.list_(pa.struct([("place", pa.int32()), ("unit", pa.string())]))),
+                "lengths": pa.array([lengths.astype("<u4").tobytes()], pa.binary()),
+                "numbers": pa.array([whole], pa.binary()),
+            }
+            return pa.record_batch(list(columns.values()), list(columns))
+
         for piece in utf8_slices(batches, "text", 1 << 20):
-            ids.append(piece.column("doc_id"))
-            for t in piece.column("text").to_pylist():
-                # Words without the mark in front; a run of spaces leaves empty ones, and then the pattern finds them.
-                words = t.split(" ") if t else []
-                if "" in words or (t and SPACE in t):
-                    words = [w[1:] for w in pattern.findall(SPACE + t.replace(" ", SPACE))]
-                for word in set(words):
-                    if word not in of_word:
-                        of_word[word] = tuple([units.setdefault(u, len(units)) for u in cut(SPACE + word, inside)])
-                own = np.fromiter(chain.from_iterable(map(of_word.__getitem__, words)), np.uint32)
-                lengths.append(len(own))
-                numbers.append(own)
-                size += len(t or "")
+            held.append(piece)
+            size += pc.sum(pc.binary_length(piece.column("text"))).as_py() or 0
             if size >= CHUNK:
                 yield out()
-                seq, ids, lengths, numbers, size = seq + 1, [], [], [], 0
-                units.clear()
-                of_word.clear()
-        if ids:
+                seq, held, size = seq + 1, [], 0
+        if held:
             yield out()
 
     kind = rows.schema["doc_id"].dataType.simpleString()

@@ -100,6 +100,29 @@ def test_other_tokenizer_files_give_ids_of_whole_texts(tmp_path, added):
 # Pieces
 
 
+def plain_units(text, inside):
+    """Texts are cut in front of each run of marks, and between signs that are neighbours in no piece."""
+    out = []
+    for word in re.findall("▁+[^▁]*", "▁" + text.replace(" ", "▁")) if text else []:
+        at = [0, *(i for i in range(1, len(word)) if word[i - 1 : i + 1] not in inside), len(word)]
+        out += [word[a:b] for a, b in zip(at, at[1:])]
+    return out
+
+
+def test_units_are_cut_where_no_piece_crosses():
+    rng, pairs = random.Random(1), pieces.bigrams(pieces.load(PIECE_BPE))
+    inside = np.array(sorted(ord(x) << 32 | ord(y) for x, y in pairs), np.int64)
+    for n in range(200):
+        texts = [None, "", " ", "▁", *("".join(rng.choice("abtheин漢👍▁  \n\tß.,x") for _ in range(rng.randrange(40))) for _ in range(n % 20))]
+        texts = [t if n % 3 or t is None else " ".join(t.replace("▁", "").split()) for t in texts]
+        for part in (pa.array(texts), pa.array(["a ", *texts, "b"])[1:-1]):  # the second has an offset
+            units, numbers, lengths = pieces.numbered(part, inside)
+            assert len(set(units.to_pylist())) == len(units)
+            got = np.split(np.array([units[k].as_py() for k in numbers], object), np.cumsum(lengths)[:-1])
+            assert [g.tolist() for g in got] == [plain_units(t, pairs) for t in texts]
+    assert [len(x) for x in pieces.numbered(pa.array([], pa.string()), inside)] == [0, 0, 0]
+
+
 def test_pieces_like_the_library(spark):
     library, model = sentencepiece.SentencePieceProcessor(model_file=PIECE_BPE), pieces.load(PIECE_BPE)
     texts = [r[1] for r in rows(n=25)] + [" ", "x" * 200 + " " * 300 + "漢字" * 40, "a" * 3000, "👍\u200b <s>", *(" " * k + "the" for k in range(58, 66))]
