@@ -19,8 +19,10 @@ from modelwatch.session import scratch_path
 
 #: The mark that stands for a space.
 SPACE = "▁"
-#: Bytes of text of a chunk, about, and characters of a unit whose lattice fits a 64-bit set of positions.
-CHUNK, LONG = 4 << 20, 61
+#: Bytes of text of a chunk and of a group of chunks that number their units together, about.
+CHUNK, GROUP = 4 << 20, 16 << 20
+#: Characters of a unit whose lattice fits a 64-bit set of positions.
+LONG = 61
 #: Units of a partition, about: their edges are sorted in a task's memory.
 PART_UNITS = 60_000
 #: Pieces of a model: the table is broadcast, so this bounds what is.
@@ -162,27 +164,33 @@ def fold_long(unit: str, table: dict[str, tuple[int, float]], tied: set[float],
     return ids
 
 
-def chunked(docs: DataFrame, model: Model, doc_id: str, text: str) -> DataFrame:
-    """The table of chunks: (chunk, doc_ids, units, n_units, long, lengths, numbers), bucketed by chunk.
+def chunked(docs: DataFrame, model: Model, doc_id: str, text: str, chunk: int = CHUNK, group: int = GROUP) -> DataFrame:
+    """The table of chunks: (chunks, doc_ids, first, units, n_units, long, lengths, numbers), bucketed by ``chunks``, a group.
 
-    units are the chunk's distinct units (null where the unit is over ``LONG`` characters; long has those with their
-    places); numbers (compressed) spells each text as a sequence of them, and lengths has how many units each text is.
+    units are the distinct units that no earlier chunk of the group has, numbered from ``first`` (null where the unit
+    is over ``LONG`` characters; long has those with their places); numbers (compressed) spells each text as a
+    sequence of the group's units, and lengths has how many units each text is.
     """
     rows = pick(docs, doc_id=doc_id, text=text)
     inside = np.array(sorted(ord(x) << 32 | ord(y) for x, y in bigrams(model)), np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seq, held, size = TaskContext.get().partitionId(), 0, [], 0
+        part, seq, held, size, whole_size = TaskContext.get().partitionId(), 0, [], 0, 0
+        known: dict[str, int] = {}
 
         def out() -> pa.RecordBatch:
             ids = pa.concat_arrays([x.column("doc_id") for x in held])
             units, numbers, lengths = numbered(pa.concat_arrays([x.column("text") for x in held]), inside)
+            first = len(known)
+            place = np.array([known.setdefault(u, len(known)) for u in units.to_numpy(zero_copy_only=False)], np.int64)
+            numbers, units = place[numbers], units.filter(pa.array(place >= first))
             whole = zstandard.ZstdCompressor(3).compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
             over = pc.greater(pc.utf8_length(units), LONG).to_numpy(zero_copy_only=False)
-            far = [{"place": k, "unit": units[k].as_py()} for k in np.flatnonzero(over).tolist()]
+            far = [{"place": first + k, "unit": units[k].as_py()} for k in np.flatnonzero(over).tolist()]
             columns = {
-                "chunk": pa.array([part << 32 | seq], pa.int64()),
+                "chunks": pa.array([part << 32 | seq], pa.int64()),
                 "doc_ids": pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+                "first": pa.array([first], pa.int32()),
                 "units": pa.ListArray.from_arrays(pa.array([0, len(units)], pa.int32()), units.take(pa.array(np.arange(len(units)), mask=over))),
                 "n_units": pa.array([len(units)], pa.int32()),
                 "long": pa.array([far], pa.list_(pa.struct([("place", pa.int32()), ("unit", pa.string())]))),
@@ -191,20 +199,23 @@ def chunked(docs: DataFrame, model: Model, doc_id: str, text: str) -> DataFrame:
             }
             return pa.record_batch(list(columns.values()), list(columns))
 
-        for piece in utf8_slices(batches, "text", 1 << 20):
+        for piece in utf8_slices(batches, "text", min(1 << 20, chunk)):
             held.append(piece)
             size += pc.sum(pc.binary_length(piece.column("text"))).as_py() or 0
-            if size >= CHUNK:
+            if size >= chunk:
                 yield out()
-                seq, held, size = seq + 1, [], 0
+                held, size, whole_size = [], 0, whole_size + size
+            if whole_size >= group:
+                seq, whole_size = seq + 1, 0
+                known.clear()
         if held:
             yield out()
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    table = rows.mapInArrow(run, f"chunk bigint, doc_ids array<{kind}>, units array<string>, n_units int, long array<struct<place:int,unit:string>>, lengths binary, numbers binary")
+    table = rows.mapInArrow(run, f"chunks bigint, doc_ids array<{kind}>, first int, units array<string>, n_units int, long array<struct<place:int,unit:string>>, lengths binary, numbers binary")
     spark, name = docs.sparkSession, f"pieces_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table.write.format("parquet").option("path", scratch_path(spark, name)).option("compression", "zstd").bucketBy(buckets, "chunk").saveAsTable(name)
+    table.write.format("parquet").option("path", scratch_path(spark, name)).option("compression", "zstd").bucketBy(buckets, "chunks").saveAsTable(name)
     return spark.table(name)
 
 
@@ -291,7 +302,7 @@ def segment(units: DataFrame, model: Model) -> DataFrame:
 
 
 def segment_long(rows: DataFrame, model: Model) -> DataFrame:
-    """``rows(chunk, place, unit)`` with ids instead of unit: units that no set of positions fits, by the same folds in Python."""
+    """``rows(chunks, place, unit)`` with ids instead of unit: units that no set of positions fits, by the same folds in Python."""
     table, tied, longest = {p: (i, s) for p, i, s in model.pieces}, tied_scores(model), max((len(p) for p, _, _ in model.pieces), default=1)
     plain = tuple(model)
 
@@ -299,39 +310,41 @@ def segment_long(rows: DataFrame, model: Model) -> DataFrame:
         own = Model(*plain)
         for batch in batches:
             ids = [fold_long(u, table, tied, own, longest) for u in batch.column("unit").to_pylist()]
-            yield pa.record_batch([batch.column("chunk"), batch.column("place"), pa.array(ids, pa.list_(pa.int32()))], ["chunk", "place", "ids"])
+            yield pa.record_batch([batch.column("chunks"), batch.column("place"), pa.array(ids, pa.list_(pa.int32()))], ["chunks", "place", "ids"])
 
-    return rows.mapInArrow(run, "chunk bigint, place int, ids array<int>")
+    return rows.mapInArrow(run, "chunks bigint, place int, ids array<int>")
 
 
-def encode(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def encode(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", chunk: int = CHUNK, group: int = GROUP) -> DataFrame:
     """(doc_id, ids): one row per row of ``docs``.
 
     The same ids as the sentencepiece library gives for the model. Each text gets a space in front, spaces become
-    marks, and it is cut where no piece crosses. The distinct units of the corpus are segmented once; each chunk of
-    documents then gets the ids of its own units back, so that no text and no unit's occurrences are shuffled.
+    marks, and it is cut where no piece crosses. The distinct units of the corpus are segmented once; each group of
+    chunks of documents then gets the ids of its own units back, so that no text and no unit's occurrences are shuffled.
+
+    ``chunk`` and ``group`` are about how many bytes of text are worked on at once, and share numbers of units.
 
     Null and empty texts have no ids. Characters that are no piece become their bytes' pieces, or the unknown id.
     Repeated rows come back repeated; an empty table gives no rows.
     """
-    table = chunked(docs, model, doc_id, text)
+    table = chunked(docs, model, doc_id, text, chunk, group)
     # One shuffle of units: the lattice and the join back both read its groups. The condition on the places keeps the
     # optimizer from shuffling the units a second time without them.
     count = table.agg(F.sum("n_units")).first()[0] or 0
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-count // PART_UNITS))
-    places = table.select("chunk", F.posexplode("units").alias("place", "unit")).where("unit IS NOT NULL").repartition(parts, "unit")
-    groups = places.groupBy("unit").agg(F.collect_list(F.struct("chunk", "place")).alias("places"))
+    places = table.select("chunks", "first", F.posexplode("units").alias("at", "unit")).where("unit IS NOT NULL").select("chunks", F.expr("first + at").alias("place"), "unit").repartition(parts, "unit")
+    groups = places.groupBy("unit").agg(F.collect_list(F.struct("chunks", "place")).alias("places"))
     ids = segment(groups.where("size(places) > 0").select("unit"), model)
     answers = groups.join(ids, "unit").select(F.explode("places").alias("at"), "ids").select("at.*", "ids")
-    far = table.select("chunk", F.explode("long").alias("at")).select("chunk", "at.*")
+    far = table.select("chunks", F.explode("long").alias("at")).select("chunks", "at.*")
     answers = answers.unionByName(segment_long(far, model))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
 
         def out() -> Iterator[pa.RecordBatch]:
-            rows = pa.Table.from_batches(held).combine_chunks().sort_by("chunk")
-            chunk, place, ids = rows["chunk"].to_numpy(), rows["place"].to_numpy(), rows["ids"].combine_chunks()
+            rows = pa.Table.from_batches(held).combine_chunks().sort_by("chunks")
+            chunk, place, ids = rows["chunks"].to_numpy(), rows["place"].to_numpy(), rows["ids"].combine_chunks()
             size, flat = np.diff(ids.offsets.to_numpy()), ids.flatten().to_numpy()
             ends = np.cumsum(size)
             cuts = np.flatnonzero(np.r_[True, chunk[1:] != chunk[:-1], True])
@@ -343,7 +356,7 @@ def encode(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "t
                 body = [np.diff(place[order], prepend=0).astype("<u4"), size[order].astype("<u4"), flat[at].astype("<u4")]
                 plain = np.array([b - a], "<u4").tobytes() + b"".join(x.view(np.uint8).reshape(-1, 4).T.tobytes() for x in body)
                 blobs.append(zstandard.ZstdCompressor(3).compress(plain))
-            yield pa.record_batch([pa.array(chunk[cuts[:-1]]), pa.array(blobs, pa.binary())], ["chunk", "blob"])
+            yield pa.record_batch([pa.array(chunk[cuts[:-1]]), pa.array(blobs, pa.binary())], ["chunks", "blob"])
 
         give_back()
         for batch in batches:
@@ -355,7 +368,7 @@ def encode(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "t
         if count:
             yield from out()
 
-    packed = answers.mapInArrow(pack, "chunk bigint, blob binary").groupBy("chunk").agg(F.collect_list("blob").alias("blobs"))
+    packed = answers.mapInArrow(pack, "chunks bigint, blob binary").groupBy("chunks").agg(F.collect_list("blob").alias("blobs"))
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -392,7 +405,7 @@ def encode(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "t
                     out = pa.ListArray.from_arrays(pa.array(sums, pa.int32()), pa.array(flat[at].astype(np.int32)))
                     yield pa.record_batch([names.slice(a, b - a), out], ["doc_id", "ids"])
 
-    joined = table.select("chunk", "doc_ids", "lengths", "numbers").join(packed, "chunk", "left").select("doc_ids", "lengths", "numbers", "blobs")
+    joined = table.select("chunks", "doc_ids", "lengths", "numbers").join(packed, "chunks", "left").select("doc_ids", "lengths", "numbers", "blobs")
     return joined.mapInArrow(spell, f"doc_id {kind}, ids array<int>")
 
 

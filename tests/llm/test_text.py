@@ -109,6 +109,16 @@ def plain_units(text, inside):
     return out
 
 
+def test_chunks_of_a_group_share_units(spark):
+    library, model = sentencepiece.SentencePieceProcessor(model_file=PIECE_BPE), pieces.load(PIECE_BPE)
+    data = [(i, t) for i, (_, t, *_) in enumerate(rows(n=60))] + [(1000 + i, "a" * 70 + f" the same 漢{i % 3}") for i in range(40)]
+    docs = spark.createDataFrame(data, "doc_id long, text string").coalesce(2)
+    table = pieces.chunked(docs, model, "doc_id", "text", chunk=200, group=1500)
+    assert table.count() > table.select("chunks").distinct().count() > 2
+    got = {r.doc_id: list(r.ids) for r in pieces.encode(docs, model, chunk=200, group=1500).collect()}
+    assert got == {i: library.encode(t or "") for i, t in data}
+
+
 def test_units_are_cut_where_no_piece_crosses():
     rng, pairs = random.Random(1), pieces.bigrams(pieces.load(PIECE_BPE))
     inside = np.array(sorted(ord(x) << 32 | ord(y) for x, y in pairs), np.int64)
