@@ -183,3 +183,24 @@ def test_other_queries(spark):
     few = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(30)], "vec_id bigint, embedding array<double>")
     got = neighbours.nearest(few, is_query=F.col("id") == 3, k=2).orderBy("rank").collect()
     assert [(r.query_id, r.vec_id) for r in got] == [(3, 29), (3, 28)]
+
+
+def test_search_rounds_shuffle_little(spark, monkeypatch):
+    """A round of the search deals its pairs three times and shuffles neither lists nor vectors; few queries are searched for once."""
+    plans, stage = {}, neighbours.stage_table
+
+    def staged(df, label):
+        if label.startswith("search-"):
+            plans.setdefault(label, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return stage(df, label)
+
+    monkeypatch.setattr(neighbours, "stage_table", staged)
+    x = np.random.default_rng(6).normal(size=(600, 8))
+    table = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id bigint, embedding array<double>")
+    assert neighbours.nearest(table, k=5).count() == 150
+    assert len(plans["search-queries"]) == 1
+    assert all(label.split("-")[1].isdigit() or label == "search-queries" for label in plans)
+    for label, own in plans.items():
+        for plan in own:
+            # The queries' vectors may be a fourth.
+            assert sum(line.lstrip(" +-:").startswith("Exchange ") for line in plan.splitlines()) <= 4, (label, plan)
