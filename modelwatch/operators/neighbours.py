@@ -4,7 +4,8 @@ Equal points are one point with a number of copies; a point is its own neighbour
 
 *Exact search* sorts the points along a unit direction u into blocks of bounded size. Since |u.x - u.y| <= |x - y|, a
 point whose k-th candidate is r away only has to visit blocks closer than r along u. That prunes well in few dimensions
-and not at all in many.
+and not at all in many. Blocks that reach few others are shuffled to them; else points are written in packs, and tasks
+read the packs that meet, so that what is shuffled grows with the points although the comparisons are all pairs.
 
 *Hashed search* is for many dimensions. In each of several tables a point's key is the sides it takes of random
 hyperplanes; it is compared with the points of its own bucket and of the buckets behind the hyperplanes that it lies
@@ -34,6 +35,8 @@ BLOCK_POINTS = 2048
 #: Blocks of one span; the ends of the spans, few, are what a task knows of all points.
 SPAN_BLOCKS = 1024
 CELLS = 1 << 23
+#: Where a block reaches more blocks than this on average, packs of points meet without a shuffle; points of a pack, and hosts compared at once.
+MANY_BLOCKS, PACK_POINTS, HOST_POINTS = 8, 2048, 16384
 
 BUCKET_POINTS = 256
 TABLES, PROBES = 8, 4
@@ -116,10 +119,10 @@ def exact_neighbours(blocks: DataFrame, k: int) -> DataFrame:
         near = pd.DataFrame(list(_closest(x, ids, x, ids, copies, k)), columns=["d", "nid", "copies"])
         # Strictly closer points only: a slack covers rounding of the projections.
         radius = [(d[-1] * (1 + 1e-9) + 1e-12 if d[-1] > 0 else -1.0) if sum(c) >= k else math.inf for d, _, c in near.itertuples(index=False)]
-        return near.assign(id=ids, x=pdf["x"].to_numpy(), p=pdf["p"].to_numpy(), radius=radius, home=pdf["block"].to_numpy())
+        return near.assign(id=ids, x=pdf["x"].to_numpy(), own=copies, p=pdf["p"].to_numpy(), radius=radius, home=pdf["block"].to_numpy())
 
     home = stage_table(
-        blocks.groupBy("block").applyInPandas(at_home, f"{NEAR}, id bigint, x array<double>, p double, radius double, home bigint"),
+        blocks.groupBy("block").applyInPandas(at_home, f"{NEAR}, id bigint, x array<double>, own bigint, p double, radius double, home bigint"),
         "near",
     )
     # Which blocks reach which: blocks meet by spans of blocks, the few ends of which are an expression.
@@ -134,7 +137,10 @@ def exact_neighbours(blocks: DataFrame, k: int) -> DataFrame:
     asks = ends.select(F.col("home").alias("guest"), "from", "to", F.explode(F.transform(reached, lambda s: s["span"])).alias("span"))
     hosts = ends.select(F.col("home").alias("host"), "span", "lo", "hi")
     meet = (F.col("lo") <= F.col("to")) & (F.col("hi") >= F.col("from")) & (F.col("guest") != F.col("host"))
-    pairs = stage_table(asks.join(hosts, "span").where(meet).select("guest", "host", "lo", "hi"), "block-pairs")
+    pairs = asks.join(hosts, "span").where(meet).select("guest", "host", "lo", "hi")
+    if pairs.count() > MANY_BLOCKS * ends.count():
+        return _first_copies(_as_rows(_met_in_packs(home, k)), k)
+    pairs = stage_table(pairs, "block-pairs")
     visits = home.select("id", "x", "p", "radius", F.col("home").alias("guest")).join(pairs, "guest")
     visits = visits.where((F.col("lo") <= F.col("p") + F.col("radius")) & (F.col("hi") >= F.col("p") - F.col("radius")))
     points = blocks.select(F.col("block").alias("host"), "id", "x", "copies").join(pairs.select("guest", "host"), "host")
@@ -155,6 +161,80 @@ def exact_neighbours(blocks: DataFrame, k: int) -> DataFrame:
     return _first_copies(_as_rows(home).unionByName(_as_rows(away)), k)
 
 
+def _met_in_packs(home: DataFrame, k: int) -> DataFrame:
+    """(id, d, nid, copies), as lists: the nearest of each point among the points of a task, all points being met in some task.
+
+    ``home`` has the points with a radius that holds their neighbours. Two packs meet by a product of partitions, which
+    reads the written packs and shuffles none; a task keeps the first k copies of each point.
+    """
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("id")
+        p, radius = pdf["p"].to_numpy(), pdf["radius"].to_numpy()
+        row = {c: pdf[c].to_numpy().tobytes() for c in ("id", "own", "p", "radius")} | {"x": np.stack(pdf["x"].to_numpy()).tobytes()}
+        return pd.DataFrame([row | {"pack": pdf["pack"].iloc[0], "lo": p.min(), "hi": p.max(), "from": (p - radius).min(), "to": (p + radius).max()}])
+
+    kind = "pack bigint, id binary, own binary, p binary, radius binary, x binary, lo double, hi double, from double, to double"
+    points = home.select(F.floor(F.col("id") / PACK_POINTS).alias("pack"), "id", "own", "p", "radius", "x")
+    packs = stage_table(points.groupBy("pack").applyInPandas(pack, kind), "packs")
+    guests = packs.select(F.col("pack").alias("guest"), F.col("id").alias("guests"), F.col("p").alias("at"), "radius", F.col("x").alias("gx"), "from", "to")
+    hosts = packs.select(F.col("pack").alias("host"), "id", "own", "x", "lo", "hi")
+    reach = (F.col("guest") == F.col("host")) | (F.col("lo") <= F.col("to")) & (F.col("hi") >= F.col("from"))
+    meet = guests.hint("shuffle_replicate_nl").join(hosts, reach)
+
+    def merge(a: tuple | None, b: tuple) -> tuple:
+        if a is None:
+            return b
+        kept, copies = [], 0
+        for row in sorted([*zip(*a), *zip(*b)]):
+            kept.append(row)
+            copies += row[2]
+            if copies >= k:
+                break
+        return tuple(map(list, zip(*kept))) if kept else a
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, ids, x, at, radius, found, held, visits = None, None, None, None, None, [], [], None
+
+        def compare() -> None:
+            if held and visits.any():
+                who = np.flatnonzero(visits)
+                near = _closest(x[who], ids[who], *(np.concatenate(c) for c in zip(*held)), k)
+                for i, own in zip(who.tolist(), near):
+                    found[i] = merge(found[i], own)
+            held.clear()
+
+        def out() -> pa.RecordBatch:
+            who = [i for i, f in enumerate(found) if f is not None]
+            lists = [pa.array([found[i][c] for i in who], pa.list_(t)) for c, t in enumerate((pa.float64(), pa.int64(), pa.int64()))]
+            return pa.record_batch([pa.array(ids[who], pa.int64()), *lists], ["id", "d", "nid", "copies"])
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c)[i] for c in batch.schema.names}
+                if row["guest"].as_py() != now:
+                    if now is not None:
+                        compare()
+                        yield out()
+                    now = row["guest"].as_py()
+                    ids = np.frombuffer(row["guests"].as_py(), np.int64)
+                    x, at, radius = (np.frombuffer(row[c].as_py(), np.float64) for c in ("gx", "at", "radius"))
+                    x, found, visits = x.reshape(len(ids), -1), [None] * len(ids), np.zeros(len(ids), bool)
+                if not held:
+                    visits = np.zeros(len(ids), bool)
+                host, copies = (np.frombuffer(row[c].as_py(), np.int64) for c in ("id", "own"))
+                visits |= (row["host"].as_py() == now) | (row["lo"].as_py() <= at + radius) & (row["hi"].as_py() >= at - radius)
+                held.append((np.frombuffer(row["x"].as_py(), np.float64).reshape(len(host), -1), host, copies))
+                if sum(len(h[1]) for h in held) >= HOST_POINTS:
+                    compare()
+        if now is not None:
+            compare()
+            yield out()
+
+    columns = ["guest", "guests", "at", "radius", "gx", "host", "id", "own", "x", "lo", "hi"]
+    return meet.select(*columns).mapInArrow(run, "id bigint, d array<double>, nid array<bigint>, copies array<bigint>")
+
+
 def _planes(points: DataFrame, tables: range, bits: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Directions (table, bit, dimension), and offsets that halve a bounded sample."""
     sample = points.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(SPLIT_POINTS).select("x").toPandas()["x"]

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from modelwatch.operators import neighbours as search
 from modelwatch.operators.neighbours import _in_buckets, _keyed, _planes, blocked_points, exact_neighbours, hashed_neighbours, nearest_distances
 from modelwatch.operators.smote import oversampled, smote
 
@@ -28,6 +29,20 @@ def test_neighbours_match_brute_force(spark, copies):
     assert flat == brute(x, 5)
 
 
+@pytest.mark.parametrize("d", [2, 24])
+def test_blocks_that_all_meet_are_not_shuffled_by_pairs(spark, monkeypatch, d):
+    """Packs of points meet by reading; what is shuffled are the points and the neighbours found, once a task."""
+    monkeypatch.setattr(search, "PACK_POINTS", 32)
+    monkeypatch.setattr(search, "HOST_POINTS", 100)
+    rng = np.random.default_rng(8)
+    x = np.vstack([rng.normal(size=(500, d)), np.tile(rng.normal(size=d), (40, 1)), np.zeros((3, d))])
+    near = exact_neighbours(blocked_points(frame(spark, x), "x", 8), 5)
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "CoGroups" not in plan
+    got = nearest_distances(frame(spark, x), "x", 5, block_points=8).collect()
+    assert sorted((r["rank"], round(r["distance"], 9)) for r in got for _ in range(r["rows"])) == brute(x, 5)
+
+
 def test_smote_balances_and_interpolates(spark):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(100, 3))
