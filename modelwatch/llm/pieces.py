@@ -220,11 +220,13 @@ def chunked(docs: DataFrame, model: Model, doc_id: str, text: str, chunk: int =
 
 
 def lattice(units: DataFrame, model: Model) -> DataFrame:
-    """(unit, edges): every substring that is a piece, and every single character; ``units`` is partitioned by unit.
+    """(unit, edges, places): every substring that is a piece, and every single character; ``units(unit, places)`` is partitioned by unit.
 
     edges are (late, rank, start, back, ends, inner, need, id): the order of merges, and the edge as sets of positions:
-    its two ends, what lies between, and how many positions between must be open for it to merge.
+    its two ends, what lies between, and how many positions between must be open for it to merge. places, where the
+    units have them, travel with the edge of the first character.
     """
+    places = F.col("places") if "places" in units.columns else F.lit(None).cast("int").alias("places")
     tied = tied_scores(model)
     rows = [(p, i, float(s), int(s in tied)) for p, i, s in model.pieces]
     table = F.broadcast(units.sparkSession.createDataFrame(rows, "piece string, id int, score double, late int"))  # MOST bounds it
@@ -234,9 +236,9 @@ def lattice(units: DataFrame, model: Model) -> DataFrame:
         if len(p) > 1:
             reach[p[:2]] = max(reach.get(p[:2], 0), len(p))
     heads = F.broadcast(units.sparkSession.createDataFrame(list(reach.items()), "head string, most int"))
-    spans = units.select("unit", F.explode(F.expr("sequence(0, length(unit) - 1)")).alias("start"))
+    spans = units.select("unit", places, F.explode(F.expr("sequence(0, length(unit) - 1)")).alias("start"))
     spans = spans.withColumn("head", F.expr("substring(unit, start + 1, 2)")).join(heads, "head", "left")
-    spans = spans.select("unit", "start", F.explode(F.expr("sequence(1, least(coalesce(most, 1), length(unit) - start))")).alias("size"))
+    spans = spans.select("unit", "places", "start", F.explode(F.expr("sequence(1, least(coalesce(most, 1), length(unit) - start))")).alias("size"))
     spans = spans.withColumn("piece", F.expr("substring(unit, start + 1, size)"))
     edges = spans.join(table, "piece", "left").where("id IS NOT NULL OR size = 1")
     late = F.expr("CASE WHEN size = 1 THEN 0 ELSE late END")
@@ -255,23 +257,24 @@ def lattice(units: DataFrame, model: Model) -> DataFrame:
                 F.expr("CASE WHEN id IS NULL THEN piece END").alias("spell"),
                 F.coalesce("score", F.lit(min((s for _, _, s in model.pieces), default=0.0) - 10)).alias("score"),
             ).alias("edge"),
+            F.expr("CASE WHEN start = 0 AND size = 1 THEN places END").alias("places"),
         )
         .groupBy("unit")
-        .agg(F.sort_array(F.collect_list("edge")).alias("edges"))
+        .agg(F.sort_array(F.collect_list("edge")).alias("edges"), F.first("places", ignorenulls=True).alias("places"))
     )
 
 
 def merged(edges: DataFrame) -> DataFrame:
-    """(unit, path): the BPE segmentation, by a fold over the edges whose state is the set of open positions."""
+    """(unit, path, places): the BPE segmentation, by a fold over the edges whose state is the set of open positions."""
     fold = """aggregate(edges, shiftleft(1L, length(unit) + 1) - 1L, (open, e) ->
         CASE WHEN (open & e.ends) = e.ends AND bit_count(open & e.inner) = e.need THEN open & ~e.inner ELSE open END)"""
     path = "filter(edges, e -> (open & e.ends) = e.ends AND (open & e.inner) = 0)"
-    opened = edges.select("unit", "edges", F.expr(fold).alias("open"))
-    return opened.select("unit", F.expr(f"sort_array(transform({path}, e -> struct(e.start, e.id, e.spell)))").alias("path"))
+    opened = edges.select("unit", "places", "edges", F.expr(fold).alias("open"))
+    return opened.select("unit", "places", F.expr(f"sort_array(transform({path}, e -> struct(e.start, e.id, e.spell)))").alias("path"))
 
 
 def viterbi(edges: DataFrame) -> DataFrame:
-    """(unit, path): the segmentation of the largest total score, by a fold over the edges in order of their ends.
+    """(unit, path, places): the segmentation of the largest total score, by a fold over the edges in order of their ends.
 
     The state has for every position the best score up to there and the edge that got it; of equal scores the one
     whose last piece starts first stays.
@@ -282,15 +285,15 @@ def viterbi(edges: DataFrame) -> DataFrame:
     step = f"""CASE WHEN best[e.start].total + e.score > best[e.start - e.back].total THEN transform(best, (b, i) ->
         CASE WHEN i = e.start - e.back THEN CAST(named_struct('total', best[e.start].total + e.score, 'edge',
         named_struct('start', e.start, 'back', e.back, 'id', e.id, 'spell', e.spell)) AS {kind}) ELSE b END) ELSE best END"""
-    best = edges.select("unit", F.expr(f"aggregate({by_end}, {start}, (best, e) -> {step})").alias("best"))
+    best = edges.select("unit", "places", F.expr(f"aggregate({by_end}, {start}, (best, e) -> {step})").alias("best"))
     none = "CAST(array() AS array<struct<start:int,back:int,id:int,spell:string>>)"
     back = f"""aggregate(sequence(1, length(unit)), named_struct('at', length(unit), 'path', {none}), (acc, k) ->
         CASE WHEN acc.at = 0 THEN acc ELSE named_struct('at', best[acc.at].edge.start, 'path', concat(array(best[acc.at].edge), acc.path)) END).path"""
-    return best.select("unit", F.expr(back).alias("path"))
+    return best.select("unit", "places", F.expr(back).alias("path"))
 
 
 def segment(units: DataFrame, model: Model) -> DataFrame:
-    """(unit, ids) of each of the distinct ``units`` of ``LONG`` characters at most, which are partitioned by unit."""
+    """(unit, places, ids) of each of the distinct ``units(unit, places)`` of ``LONG`` characters at most, which are partitioned by unit."""
     edges = lattice(units, model)
     path = viterbi(edges) if model.unigram else merged(edges)
     if model.byte_ids:
@@ -298,7 +301,7 @@ def segment(units: DataFrame, model: Model) -> DataFrame:
         spelled = f"transform(sequence(1, octet_length(e.spell)), k -> {low}[CAST(conv(substring(hex(e.spell), 2 * k - 1, 2), 16, 10) AS int)])"
     else:
         spelled = f"array({model.unknown})"
-    return path.select("unit", F.expr(f"flatten(transform(path, e -> CASE WHEN e.id IS NULL THEN {spelled} ELSE array(e.id) END))").alias("ids"))
+    return path.select("unit", "places", F.expr(f"flatten(transform(path, e -> CASE WHEN e.id IS NULL THEN {spelled} ELSE array(e.id) END))").alias("ids"))
 
 
 def segment_long(rows: DataFrame, model: Model) -> DataFrame:
@@ -328,14 +331,12 @@ def encode(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "t
     Repeated rows come back repeated; an empty table gives no rows.
     """
     table = chunked(docs, model, doc_id, text, chunk, group)
-    # One shuffle of units: the lattice and the join back both read its groups. The condition on the places keeps the
-    # optimizer from shuffling the units a second time without them.
+    # One shuffle of units, read once: their places go through the lattice with them.
     count = table.agg(F.sum("n_units")).first()[0] or 0
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-count // PART_UNITS))
     places = table.select("chunks", "first", F.posexplode("units").alias("at", "unit")).where("unit IS NOT NULL").select("chunks", F.expr("first + at").alias("place"), "unit").repartition(parts, "unit")
     groups = places.groupBy("unit").agg(F.collect_list(F.struct("chunks", "place")).alias("places"))
-    ids = segment(groups.where("size(places) > 0").select("unit"), model)
-    answers = groups.join(ids, "unit").select(F.explode("places").alias("at"), "ids").select("at.*", "ids")
+    answers = segment(groups, model).select(F.explode("places").alias("at"), "ids").select("at.*", "ids")
     far = table.select("chunks", F.explode("long").alias("at")).select("chunks", "at.*")
     answers = answers.unionByName(segment_long(far, model))
 

@@ -143,6 +143,14 @@ def test_pieces_like_the_library(spark):
     assert pieces.encode(spark.createDataFrame([], "doc_id bigint, text string"), model).collect() == []
 
 
+def test_units_are_read_once(spark):
+    """Places go through the lattice with their units; only chunks are joined to them."""
+    docs = spark.createDataFrame([(1, "one two"), (2, "two three")], "doc_id bigint, text string")
+    plan = pieces.encode(docs, pieces.load(PIECE_BPE))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("collect_list(struct(chunks") == 1
+    assert {line.split("Join ")[1].split(",")[0] for line in plan.splitlines() if "Join " in line} == {"LeftOuter"}
+
+
 def test_viterbi(spark):
     """A unigram model over a small alphabet, against every segmentation."""
     rng = random.Random(1)
