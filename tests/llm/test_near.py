@@ -204,3 +204,68 @@ def test_search_rounds_shuffle_little(spark, monkeypatch):
         for plan in own:
             # The queries' vectors may be a fourth.
             assert sum(line.lstrip(" +-:").startswith("Exchange ") for line in plan.splitlines()) <= 4, (label, plan)
+
+
+def _answers(table, **args):
+    got = {}
+    for r in neighbours.nearest(table, **args).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    return got
+
+
+def _true(x, k):
+    want = {}
+    for q in range(0, len(x), 20):
+        score = np.array([x[q] @ v for v in x])
+        score[q] = -np.inf
+        want[q] = np.lexsort((np.arange(len(x)), -score))[:k].tolist()
+    return want
+
+
+@pytest.mark.parametrize("size", [1.0, 1e140, 1e-140])
+def test_few_queries_are_answered_exactly_and_in_few_steps(spark, monkeypatch, size):
+    """A scan finds all neighbours, however large the numbers, without rounds that each write a table."""
+    labels, stage = [], neighbours.stage_table
+    monkeypatch.setattr(neighbours, "stage_table", lambda df, label: (labels.append(label), stage(df, label))[1])
+    x = np.random.default_rng(8).normal(size=(2000, 48)) * size
+    table = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id bigint, embedding array<double>")
+    assert _answers(table, k=20) == _true(x, 20)
+    assert len(labels) <= 8, labels
+
+
+@pytest.mark.parametrize("kind", ["even", "clusters", "uneven", "hidden"])
+def test_many_queries_are_searched_for_in_cells(spark, monkeypatch, kind):
+    """Recall holds for any vectors, all queries have all their rows, and only vectors that cells don't help are scanned."""
+    monkeypatch.setattr(neighbours, "SCANNED", 100)
+    monkeypatch.setattr(neighbours, "COMPARED", 700)
+    monkeypatch.setattr(neighbours, "LEARNED", 600)
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(6000, 16))
+    if kind == "clusters":
+        x = rng.normal(size=(30, 16))[rng.integers(0, 30, 6000)] + 0.2 * x
+        x[700:760] = x[0]  # a group of copies
+    if kind == "uneven":
+        x *= np.exp(rng.normal(0, 3, 6000))[:, None]
+    if kind == "hidden":  # queries whose guessed bound is too high are answered by a scan
+        bounded = neighbours.Space.bounded
+        high = F.when(F.col("query") % 600 == 0, 1e9).otherwise(F.col("guess"))
+        monkeypatch.setattr(neighbours.Space, "bounded", lambda self, queries, k: bounded(self, queries, k).withColumn("guess", high))
+    looks, look = [], neighbours.Space.look
+    monkeypatch.setattr(neighbours.Space, "look", lambda self, q, asked, k, b, label, *rest: (looks.append((label, asked)), look(self, q, asked, k, b, label, *rest))[1])
+    monkeypatch.setattr(neighbours, "SAMPLED", 60)
+    monkeypatch.setattr(neighbours, "BLOCK_BYTES", 150 * 64)  # two passes
+    table = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id bigint, embedding array<double>")
+    got, want = _answers(table, k=10), _true(x, 10)
+    assert set(got) == set(want) and all(len(set(v)) == 10 and q not in v for q, v in got.items())
+    assert np.mean([len(set(got[q]) & set(want[q])) / 10 for q in want]) >= 0.87
+    if kind == "hidden":
+        assert all(got[q] == want[q] for q in want if q % 600 == 0) and looks[-1] == ("neighbours-scan", 10)
+    assert looks[1][0] == "search-0"
+    if kind in ("even", "clusters"):
+        assert max([asked for label, asked in looks[2:] if label == "neighbours-scan"], default=0) < 30, looks
+
+
+def test_vectors_of_different_lengths_are_an_error(spark):
+    table = spark.createDataFrame([(i, [1.0] * (2 + i % 2)) for i in range(40)], "vec_id bigint, embedding array<double>").repartition(40, "vec_id")
+    with pytest.raises(Exception, match="ValueError"):
+        neighbours.nearest(table).collect()
